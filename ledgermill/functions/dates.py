@@ -6,15 +6,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .fixed_values import DATE_MISSING, MONTH_NAMES, WEEKDAY_NAMES
+from .fixed_values import MONTH_NAMES, WEEKDAY_NAMES
 from .text import empty_to_null, lookup, stepwise, strip_blanks
 
-# Written day-month-year and month-day-year dates, and how to write them as year-month-day.
+_ISO_SHAPE = r"^(?!0000)\d{4}-\d{1,2}-\d{1,2}$"
+
+
+def _day_first_to_iso(text: Column) -> Column:
+    return F.regexp_replace(text, r"^(\d{1,2})/(\d{1,2})/(\d{4})$", "$3-$2-$1")
+
+
+def _month_first_to_iso(text: Column) -> Column:
+    return F.regexp_replace(text, r"^(\d{1,2})-(\d{1,2})-(\d{4})$", "$3-$1-$2")
+
+
+# For each further layout: a cheap test that sends a text to its rewriting as year-month-day, and the rewriting.
 _REWRITES = {
-    "d/m/y": (r"^(\d{1,2})/(\d{1,2})/(\d{4})$", "$3-$2-$1"),
-    "m-d-y": (r"^(\d{1,2})-(\d{1,2})-(\d{4})$", "$3-$1-$2"),
+    "d/m/y": (lambda text: text.contains("/"), _day_first_to_iso),
+    "m-d-y": (lambda text: F.substring(text, -5, 1) == "-", _month_first_to_iso),
 }
-_ISO_SHAPE = r"^(?!0000)\d{4}-\d{1,2}-\d{1,2}$"
 
 CLIENT_LAYOUTS = ("d/m/y",)
 LEDGER_LAYOUTS = ("d/m/y", "m-d-y")
@@ -30,11 +40,13 @@ def parse_dates(df: DataFrame, column: str, layouts: tuple[str, ...], repair_feb
         return df.withColumn(column, F.col(column).cast("date"))
 
     # The shapes exclude each other, so rewriting first and parsing once equals trying one format after the other.
+    # Missing-value words fit none of them.
     def to_iso(text: Column) -> Column:
-        for layout in layouts:
-            pattern, order = _REWRITES[layout]
-            text = F.regexp_replace(text, pattern, order)
-        return text
+        iso = text
+        for layout in reversed(layouts):
+            looks_like, rewrite = _REWRITES[layout]
+            iso = F.when(looks_like(text), rewrite(text)).otherwise(iso)
+        return iso
 
     def to_date(iso: Column) -> Column:
         parsed = F.when(iso.rlike(_ISO_SHAPE), iso.try_cast("date"))
@@ -43,10 +55,7 @@ def parse_dates(df: DataFrame, column: str, layouts: tuple[str, ...], repair_feb
         day_before = F.when(iso.rlike(r"^(?!0000)\d{4}-02-29$"), F.concat(F.left(iso, F.lit(8)), F.lit("28")))
         return F.coalesce(parsed, day_before.try_cast("date"))
 
-    def known(text: Column) -> Column:
-        return F.when(~F.lower(text).isin(DATE_MISSING), text)
-
-    return stepwise(df, column, [strip_blanks, known, to_iso, to_date])
+    return stepwise(df, column, [strip_blanks, to_iso, to_date])
 
 
 def month_key(day: Column) -> Column:

@@ -42,9 +42,6 @@ CSV_MISSING = [
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
 
-# Texts a date cell may hold for a missing value, in lower case.
-DATE_MISSING = ["", "nan", "nat", "none"]
-
 VALUE_BANDS = ["medio_baixo_valor", "alto_valor", "muito_alto_valor"]
 
 # Recency given to clients with receivables but no payment yet.

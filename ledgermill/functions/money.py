@@ -11,7 +11,6 @@ from .text import stepwise, strip_blanks
 
 # Plain and scientific notation. Casting alone would also read `12d` and `nan` as numbers.
 _NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
-_INTEGER = r"^[+-]?\d{1,18}$"
 
 
 def text_to_double(text: Column) -> Column:
@@ -21,8 +20,7 @@ def text_to_double(text: Column) -> Column:
 def text_to_bigint(text: Column) -> Column:
     """Whole numbers, also when written `12.0`; anything else is null."""
     number = text_to_double(text)
-    whole = F.when(number == F.floor(number), number.try_cast("bigint"))
-    return F.when(text.rlike(_INTEGER), text.try_cast("bigint")).otherwise(whole)
+    return F.coalesce(text.try_cast("bigint"), F.when(number == F.floor(number), number.try_cast("bigint")))
 
 
 def to_number(df: DataFrame, column: str) -> DataFrame:

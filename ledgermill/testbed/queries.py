@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,10 +23,17 @@ MIX_NAMES = [f"{a}_{n}" for a in ADJECTIVES for n in NOUNS] + ["sem_categoria"]
 
 
 class Ledger(Tables):
-    """Cleaned tables and gold tables, built on demand."""
+    """Cleaned, gold and feature tables, built on demand.
+
+    As in the pipeline, a table that several steps read is written once and read back.
+    """
+
+    @cached_property
+    def landed_receivables(self) -> DataFrame:
+        return materialise(self.receivables())
 
     def quote_days(self) -> DataFrame:
-        return rates.quote_days(rates.payment_months(self.receivables()), RATES_FROM, RATES_TO)
+        return rates.quote_days(rates.payment_months(self.landed_receivables), RATES_FROM, RATES_TO)
 
     def rates(self) -> DataFrame:
         return rates.complete_quotes(rates.latest_quotes(self.quotes()), self.quote_days(), QUOTED_CURRENCIES)
@@ -34,7 +42,7 @@ class Ledger(Tables):
         return silver.clean_clients(self.clients())
 
     def clean_receivables(self) -> DataFrame:
-        return silver.clean_receivables(self.receivables(), self.clean_clients(), self.rates())
+        return silver.clean_receivables(self.landed_receivables, self.silver_clients, self.rates())
 
     def clean_payables(self) -> DataFrame:
         return silver.clean_payables(self.payables())
@@ -45,31 +53,49 @@ class Ledger(Tables):
     def clean_targets(self) -> DataFrame:
         return silver.clean_targets(self.targets())
 
-    def dim_client(self) -> DataFrame:
-        return star.dim_client(self.clean_clients())
+    @cached_property
+    def silver_clients(self) -> DataFrame:
+        return materialise(self.clean_clients())
 
-    def dim_date(self) -> DataFrame:
-        # Dates do not depend on conversion, so neither clients nor rates are needed.
-        receivables = silver.clean_receivables(self.receivables())
-        return star.dim_date(self.clean_targets(), self.clean_payables(), receivables)
+    @cached_property
+    def silver_receivables(self) -> DataFrame:
+        return materialise(self.clean_receivables())
 
-    def star(self) -> star.Star:
-        return star.build_star(self.clean_clients(), self.clean_categories(), self.clean_targets(),
-                               self.clean_payables(), self.clean_receivables())
+    @cached_property
+    def silver_payables(self) -> DataFrame:
+        return materialise(self.clean_payables())
 
-    def features(self, with_mix: bool = False) -> DataFrame:
-        categories = self.clean_categories() if with_mix else None
-        return customers.client_features(self.dim_client(), self.clean_receivables(), categories, MIX_NAMES, with_mix)
+    @cached_property
+    def silver_targets(self) -> DataFrame:
+        return materialise(self.clean_targets())
 
+    @cached_property
+    def star(self) -> star.Star:
+        return star.build_star(self.silver_clients, self.clean_categories(), self.silver_targets,
+                               self.silver_payables, self.silver_receivables)
+
+    @cached_property
     def totals(self) -> DataFrame:
         return customers.client_totals(self.clean_receivables())
 
+    @cached_property
+    def features(self) -> DataFrame:
+        return customers.client_features(star.dim_client(self.silver_clients), self.clean_receivables(), with_mix=False)
+
+    @cached_property
+    def wide_features(self) -> DataFrame:
+        return customers.client_features(star.dim_client(self.silver_clients), self.silver_receivables,
+                                         self.clean_categories(), MIX_NAMES)
+
     def segmented(self) -> DataFrame:
         """Features with a segment by rule, so that reports can be compared exactly."""
-        features = self.features()
-        rule = (F.col("frequencia_recebimentos") >= 30).cast("int") + 2 * (
-            F.col("taxa_pagamento_em_dia") >= 0.5).cast("int")
-        return segments.segment_output(features, features.select("id_cliente", rule.alias("cluster")), "regra")
+        return segments.segment_output(self.features, _segments_by_rule(self.features), "regra")
+
+
+def _segments_by_rule(features: DataFrame) -> DataFrame:
+    frequent = (F.col("frequencia_recebimentos") >= 30).cast("int")
+    punctual = (F.col("taxa_pagamento_em_dia") >= 0.5).cast("int")
+    return features.select("id_cliente", (frequent + 2 * punctual).alias("cluster"))
 
 
 def _drop_ordinal(df: DataFrame) -> DataFrame:
@@ -81,20 +107,17 @@ def _rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
 
 
 def revenue_by_month_currency_category(t: Ledger) -> DataFrame:
-    clients, categories = star.dim_client(t.clean_clients()), materialise(star.dim_category(t.clean_categories()))
-    client = materialise(clients)
-    currency, day = materialise(star.dim_currency(client)), materialise(t.dim_date())
-    facts = star.fact_receivable(t.clean_receivables(), client, categories, currency, day)
+    s = t.star
     return star.roll_up(
-        facts,
-        [(day, "sk_data_pagamento", "sk_data"), (categories, "sk_categoria", "sk_categoria"),
-         (currency, "sk_moeda", "sk_moeda")],
+        s.fato_conta_receber,
+        [(s.dim_data, "sk_data_pagamento", "sk_data"), (s.dim_categoria, "sk_categoria", "sk_categoria"),
+         (s.dim_moeda, "sk_moeda", "sk_moeda")],
         ["ano", "mes", "codigo_moeda", "tipo_categoria"], "valor_conta_brl",
     )
 
 
 def revenue_by_client_year(t: Ledger) -> DataFrame:
-    s = t.star()
+    s = t.star
     return star.roll_up(
         s.fato_conta_receber,
         [(s.dim_data, "sk_data_vencimento", "sk_data"), (s.dim_cliente, "id_cliente", "id_cliente")],
@@ -102,6 +125,11 @@ def revenue_by_client_year(t: Ledger) -> DataFrame:
     )
 
 
+def dim_date(t: Ledger) -> DataFrame:
+    # Dates do not depend on conversion, so neither clients nor rates are needed.
+    return star.dim_date(t.clean_targets(), t.clean_payables(), silver.clean_receivables(t.receivables()))
+
+
 def bronze_date_parse(t: Ledger) -> DataFrame:
     due = t.receivables().select("id_conta", F.col("data_vencimento").alias("sem_reparo"),
                                  F.col("data_vencimento").alias("com_reparo"))
@@ -157,7 +185,7 @@ def quality_ledgers(t: Ledger) -> DataFrame:
 
 def quality_keys(t: Ledger) -> DataFrame:
     """Repeated primary keys and orphan foreign keys of the gold tables, as numbers of keys."""
-    s = t.star()
+    s = t.star
     receivable, payable = materialise(s.fato_conta_receber), materialise(s.fato_conta_pagar)
 
     def violations(rule: str, keys: DataFrame) -> DataFrame:
@@ -185,17 +213,17 @@ def quality_keys(t: Ledger) -> DataFrame:
 
 
 def client_value_band(t: Ledger) -> DataFrame:
-    features = t.features().select("id_cliente", "valor_total_recebido_brl", "faixa_valor_cliente")
+    features = t.features.select("id_cliente", "valor_total_recebido_brl", "faixa_valor_cliente")
     ranked = customers.percentile_ranks(features, "valor_total_recebido_brl")
     return ranked.select("id_cliente", "valor_total_recebido_brl", "rank_pct", "faixa_valor_cliente")
 
 
 def client_rfm(t: Ledger) -> DataFrame:
-    return customers.client_rfm(t.totals())
+    return customers.client_rfm(t.totals)
 
 
 def client_behaviour(t: Ledger) -> DataFrame:
-    return _rounded(customers.client_behaviour(t.totals()), "variancia_dias_atraso", "desvio_dias_atraso")
+    return _rounded(customers.client_behaviour(t.totals), "variancia_dias_atraso", "desvio_dias_atraso")
 
 
 def client_category_mix(t: Ledger) -> DataFrame:
@@ -204,17 +232,17 @@ def client_category_mix(t: Ledger) -> DataFrame:
 
 def client_features(t: Ledger) -> DataFrame:
     return _rounded(
-        t.features(with_mix=True), "variancia_dias_atraso", "desvio_dias_atraso",
+        t.wide_features, "variancia_dias_atraso", "desvio_dias_atraso",
         "valor_total_recebido_brl_log1p", "valor_medio_recebido_brl_log1p",
     )
 
 
 def band_statistics(t: Ledger) -> DataFrame:
-    return _rounded(reports.band_statistics(t.features()), "media", "mediana", digits=4)
+    return _rounded(reports.band_statistics(t.features), "media", "mediana", digits=4)
 
 
 def tercile_cutoffs(t: Ledger) -> DataFrame:
-    return _rounded(reports.tercile_cutoffs(t.features()), "corte_1", "corte_2", digits=4)
+    return _rounded(reports.tercile_cutoffs(t.features), "corte_1", "corte_2", digits=4)
 
 
 def country_counts(t: Ledger) -> DataFrame:
@@ -222,7 +250,7 @@ def country_counts(t: Ledger) -> DataFrame:
 
 
 def country_band_crosstab(t: Ledger) -> DataFrame:
-    return reports.crosstab(t.features(), "pais_cliente", "faixa_valor_cliente", VALUE_BANDS)
+    return reports.crosstab(t.features, "pais_cliente", "faixa_valor_cliente", VALUE_BANDS)
 
 
 def segment_profile(t: Ledger) -> DataFrame:
@@ -262,14 +290,12 @@ def top_models(t: Ledger) -> DataFrame:
 
 
 def cluster_model_comparison(t: Ledger) -> DataFrame:
-    return segments.compare_clusterings(t.features(with_mix=True)).comparison
+    return segments.compare_clusterings(t.wide_features).comparison
 
 
 def cluster_pca(t: Ledger) -> DataFrame:
-    features = t.features(with_mix=True)
-    vectors = materialise(segments.feature_vectors(features))
-    labels = t.segmented().select("id_cliente", "cluster")
-    placed, explained = segments.project_2d(vectors, labels)
+    vectors = materialise(segments.feature_vectors(t.wide_features))
+    placed, explained = segments.project_2d(vectors, _segments_by_rule(t.wide_features))
     return reports.centroids(placed, ["pc1", "pc2"]).withColumns({
         "variancia_pc1": F.lit(explained[0]), "variancia_pc2": F.lit(explained[1]),
     })
@@ -290,13 +316,13 @@ JOBS: dict[str, Callable[[Ledger], DataFrame]] = {
     "complete_quotes": lambda t: t.rates(),
     "target_currencies": target_currencies,
     "quote_counts": quote_counts,
-    "dim_client": lambda t: t.dim_client(),
+    "dim_client": lambda t: star.dim_client(t.clean_clients()),
     "dim_category": lambda t: star.dim_category(t.clean_categories()),
     "dim_currency": lambda t: star.dim_currency(t.clean_clients()),
-    "dim_date": lambda t: t.dim_date(),
-    "fact_receivable": lambda t: t.star().fato_conta_receber,
-    "fact_payable": lambda t: t.star().fato_conta_pagar,
-    "fact_target": lambda t: t.star().fato_meta_mensal,
+    "dim_date": dim_date,
+    "fact_receivable": lambda t: t.star.fato_conta_receber,
+    "fact_payable": lambda t: t.star.fato_conta_pagar,
+    "fact_target": lambda t: t.star.fato_meta_mensal,
     "new_keys_only": new_keys_only,
     "quality_targets": quality_targets,
     "quality_categories": quality_categories,
