@@ -16,11 +16,11 @@ def daily_range(spark, start: date, end: date, name: str = "data") -> DataFrame:
 
 def days_of_months(months: DataFrame, month: str, start: date | None = None, end: date | None = None,
                    name: str = "data") -> DataFrame:
-    """All days of the given months (first days), clipped to the bounds."""
+    """All days of the given distinct months (first days), clipped to the bounds."""
     first = F.greatest(F.col(month), F.lit(start).cast("date"))
     last = F.least(F.last_day(month), F.lit(end).cast("date"))
     clipped = months.where(F.col(month).isNotNull()).select(first.alias("a"), last.alias("b")).where("a <= b")
-    return clipped.select(F.explode(F.sequence("a", "b")).alias(name)).distinct()
+    return clipped.select(F.explode(F.sequence("a", "b")).alias(name))
 
 
 def contiguous_ranges(days: DataFrame, day: str) -> DataFrame:

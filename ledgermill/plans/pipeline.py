@@ -14,6 +14,7 @@ from ..operators.dedup import ORDINAL
 from ..schemas import RAW, SILVER
 from ..sources.layers import read_csv, read_json, read_layer, write_layer
 from ..sources.rate_payloads import read_rate_payloads
+from ..sources.shared import side_by_side
 from . import customers, rates, segments, silver
 from .star import Star, build_star
 
@@ -62,22 +63,25 @@ def run_silver(spark: SparkSession, bronze: str, silver_folder: str) -> None:
     def raw(name: str) -> DataFrame:
         return read_layer(spark, bronze, name)
 
-    def put(df: DataFrame, name: str, key: str | None = None) -> None:
-        write_layer(df, silver_folder, name, sort_by=[key] if key else None)
-
-    put(silver.clean_targets(raw("PS_Meta2025")), "meta_2025_silver")
-    put(silver.clean_categories(raw("PS_Categoria")), "categoria_silver", "codigo_categoria")
-    put(silver.clean_clients(raw("PS_Cliente")), "cliente_silver", "id_cliente")
-    clients = read_layer(spark, silver_folder, "cliente_silver")
-    quotes = read_layer(spark, bronze, "bcb_cotacoes")
-    ledgers = {
-        "conta_pagar_silver": silver.clean_payables(raw("PS_Conta_Pagar")),
-        "conta_receber_silver": silver.clean_receivables(raw("PS_Conta_Receber"), clients, quotes),
-    }
-    # Ledgers are large and read by period, so they are stored by month due.
-    for name, df in ledgers.items():
+    def put(df: DataFrame, name: str, key: str | None = None) -> str:
+        return write_layer(df, silver_folder, name, sort_by=[key] if key else None)
+
+    def put_ledger(df: DataFrame, name: str) -> str:
+        # Ledgers are large and read by period, so they are stored by month due.
         dated = df.withColumn("mes_vencimento", month_key(F.col("data_vencimento")))
-        write_layer(dated, silver_folder, name, partition_by=["mes_vencimento"], sort_by=["id_conta"])
+        return write_layer(dated, silver_folder, name, partition_by=["mes_vencimento"], sort_by=["id_conta"])
+
+    def receivables() -> str:
+        put(silver.clean_clients(raw("PS_Cliente")), "cliente_silver", "id_cliente")
+        clients, quotes = read_layer(spark, silver_folder, "cliente_silver"), read_layer(spark, bronze, "bcb_cotacoes")
+        return put_ledger(silver.clean_receivables(raw("PS_Conta_Receber"), clients, quotes), "conta_receber_silver")
+
+    side_by_side(
+        receivables,
+        lambda: put(silver.clean_targets(raw("PS_Meta2025")), "meta_2025_silver"),
+        lambda: put(silver.clean_categories(raw("PS_Categoria")), "categoria_silver", "codigo_categoria"),
+        lambda: put_ledger(silver.clean_payables(raw("PS_Conta_Pagar")), "conta_pagar_silver"),
+    )
 
 
 def _silver_inputs(spark: SparkSession, folder: str, with_ordinal: bool = True) -> dict[str, DataFrame]:

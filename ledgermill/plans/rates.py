@@ -11,6 +11,7 @@ from ..functions.dates import LEDGER_LAYOUTS, month_key, parse_dates
 from ..functions.fixed_values import COUNTRY_CURRENCY, HOME_CURRENCY
 from ..operators.calendar import daily_range, days_of_months, fill_forward
 from ..operators.dedup import ORDINAL, arrival, keep_first, last_arrived
+from ..sources.shared import materialise
 
 
 def payment_months(receivables: DataFrame, repair_feb29: bool = False) -> DataFrame:
@@ -21,9 +22,11 @@ def payment_months(receivables: DataFrame, repair_feb29: bool = False) -> DataFr
 
 def quote_days(months: DataFrame, start: date | None = None, end: date | None = None) -> DataFrame:
     """Days to quote: those of the payment months within the bounds, or the bounds themselves if no month is known."""
-    days = days_of_months(months, "mes", start, end)
     if start is None or end is None:
-        return days
+        return days_of_months(months, "mes", start, end)
+    # Read twice below. There are at most as many rows as a calendar has months.
+    months = materialise(months)
+    days = days_of_months(months, "mes", start, end)
     no_months = months.agg(F.count(F.lit(1))).scalar() == 0
     return days.unionAll(daily_range(months.sparkSession, start, end).where(no_months))
 

@@ -16,7 +16,7 @@ from ..operators.headers import tidy_headers
 from ..operators.lookups import lookup_join
 from ..operators.ordering import dense_key
 from ..schemas import GOLD
-from ..sources.shared import materialise
+from ..sources.shared import materialise, side_by_side
 
 
 @dataclass
@@ -78,8 +78,9 @@ def dim_date(targets: DataFrame, payables: DataFrame, receivables: DataFrame) ->
 
 
 def _date_key(facts: DataFrame, dates: DataFrame, column: str, key: str) -> DataFrame:
+    # Two numbers per day of a calendar of four-digit years: small enough to broadcast whatever the facts hold.
     role = dates.select(F.col("data_calendario").alias(column), F.col("sk_data").alias(key))
-    return lookup_join(facts, role, [column])
+    return facts.join(F.broadcast(role), column, "left")
 
 
 def _ledger_keys(ledger: DataFrame, categories: DataFrame, dates: DataFrame) -> DataFrame:
@@ -124,10 +125,12 @@ def fact_target(targets: DataFrame, dates: DataFrame) -> DataFrame:
 def build_star(clients: DataFrame, categories: DataFrame, targets: DataFrame, payables: DataFrame,
                receivables: DataFrame) -> Star:
     """All seven tables. Dimensions are written once, since every fact reads them; facts stay lazy."""
-    client = materialise(dim_client(clients))
-    category = materialise(dim_category(categories))
-    currency = materialise(dim_currency(client))
-    day = materialise(dim_date(targets, payables, receivables))
+    client, category, currency, day = side_by_side(
+        lambda: materialise(dim_client(clients)),
+        lambda: materialise(dim_category(categories)),
+        lambda: materialise(dim_currency(clients)),
+        lambda: materialise(dim_date(targets, payables, receivables)),
+    )
     return Star(
         dim_cliente=client, dim_categoria=category, dim_data=day, dim_moeda=currency,
         fato_conta_receber=fact_receivable(receivables, client, category, currency, day),

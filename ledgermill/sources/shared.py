@@ -4,20 +4,27 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_folder_choice = Lock()
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder of the cluster's `spark.checkpoint.dir`. Only a session on one machine may go without it."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder that all executors can reach")
-    folder = tempfile.mkdtemp(prefix="ledgermill-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    with _folder_choice:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder:
+            return folder.rstrip("/")
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors can reach")
+        folder = tempfile.mkdtemp(prefix="ledgermill-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+        return folder
 
 
 def materialise(df: DataFrame) -> DataFrame:
@@ -29,3 +36,9 @@ def materialise(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/ledgermill-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def side_by_side(*jobs: Callable):
+    """Run independent jobs at the same time, so that one's last tasks do not leave the executors idle."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        return [future.result() for future in [pool.submit(job) for job in jobs]]

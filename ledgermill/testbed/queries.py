@@ -13,7 +13,7 @@ from ..functions.dates import LEDGER_LAYOUTS, parse_dates
 from ..functions.fixed_values import VALUE_BANDS
 from ..operators import append, calendar, checks, dedup
 from ..plans import customers, rates, reports, segments, silver, star
-from ..sources.shared import materialise
+from ..sources.shared import materialise, side_by_side
 from .tables import ADJECTIVES, NOUNS, QUOTED_CURRENCIES, Tables
 
 # Bounds of the rate window, so that clipping is exercised at both ends.
@@ -42,7 +42,8 @@ class Ledger(Tables):
         return silver.clean_clients(self.clients())
 
     def clean_receivables(self) -> DataFrame:
-        return silver.clean_receivables(self.landed_receivables, self.silver_clients, self.rates())
+        raw, clients = side_by_side(lambda: self.landed_receivables, lambda: self.silver_clients)
+        return silver.clean_receivables(raw, clients, self.rates())
 
     def clean_payables(self) -> DataFrame:
         return silver.clean_payables(self.payables())
@@ -71,6 +72,7 @@ class Ledger(Tables):
 
     @cached_property
     def star(self) -> star.Star:
+        side_by_side(lambda: self.silver_receivables, lambda: self.silver_payables, lambda: self.silver_targets)
         return star.build_star(self.silver_clients, self.clean_categories(), self.silver_targets,
                                self.silver_payables, self.silver_receivables)
 
