@@ -52,11 +52,14 @@ def salted_join(facts: DataFrame, lookup: DataFrame, on: list[str], how: str = "
     most `parts` keys can be above the share, and their splits add up to at most twice `parts`: both the broadcast
     list of hot keys and the repeated rows are bounded whatever the data. Rows are spread by a hash of their values,
     so a recomputed task sends each row where it went before; copies of a row stay apart if the rows carry an ordinal.
+    Finding the hot keys takes one pass over the key columns, combined inside each partition.
     """
     splits, salt = "__splits", "__salt"
     counts = facts.groupBy(*on).agg(F.count(F.lit(1)).alias("__rows"))
     share = F.ceil(F.col("__rows") * parts / counts.agg(F.sum("__rows")).scalar())
-    hot = counts.select(*on, share.cast("int").alias(splits)).where(F.col(splits) > 1)
+    hot = materialise(counts.select(*on, share.cast("int").alias(splits)).where(F.col(splits) > 1))
+    if hot.isEmpty():
+        return _equi_join(facts, lookup, on, how, null_safe)
 
     spread = F.pmod(F.xxhash64(*facts.columns), F.coalesce(F.col(splits), F.lit(1)))
     salted_facts = (

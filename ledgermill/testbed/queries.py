@@ -45,8 +45,12 @@ class Ledger(Tables):
         raw, clients = side_by_side(lambda: self.landed_receivables, lambda: self.silver_clients)
         return silver.clean_receivables(raw, clients, self.rates())
 
+    @cached_property
+    def landed_payables(self) -> DataFrame:
+        return materialise(self.payables())
+
     def clean_payables(self) -> DataFrame:
-        return silver.clean_payables(self.payables())
+        return silver.clean_payables(self.landed_payables)
 
     def clean_categories(self) -> DataFrame:
         return silver.clean_categories(self.categories())
@@ -129,7 +133,7 @@ def revenue_by_client_year(t: Ledger) -> DataFrame:
 
 def dim_date(t: Ledger) -> DataFrame:
     # Dates do not depend on conversion, so neither clients nor rates are needed.
-    return star.dim_date(t.clean_targets(), t.clean_payables(), silver.clean_receivables(t.receivables()))
+    return star.dim_date(t.clean_targets(), t.clean_payables(), silver.clean_receivables(t.landed_receivables))
 
 
 def bronze_date_parse(t: Ledger) -> DataFrame:
@@ -177,10 +181,10 @@ def quality_ledgers(t: Ledger) -> DataFrame:
         return counts.withColumn("tabela", F.lit(name))
 
     return line(
-        "conta_pagar", t.payables(), t.clean_payables(),
+        "conta_pagar", t.landed_payables, t.clean_payables(),
         checks.status_is("status_conta", "pago"), checks.status_is("status_conta", "em aberto"),
     ).unionByName(line(
-        "conta_receber", t.receivables(), silver.clean_receivables(t.receivables()),
+        "conta_receber", t.landed_receivables, silver.clean_receivables(t.landed_receivables),
         checks.status_like("status_conta", "recebido|pago"), checks.status_like("status_conta", "aberto|pendente"),
     ))
 
