@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..schemas import MODEL_METRICS
 from ..sources.shared import materialise
 from .customers import profile_label
 
@@ -23,10 +24,6 @@ CLUSTER_COUNTS = range(2, 9)
 RESTARTS = 20
 SEED = 42
 
-METRICS = T.StructType.fromDDL(
-    "model_name string, n_clusters bigint, noise_ratio double, silhouette double, davies_bouldin double, "
-    "calinski_harabasz double"
-)
 # Metrics of a labelling with fewer than two clusters.
 DEGENERATE = {"silhouette": -1.0, "davies_bouldin": 999999.0, "calinski_harabasz": 0.0}
 
@@ -181,8 +178,8 @@ def compare_clusterings(features: DataFrame, counts=CLUSTER_COUNTS, restarts: in
     if not results:
         results = [fit(("kmeans", 2))]
 
-    rows = [tuple(metrics[f] for f in METRICS.fieldNames()) for _, metrics in results]
-    comparison = rank_models(features.sparkSession.createDataFrame(rows, METRICS))
+    rows = [tuple(metrics[f] for f in MODEL_METRICS.fieldNames()) for _, metrics in results]
+    comparison = rank_models(features.sparkSession.createDataFrame(rows, MODEL_METRICS))
     winner = top_models(comparison, 1).first()["model_name"]
     model = next(c.model for c, _ in results if c.name == winner)
     labels = model.transform(vectors).select("id_cliente", F.col("prediction").alias("cluster"))

@@ -3,8 +3,14 @@
 from pyspark.sql import types as T
 
 
+_KINDS = {
+    "bigint": T.LongType(), "boolean": T.BooleanType(), "date": T.DateType(), "double": T.DoubleType(),
+    "string": T.StringType(),
+}
+
+
 def _table(**columns: str) -> T.StructType:
-    return T.StructType.fromDDL(", ".join(f"{name} {kind}" for name, kind in columns.items()))
+    return T.StructType([T.StructField(name, _KINDS[kind]) for name, kind in columns.items()])
 
 
 # Raw feeds are read as text; cleaning decides what a cell means.
@@ -25,9 +31,9 @@ RAW = {
 RATES = _table(moeda="string", data="date", cotacao_compra="double", cotacao_venda="double")
 
 # The rates service's answer for one currency and period.
-RATE_PAYLOAD = T.StructType.fromDDL(
-    "value array<struct<cotacaoCompra: double, cotacaoVenda: double, dataHoraCotacao: string>>"
-)
+RATE_PAYLOAD = T.StructType([T.StructField("value", T.ArrayType(
+    _table(cotacaoCompra="double", cotacaoVenda="double", dataHoraCotacao="string")
+))])
 
 SILVER = {
     "meta_2025_silver": _table(
@@ -89,3 +95,9 @@ GOLD_KEYS = {
     "fato_conta_pagar": ["id_conta_pagar"],
     "fato_meta_mensal": ["sk_fato_meta"],
 }
+
+# Quality of the candidate models.
+MODEL_METRICS = _table(
+    model_name="string", n_clusters="bigint", noise_ratio="double", silhouette="double", davies_bouldin="double",
+    calinski_harabasz="double",
+)
