@@ -62,15 +62,13 @@ def feature_vectors(features: DataFrame, include_last_payment: bool = False) ->
 class Candidate:
     name: str
     model: Model
+    cost: float
 
 
-def _best_kmeans(vectors: DataFrame, k: int, restarts: int) -> Candidate:
-    fits = (KMeans(k=k, seed=SEED + i).fit(vectors) for i in range(restarts))
-    return Candidate(f"kmeans_k{k}", min(fits, key=lambda m: m.summary.trainingCost))
-
-
-def _hierarchical(vectors: DataFrame, k: int) -> Candidate:
-    return Candidate(f"bisecting_k{k}", BisectingKMeans(k=k, seed=SEED).fit(vectors))
+def _fit(vectors: DataFrame, family: str, k: int, seed: int) -> Candidate:
+    kind = KMeans if family == "kmeans" else BisectingKMeans
+    model = kind(k=k, seed=seed).fit(vectors)
+    return Candidate(f"{family}_k{k}", model, model.summary.trainingCost)
 
 
 def labelling_metrics(labelled: DataFrame, name: str, label: str = "cluster", features: str = "features") -> dict:
@@ -157,32 +155,33 @@ class Segmentation:
 
 
 def compare_clusterings(features: DataFrame, counts=CLUSTER_COUNTS, restarts: int = RESTARTS,
-                        include_last_payment: bool = False, parallelism: int = 4) -> Segmentation:
+                        include_last_payment: bool = False, parallelism: int = 8) -> Segmentation:
     """Fit k-means and a divisive hierarchy for each number of clusters, rank them, and label with the best.
 
     Fits are Spark jobs of their own and run a few at a time on the same cached vectors. The winner is not fitted
     again. K-means is restarted with further seeds and keeps the run of least cost.
     """
     vectors = materialise(feature_vectors(features, include_last_payment)).persist(StorageLevel.MEMORY_AND_DISK)
+    clients = vectors.count()
+    possible = [k for k in counts if k <= clients] or [2]
+    fits = [("kmeans", k, SEED + i) for k in possible for i in range(restarts)]
+    fits += [("bisecting", k, SEED) for k in possible]
 
-    def fit(task) -> tuple[Candidate, dict]:
-        family, k = task
-        candidate = _best_kmeans(vectors, k, restarts) if family == "kmeans" else _hierarchical(vectors, k)
+    def measure(candidate: Candidate) -> dict:
         labelled = candidate.model.transform(vectors).withColumnRenamed("prediction", "cluster")
-        return candidate, labelling_metrics(labelled, candidate.name)
+        return labelling_metrics(labelled, candidate.name)
 
-    rows = vectors.count()
-    tasks = [(family, k) for family in ("kmeans", "bisecting") for k in counts if k <= rows]
+    best: dict[str, Candidate] = {}
     with ThreadPoolExecutor(parallelism) as pool:
-        results = list(pool.map(fit, tasks))
-    if not results:
-        results = [fit(("kmeans", 2))]
+        for candidate in pool.map(lambda fit: _fit(vectors, *fit), fits):
+            if candidate.name not in best or candidate.cost < best[candidate.name].cost:
+                best[candidate.name] = candidate
+        measured = list(pool.map(measure, best.values()))
 
-    rows = [tuple(metrics[f] for f in MODEL_METRICS.fieldNames()) for _, metrics in results]
+    rows = [tuple(metrics[f] for f in MODEL_METRICS.fieldNames()) for metrics in measured]
     comparison = rank_models(features.sparkSession.createDataFrame(rows, MODEL_METRICS))
     winner = top_models(comparison, 1).first()["model_name"]
-    model = next(c.model for c, _ in results if c.name == winner)
-    labels = model.transform(vectors).select("id_cliente", F.col("prediction").alias("cluster"))
+    labels = best[winner].model.transform(vectors).select("id_cliente", F.col("prediction").alias("cluster"))
     return Segmentation(comparison, winner, labels, vectors)
 
 

@@ -60,13 +60,16 @@ def write_layer(df: DataFrame, folder: str, name: str, output_format: str = "par
                 partition_by: list[str] | None = None, sort_by: list[str] | None = None) -> str:
     """Replace a layer table.
 
-    `partition_by` makes directories for pruning. Rows are ranged on directory and sort key together, so a directory
-    with a large share of the rows is written by several tasks, and no task opens many directories.
+    `partition_by` makes directories for pruning. Rows are gathered by directory, and directories with many rows are
+    split over several tasks once their size is known, so each has few files and none waits for one large task.
+    Without directories, `sort_by` gives the whole table that order.
     """
     path = f"{folder}/{name}.{output_format}"
     order = [*(partition_by or []), *(sort_by or [])]
-    if order:
-        df = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    if partition_by:
+        df = df.hint("rebalance", *partition_by).sortWithinPartitions(*order)
+    elif sort_by:
+        df = df.orderBy(*sort_by)
     writer = df.write.mode("overwrite").option("header", True).format(output_format)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
