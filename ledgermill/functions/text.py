@@ -17,9 +17,23 @@ from .fixed_values import COUNTRY_CURRENCY, COUNTRY_SYNONYMS, NAME_PARTICLES
 
 Step = Callable[[Column], Column]
 
+_NOT_ASCII = "[^\\x00-\\x7F]"
+
+
+def _char_class(chars: Iterable[str]) -> str:
+    """Regular expression class of the characters; neighbours are joined to ranges, which match much faster."""
+    ranges: list[list[int]] = []
+    for code in sorted(map(ord, chars)):
+        if ranges and code == ranges[-1][1] + 1:
+            ranges[-1][1] = code
+        else:
+            ranges.append([code, code])
+    return "[" + "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in ranges) + "]"
+
+
 # Everything Unicode calls white space, plus the four ASCII separators.
 _BLANK_CHARS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
-_BLANK_CLASS = "[" + "".join(f"\\x{{{ord(c):X}}}" for c in _BLANK_CHARS) + "]"
+_BLANK_CLASS = _char_class(_BLANK_CHARS)
 
 
 def stepwise(df: DataFrame, column: str, steps: Iterable[Step], source: str | None = None) -> DataFrame:
@@ -73,23 +87,23 @@ def _folding_tables() -> tuple[str, str, dict[str, str]]:
     return "".join([*one_to_one, *dropped]), "".join(one_to_one.values()), expanded
 
 
+def _fold_letters(text: Column) -> Column:
+    source, target, _ = _folding_tables()
+    return F.when(text.rlike(_NOT_ASCII), F.translate(text, source, target)).otherwise(text)
+
+
 def _expand_ligatures(text: Column) -> Column:
     _, _, expanded = _folding_tables()
-    char_class = "[" + "".join(f"\\x{{{ord(c):X}}}" for c in expanded) + "]"
     # Tab and line feed never occur in the expansions, so they can separate the literal's entries.
     table = F.str_to_map(F.lit("\n".join(f"{k}\t{v}" for k, v in expanded.items())), F.lit("\n"), F.lit("\t"))
     spelled = F.array_join(
         F.transform(F.split(text, ""), lambda c: F.coalesce(F.try_element_at(table, c), c)), ""
     )
-    return F.when(text.rlike(char_class), spelled).otherwise(text)
-
-
-def _fold_letters(text: Column) -> Column:
-    source, target, _ = _folding_tables()
-    return F.when(text.rlike("[^\\x00-\\x7F]"), F.translate(text, source, target)).otherwise(text)
+    # Texts that letters alone made plain are the rule, so the cheap test comes first.
+    return F.when(text.rlike(_NOT_ASCII) & text.rlike(_char_class(expanded)), spelled).otherwise(text)
 
 
-FOLD_ACCENTS: list[Step] = [_expand_ligatures, _fold_letters]
+FOLD_ACCENTS: list[Step] = [_fold_letters, _expand_ligatures]
 
 
 def _only_letters_and_digits(text: Column) -> Column:

@@ -114,4 +114,3 @@ def run_segments(spark: SparkSession, silver_folder: str, ml: str, restarts: int
     chosen = segments.compare_clusterings(features, restarts=restarts)
     write_layer(chosen.comparison, ml, "model_comparison")
     write_layer(segments.segment_output(features, chosen.labels, chosen.winner), ml, "cliente_clusterizado")
-    chosen.vectors.unpersist()

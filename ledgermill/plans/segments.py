@@ -5,7 +5,6 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml import Model, Pipeline
 from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -158,10 +157,12 @@ def compare_clusterings(features: DataFrame, counts=CLUSTER_COUNTS, restarts: in
                         include_last_payment: bool = False, parallelism: int = 8) -> Segmentation:
     """Fit k-means and a divisive hierarchy for each number of clusters, rank them, and label with the best.
 
-    Fits are Spark jobs of their own and run a few at a time on the same cached vectors. The winner is not fitted
-    again. K-means is restarted with further seeds and keeps the run of least cost.
+    Fits are Spark jobs of their own and run a few at a time on the same written vectors. They are not cached here:
+    each fit keeps the rows it iterates over in the form its loop needs, which a cached table would make it decode
+    anew in every iteration. The winner is not fitted again. K-means is restarted with further seeds and keeps the run
+    of least cost.
     """
-    vectors = materialise(feature_vectors(features, include_last_payment)).persist(StorageLevel.MEMORY_AND_DISK)
+    vectors = materialise(feature_vectors(features, include_last_payment))
     clients = vectors.count()
     possible = [k for k in counts if k <= clients] or [2]
     fits = [("kmeans", k, SEED + i) for k in possible for i in range(restarts)]

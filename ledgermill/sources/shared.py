@@ -38,6 +38,15 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Share out a table that arrives in fewer splits than there are cores, such as one file that cannot be split.
+
+    Tables of many splits are returned as they are, so large ones are never shuffled for this.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def side_by_side(*jobs: Callable):
     """Run independent jobs at the same time, so that one's last tasks do not leave the executors idle."""
     with ThreadPoolExecutor(len(jobs)) as pool:

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.dedup import ORDINAL
+from ..sources.shared import spread
 
 
 def _text(x: str) -> str:
@@ -188,7 +189,8 @@ class Tables:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     def _lines(self) -> DataFrame:
-        return self.table("lineitem").join(self.table("part"), F.col("l_partkey") == F.col("p_partkey"))
+        # The driver writes each table as one file of one row group, which a scan cannot split.
+        return spread(self.table("lineitem")).join(self.table("part"), F.col("l_partkey") == F.col("p_partkey"))
 
     def clients(self) -> DataFrame:
         return _read(CLIENTS, self.table("customer"))

@@ -381,4 +381,3 @@ def test_choice_among_models(spark, grouped_features):
     assert reports.centroids(placed, ["pc1", "pc2"]).count() == 3
     profile = reports.segment_profile(segments.segment_output(grouped_features, chosen.labels, "m")).toPandas()
     assert profile.clientes.tolist() == [15, 15, 15] and set(profile.pct_alto_valor) == {100.0}
-    chosen.vectors.unpersist()
