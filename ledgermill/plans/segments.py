@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.ml import Model, Pipeline
 from pyspark.ml.clustering import BisectingKMeans, KMeans
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import MODEL_METRICS
-from ..sources.shared import materialise
+from ..sources.shared import materialise, side_by_side
 from .customers import profile_label
 
 CLUSTER_COUNTS = range(2, 9)
@@ -173,11 +173,10 @@ def compare_clusterings(features: DataFrame, counts=CLUSTER_COUNTS, restarts: in
         return labelling_metrics(labelled, candidate.name)
 
     best: dict[str, Candidate] = {}
-    with ThreadPoolExecutor(parallelism) as pool:
-        for candidate in pool.map(lambda fit: _fit(vectors, *fit), fits):
-            if candidate.name not in best or candidate.cost < best[candidate.name].cost:
-                best[candidate.name] = candidate
-        measured = list(pool.map(measure, best.values()))
+    for candidate in side_by_side(*[partial(_fit, vectors, *fit) for fit in fits], at_once=parallelism):
+        if candidate.name not in best or candidate.cost < best[candidate.name].cost:
+            best[candidate.name] = candidate
+    measured = side_by_side(*[partial(measure, candidate) for candidate in best.values()], at_once=parallelism)
 
     rows = [tuple(metrics[f] for f in MODEL_METRICS.fieldNames()) for metrics in measured]
     comparison = rank_models(features.sparkSession.createDataFrame(rows, MODEL_METRICS))

@@ -8,6 +8,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from threading import Lock
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -47,7 +48,12 @@ def spread(df: DataFrame) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
-def side_by_side(*jobs: Callable):
-    """Run independent jobs at the same time, so that one's last tasks do not leave the executors idle."""
-    with ThreadPoolExecutor(len(jobs)) as pool:
-        return [future.result() for future in [pool.submit(job) for job in jobs]]
+def side_by_side(*jobs: Callable, at_once: int | None = None) -> list:
+    """Run independent jobs at the same time, so that one's last tasks do not leave the executors idle.
+
+    Each job gets its own copy of the caller's job group and scheduler pool.
+    """
+    session = SparkSession.active()
+    with ThreadPoolExecutor(at_once or len(jobs)) as pool:
+        running = [pool.submit(inheritable_thread_target(session)(job)) for job in jobs]
+        return [future.result() for future in running]
