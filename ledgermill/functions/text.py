@@ -1,7 +1,8 @@
 """Text cleaning as Spark column expressions.
 
 Each function is one small step. Longer cleanings are lists of steps for `stepwise`, which gives every step its own
-projection: a step may then use its input several times without that input being computed several times.
+projection: a step may then use its input several times without that input being computed several times. A filter on a
+cleaned text undoes this, because Spark moves it below the projections; filter on the written table instead.
 """
 
 from __future__ import annotations

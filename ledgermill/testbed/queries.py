@@ -144,7 +144,7 @@ def bronze_date_parse(t: Ledger) -> DataFrame:
 
 
 def target_currencies(t: Ledger) -> DataFrame:
-    return rates.currencies_of_countries(t.clean_clients(), "pais_cliente")
+    return rates.currencies_of_countries(t.silver_clients, "pais_cliente")
 
 
 def quote_counts(t: Ledger) -> DataFrame:
@@ -252,7 +252,7 @@ def tercile_cutoffs(t: Ledger) -> DataFrame:
 
 
 def country_counts(t: Ledger) -> DataFrame:
-    return reports.value_counts(t.clean_clients(), "pais_cliente")
+    return reports.value_counts(t.silver_clients, "pais_cliente")
 
 
 def country_band_crosstab(t: Ledger) -> DataFrame:
@@ -322,9 +322,9 @@ JOBS: dict[str, Callable[[Ledger], DataFrame]] = {
     "complete_quotes": lambda t: t.rates(),
     "target_currencies": target_currencies,
     "quote_counts": quote_counts,
-    "dim_client": lambda t: star.dim_client(t.clean_clients()),
+    "dim_client": lambda t: star.dim_client(t.silver_clients),
     "dim_category": lambda t: star.dim_category(t.clean_categories()),
-    "dim_currency": lambda t: star.dim_currency(t.clean_clients()),
+    "dim_currency": lambda t: star.dim_currency(t.silver_clients),
     "dim_date": dim_date,
     "fact_receivable": lambda t: t.star.fato_conta_receber,
     "fact_payable": lambda t: t.star.fato_conta_pagar,
