@@ -2,7 +2,8 @@
 
 Rows are range-partitioned by the ordering, each partition is numbered on its own, and the sizes of the partitions
 before it are added. The partitioned rows are written once in between, because range boundaries are sampled and must
-not change between numbering and adding.
+not change between numbering and adding. The number of partitions is left to the planner, which joins neighbouring
+ranges of small tables.
 """
 
 from __future__ import annotations
@@ -16,14 +17,10 @@ from ..sources.shared import materialise
 _PARTITION_SHIFT = 33
 
 
-def _partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def dense_key(df: DataFrame, name: str, order: list[str]) -> DataFrame:
     """Add `name`: 1..n in the given order. The order should be total, or ties get an arbitrary order."""
     placed = materialise(
-        df.repartitionByRange(_partitions(df), *order).sortWithinPartitions(*order)
+        df.repartitionByRange(*order).sortWithinPartitions(*order)
         .withColumn("__place", F.monotonically_increasing_id())
     ).withColumn("__block", F.shiftright("__place", _PARTITION_SHIFT))
     # One row per partition, so one task and a broadcast are enough.
@@ -45,7 +42,7 @@ def value_positions(df: DataFrame, value: str, by: list[str] = []) -> DataFrame:
     """
     counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("eq"))
     placed = materialise(
-        counts.repartitionByRange(_partitions(df), *by, value).withColumn("__block", F.spark_partition_id())
+        counts.repartitionByRange(*by, value).withColumn("__block", F.spark_partition_id())
     )
     # At most one row per partition and group.
     block = Window.partitionBy(*by).orderBy("__block")

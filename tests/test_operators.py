@@ -99,8 +99,18 @@ def test_new_keys_only(spark):
     assert rows(again) == []
 
 
-def test_dense_key_follows_the_order(spark):
-    names = [f"c{random.Random(3).random():.9f}{i}" for i in range(5000)]
+@pytest.fixture(params=["true", "false"])
+def joined_ranges(spark, request):
+    """Small ranges joined by the planner, and left apart."""
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(setting, request.param)
+    yield
+    spark.conf.set(setting, "true")
+
+
+def test_dense_key_follows_the_order(spark, joined_ranges):
+    source = random.Random(3)
+    names = [f"c{source.random():.9f}{i}" for i in range(5000)]
     random.Random(1).shuffle(names)
     df = spark.createDataFrame([(n,) for n in names], "n string").repartition(7)
     keyed = rows(ordering.dense_key(df, "sk", ["n"]), "sk")
@@ -118,7 +128,7 @@ def measures():
     return pd.DataFrame({"g": rng.integers(0, 3, len(values)), "v": values})
 
 
-def test_positions_give_average_ranks(spark, measures):
+def test_positions_give_average_ranks(spark, measures, joined_ranges):
     df = spark.createDataFrame(measures)
     ranks = ordering.value_positions(df, "v").select("v", ordering.average_rank().alias("r")).toPandas()
     expected = measures.v.rank(method="average")
@@ -127,7 +137,7 @@ def test_positions_give_average_ranks(spark, measures):
 
 
 @pytest.mark.parametrize("share", [0.0, 0.25, 1 / 3, 0.5, 2 / 3, 1.0])
-def test_positions_give_exact_quantiles(spark, measures, share):
+def test_positions_give_exact_quantiles(spark, measures, joined_ranges, share):
     positions = ordering.value_positions(spark.createDataFrame(measures), "v", ["g"])
     got = positions.groupBy("g").agg(ordering.quantile("v", share).alias("q")).toPandas().set_index("g").q.sort_index()
     assert np.allclose(got, measures.groupby("g").v.quantile(share))
