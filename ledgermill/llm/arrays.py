@@ -133,3 +133,35 @@ def list_column(values: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(
         pa.array(np.arange(0, (rows + 1) * width, width, dtype=np.int32)), pa.array(values.ravel()),
     )
+
+
+def code_points(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Unicode code points of the rows of a piece and their offsets. Malformed bytes become U+FFFD."""
+    try:
+        points = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32)
+        before = np.zeros(len(data) + 1, np.int64)
+        np.cumsum((data & 0xC0) != 0x80, out=before[1:])
+        return points, before[offsets]
+    except UnicodeDecodeError:
+        rows = [data[i:j].tobytes().decode(errors="replace").encode("utf-32-le")
+                for i, j in zip(offsets[:-1], offsets[1:])]
+        sizes = np.array([0, *(len(row) // 4 for row in rows)], np.int64)
+        return np.frombuffer(b"".join(rows), np.uint32), np.cumsum(sizes)
+
+
+_tables: dict[str, np.ndarray] = {}
+
+
+def letter_table() -> np.ndarray:
+    """For each code point its lower-case letter, or 0 if it is no letter. Marks that combine count as letters."""
+    if "letters" not in _tables:
+        import unicodedata
+
+        table = np.zeros(0x110000, np.uint32)
+        for i in (*range(0xD800), *range(0xE000, 0x110000)):
+            c = chr(i)
+            if c.isalpha() or unicodedata.category(c)[0] == "M":
+                low = c.lower()
+                table[i] = ord(low) if len(low) == 1 else i
+        _tables["letters"] = table
+    return _tables["letters"]

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import minhash
+from . import minhash, toxicity, vectors
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -20,15 +21,39 @@ def op1_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, folder, "documents"), width=4, percent=80)
 
 
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity score of each document, learned from labelled rows that are not held out."""
+    docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
+    learn = labels.where(_remainder("doc_id", 4) != 2).select("doc_id", "toxic").where("toxic IN (0, 1)").orderBy(
+        F.xxhash64(F.col("doc_id").cast("string")), "toxic").limit(toxicity.FIT_ROWS)
+    model = toxicity.fit(docs.select("doc_id", "text").join(F.broadcast(learn), "doc_id"))
+    return toxicity.score(docs, model).select(
+        "doc_id", (_remainder("doc_id", 4) == 2).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op5_near_duplicate_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """Links and components of vectors of one label with a cosine of 0.93 or more."""
+    return vectors.near_duplicate_vectors(_table(spark, folder, "embeddings"))
+
+
+def _remainder(column: str, n: int) -> Column:
+    """crc32 of an id as text, modulo `n`; 0 if the id is null."""
+    return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % n, F.lit(0))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_near_duplicates": op1_near_duplicates,
+        "op4_toxicity": op4_toxicity,
+        "op5_near_duplicate_vectors": op5_near_duplicate_vectors,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_near_duplicates": _OP1,
+        "op5_near_duplicate_vectors": _OP5,
     }
 
 
@@ -53,3 +78,20 @@ common AS (
 SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, min(other) AS component_id, doc_id = min(other) AS kept
 FROM sets JOIN reach ON id = doc_id GROUP BY doc_id, s
 """
+
+_OP5 = """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM usable x JOIN usable y
+    ON x.label = y.label AND x.vec_id <> y.vec_id AND len(x.v) = len(y.v)
+  WHERE list_cosine_similarity(x.v, y.v) >= 0.93
+), reach(id, other) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT r.id, l.b FROM reach r JOIN links l ON l.a = r.other
+)
+SELECT e.vec_id, (SELECT count(*) FROM links l WHERE l.a = e.vec_id) AS n_links, min(other) AS component_id,
+  e.vec_id = min(other) AS kept
+FROM embeddings e JOIN reach ON id = e.vec_id GROUP BY e.vec_id
+"""
