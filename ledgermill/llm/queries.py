@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import minhash, toxicity, vectors
+from . import language, minhash, toxicity, vectors
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -37,6 +37,14 @@ def op5_near_duplicate_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return vectors.near_duplicate_vectors(_table(spark, folder, "embeddings"))
 
 
+def op6_language(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of each document, learned from rows that are not held out."""
+    docs = _table(spark, folder, "documents")
+    model = language.fit(docs.where(_remainder("doc_id", 5) != 0).select("doc_id", "text", "lang"))
+    return language.predict(docs, model).select(
+        "doc_id", (_remainder("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
+
+
 def _remainder(column: str, n: int) -> Column:
     """crc32 of an id as text, modulo `n`; 0 if the id is null."""
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % n, F.lit(0))
@@ -47,6 +55,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_near_duplicates": op1_near_duplicates,
         "op4_toxicity": op4_toxicity,
         "op5_near_duplicate_vectors": op5_near_duplicate_vectors,
+        "op6_language": op6_language,
     }
 
 
