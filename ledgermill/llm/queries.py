@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, minhash, toxicity, vectors
+from . import language, minhash, pages, toxicity, vectors
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -45,6 +45,12 @@ def op6_language(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", (_remainder("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
 
 
+def op10_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    table = _table(spark, folder, "pages")
+    return pages.main_text(table, pages.fit(table))
+
+
 def _remainder(column: str, n: int) -> Column:
     """crc32 of an id as text, modulo `n`; 0 if the id is null."""
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % n, F.lit(0))
@@ -56,6 +62,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_toxicity": op4_toxicity,
         "op5_near_duplicate_vectors": op5_near_duplicate_vectors,
         "op6_language": op6_language,
+        "op10_main_text": op10_main_text,
     }
 
 
