@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, minhash, pages, toxicity, vectors
+from . import decontaminate, language, licenses, lines, minhash, packing, pages, sharding, toxicity, vectors
 
+SHARDS = [f"shard-{i:02d}" for i in range(64)]
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -21,6 +22,18 @@ def op1_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, folder, "documents"), width=4, percent=80)
 
 
+def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of each document without later copies of runs of lines."""
+    left = lines.without_repeated_runs(_table(spark, folder, "documents"))
+    return left.select("doc_id", "lines_before", "lines_removed", F.coalesce(F.length("text"), F.lit(0)).cast("bigint").alias("chars"),
+                       F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("text_md5"))
+
+
+def op3_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    """Shard of each document among 64."""
+    return sharding.assign_shards(_table(spark, folder, "documents").select("doc_id"), SHARDS)
+
+
 def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity score of each document, learned from labelled rows that are not held out."""
     docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
@@ -45,6 +58,21 @@ def op6_language(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", (_remainder("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
 
 
+def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Which documents hold benchmark items, exactly or with other parameters."""
+    return decontaminate.contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Bin and place of each piece of each document."""
+    return packing.pack(_table(spark, folder, "documents"))
+
+
+def op9_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    """License phrases and notices of each document."""
+    return licenses.license_scan(_table(spark, folder, "documents"))
+
+
 def op10_main_text(spark: SparkSession, folder: str) -> DataFrame:
     """Main text of every page."""
     table = _table(spark, folder, "pages")
@@ -59,9 +87,14 @@ def _remainder(column: str, n: int) -> Column:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_near_duplicates": op1_near_duplicates,
+        "op2_line_dedup": op2_line_dedup,
+        "op3_sharding": op3_sharding,
         "op4_toxicity": op4_toxicity,
         "op5_near_duplicate_vectors": op5_near_duplicate_vectors,
         "op6_language": op6_language,
+        "op7_decontamination": op7_decontamination,
+        "op8_packing": op8_packing,
+        "op9_licenses": op9_licenses,
         "op10_main_text": op10_main_text,
     }
 
