@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.shared import materialise
@@ -25,10 +26,11 @@ _BAND_SALT = seeds(BANDS, 307)
 # Expected number of hash values until every bin of a small set is filled, and a little more.
 _ENOUGH = int(COORDINATES * np.log(COORDINATES) * 1.25)
 
-_SKETCHED = "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, bands array<bigint>, bits array<bigint>"
+_SKETCHED = "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, bands array<bigint>"
 
-# Of 512 one-bit coordinates, those that may differ at a similarity of 0.8: the mean plus six standard deviations.
-_SPREADS = 6
+# Documents of a tile, and shingles that are counted at once.
+TILE_ROWS = 512
+_COLUMNS = 4096
 
 
 def sketch(elements: np.ndarray) -> np.ndarray:
@@ -65,12 +67,11 @@ def _sketched(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Reco
                 if len(elements):
                     sketches[i] = sketch(elements)
             bands = (sketches.reshape(len(sets), BANDS, -1) * _BAND_PLACES).sum(axis=2, dtype=np.uint64)
-            bits = np.packbits((mix(sketches) & np.uint64(1)).astype(np.uint8), axis=1).view(np.int64)
             yield pa.RecordBatch.from_arrays([
                 batch.column(0).slice(first, len(sets)), pa.array(sizes),
                 pa.array(sums[:, 0].view(np.int64)), pa.array(sums[:, 1].copy().view(np.int64)),
-                list_column(mix(bands + _BAND_SALT).view(np.int64)), list_column(bits),
-            ], names=["doc_id", "n_shingles", "set_a", "set_b", "bands", "bits"])
+                list_column(mix(bands + _BAND_SALT).view(np.int64)),
+            ], names=["doc_id", "n_shingles", "set_a", "set_b", "bands"])
 
 
 def _confirmed(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Iterator[pa.RecordBatch]:
@@ -99,9 +100,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Equal sets become one class, represented by its smallest id, so copies are never paired with each other. The
     sketches of the representatives are cut into 64 bands of 8 coordinates. In every band bucket all members are first
-    held against the bucket's smallest id only; where that leaves a bucket with several components, members of
-    different ones are held against each other as well, if their sizes and one-bit sketches allow the similarity. Every
-    link is confirmed on the full shingle sets. A pair of similarity 0.8 shares a bucket with a probability of
+    held against the bucket's smallest id only; where that leaves a bucket with several components, its members are
+    held against each other as well, in tiles. Every link is confirmed on the full shingle sets. A pair of similarity 0.8 shares a bucket with a probability of
     0.99999, one of 0.85 with more than 0.9999999. Use `percent` of 80 or more.
 
     Null and empty texts have no shingles and link with nothing. Rows without an id link with nothing, have a null
@@ -130,14 +130,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "band", "first", "doc_id", F.coalesce("component", "doc_id").alias("component")))
     mixed = grouped.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where(
         "low != high").select("band")
-    rest = grouped.join(mixed, "band", "left_semi").join(
-        heads.select("doc_id", "n_shingles", "bits"), "doc_id")
-    one, other = rest.alias("one"), rest.alias("other")
-    pairs = one.join(other, _may_link(percent)).select(
-        F.col("one.doc_id").alias("a"), F.col("other.doc_id").alias("b")).distinct()
-    pairs = materialise(pairs)
-    if not pairs.isEmpty():
-        links = links.union(materialise(_confirm(pairs, docs, width, percent)))
+    left = materialise(grouped.join(mixed, "band", "left_semi").select("first", "doc_id", "component"))
+    if not left.isEmpty():
+        links = links.union(materialise(_among(left, docs, width, percent)))
 
     component = connected_components(links.union(copies)).withColumnRenamed("id", "doc_id")
     whole = F.coalesce("component", "doc_id")
@@ -146,17 +141,64 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.coalesce(F.col("doc_id") == whole, F.lit(True)).alias("kept"))
 
 
-def _may_link(percent: int) -> Column:
-    """Members of a bucket in different components whose sizes and sketches allow a link."""
-    differ = sum((F.bit_count(F.col("one.bits")[i].bitwiseXOR(F.col("other.bits")[i])) for i in range(8)), F.lit(0))
-    chance = (1 - percent / 100) / 2
-    most = COORDINATES * chance + _SPREADS * (COORDINATES * chance * (1 - chance)) ** 0.5
-    sizes = F.col("one.n_shingles"), F.col("other.n_shingles")
-    return (
-        (F.col("one.band") == F.col("other.band")) & (F.col("one.doc_id") < F.col("other.doc_id"))
-        & (F.col("one.component") != F.col("other.component"))
-        & (100 * F.least(*sizes) >= percent * F.greatest(*sizes)) & (differ <= int(most))
-    )
+def _among(left: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links between documents that share a bucket but not a component.
+
+    Documents that buckets connect are cut into tiles, and every two tiles meet in one task, which counts the common
+    shingles of all its pairs as a product of matrices. Pairs are never rows: a task returns one spanning link for
+    each linked document.
+    """
+    around = connected_components(left, "first", "doc_id").select(F.col("id").alias("doc_id"), F.col("component").alias("cluster"))
+    own = left.groupBy("doc_id").agg(F.min("component").alias("component"))
+    sizes = around.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / TILE_ROWS).cast("int").alias("tiles"))
+    placed = around.join(own, "doc_id", "left").join(sizes, "cluster").join(docs.where("doc_id IS NOT NULL"), "doc_id").select(
+        "cluster", "doc_id", F.coalesce("component", "doc_id").alias("component"), "text",
+        F.pmod(F.xxhash64("doc_id"), F.col("tiles")).cast("int").alias("tile"),
+        F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other"))
+    met = placed.select("cluster", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"),
+                        "tile", "doc_id", "component", "text")
+    return met.groupBy("cluster", "low", "high").applyInPandas(
+        lambda key, frame: _spanning(key, frame, width, percent), "a bigint, b bigint")
+
+
+def _spanning(key: tuple, frame: pd.DataFrame, width: int, percent: int) -> pd.DataFrame:
+    sets = [s for _, part in shingle_sets(pa.array(frame["text"], pa.string()), width) for s in part]
+    sides = [np.flatnonzero(frame["tile"] == t) for t in key[1:]]
+    sizes = np.array([len(s) for s in sets])
+    rows = [(np.repeat(np.arange(len(side)), sizes[side]), np.concatenate([np.empty(0, np.uint64), *(sets[i] for i in side)]))
+            for side in sides]
+    known = np.intersect1d(rows[0][1], rows[1][1])
+    common = np.zeros((len(sides[0]), len(sides[1])), np.float32)
+    placed = []
+    for row, values in rows:
+        at = np.searchsorted(known, values)
+        have = at < len(known)
+        have[have] = known[at[have]] == values[have]
+        order = np.argsort(at[have], kind="stable")
+        placed.append((row[have][order], at[have][order]))
+    for begin in range(0, len(known), _COLUMNS):
+        parts = []
+        for (row, at), side in zip(placed, sides):
+            span = slice(*np.searchsorted(at, (begin, begin + _COLUMNS)))
+            part = np.zeros((len(side), min(_COLUMNS, len(known) - begin)), np.float32)
+            part[row[span], at[span] - begin] = 1
+            parts.append(part)
+        common += parts[0] @ parts[1].T
+    components = frame["component"].to_numpy()
+    linked = (common > 0) & (100 * common >= percent * (sizes[sides[0]][:, None] + sizes[sides[1]][None] - common))
+    linked &= components[sides[0]][:, None] != components[sides[1]][None]
+    one, other = np.nonzero(linked)
+    one, other = sides[0][one], sides[1][other]
+    ids = frame["doc_id"].to_numpy()
+    least = ids.copy()
+    while len(one):
+        low = np.minimum(least[one], least[other])
+        if (low == least[one]).all() and (low == least[other]).all():
+            break
+        np.minimum.at(least, one, low)
+        np.minimum.at(least, other, low)
+    moved = least != ids
+    return pd.DataFrame({"a": least[moved], "b": ids[moved]})
 
 
 def _confirm(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
