@@ -13,19 +13,19 @@ WINDOW, LITERAL_WORDS, HIT_WINDOWS = 8, 4, 4
 # Rows of the benchmark's window table that are broadcast at most; beyond it the join shuffles.
 BROADCAST_ROWS = 1_000_000
 
-_OPEN, _CLOSE = "", ""
+OPEN, CLOSE = "", ""
 _UNITS = ("km|cm|mm|kg|mg|ml|km/h|mph|m|g|l|hours?|minutes?|seconds?|days?|weeks?|months?|years?|miles?|feet|inches|"
           "meters?|metres?|grams?|kilograms?|liters?|litres?|dollars?|euros?|pounds?|cents?|usd|eur|percent")
 #: Patterns and what they become, in this order; they hold for any engine with Unicode classes and no look-around.
 MARKS = [
-    (f"[{_OPEN}{_CLOSE}]", " "),
-    ("(\\p{Nd}+(?:[.,]\\p{Nd}+)*)", f"{_OPEN}n$1{_CLOSE}"),
-    (f"{_CLOSE}[ \\t]*({_UNITS}|%|€|\\$)([^\\p{{L}}\\p{{N}}]|$)", f"{_CLOSE}{_OPEN}u$1{_CLOSE}$2"),
-    ("([^ \\t\\n\\r.!?:][ \\t]+)(\\p{Lu}\\p{Ll}+(?:[ \\t]+\\p{Lu}\\p{Ll}+)*)", f"$1{_OPEN}p$2{_CLOSE}"),
+    (f"[{OPEN}{CLOSE}]", " "),
+    ("(\\p{Nd}+(?:[.,]\\p{Nd}+)*)", f"{OPEN}n$1{CLOSE}"),
+    (f"{CLOSE}[ \\t]*({_UNITS}|%|€|\\$)([^\\p{{L}}\\p{{N}}]|$)", f"{CLOSE}{OPEN}u$1{CLOSE}$2"),
+    ("([^ \\t\\n\\r.!?:][ \\t]+)(\\p{Lu}\\p{Ll}+(?:[ \\t]+\\p{Lu}\\p{Ll}+)*)", f"$1{OPEN}p$2{CLOSE}"),
 ]
-TYPES = (f"{_OPEN}(.)[^{_CLOSE}]*{_CLOSE}", f" {_OPEN}$1 ")
-VALUES = f"{_OPEN}[a-z][^{_CLOSE}]*{_CLOSE}|[\\p{{L}}\\p{{N}}]+"
-_NOT_WORDS = f"[^\\p{{L}}\\p{{N}}{_OPEN}]+"
+TYPES = (f"{OPEN}(.)[^{CLOSE}]*{CLOSE}", f" {OPEN}$1 ")
+VALUES = f"{OPEN}[a-z][^{CLOSE}]*{CLOSE}|[\\p{{L}}\\p{{N}}]+"
+NOT_WORDS = f"[^\\p{{L}}\\p{{N}}{OPEN}]+"
 
 
 def marked(text: Column) -> Column:
@@ -40,7 +40,7 @@ def marked(text: Column) -> Column:
 def template(text: Column) -> Column:
     """Lower-case words of a marked text, with one placeholder by type for each marked value."""
     plain = F.lower(F.regexp_replace(text, *TYPES))
-    return F.filter(F.split(plain, _NOT_WORDS), lambda word: word != "")
+    return F.filter(F.split(plain, NOT_WORDS), lambda word: word != "")
 
 
 def values(text: Column) -> Column:
@@ -83,7 +83,7 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id"
     known = _windowed(items, "item_text", window, "item", "item_id", "item_text").withColumnRenamed("at", "item_at")
     known = known.withColumn("item_marked", marked(F.col("item_text")))
     part = F.slice(template(F.col("item_marked")), F.col("item_at") + 1, F.lit(window))
-    literal = F.size(F.filter(part, lambda word: ~F.startswith(word, F.lit(_OPEN))))
+    literal = F.size(F.filter(part, lambda word: ~F.startswith(word, F.lit(OPEN))))
     known = materialise(known.select("window_hash", "item", "item_id", "item_at", "item_marked").where(literal >= literal_words))
     rows = known.count()
     usable = known.groupBy("item").agg(F.countDistinct("item_at").alias("item_windows"), F.first("item_marked").alias("item_marked"))
@@ -105,7 +105,7 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id"
     places = F.array_distinct(F.flatten(F.transform("places", lambda at: F.sequence(at, at + window - 1))))
     pairs = F.transform(places, lambda at: F.struct(
         F.get("own", at).alias("item"), F.get("found", at + F.col("offset")).alias("doc")))
-    slots = F.array_distinct(F.filter(pairs, lambda p: F.startswith(p["item"], F.lit(_OPEN))))
+    slots = F.array_distinct(F.filter(pairs, lambda p: F.startswith(p["item"], F.lit(OPEN))))
     runs = runs.withColumn("slots", slots)
     one_to_one = (F.size(F.array_distinct(F.transform("slots", lambda p: p["item"]))) == F.size("slots")) & (
         F.size(F.array_distinct(F.transform("slots", lambda p: p["doc"]))) == F.size("slots"))

@@ -102,7 +102,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_near_duplicates": _OP1,
+        "op2_line_dedup": _OP2,
         "op5_near_duplicate_vectors": _OP5,
+        "op7_decontamination": _OP7,
+        "op9_licenses": _OP9,
     }
 
 
@@ -144,3 +147,122 @@ SELECT e.vec_id, (SELECT count(*) FROM links l WHERE l.a = e.vec_id) AS n_links,
   e.vec_id = min(other) AS kept
 FROM embeddings e JOIN reach ON id = e.vec_id GROUP BY e.vec_id
 """
+
+_OP2 = f"""
+WITH lines AS (
+  SELECT doc_id, text, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos,
+    regexp_replace(unnest(string_split(text, chr(10))), '^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+$', '', 'g') AS line
+  FROM documents
+), counted AS (
+  SELECT doc_id, pos, line, len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) AS words FROM lines WHERE line <> ''
+), running AS (
+  SELECT *, sum(words) OVER (PARTITION BY doc_id ORDER BY pos) AS upto, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS nth
+  FROM counted
+), ends AS (
+  SELECT b.doc_id, b.pos AS start, b.nth AS first_nth, min(e.nth) AS last_nth
+  FROM running b JOIN running e ON e.doc_id = b.doc_id AND e.nth >= b.nth AND e.upto - b.upto + b.words >= {lines.RUN_WORDS}
+  GROUP BY b.doc_id, b.pos, b.nth
+), runs AS (
+  SELECT e.doc_id, start, max(r.pos) AS stop, string_agg(r.line, chr(10) ORDER BY r.pos) AS run
+  FROM ends e JOIN running r ON r.doc_id = e.doc_id AND r.nth BETWEEN first_nth AND last_nth GROUP BY e.doc_id, start
+), firsts AS (SELECT run, min({{'d': doc_id, 's': start, 'e': stop}}) AS f FROM runs GROUP BY run HAVING count(*) > 1),
+later AS (
+  SELECT doc_id, start, stop FROM runs JOIN firsts USING (run) WHERE doc_id <> f.d OR start > f.e
+), gone AS (
+  SELECT DISTINCT l.doc_id, l.pos FROM lines l JOIN later r ON r.doc_id = l.doc_id AND l.pos BETWEEN r.start AND r.stop
+), lost AS (SELECT doc_id, list(pos) AS g FROM gone GROUP BY doc_id),
+kept AS (
+  SELECT d.doc_id, coalesce(len(string_split(text, chr(10))), 0) AS lines_before, coalesce(len(g), 0) AS lines_removed,
+    coalesce(array_to_string(list_filter(string_split(text, chr(10)), lambda x, i: NOT list_contains(coalesce(g, []), i - 1)),
+      chr(10)), '') AS left_over
+  FROM documents d LEFT JOIN lost USING (doc_id)
+)
+SELECT doc_id, CAST(lines_before AS BIGINT) AS lines_before, CAST(lines_removed AS BIGINT) AS lines_removed, length(left_over) AS chars, md5(left_over) AS text_md5
+FROM kept
+"""
+
+
+def _sql_marked(text: str) -> str:
+    for pattern, into in decontaminate.MARKS:
+        text = f"regexp_replace({text}, '{pattern}', '{into.replace('$1', chr(92) + '1').replace('$2', chr(92) + '2')}', 'g')"
+    return text
+
+
+_PATTERN, _INTO = decontaminate.TYPES
+_TEMPLATE = (f"list_filter(regexp_split_to_array(lower(regexp_replace(marked, '{_PATTERN}', "
+             f"'{_INTO.replace('$1', chr(92) + '1')}', 'g')), '{decontaminate.NOT_WORDS}'), lambda x: x <> '')")
+_OP7 = f"""
+WITH docs AS (
+  SELECT doc_id, marked, {_TEMPLATE} AS t FROM (SELECT doc_id, {_sql_marked("coalesce(text, '')")} AS marked FROM documents)
+), items AS (
+  SELECT item_id, marked, {_TEMPLATE} AS t
+  FROM (SELECT DISTINCT item_id, {_sql_marked("coalesce(text, '')")} AS marked FROM benchmark)
+), doc_windows AS (
+  SELECT doc_id, i AS pos, array_to_string(t[i + 1:i + {decontaminate.WINDOW}], ' ') AS w
+  FROM (SELECT doc_id, t, unnest(range(len(t) - {decontaminate.WINDOW} + 1)) AS i FROM docs)
+), item_windows AS (
+  SELECT item_id, i AS pos, array_to_string(t[i + 1:i + {decontaminate.WINDOW}], ' ') AS w
+  FROM (SELECT item_id, t, unnest(range(len(t) - {decontaminate.WINDOW} + 1)) AS i FROM items)
+  WHERE len(list_filter(t[i + 1:i + {decontaminate.WINDOW}], lambda x: NOT starts_with(x, '{decontaminate.OPEN}'))) >= {decontaminate.LITERAL_WORDS}
+), sizes AS (SELECT item_id, count(DISTINCT pos) AS windows FROM item_windows GROUP BY item_id),
+runs AS (
+  SELECT doc_id, i.item_id, d.pos - i.pos AS off, list(DISTINCT i.pos) AS ats
+  FROM doc_windows d JOIN item_windows i USING (w) GROUP BY doc_id, i.item_id, d.pos - i.pos
+), long_runs AS (
+  SELECT r.* FROM runs r JOIN sizes s USING (item_id) WHERE len(ats) >= least({decontaminate.HIT_WINDOWS}, s.windows)
+), places AS (
+  SELECT DISTINCT doc_id, item_id, off, a + k AS p
+  FROM (SELECT doc_id, item_id, off, unnest(ats) AS a FROM long_runs), range({decontaminate.WINDOW}) AS r(k)
+), pairs AS (
+  SELECT DISTINCT p.doc_id, p.item_id, off, regexp_extract_all(i.marked, '{decontaminate.VALUES}')[p + 1] AS own,
+    regexp_extract_all(d.marked, '{decontaminate.VALUES}')[p + off + 1] AS found
+  FROM places p JOIN items i USING (item_id) JOIN docs d ON d.doc_id = p.doc_id
+), slots AS (
+  SELECT doc_id, item_id, off, count(*) AS n, count(DISTINCT own) AS a, count(DISTINCT found) AS b
+  FROM pairs WHERE starts_with(own, '{decontaminate.OPEN}') GROUP BY doc_id, item_id, off
+), hits AS (
+  SELECT r.doc_id, r.item_id, len(ats) AS n FROM long_runs r LEFT JOIN slots s USING (doc_id, item_id, off)
+  WHERE s.n IS NULL OR (s.n = s.a AND s.n = s.b)
+), best AS (
+  SELECT doc_id, count(DISTINCT item_id) AS n_items, min({{'fewer': -n, 'item_id': item_id}}) AS b FROM hits GROUP BY doc_id
+)
+SELECT d.doc_id, b IS NOT NULL AS contaminated, coalesce(n_items, 0) AS n_items, b.item_id AS item_id,
+  CAST(coalesce(-b.fewer, 0) AS BIGINT) AS n_windows
+FROM documents d LEFT JOIN best USING (doc_id)
+"""
+
+_WORDS = "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'"
+
+
+def _sql_places(phrase: str) -> str:
+    test = " AND ".join(f"w[i + {k + 1}] = '{word}'" for k, word in enumerate(phrase.split()))
+    return f"list_filter(range(len(w)), lambda i: {test})"
+
+
+_OP9 = f"""
+WITH notices(label, w) AS (VALUES {", ".join(f"('{label}', list_distinct(string_split('{text}', ' ')))" for label, text in licenses.TEMPLATES)}),
+low AS (SELECT doc_id, translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS t FROM documents),
+texts AS (SELECT doc_id, regexp_extract_all(t, {_WORDS}) AS w FROM low),
+base AS (
+  SELECT doc_id, len(w) AS n_words, {", ".join(f"{_sql_places(p)} AS p{i}" for i, p in enumerate(licenses.PHRASES))} FROM texts
+), blocks AS (
+  SELECT doc_id, pos, list_distinct(regexp_extract_all(line, {_WORDS})) AS w
+  FROM (SELECT doc_id, generate_subscripts(string_split(t, chr(10)), 1) AS pos, unnest(string_split(t, chr(10))) AS line FROM low)
+), alike AS (
+  SELECT doc_id, pos, label, len(list_intersect(b.w, n.w)) / len(n.w) AS share,
+    max(len(list_intersect(b.w, n.w)) / len(n.w)) OVER (PARTITION BY doc_id, pos) AS most
+  FROM blocks b, notices n WHERE len(list_intersect(b.w, n.w)) >= greatest(1, ceil(len(n.w) * {licenses.THRESHOLD} - 1e-9))
+), more AS (
+  SELECT doc_id, list(DISTINCT label) AS labels, max(share) AS share FROM alike WHERE share = most GROUP BY doc_id
+), own AS (
+  SELECT *, list_concat({", ".join(f"p{i}" for i in range(len(licenses.PHRASES)))}) AS p,
+    list_filter([{", ".join(f"CASE WHEN len(p{i}) > 0 THEN '{label}' END" for i, label in enumerate(licenses.PHRASES.values()))}],
+      lambda x: x IS NOT NULL) AS labels
+  FROM base
+)
+SELECT o.doc_id, n_words, CAST(len(p) AS BIGINT) AS n_base, list_min(p) AS first_word, list_max(p) AS last_word,
+  array_to_string(list_sort(o.labels), ',') AS base_labels,
+  array_to_string(list_sort(list_distinct(list_concat(o.labels, coalesce(m.labels, [])))), ',') AS labels,
+  CASE WHEN len(p) > 0 THEN 1.0 ELSE coalesce(m.share, 0.0) END::DOUBLE AS score
+FROM own o LEFT JOIN more m USING (doc_id)
+"""
