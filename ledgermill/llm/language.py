@@ -11,6 +11,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .arrays import code_points, letter_table, mix, seeds, text_pieces
 
@@ -241,14 +242,16 @@ def _learn(rows: np.ndarray, columns: np.ndarray, truth: np.ndarray, labels: int
     return features, pairs
 
 
-def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`doc_id`, `lang_pred` and `score` of every row, from its whole text.
+def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
+            keep: tuple[str, ...] = ()) -> DataFrame:
+    """`doc_id`, `lang_pred` and `score` of every row, from its whole text, then the columns named in `keep`.
 
     Every word gets a probability for each language given all words of its text; the text gets the language with the
     most words, and as score their share. Texts that are null, empty or without a letter are `und` with score 0; ties
     go to the first language by name. Each row is judged on its own, so ids may be null or repeated. Other columns
-    are ignored.
+    are ignored; a kept column may not bear the name of one of the three.
     """
+    kept = [docs.schema[c] for c in keep]
     names = np.array([*model.labels, UNKNOWN], dtype=object)
 
     def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -265,7 +268,9 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
                     share[some] = np.clip(total[some].max(axis=1) / np.diff(first_word)[some], 0, 1)
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(first, last - first), pa.array(names[best], pa.string()), pa.array(share),
-                ], names=["doc_id", "lang_pred", "score"])
+                    *(column.slice(first, last - first) for column in batch.columns[2:]),
+                ], names=["doc_id", "lang_pred", "score", *keep])
 
-    return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        predicted, "doc_id bigint, lang_pred string, score double")
+    schema = T.StructType.fromDDL("doc_id bigint, lang_pred string, score double")
+    return docs.select(F.col(id_col).cast("bigint").alias("__id"), F.col(text_col).cast("string").alias("__text"),
+                       *[F.col(f"`{c}`") for c in keep]).mapInArrow(predicted, T.StructType([*schema.fields, *kept]))
