@@ -122,8 +122,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     shared = buckets.groupBy("band").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where(
         "first != last").select("band", "first")
     members = materialise(buckets.join(shared, "band").where("doc_id != first").distinct())
-    links = _confirm(members.select(F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct(), docs, width, percent)
-    links = materialise(links)
+    # The ids grow with the corpus, so they are never broadcast; texts are shuffled once and only these go further.
+    met = members.select("doc_id").union(members.select("first")).distinct()
+    texts = materialise(docs.join(met.hint("merge"), "doc_id", "left_semi"))
+    pairs = members.select(F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct()
+    links = materialise(_confirm(pairs, texts, width, percent))
 
     found = connected_components(links)
     grouped = materialise(members.join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
@@ -132,7 +135,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "low != high").select("band")
     left = materialise(grouped.join(mixed, "band", "left_semi").select("first", "doc_id", "component"))
     if not left.isEmpty():
-        links = links.union(materialise(_among(left, docs, width, percent)))
+        links = links.union(materialise(_among(left, texts, width, percent)))
 
     component = connected_components(links.union(copies)).withColumnRenamed("id", "doc_id")
     whole = F.coalesce("component", "doc_id")
@@ -141,7 +144,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.coalesce(F.col("doc_id") == whole, F.lit(True)).alias("kept"))
 
 
-def _among(left: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+def _among(left: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """Links between documents that share a bucket but not a component.
 
     Documents that buckets connect are cut into tiles, and every two tiles meet in one task, which counts the common
@@ -151,7 +154,7 @@ def _among(left: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFr
     around = connected_components(left, "first", "doc_id").select(F.col("id").alias("doc_id"), F.col("component").alias("cluster"))
     own = left.groupBy("doc_id").agg(F.min("component").alias("component"))
     sizes = around.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / TILE_ROWS).cast("int").alias("tiles"))
-    placed = around.join(own, "doc_id", "left").join(sizes, "cluster").join(docs.where("doc_id IS NOT NULL"), "doc_id").select(
+    placed = around.join(own, "doc_id", "left").join(sizes, "cluster").join(texts, "doc_id").select(
         "cluster", "doc_id", F.coalesce("component", "doc_id").alias("component"), "text",
         F.pmod(F.xxhash64("doc_id"), F.col("tiles")).cast("int").alias("tile"),
         F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other"))
@@ -201,9 +204,8 @@ def _spanning(key: tuple, frame: pd.DataFrame, width: int, percent: int) -> pd.D
     return pd.DataFrame({"a": least[moved], "b": ids[moved]})
 
 
-def _confirm(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+def _confirm(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs of ids that are linked by their full sets."""
-    texts = docs.where("doc_id IS NOT NULL")
     both = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a").join(
         texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
     return both.select("a", "b", "text_a", "text_b").mapInArrow(
