@@ -67,6 +67,11 @@ def brl_value(amount: Column, currency: Column, paid_on: Column, sell_rate: Colu
     )
 
 
+def exact(amount: Column) -> Column:
+    """Amount as a decimal number, whose sums do not depend on the order in which partitions arrive."""
+    return amount.try_cast("decimal(38,10)")
+
+
 def stable_sum(amount: Column) -> Column:
-    """Sum rounded to a millionth, so that it does not depend on the order in which partitions arrive."""
-    return F.round(F.sum(amount), 6)
+    """Sum of exact amounts, rounded to a millionth. Null if the amounts pass what 28 digits before the point hold."""
+    return F.round(F.try_sum(amount), 6).cast("double")

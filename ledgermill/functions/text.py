@@ -70,10 +70,10 @@ def missing_to_null(text: Column, tokens: Iterable[str]) -> Column:
 
 @lru_cache(maxsize=1)
 def _folding_tables() -> tuple[str, str, dict[str, str]]:
-    """Compatibility decomposition without combining marks, for every letter of the basic plane but Hangul."""
+    """Compatibility decomposition without combining marks, for every character but Hangul syllables."""
     one_to_one, dropped, expanded = {}, [], {}
-    for code in range(0x80, 0x10000):
-        if 0xAC00 <= code <= 0xDFFF:
+    for code in range(0x80, 0x110000):
+        if 0xAC00 <= code <= 0xD7A3 or 0xD800 <= code <= 0xDFFF:
             continue
         char = chr(code)
         plain = "".join(c for c in unicodedata.normalize("NFKD", char) if not unicodedata.combining(c))
@@ -98,13 +98,31 @@ def _expand_ligatures(text: Column) -> Column:
     # Tab and line feed never occur in the expansions, so they can separate the literal's entries.
     table = F.str_to_map(F.lit("\n".join(f"{k}\t{v}" for k, v in expanded.items())), F.lit("\n"), F.lit("\t"))
     spelled = F.array_join(
-        F.transform(F.split(text, ""), lambda c: F.coalesce(F.try_element_at(table, c), c)), ""
+        F.transform(F.regexp_extract_all(text, F.lit("(?s)(.)")), lambda c: F.coalesce(F.try_element_at(table, c), c)), ""
     )
     # Texts that letters alone made plain are the rule, so the cheap test comes first.
     return F.when(text.rlike(_NOT_ASCII) & text.rlike(_char_class(expanded)), spelled).otherwise(text)
 
 
-FOLD_ACCENTS: list[Step] = [_fold_letters, _expand_ligatures]
+def _spell_hangul(text: Column) -> Column:
+    """A syllable is a number: its leading, middle and trailing letters follow by division."""
+    def letters(first: int, n: int) -> Column:
+        return F.array(*[F.lit(chr(first + i)) for i in range(n)])
+
+    leading, middle = letters(0x1100, 19), letters(0x1161, 21)
+    trailing = F.array(F.lit(""), *[F.lit(chr(0x11A8 + i)) for i in range(27)])
+
+    def spell(c: Column) -> Column:
+        place = F.ascii(c) - 0xAC00
+        return F.when(c.between("\uac00", "\ud7a3"), F.concat(
+            F.get(leading, F.floor(place / 588).cast("int")), F.get(middle, F.floor(place % 588 / 28).cast("int")),
+            F.get(trailing, place % 28))).otherwise(c)
+
+    spelled = F.array_join(F.transform(F.regexp_extract_all(text, F.lit("(?s)(.)")), spell), "")
+    return F.when(text.rlike("[\uac00-\ud7a3]"), spelled).otherwise(text)
+
+
+FOLD_ACCENTS: list[Step] = [_fold_letters, _expand_ligatures, _spell_hangul]
 
 
 def _only_letters_and_digits(text: Column) -> Column:

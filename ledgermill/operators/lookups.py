@@ -6,42 +6,24 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..sources.shared import materialise
 
-# Largest lookup, in bytes of its values, that is copied to every executor.
-BROADCAST_BYTES = 64 * 1024 * 1024
-
 # A key is hot if it holds more than one part in this many of all rows.
 HOT_PARTS = 10_000
 
-# In-memory cost of one row beside its texts.
-_ROW_BYTES = 48
-
-
-def measured_bytes(df: DataFrame) -> int:
-    """Bytes the rows of `df` take when they are broadcast. Runs one aggregation."""
-    width = F.lit(_ROW_BYTES + 8 * len(df.columns))
-    for field in df.schema.fields:
-        if isinstance(field.dataType, T.StringType):
-            width = width + F.coalesce(F.octet_length(field.name), F.lit(0))
-    return df.agg(F.sum(width.cast("bigint"))).first()[0] or 0
-
 
 def lookup_join(facts: DataFrame, lookup: DataFrame, on: list[str], how: str = "left", *,
-                derived: bool = False, null_safe: bool = False, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Join `facts` to `lookup`, broadcasting the lookup only after measuring that it is small.
+                null_safe: bool = False, split_hot: bool = False) -> DataFrame:
+    """Join `facts` to `lookup`; for `left` and `inner` joins the lookup must be unique in `on`.
 
-    Beyond the limit both sides are shuffled, with hot keys split (`salted_join`). `derived` lookups, which are
-    expensive to compute twice, are written to the shared folder first. For `left` and `inner` joins the lookup must
-    be unique in `on`.
+    The planner decides how: it knows the size of written tables, and learns that of computed ones while the query
+    runs, so a lookup is broadcast only below the session's threshold, and partitions that turn out too large are split
+    by the adaptive join. `split_hot` instead splits hot keys by their counts (`salted_join`), which helps where rows
+    are too few bytes, or their work too great, for the adaptive join to notice.
     """
-    if derived:
-        lookup = materialise(lookup)
-    if measured_bytes(lookup) <= limit:
-        return _equi_join(facts, F.broadcast(lookup), on, how, null_safe)
-    return salted_join(facts, lookup, on, how, null_safe=null_safe)
+    join = salted_join if split_hot else _equi_join
+    return join(facts, lookup, on, how, null_safe=null_safe)
 
 
 def salted_join(facts: DataFrame, lookup: DataFrame, on: list[str], how: str = "left", *,
@@ -52,8 +34,9 @@ def salted_join(facts: DataFrame, lookup: DataFrame, on: list[str], how: str = "
     most `parts` keys can be above the share, and their splits add up to at most twice `parts`: both the broadcast
     list of hot keys and the repeated rows are bounded whatever the data. Rows are spread by a hash of their values,
     so a recomputed task sends each row where it went before; copies of a row stay apart if the rows carry an ordinal.
-    Finding the hot keys takes one pass over the key columns, combined inside each partition.
+    `facts` are written once; the pass that finds the hot keys reads their key columns only.
     """
+    facts = materialise(facts)
     splits, salt = "__splits", "__salt"
     counts = facts.groupBy(*on).agg(F.count(F.lit(1)).alias("__rows"))
     share = F.ceil(F.col("__rows") * parts / counts.agg(F.sum("__rows")).scalar())
@@ -74,7 +57,7 @@ def salted_join(facts: DataFrame, lookup: DataFrame, on: list[str], how: str = "
     return _equi_join(salted_facts, salted_lookup, on, how, null_safe, extra=[salt]).drop(salt)
 
 
-def _equi_join(left: DataFrame, right: DataFrame, on: list[str], how: str, null_safe: bool,
+def _equi_join(left: DataFrame, right: DataFrame, on: list[str], how: str, null_safe: bool = False,
                extra: list[str] = []) -> DataFrame:
     if not null_safe:
         return left.join(right, [*on, *extra], how)

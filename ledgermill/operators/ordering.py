@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.shared import materialise
+from .lookups import lookup_join
 
 # `monotonically_increasing_id` keeps the partition above this bit and the row number below it.
 _PARTITION_SHIFT = 33
@@ -35,6 +36,18 @@ def dense_key(df: DataFrame, name: str, order: list[str]) -> DataFrame:
     )
 
 
+def continued_key(df: DataFrame, name: str, order: list[str], on: list[str], existing: DataFrame | None) -> DataFrame:
+    """As `dense_key`, but rows whose natural key `on` is in `existing` keep its number, and new rows are numbered on
+    after the highest one."""
+    if existing is None:
+        return dense_key(df, name, order)
+    known = existing.select(*on, name)
+    highest = F.coalesce(existing.agg(F.max(name)).scalar(), F.lit(0))
+    new = dense_key(lookup_join(df, known.select(*on), on, "left_anti", null_safe=True), name, order)
+    held = lookup_join(df, known, on, "inner", null_safe=True).select(name, *df.columns)
+    return held.unionByName(new.withColumn(name, F.col(name) + highest))
+
+
 def value_positions(df: DataFrame, value: str, by: list[str] = []) -> DataFrame:
     """For each distinct non-null value (per group): `eq` rows hold it, `less` rows are below it, `total` in all.
 

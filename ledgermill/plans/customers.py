@@ -6,15 +6,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.fixed_values import NEVER_PAID_DAYS, VALUE_BANDS
-from ..functions.money import stable_sum, to_identifier, to_number
+from ..functions.money import exact, stable_sum, to_identifier, to_number
 from ..functions.text import column_suffix, strip_blanks
 from ..operators.headers import tidy_headers
 from ..operators.lookups import lookup_join
 from ..operators.ordering import average_rank, value_positions
 from ..sources.shared import materialise
 
-# More category columns than this do not make a usable feature table; the long form has no such limit.
-MAX_MIX_COLUMNS = 10_000
+# Categories with a column of their own in the wide form, the most common ones; all others share the rest column.
+MIX_COLUMNS = 256
+MIX_REST = "mix_resto"
 
 _BASE = ["id_cliente", "nome_cliente", "pais_cliente", "moeda_pais", "data_cadastro_cliente"]
 
@@ -29,7 +30,8 @@ def client_totals(receivables: DataFrame) -> DataFrame:
     """One row per client with counts, sums and moments.
 
     Receivables are first summed per client and status, which gives the counts the most common status needs; both
-    steps combine inside each partition before the shuffle, so a client with very many entries is no burden.
+    steps combine inside each partition before the shuffle, so a client with very many entries is no burden. The
+    totals are written once, since the latest payment of all clients is needed before the first row.
     """
     df = _receivables(receivables)
     delay = F.coalesce(F.datediff("data_pagamento", "data_vencimento"), F.lit(0)).cast("bigint")
@@ -41,7 +43,7 @@ def client_totals(receivables: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("linhas"),
         F.count("id_conta").alias("contas"),
         F.count("valor_conta_brl").alias("valores"),
-        F.sum("valor_conta_brl").alias("total"),
+        F.try_sum(exact(F.col("valor_conta_brl"))).alias("total"),
         F.max("data_pagamento").alias("ultimo_pagamento"),
         F.sum("dias").alias("dias"),
         F.sum(F.col("dias").cast("double") * F.col("dias")).alias("dias2"),
@@ -49,12 +51,12 @@ def client_totals(receivables: DataFrame) -> DataFrame:
     )
     # Most rows first, then the smallest text; null statuses do not take part.
     commonness = F.when(F.col("status").isNotNull(), F.struct(-F.col("linhas"), F.col("status").alias("status")))
-    return per_status.groupBy("id_cliente").agg(
+    return materialise(per_status.groupBy("id_cliente").agg(
         *[F.sum(c).alias(c) for c in ("linhas", "contas", "valores", "dias", "dias2", "em_dia")],
-        stable_sum("total").alias("total"),
+        stable_sum(F.col("total")).alias("total"),
         F.max("ultimo_pagamento").alias("ultimo_pagamento"),
         F.min(commonness)["status"].alias("status"),
-    )
+    ))
 
 
 def _rfm_columns(totals: DataFrame) -> list[Column]:
@@ -104,7 +106,7 @@ def category_mix(receivables: DataFrame, categories: DataFrame | None = None) ->
         pairs = pairs.withColumn("nome_categoria", F.col("codigo_categoria"))
     else:
         names = tidy_headers(categories).select("codigo_categoria", "nome_categoria")
-        pairs = lookup_join(pairs, names, ["codigo_categoria"], derived=True)
+        pairs = lookup_join(pairs, names, ["codigo_categoria"])
     named = pairs.groupBy("id_cliente", column_suffix(F.col("nome_categoria")).alias("categoria")).agg(
         F.sum("linhas").alias("linhas")
     )
@@ -112,15 +114,23 @@ def category_mix(receivables: DataFrame, categories: DataFrame | None = None) ->
     return named.withColumn("parcela", F.col("linhas") / total)
 
 
+def common_categories(mix: DataFrame, most: int = MIX_COLUMNS) -> list[str]:
+    """Names of the categories that most clients have, in the order of names."""
+    counts = mix.groupBy("categoria").agg(F.count(F.lit(1)).alias("clientes"))
+    return sorted(row[0] for row in counts.orderBy(F.desc("clientes"), "categoria").limit(most).collect())
+
+
 def mix_columns(mix: DataFrame, names: list[str] | None = None) -> DataFrame:
-    """Wide form: one `mix_cat_` column per category, zero where a client has none of it."""
+    """Wide form: one `mix_cat_` column per name, zero where a client has none of it, and the share of all categories
+    that are not named in `mix_resto`, so a client's shares always add up to one."""
     if names is None:
-        found = mix.select("categoria").distinct().limit(MAX_MIX_COLUMNS + 1).collect()
-        names = sorted(row[0] for row in found)
-    if len(names) > MAX_MIX_COLUMNS:
-        raise ValueError(f"More than {MAX_MIX_COLUMNS} categories: use the long form")
-    wide = mix.groupBy("id_cliente").pivot("categoria", names).agg(F.first("parcela"))
-    return wide.select("id_cliente", *[F.coalesce(F.col(f"`{n}`"), F.lit(0.0)).alias(f"mix_cat_{n}") for n in names])
+        mix = materialise(mix)
+        names = common_categories(mix)
+    column = F.when(F.col("categoria").isin(names), F.concat(F.lit("mix_cat_"), "categoria")).otherwise(MIX_REST)
+    columns = [*[f"mix_cat_{n}" for n in names], MIX_REST]
+    wide = mix.groupBy("id_cliente", column.alias("coluna")).agg(F.sum("parcela").alias("parcela")).groupBy(
+        "id_cliente").pivot("coluna", columns).agg(F.first("parcela"))
+    return wide.select("id_cliente", *[F.coalesce(F.col(f"`{c}`"), F.lit(0.0)).alias(c) for c in columns])
 
 
 def band_limits(clients: DataFrame, value: str) -> tuple[Column, Column]:
@@ -133,10 +143,9 @@ def band_limits(clients: DataFrame, value: str) -> tuple[Column, Column]:
     positions = value_positions(clients, value)
     above = F.col("less") * 6 + F.col("eq") * 3 + 3
 
-    def smallest(thirds: int) -> Column:
-        return positions.where(above > F.col("total") * 2 * thirds).agg(F.min(value)).scalar()
-
-    return smallest(1), smallest(2)
+    smallest = [F.min(F.when(above > F.col("total") * 2 * thirds, F.col(value))) for thirds in (1, 2)]
+    both = positions.agg(F.array(*smallest).alias("limites")).scalar()
+    return both[0], both[1]
 
 
 def value_band(value: Column, middle: Column, top: Column) -> Column:
@@ -147,7 +156,7 @@ def value_band(value: Column, middle: Column, top: Column) -> Column:
 def percentile_ranks(clients: DataFrame, value: str) -> DataFrame:
     """Each row with the percentile rank of its value, equal values sharing the mean of their ranks."""
     ranks = value_positions(clients, value).select(value, (average_rank() / F.col("total")).alias("rank_pct"))
-    return lookup_join(clients, ranks, [value], derived=True)
+    return lookup_join(clients, ranks, [value])
 
 
 def client_features(clients: DataFrame, receivables: DataFrame, categories: DataFrame | None = None,

@@ -44,10 +44,14 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
     return counts.withColumn("percentual", share(F.col("linhas"), total)).orderBy(F.desc("linhas"), column)
 
 
-def crosstab(df: DataFrame, row: str, column: str, values: list[str]) -> DataFrame:
-    """Counts by two attributes with totals in both directions; the total row is called `All`."""
+def crosstab(df: DataFrame, row: str, column: str, values: list) -> DataFrame:
+    """Counts by two attributes with totals in both directions; the total row is called `All`.
+
+    Values of `column` that are not listed are counted together in `Outros`, so cells add up to their totals.
+    """
+    known = F.when(F.col(column).isin(values), F.col(column).cast("string")).otherwise("Outros")
     cells = (
-        df.where(F.col(row).isNotNull() & F.col(column).isNotNull())
+        df.where(F.col(row).isNotNull() & F.col(column).isNotNull()).withColumn(column, known)
         .cube(row, column).agg(F.count(F.lit(1)).alias("n"), F.grouping(row).alias("__all_rows"),
                                F.grouping(column).alias("__all_columns"))
     )
@@ -57,7 +61,7 @@ def crosstab(df: DataFrame, row: str, column: str, values: list[str]) -> DataFra
     wide = (
         cells.select("__all_rows", label(row, "__all_rows").alias(row),
                      label(column, "__all_columns").alias("__column"), "n")
-        .groupBy("__all_rows", row).pivot("__column", [*values, "All"]).agg(F.sum("n"))
+        .groupBy("__all_rows", row).pivot("__column", [*map(str, values), "Outros", "All"]).agg(F.sum("n"))
     )
     return wide.fillna(0).orderBy("__all_rows", row).drop("__all_rows")
 

@@ -87,14 +87,14 @@ def clean_receivables(raw: DataFrame, clients: DataFrame | None = None, rates: D
         # Only clients with a foreign currency change an amount.
         code = F.upper(strip_blanks(F.col("moeda_pais"))).alias("moeda_pais")
         currency = first_arrived(clients, ["id_cliente"]).select("id_cliente", code)
-        df = lookup_join(df, currency.where(F.col("moeda_pais") != HOME_CURRENCY), ["id_cliente"], derived=True)
+        df = lookup_join(df, currency.where(F.col("moeda_pais") != HOME_CURRENCY), ["id_cliente"])
 
     if rates is None:
         df = df.withColumn("cotacao_venda", F.lit(None).cast("double"))
     else:
         sell = first_arrived(rates.select("moeda", "data", "cotacao_venda"), ["moeda", "data"])
         sell = sell.toDF("moeda_pais", "data_pagamento", "cotacao_venda")
-        df = lookup_join(df, sell, ["moeda_pais", "data_pagamento"], derived=True)
+        df = lookup_join(df, sell, ["moeda_pais", "data_pagamento"])
 
     value = brl_value(F.col("valor_conta"), F.col("moeda_pais"), F.col("data_pagamento"), F.col("cotacao_venda"),
                       ars_rate)

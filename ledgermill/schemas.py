@@ -89,11 +89,11 @@ GOLD = {
 GOLD_KEYS = {
     "dim_cliente": ["id_cliente"],
     "dim_categoria": ["codigo_categoria"],
-    "dim_data": ["sk_data"],
+    "dim_data": ["data_calendario"],
     "dim_moeda": ["codigo_moeda"],
     "fato_conta_receber": ["id_conta_receber"],
     "fato_conta_pagar": ["id_conta_pagar"],
-    "fato_meta_mensal": ["sk_fato_meta"],
+    "fato_meta_mensal": ["ano", "mes"],
 }
 
 # Quality of the candidate models.

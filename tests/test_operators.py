@@ -82,13 +82,19 @@ def test_salting_spreads_the_hot_key(spark):
     assert max(sizes) < 5_000  # unsalted, one task would hold a third or more
 
 
-def test_lookup_join_broadcasts_only_below_the_limit(spark):
+def test_lookup_join_leaves_the_choice_to_the_planner(spark):
     facts, lookup = spark.range(100).toDF("k"), spark.range(50).select(F.col("id").alias("k"), F.lit("x").alias("n"))
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
     small = lookups.lookup_join(facts, lookup, ["k"])
-    large = lookups.lookup_join(facts, lookup, ["k"], limit=10)
-    assert lookups.measured_bytes(lookup) > 10
-    assert rows(small) == rows(large)
-    assert small.explain is not None and "Broadcast" in small._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" in plan(small)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        large = lookups.lookup_join(facts, lookup, ["k"])
+        assert "Broadcast" not in plan(large)
+        assert rows(small) == rows(large) == rows(lookups.lookup_join(facts, lookup, ["k"], split_hot=True))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_new_keys_only(spark):
@@ -117,6 +123,14 @@ def test_dense_key_follows_the_order(spark, joined_ranges):
     assert keyed == list(enumerate(sorted(names), start=1))
 
 
+def test_keys_go_on_from_an_earlier_load(spark):
+    first = ordering.dense_key(spark.createDataFrame([("b",), ("d",)], "n string"), "sk", ["n"])
+    whole = spark.createDataFrame([("a", 1), ("b", 2), (None, 3), ("d", 4), ("c", 5)], "n string, v int")
+    again = ordering.continued_key(whole, "sk", ["n"], ["n"], first)
+    assert rows(again.select("n", "sk", "v"), "sk") == [("b", 1, 2), ("d", 2, 4), (None, 3, 3), ("a", 4, 1), ("c", 5, 5)]
+    assert rows(ordering.continued_key(whole, "sk", ["n"], ["n"], again).select("n", "sk"), "sk") == rows(again.select("n", "sk"), "sk")
+
+
 def test_dense_key_of_nothing(spark):
     assert rows(ordering.dense_key(spark.createDataFrame([], "n string"), "sk", ["n"])) == []
 
