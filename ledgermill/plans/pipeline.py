@@ -4,22 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import month_key
 from ..functions.fixed_values import COUNTRY_CURRENCY, HOME_CURRENCY
-from ..operators.dedup import ORDINAL
-from ..schemas import RAW, SILVER
-from ..sources.layers import read_csv, read_json, read_layer, write_layer
+from ..operators.lookups import lookup_join
+from ..schemas import GOLD, RATES, SILVER
+from ..sources.layers import list_files, read_csv, read_json, read_layer, write_layer
 from ..sources.rate_payloads import read_rate_payloads
 from ..sources.shared import side_by_side
 from . import customers, rates, segments, silver
 from .star import Star, build_star
 
 
-def land(tables: dict[str, Callable[[], DataFrame]], bronze: str) -> dict[str, str]:
+def land(tables: dict[str, Callable[[], DataFrame]], bronze: str, output_format: str = "parquet") -> dict[str, str]:
     """Store raw tables unchanged with their arrival order. A table that fails does not stop the others.
 
     Returns the error text of the tables that failed.
@@ -27,53 +28,65 @@ def land(tables: dict[str, Callable[[], DataFrame]], bronze: str) -> dict[str, s
     failed = {}
     for name, read in tables.items():
         try:
-            write_layer(read(), bronze, name)
+            write_layer(read(), bronze, name, output_format)
         except Exception as error:  # noqa: BLE001 - any failure of one feed is reported, whatever it is
             failed[name] = str(error)
     return failed
 
 
-def raw_readers(spark: SparkSession, raw: str, extensions: dict[str, str]) -> dict[str, Callable[[], DataFrame]]:
-    """Readers of the raw tables, by the file extension in which each feed arrives."""
-    def reader(name: str, extension: str) -> Callable[[], DataFrame]:
-        path = f"{raw}/{name}.{extension}"
-        if extension == "csv":
-            return lambda: read_csv(spark, path)
-        if extension == "json":
-            return lambda: read_json(spark, path, RAW[name])
-        if extension == "jsonl":
-            return lambda: read_json(spark, path, RAW[name], one_array=False)
-        raise ValueError(f"Unsupported extension: {extension}")
+def raw_readers(spark: SparkSession, raw: str, extensions: dict[str, str] | None = None,
+                multi_line: dict[str, bool] | None = None) -> dict[str, Callable[[], DataFrame]]:
+    """Readers of the raw tables, by the file extension in which each feed arrives.
 
-    return {name: reader(name, extension) for name, extension in extensions.items()}
+    Without `extensions` every CSV, JSON and JSON Lines file of the folder is a table named by its stem. `multi_line`
+    tells for CSV feeds whether cells go over line ends, where that is known.
+    """
+    kinds = {
+        "csv": lambda name, path: read_csv(spark, path, (multi_line or {}).get(name)),
+        "json": lambda name, path: read_json(spark, path),
+        "jsonl": lambda name, path: read_json(spark, path, one_array=False),
+    }
+    if extensions is None:
+        # One row per file of the folder.
+        files = [row.path.rsplit("/", 1)[1] for kind in kinds for row in list_files(spark, raw, kind).collect()]
+        extensions = dict(file.rsplit(".", 1) for file in files)
+    for extension in extensions.values():
+        if extension not in kinds:
+            raise ValueError(f"Unsupported extension: {extension}")
+    return {name: partial(kinds[extension], name, f"{raw}/{name}.{extension}") for name, extension in extensions.items()}
 
 
 def run_rates(spark: SparkSession, payloads: str, bronze: str, countries: list[str],
-              start: date | None = None, end: date | None = None) -> None:
+              start: date | None = None, end: date | None = None, output_format: str = "parquet") -> None:
     """Completed daily rates for the months with payments."""
     currencies = sorted({COUNTRY_CURRENCY[c] for c in countries if c in COUNTRY_CURRENCY} - {HOME_CURRENCY})
     months = rates.payment_months(read_layer(spark, bronze, "PS_Conta_Receber"))
     quotes = rates.latest_quotes(read_rate_payloads(spark, payloads))
     days = rates.quote_days(months, start, end)
-    write_layer(rates.complete_quotes(quotes, days, currencies), bronze, "bcb_cotacoes")
+    write_layer(rates.complete_quotes(quotes, days, currencies), bronze, "bcb_cotacoes", output_format)
 
 
-def run_silver(spark: SparkSession, bronze: str, silver_folder: str) -> None:
-    """Clean the five tables. Clients come before the receivables that need their currency."""
+def run_silver(spark: SparkSession, bronze: str, silver_folder: str, output_format: str = "parquet") -> None:
+    """Clean the five tables. Clients come before the receivables that need their currency; without landed rates
+    receivables are not converted."""
     def raw(name: str) -> DataFrame:
         return read_layer(spark, bronze, name)
 
     def put(df: DataFrame, name: str, key: str | None = None) -> str:
-        return write_layer(df, silver_folder, name, sort_by=[key] if key else None)
+        return write_layer(df, silver_folder, name, output_format, sort_by=[key] if key else None)
 
     def put_ledger(df: DataFrame, name: str) -> str:
         # Ledgers are large and read by period, so they are stored by month due.
         dated = df.withColumn("mes_vencimento", month_key(F.col("data_vencimento")))
-        return write_layer(dated, silver_folder, name, partition_by=["mes_vencimento"], sort_by=["id_conta"])
+        return write_layer(dated, silver_folder, name, output_format, partition_by=["mes_vencimento"], sort_by=["id_conta"])
 
     def receivables() -> str:
         put(silver.clean_clients(raw("PS_Cliente")), "cliente_silver", "id_cliente")
-        clients, quotes = read_layer(spark, silver_folder, "cliente_silver"), read_layer(spark, bronze, "bcb_cotacoes")
+        clients = read_layer(spark, silver_folder, "cliente_silver", SILVER["cliente_silver"])
+        try:
+            quotes = read_layer(spark, bronze, "bcb_cotacoes", RATES)
+        except FileNotFoundError:
+            clients = quotes = None
         return put_ledger(silver.clean_receivables(raw("PS_Conta_Receber"), clients, quotes), "conta_receber_silver")
 
     side_by_side(
@@ -84,27 +97,28 @@ def run_silver(spark: SparkSession, bronze: str, silver_folder: str) -> None:
     )
 
 
-def _silver_inputs(spark: SparkSession, folder: str, with_ordinal: bool = True) -> dict[str, DataFrame]:
-    tables = {}
-    for name, schema in SILVER.items():
-        df = read_layer(spark, folder, name)
-        keep = [ORDINAL] if with_ordinal and ORDINAL in df.columns else []
-        tables[name] = df.select(*schema.fieldNames(), *keep)
-    return tables
+def _silver_inputs(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    return {name: read_layer(spark, folder, name, schema) for name, schema in SILVER.items()}
 
 
-def run_gold(spark: SparkSession, silver_folder: str, gold: str) -> Star:
-    """Write the star schema and return it as read back."""
+def run_gold(spark: SparkSession, silver_folder: str, gold: str, output_format: str = "parquet",
+             existing: Star | None = None) -> Star:
+    """Write the star schema and return it as read back. Ledger facts lie in directories by month due. Rows that
+    `existing` holds keep their keys."""
     t = _silver_inputs(spark, silver_folder)
     star = build_star(t["cliente_silver"], t["categoria_silver"], t["meta_2025_silver"], t["conta_pagar_silver"],
-                      t["conta_receber_silver"])
+                      t["conta_receber_silver"], existing)
+    due = star.dim_data.select(F.col("sk_data").alias("sk_data_vencimento"), month_key(F.col("data_calendario")).alias("mes_vencimento"))
     for name, df in star.tables().items():
-        write_layer(df, gold, name)
-    return Star(**{name: read_layer(spark, gold, name) for name in star.tables()})
+        if name in ("fato_conta_receber", "fato_conta_pagar"):
+            write_layer(lookup_join(df, due, ["sk_data_vencimento"]), gold, name, output_format, partition_by=["mes_vencimento"])
+        else:
+            write_layer(df, gold, name, output_format)
+    return Star(**{name: read_layer(spark, gold, name, GOLD[name]) for name in star.tables()})
 
 
 def run_segments(spark: SparkSession, silver_folder: str, ml: str, restarts: int = segments.RESTARTS) -> None:
-    """Write features, the comparison of models, and the segmented clients."""
+    """Write features, the comparison of models, and the segmented clients. Without clients the tables are empty."""
     t = _silver_inputs(spark, silver_folder)
     write_layer(
         customers.client_features(t["cliente_silver"], t["conta_receber_silver"], t["categoria_silver"]),

@@ -5,13 +5,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import partial
 
-from pyspark.ml import Model, Pipeline
+from pyspark.ml import Model
 from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import PCA, OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import PCA
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,6 +23,9 @@ CLUSTER_COUNTS = range(2, 9)
 RESTARTS = 20
 SEED = 42
 
+# Levels of a text column with a coordinate of their own.
+TEXT_LEVELS = 1000
+
 # Metrics of a labelling with fewer than two clusters.
 DEGENERATE = {"silhouette": -1.0, "davies_bouldin": 999999.0, "calinski_harabasz": 0.0}
 
@@ -32,7 +35,7 @@ _NOT_FEATURES = {"id_cliente", "nome_cliente", "data_cadastro_cliente"}
 def feature_vectors(features: DataFrame, include_last_payment: bool = False) -> DataFrame:
     """`id_cliente` and a vector: numbers standardised by population deviation, texts one-hot encoded.
 
-    Constant numbers are only centred. Categories unseen when fitting give zeros.
+    Constant numbers are only centred. Texts beyond the `TEXT_LEVELS` most common of a column share one level.
     """
     df = features
     if include_last_payment:
@@ -41,20 +44,24 @@ def feature_vectors(features: DataFrame, include_last_payment: bool = False) ->
     numbers = [f.name for f in used if isinstance(f.dataType, T.NumericType)]
     texts = [f.name for f in used if isinstance(f.dataType, T.StringType)]
 
-    # One row of two figures per column.
+    # One row of two figures per column; of each text column its most common levels.
     moments = df.agg(*[F.avg(c).alias(f"m_{c}") for c in numbers], *[F.stddev_pop(c).alias(f"s_{c}") for c in numbers])
     row = moments.first()
     scaled = {c: (F.col(c) - (row[f"m_{c}"] or 0.0)) / (row[f"s_{c}"] or 1.0) for c in numbers}
     df = df.withColumns(scaled).fillna("ausente", texts)
+    entries = F.array(*[F.coalesce(F.col(c), F.lit(0.0)).cast("double") for c in numbers])
+    for c in texts:
+        counts = df.groupBy(c).agg(F.count(F.lit(1)).alias("linhas")).orderBy(F.desc("linhas"), c)
+        found = [r[0] for r in counts.select(c).limit(TEXT_LEVELS + 1).collect()]
+        levels = sorted(found[:TEXT_LEVELS])
+        entries = F.concat(entries, F.transform(F.lit(levels), partial(_is_level, F.col(c))))
+        if len(found) > TEXT_LEVELS:  # one level for all the others
+            entries = F.concat(entries, F.array((~F.col(c).isin(levels)).cast("double")))
+    return df.select("id_cliente", array_to_vector(entries).alias("features"))
+
 
-    indexed, encoded = [f"{c}__index" for c in texts], [f"{c}__onehot" for c in texts]
-    # The indexer keeps unseen texts in one further category, which the encoder drops.
-    stages = [
-        StringIndexer(inputCols=texts, outputCols=indexed, handleInvalid="keep", stringOrderType="alphabetAsc"),
-        OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True),
-    ] if texts else []
-    stages.append(VectorAssembler(inputCols=[*numbers, *(encoded if texts else [])], outputCol="features"))
-    return Pipeline(stages=stages).fit(df).transform(df).select("id_cliente", "features")
+def _is_level(value: Column, level: Column) -> Column:
+    return (level == value).cast("double")
 
 
 @dataclass
@@ -64,7 +71,7 @@ class Candidate:
     cost: float
 
 
-def _fit(vectors: DataFrame, family: str, k: int, seed: int) -> Candidate:
+def fit_candidate(vectors: DataFrame, family: str, k: int, seed: int) -> Candidate:
     kind = KMeans if family == "kmeans" else BisectingKMeans
     model = kind(k=k, seed=seed).fit(vectors)
     return Candidate(f"{family}_k{k}", model, model.summary.trainingCost)
@@ -160,11 +167,12 @@ def compare_clusterings(features: DataFrame, counts=CLUSTER_COUNTS, restarts: in
     Fits are Spark jobs of their own and run a few at a time on the same written vectors. They are not cached here:
     each fit keeps the rows it iterates over in the form its loop needs, which a cached table would make it decode
     anew in every iteration. The winner is not fitted again. K-means is restarted with further seeds and keeps the run
-    of least cost.
+    of least cost. Counts beyond the number of clients cannot be fitted; they are listed with the figures of a
+    degenerate labelling. Where none can be fitted, clients form one cluster.
     """
     vectors = materialise(feature_vectors(features, include_last_payment))
     clients = vectors.count()
-    possible = [k for k in counts if k <= clients] or [2]
+    possible = [k for k in counts if k <= clients]
     fits = [("kmeans", k, SEED + i) for k in possible for i in range(restarts)]
     fits += [("bisecting", k, SEED) for k in possible]
 
@@ -173,15 +181,20 @@ def compare_clusterings(features: DataFrame, counts=CLUSTER_COUNTS, restarts: in
         return labelling_metrics(labelled, candidate.name)
 
     best: dict[str, Candidate] = {}
-    for candidate in side_by_side(*[partial(_fit, vectors, *fit) for fit in fits], at_once=parallelism):
+    for candidate in side_by_side(*[partial(fit_candidate, vectors, *fit) for fit in fits], at_once=parallelism):
         if candidate.name not in best or candidate.cost < best[candidate.name].cost:
             best[candidate.name] = candidate
     measured = side_by_side(*[partial(measure, candidate) for candidate in best.values()], at_once=parallelism)
 
+    measured += [{"model_name": f"{family}_k{k}", "n_clusters": clients, "noise_ratio": 0.0} | DEGENERATE
+                 for family in ("kmeans", "bisecting") for k in counts if k > clients]
     rows = [tuple(metrics[f] for f in MODEL_METRICS.fieldNames()) for metrics in measured]
     comparison = rank_models(features.sparkSession.createDataFrame(rows, MODEL_METRICS))
     winner = top_models(comparison, 1).first()["model_name"]
-    labels = best[winner].model.transform(vectors).select("id_cliente", F.col("prediction").alias("cluster"))
+    if winner in best:
+        labels = best[winner].model.transform(vectors).select("id_cliente", F.col("prediction").alias("cluster"))
+    else:
+        labels = vectors.select("id_cliente", F.lit(0).alias("cluster"))
     return Segmentation(comparison, winner, labels, vectors)
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,33 +29,74 @@ def with_ordinal(df: DataFrame) -> DataFrame:
     return df.withColumn(ORDINAL, place)
 
 
-def read_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """CSV with a header, all columns as text, the usual missing-value tokens as null."""
-    cells = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"').csv(path)
-    text = with_ordinal(cells)
-    return text.withColumns({c: missing_to_null(F.col(c), CSV_MISSING) for c in cells.columns})
+def _cells_span_lines(spark: SparkSession, path: str) -> bool:
+    """Whether some line has an odd number of quotes, so a quoted cell goes on in the next line."""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return not spark.read.text(path).where(quotes % 2 == 1).isEmpty()
 
 
-def read_json(spark: SparkSession, path: str, columns: list[str], one_array: bool = True) -> DataFrame:
-    """JSON records as text columns: one array per file, or one record per line for feeds that must split."""
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    return with_ordinal(spark.read.schema(schema).option("multiLine", one_array).json(path))
+def read_csv(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
+    """CSV with a header, all columns as text, the usual missing-value tokens as null.
+
+    Missing cells at the end of a record are null; a record with more cells than the header fails the job that reads
+    it. Files with line feeds inside of quoted cells cannot be split and are read as a whole; without `multi_line` one
+    pass over the lines finds out.
+    """
+    if multi_line is None:
+        multi_line = _cells_span_lines(spark, path)
+    reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
+    names, record = reader.csv(path).columns, "__record"
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, record]])
+    cells = with_ordinal(reader.schema(schema).option("columnNameOfCorruptRecord", record).csv(path))
+    # Spark keeps the record beside the cells if their numbers differ; only then it is read again.
+    again = F.from_csv(record, ", ".join(f"c{i} string" for i in range(len(names) + 1)), {"escape": '"'})
+    surplus = F.col(record).isNotNull() & again[f"c{len(names)}"].isNotNull()
+    fail = F.raise_error(F.concat(F.lit("More cells than columns: "), F.col(record)))
+    text = {f"`{c}`": missing_to_null(F.col(f"`{c}`"), CSV_MISSING) for c in names}
+    columns = [value.alias(c) for c, value in zip(names, text.values())]
+    columns[0] = F.when(surplus, fail.cast("string")).otherwise(text[f"`{names[0]}`"]).alias(names[0])
+    return cells.select(*columns, ORDINAL)
+
+
+def read_json(spark: SparkSession, path: str, one_array: bool = True) -> DataFrame:
+    """JSON records with all their fields, as text: one array per file, or one record per line for feeds that must
+    split. Fields are found by a pass over all records. Nested values become JSON text; a malformed record fails the
+    read."""
+    reader = spark.read.option("multiLine", one_array).option("primitivesAsString", True).option("mode", "FAILFAST")
+    cells = reader.json(path)
+    nested = [f.name for f in cells.schema.fields if not isinstance(f.dataType, T.StringType)]
+    return with_ordinal(cells).withColumns({c: F.to_json(F.col(f"`{c}`")) for c in nested})
 
 
 def read_layer(spark: SparkSession, folder: str, name: str, schema: T.StructType | None = None) -> DataFrame:
-    """A layer table: Parquet if it is there, else CSV."""
-    for extension, options in (("parquet", {}), ("csv", {"header": True})):
-        reader = spark.read.options(**options)
-        if schema is not None:
-            reader = reader.schema(schema)
+    """A layer table: Parquet if it is there, else CSV.
+
+    With a schema the table has its columns and types, and the ordinal if it is there; CSV is text without one.
+    """
+    for extension, options in (("parquet", {}), ("csv", {"header": True, "escape": '"', "multiLine": True})):
         try:
-            return reader.format(extension).load(f"{folder}/{name}.{extension}")
+            df = spark.read.options(**options).format(extension).load(f"{folder}/{name}.{extension}")
         except AnalysisException as error:
             if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 raise
+            continue
+        if schema is None:
+            return df
+        kept = [ORDINAL] if ORDINAL in df.columns else []
+        return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields], *kept)
     raise FileNotFoundError(f"{folder}/{name}.parquet or .csv")
 
 
+def _flat(df: DataFrame) -> DataFrame:
+    """Structs, which CSV cannot hold, as text that sorts as they do."""
+    def text(column: T.StructField) -> Column:
+        parts = [F.col(f"`{column.name}`")[f.name].cast("string") if isinstance(f.dataType, T.StringType)
+                 else F.lpad(F.col(f"`{column.name}`")[f.name].cast("string"), 20, "0") for f in column.dataType.fields]
+        return F.concat_ws("|", *parts)
+
+    return df.withColumns({c.name: text(c) for c in df.schema.fields if isinstance(c.dataType, T.StructType)})
+
+
 def write_layer(df: DataFrame, folder: str, name: str, output_format: str = "parquet",
                 partition_by: list[str] | None = None, sort_by: list[str] | None = None) -> str:
     """Replace a layer table.
@@ -65,12 +106,16 @@ def write_layer(df: DataFrame, folder: str, name: str, output_format: str = "par
     Without directories, `sort_by` gives the whole table that order.
     """
     path = f"{folder}/{name}.{output_format}"
+    if output_format == "csv":
+        df = _flat(df)
     order = [*(partition_by or []), *(sort_by or [])]
     if partition_by:
         df = df.hint("rebalance", *partition_by).sortWithinPartitions(*order)
     elif sort_by:
         df = df.orderBy(*sort_by)
-    writer = df.write.mode("overwrite").option("header", True).format(output_format)
+    writer = df.write.mode("overwrite").format(output_format)
+    if output_format == "csv":
+        writer = writer.options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)

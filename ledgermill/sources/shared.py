@@ -54,6 +54,6 @@ def side_by_side(*jobs: Callable, at_once: int | None = None) -> list:
     Each job gets its own copy of the caller's job group and scheduler pool.
     """
     session = SparkSession.active()
-    with ThreadPoolExecutor(at_once or len(jobs)) as pool:
+    with ThreadPoolExecutor(at_once or max(1, len(jobs))) as pool:
         running = [pool.submit(inheritable_thread_target(session)(job)) for job in jobs]
         return [future.result() for future in running]
