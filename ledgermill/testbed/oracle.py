@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from ..functions.fixed_values import COUNTRY_CURRENCY, COUNTRY_SYNONYMS, MONTH_NAMES, NAME_PARTICLES, WEEKDAY_NAMES
-from .queries import MIX_NAMES, RATES_FROM, RATES_TO
+from ..functions.fixed_values import CSV_MISSING, COUNTRY_CURRENCY, COUNTRY_SYNONYMS, MONTH_NAMES, NAME_PARTICLES, WEEKDAY_NAMES
+from .queries import FEW_NAMES, MIX_NAMES, RATES_FROM, RATES_TO
 from .tables import CATEGORIES, CLIENTS, MONTHS_SQL, PAYABLES, QUOTED_CURRENCIES, QUOTES, RECEIVABLES, TARGETS
 
 ORD = "_ingest_order"
@@ -185,6 +185,19 @@ CTE: dict[str, str] = {
         left join d_currencies m on m.codigo_moeda = 'BRL'
         left join d_dates p on p.data_calendario = r.data_pagamento
         left join d_dates v on v.data_calendario = r.data_vencimento""",
+    "f_target": f"""
+        select row_number() over (order by t.{ORD}) as sk_fato_meta, d.sk_data as sk_data_referencia, meta_valor,
+               t.mes, t.ano, t.nome_mes
+        from targets t left join d_dates d on d.data_calendario = t.mes_ano_meta""",
+    "v_clients": "select id_cliente, nome_cliente, pais_cliente, data_cadastro_cliente, 'linha 1, \"' || id_cliente || '\"' ||"
+                 " case when length(id_cliente) % 2 = 0 then chr(10) || 'linha 2' else '' end as nota from r_clients",
+    "t_dates": "select distinct mes_ano_meta as d, true as cedo from targets where mes_ano_meta is not null"
+               " union all select data_vencimento, data_vencimento >= date '1998-01-01' from payables"
+               " union all select data_pagamento, data_vencimento >= date '1998-01-01' from payables",
+    "twice": """
+        select 'dim_categoria' as dimensao, codigo_categoria as chave, codigo_categoria >= 'Brand#3' as cedo from categories
+        union all select 'dim_moeda', codigo_moeda, codigo_moeda >= 'E' or codigo_moeda = 'BRL' from d_currencies
+        union all select 'dim_data', cast(d as varchar), coalesce(bool_or(cedo), false) from t_dates where d is not null group by d""",
     "delays": "select *, coalesce(data_pagamento - data_vencimento, 0) as dias, trim(status_conta) as s"
               " from receivables",
     "modes": "select id_cliente, s from (select id_cliente, s, count(*) as n from delays where s is not null"
@@ -196,7 +209,7 @@ CTE: dict[str, str] = {
                cast(coalesce((select max(data_pagamento) from receivables) - ultimo_pagamento, 9999) as double)
                    as recencia_dias
         from (select id_cliente, count(id_conta) as frequencia_recebimentos,
-                     round(sum(valor_conta_brl), 6) as valor_total_recebido_brl,
+                     cast(round(sum(cast(valor_conta_brl as decimal(38, 10))), 6) as double) as valor_total_recebido_brl,
                      max(data_pagamento) as ultimo_pagamento
               from receivables group by id_cliente) a left join modes m on m.id_cliente = a.id_cliente""",
     "behaviour": """
@@ -213,7 +226,8 @@ CTE: dict[str, str] = {
               from receivables r left join categories k on k.codigo_categoria = r.codigo_categoria group by all)""",
     "wide_mix": "select id_cliente, " + ", ".join(
         f"coalesce(max(parcela) filter (categoria = '{n}'), 0) as mix_cat_{n}" for n in MIX_NAMES
-    ) + " from mix group by id_cliente",
+    ) + f", coalesce(sum(parcela) filter (categoria not in ({', '.join(repr(n) for n in MIX_NAMES)})), 0) as mix_resto"
+        " from mix group by id_cliente",
     "base": """
         select c.id_cliente, nome_cliente, coalesce(pais_cliente, 'DESCONHECIDO') as pais_cliente,
                coalesce(moeda_pais, 'DESCONHECIDA') as moeda_pais, data_cadastro_cliente,
@@ -247,6 +261,22 @@ CTE: dict[str, str] = {
                case when taxa_pagamento_em_dia >= 0.7 then 'bom_pagador' else 'atrasa_pagamento' end as perfil_cluster,
                'regra' as modelo_vencedor
         from features""",
+    "axes": """
+        select id_cliente, cast(frequencia_recebimentos >= 30 as int) + 2 * cast(taxa_pagamento_em_dia >= 0.5 as int) as cluster,
+               (recencia_dias - avg(recencia_dias) over ()) / stddev_pop(recencia_dias) over () as x,
+               (taxa_pagamento_em_dia - avg(taxa_pagamento_em_dia) over ()) / stddev_pop(taxa_pagamento_em_dia) over () as y,
+               faixa_valor_cliente
+        from features""",
+    "centres": "select cluster, count(*) as n, avg(x) as cx, avg(y) as cy from axes group by cluster",
+    "spreads": "select cluster, avg(sqrt((x - cx) ** 2 + (y - cy) ** 2)) as s, sum((x - cx) ** 2 + (y - cy) ** 2) as w"
+               " from axes join centres using (cluster) group by cluster",
+    "apart": """
+        select a.id_cliente, a.cluster, b.cluster as other, sum((a.x - b.x) ** 2 + (a.y - b.y) ** 2) as d, count(*) as n
+        from axes a join axes b on true group by a.id_cliente, a.cluster, b.cluster""",
+    "widths": """
+        select id_cliente, max(d / nullif(n - 1, 0)) filter (cluster = other) as own,
+               min(d / n) filter (cluster <> other) as near, max(n) filter (cluster = other) as n
+        from apart group by id_cliente""",
     "brands": """
         select p_brand as model_name, count(*) as n_clusters, cast(0 as double) as noise_ratio,
                floor(max(l_extendedprice) / 1000) as silhouette, min(l_quantity) as davies_bouldin,
@@ -316,6 +346,13 @@ _RULES = {
     "fk receber categoria": _orphans("f_receivable", "sk_categoria", "d_categories", "sk_categoria"),
     "fk receber moeda": _orphans("f_receivable", "sk_moeda", "d_currencies", "sk_moeda"),
     "fk receber pagamento": _orphans("f_receivable", "sk_data_pagamento", "d_dates", "sk_data"),
+    "pk fato_meta_mensal": _repeats("f_target", "sk_fato_meta"),
+    "uk dim_moeda": _repeats("d_currencies", "codigo_moeda"),
+    "fk receber vencimento": _orphans("f_receivable", "sk_data_vencimento", "d_dates", "sk_data"),
+    "fk pagar categoria": _orphans("f_payable", "sk_categoria", "d_categories", "sk_categoria"),
+    "fk pagar moeda": _orphans("f_payable", "sk_moeda", "d_currencies", "sk_moeda"),
+    "fk pagar pagamento": _orphans("f_payable", "sk_data_pagamento", "d_dates", "sk_data"),
+    "fk meta data": _orphans("f_target", "sk_data_referencia", "d_dates", "sk_data"),
     "fk pagar vencimento": _orphans("f_payable", "sk_data_vencimento", "d_dates", "sk_data"),
 }
 
@@ -324,13 +361,13 @@ _PROFILE = {"id_cliente": "bigint", "nome_cliente": "string", "pais_cliente": "s
 
 SQL: dict[str, str] = {
     "revenue_by_month_currency_category": """
-        select d.ano, d.mes, m.codigo_moeda, k.tipo_categoria, round(sum(valor_conta_brl), 6) as valor_conta_brl_total,
+        select d.ano, d.mes, m.codigo_moeda, k.tipo_categoria, cast(round(sum(cast(valor_conta_brl as decimal(38, 10))), 6) as double) as valor_conta_brl_total,
                count(*) as lancamentos
         from f_receivable f left join d_dates d on d.sk_data = f.sk_data_pagamento
         left join d_currencies m on m.sk_moeda = f.sk_moeda left join d_categories k on k.sk_categoria = f.sk_categoria
         group by all""",
     "revenue_by_client_year": """
-        select d.ano, f.id_cliente, c.pais_cliente, round(sum(valor_conta_brl), 6) as valor_conta_brl_total,
+        select d.ano, f.id_cliente, c.pais_cliente, cast(round(sum(cast(valor_conta_brl as decimal(38, 10))), 6) as double) as valor_conta_brl_total,
                count(*) as lancamentos
         from f_receivable f left join d_dates d on d.sk_data = f.sk_data_vencimento
         left join d_clients c on c.id_cliente = f.id_cliente group by all""",
@@ -356,14 +393,54 @@ SQL: dict[str, str] = {
     "dim_date": _all("d_dates", False),
     "fact_receivable": _all("f_receivable", False),
     "fact_payable": _all("f_payable", False),
-    "fact_target": f"""
-        select row_number() over (order by t.{ORD}) as sk_fato_meta, d.sk_data as sk_data_referencia, meta_valor,
-               t.mes, t.ano, t.nome_mes
-        from targets t left join d_dates d on d.data_calendario = t.mes_ano_meta""",
+    "fact_target": _all("f_target", False),
+    "new_part_keys_hot": """
+        select * from (select cast(case when l_orderkey % 3 = 0 then 1 else l_partkey end as bigint) as chave, l_orderkey,
+                              l_linenumber, l_suppkey, l_extendedprice from lineitem)
+        where chave not in (select p_partkey from part where p_partkey % 2 = 0)""",
+    "hot_client_currency": """
+        select o.pedido, o.id_cliente, c.moeda_pais
+        from (select cast(o_orderkey as bigint) as pedido,
+                     cast(case when o_orderkey % 3 = 0 then 1 else o_custkey end as bigint) as id_cliente from orders) o
+        left join d_clients c on c.id_cliente = o.id_cliente""",
     "new_keys_only": f"""
         select i.* from (select {_KEY} as id_conta, l_partkey, l_suppkey, l_extendedprice from lineitem) i
         where not exists (select 1 from (select {_KEY} as k from lineitem where l_returnflag = 'R') e
                           where e.k is not distinct from i.id_conta)""",
+    "append_star_twice": "select dimensao, chave, row_number() over (partition by dimensao order by not cedo, chave) as sk from twice",
+    "landed_clients_csv": "select " + ", ".join(
+        f"case when {c} not in ({', '.join(repr(x) for x in CSV_MISSING)}) then {c} end as {c}"
+        for c in ("id_cliente", "nome_cliente", "pais_cliente", "data_cadastro_cliente", "nota")) + " from v_clients",
+    "landed_clients_json": "select id_cliente, nome_cliente, pais_cliente, nullif(data_cadastro_cliente, '') as"
+                           " data_cadastro_cliente, nota from v_clients",
+    "landed_quotes": _all("quotes", False),
+    "silver_layer_by_month": _all("payables"),
+    "segment_quality": """
+        select 'regra' as model_name, count(*) as n_clusters, cast(0 as double) as noise_ratio,
+               round((select avg(case when n = 1 then 0 else (near - own) / greatest(near, own) end) from widths), 5) as silhouette,
+               round((select avg(m) from (select max((a.s + b.s) / sqrt((p.cx - q.cx) ** 2 + (p.cy - q.cy) ** 2)) as m
+                                          from spreads a join spreads b on a.cluster <> b.cluster
+                                          join centres p on p.cluster = a.cluster join centres q on q.cluster = b.cluster
+                                          group by a.cluster)), 5) as davies_bouldin,
+               round(sum(n * (cx ** 2 + cy ** 2)) / (count(*) - 1) / ((select sum(w) from spreads) / (sum(n) - count(*))), 5)
+                   as calinski_harabasz
+        from centres
+        union all
+        select 'um_grupo', 1, round(count(*) filter (cluster <> 0) / count(*), 5), -1, 999999, 0 from axes""",
+    "feature_vector_entries": """
+        select id_cliente, posicao, round(valor, 6) as valor from (
+            select id_cliente, 0 as posicao, x as valor from axes union all select id_cliente, 1, y from axes
+            union all select id_cliente, 1 + p.p, 1 from axes
+            join (select b, row_number() over (order by b) as p from (select distinct faixa_valor_cliente as b from axes)) p
+              on p.b = faixa_valor_cliente) where abs(valor) > 1e-9""",
+    "pca_of_two": """
+        select id_cliente, round(abs(x + s * y) / sqrt(2), 6) as pc1, round(abs(x - s * y) / sqrt(2), 6) as pc2,
+               round((1 + abs(r)) / 2, 6) as parte_1, round((1 - abs(r)) / 2, 6) as parte_2
+        from axes, (select corr(x, y) as r, sign(corr(x, y)) as s from axes)""",
+    "forced_clusters": """
+        select f.familia, cast(c_custkey as bigint) as id_cliente,
+               cast(min(c_custkey) over (partition by c_custkey % 3) as bigint) as grupo
+        from customer, (values ('kmeans'), ('bisecting')) f(familia) qualify true""",
     "quality_targets": """
         select count(*) filter (ok) as validas, count(*) filter (not ok) as invalidas
         from (select mes_ano_meta is not null and meta_valor is not null and mes is not null and ano is not null
@@ -394,7 +471,11 @@ SQL: dict[str, str] = {
     "client_category_mix": _all("mix", False),
     "client_features": "select f.* exclude (rank_pct), " + ", ".join(
         f"coalesce(mix_cat_{n}, 0) as mix_cat_{n}" for n in MIX_NAMES
-    ) + " from features f left join wide_mix x on x.id_cliente = f.id_cliente",
+    ) + ", coalesce(mix_resto, 0) as mix_resto from features f left join wide_mix x on x.id_cliente = f.id_cliente",
+    "client_category_mix_wide": "select id_cliente, " + ", ".join(
+        f"round(coalesce(sum(parcela) filter (categoria = '{n}'), 0), 9) as mix_cat_{n}" for n in FEW_NAMES
+    ) + f", round(coalesce(sum(parcela) filter (categoria not in ({', '.join(repr(n) for n in FEW_NAMES)})), 0), 9) as mix_resto"
+        " from mix group by id_cliente",
     "client_value_band": "select id_cliente, valor_total_recebido_brl, rank_pct, faixa_valor_cliente from features",
     "band_statistics": """
         select faixa_valor_cliente, count(*) as clientes, round(avg(valor_total_recebido_brl), 4) as media,
@@ -407,9 +488,18 @@ SQL: dict[str, str] = {
                       " as percentual from clients where pais_cliente is not null group by 1",
     "country_band_crosstab": "select coalesce(pais_cliente, 'All') as pais_cliente, " + ", ".join(
         f"count(*) filter (faixa_valor_cliente = '{b}') as {b}" for b in _BANDS
-    ) + ', count(*) as "All" from features group by rollup (pais_cliente)',
+    ) + ', 0 as Outros, count(*) as "All" from features group by rollup (pais_cliente)',
     "distinct_due_dates": "select distinct data_vencimento from payables",
     "segment_output": _all("segmented", False),
+    "country_segment_crosstab": """
+        select coalesce(pais_cliente, 'All') as pais_cliente, count(*) filter (cluster = 0) as "0",
+               count(*) filter (cluster = 1) as "1", count(*) filter (cluster = 2) as "2",
+               count(*) filter (cluster not in (0, 1, 2)) as Outros, count(*) as "All"
+        from segmented group by rollup (pais_cliente)""",
+    "currency_counts": "select moeda_pais, count(*) as linhas, round(100.0 * count(*) / sum(count(*)) over (), 1)"
+                       " as percentual from segmented group by 1",
+    "band_counts": "select faixa_valor_cliente, count(*) as linhas, round(100.0 * count(*) / sum(count(*)) over (), 1)"
+                   " as percentual from segmented group by 1",
     "segment_profile": "select cluster, count(*) as clientes, round(avg(recencia_dias), 4) as recencia_media,"
                        " round(avg(frequencia_recebimentos), 4) as frequencia_media,"
                        " round(avg(valor_total_recebido_brl), 4) as valor_medio,"

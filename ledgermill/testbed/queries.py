@@ -5,21 +5,28 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 from functools import cached_property
+from uuid import uuid4
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.dates import LEDGER_LAYOUTS, parse_dates
+from ..functions.dates import LEDGER_LAYOUTS, month_key, parse_dates
 from ..functions.fixed_values import VALUE_BANDS
-from ..operators import append, calendar, checks, dedup
-from ..plans import customers, rates, reports, segments, silver, star
-from ..sources.shared import materialise, side_by_side
+from ..operators import append, calendar, checks, dedup, lookups
+from ..plans import customers, pipeline, rates, reports, segments, silver, star
+from ..schemas import GOLD_KEYS, MODEL_METRICS, RATE_PAYLOAD, SILVER
+from ..sources import layers
+from ..sources.rate_payloads import flatten_payloads
+from ..sources.shared import materialise, shared_folder, side_by_side
 from .tables import ADJECTIVES, NOUNS, QUOTED_CURRENCIES, Tables
 
 # Bounds of the rate window, so that clipping is exercised at both ends.
 RATES_FROM, RATES_TO = date(1995, 3, 10), date(2001, 9, 20)
 
 MIX_NAMES = [f"{a}_{n}" for a in ADJECTIVES for n in NOUNS] + ["sem_categoria"]
+# So few that most categories fall into the rest.
+FEW_NAMES = MIX_NAMES[::7]
 
 
 class Ledger(Tables):
@@ -33,7 +40,9 @@ class Ledger(Tables):
         return materialise(self.receivables())
 
     def quote_days(self) -> DataFrame:
-        return rates.quote_days(rates.payment_months(self.landed_receivables), RATES_FROM, RATES_TO)
+        # The payment dates alone; the whole feed is landed only by jobs that read more of it.
+        feed = self.__dict__.get("landed_receivables") or self.receivables()
+        return rates.quote_days(rates.payment_months(feed), RATES_FROM, RATES_TO)
 
     def rates(self) -> DataFrame:
         return rates.complete_quotes(rates.latest_quotes(self.quotes()), self.quote_days(), QUOTED_CURRENCIES)
@@ -159,6 +168,95 @@ def new_keys_only(t: Ledger) -> DataFrame:
     return append.new_keys_only(lines.select(key, "l_partkey", "l_suppkey", "l_extendedprice"), held, ["id_conta"])
 
 
+def new_part_keys_hot(t: Ledger) -> DataFrame:
+    """New keys where one key has a third of the rows and hot keys are split."""
+    key = F.when(F.col("l_orderkey") % 3 == 0, 1).otherwise(F.col("l_partkey")).cast("bigint").alias("chave")
+    lines = t.table("lineitem")
+    held = t.table("part").where("p_partkey % 2 = 0").select(F.col("p_partkey").cast("bigint").alias("chave"))
+    return append.new_keys_only(lines.select(key, "l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice"), held, ["chave"],
+                                split_hot=True)
+
+
+def hot_client_currency(t: Ledger) -> DataFrame:
+    """Currency of each order's client where one client has a third of the orders and hot keys are split."""
+    client = F.when(F.col("o_orderkey") % 3 == 0, 1).otherwise(F.col("o_custkey")).cast("bigint").alias("id_cliente")
+    orders = t.table("orders").select(F.col("o_orderkey").cast("bigint").alias("pedido"), client)
+    currency = star.dim_client(t.silver_clients).select("id_cliente", "moeda_pais")
+    return lookups.lookup_join(orders, currency, ["id_cliente"], split_hot=True)
+
+
+def append_star_twice(t: Ledger) -> DataFrame:
+    """Keys of three dimensions after a first load of a part and an append of the rest."""
+    def twice(name: str, key: str, number: str, build: Callable, early, whole) -> DataFrame:
+        first = materialise(build(early, None))
+        second = materialise(build(whole, first))
+        grown = first.unionByName(append.new_keys_only(second, first, GOLD_KEYS[name]))
+        return grown.select(F.lit(name).alias("dimensao"), F.col(key).cast("string").alias("chave"), F.col(number).alias("sk"))
+
+    categories, clients = materialise(t.clean_categories()), t.silver_clients
+    payables, targets = t.silver_payables, t.silver_targets
+    nothing = silver.clean_receivables(t.receivables()).where("false")
+    dates = lambda ledger, held: star.dim_date(targets, ledger, nothing, held)
+    return (
+        twice("dim_categoria", "codigo_categoria", "sk_categoria", star.dim_category,
+              categories.where("codigo_categoria >= 'Brand#3'"), categories)
+        .unionByName(twice("dim_moeda", "codigo_moeda", "sk_moeda", star.dim_currency,
+                           clients.where("moeda_pais >= 'E'"), clients))
+        .unionByName(twice("dim_data", "data_calendario", "sk_data", dates,
+                           payables.where("data_vencimento >= date '1998-01-01'"), payables))
+    )
+
+
+def _feed_folder(t: Ledger) -> str:
+    return f"{shared_folder(t.spark)}/feeds-{uuid4().hex}"
+
+
+def _clients_feed(t: Ledger) -> DataFrame:
+    """The feed of clients with a text that needs quoting: commas, quotes and line feeds."""
+    note = "'linha 1, \"' || id_cliente || '\"' || case when length(id_cliente) % 2 = 0 then chr(10) || 'linha 2' else '' end"
+    return t.clients().select("id_cliente", "nome_cliente", "pais_cliente", "data_cadastro_cliente", F.expr(note).alias("nota"))
+
+
+def landed_clients_csv(t: Ledger) -> DataFrame:
+    folder = _feed_folder(t)
+    layers.write_layer(_clients_feed(t), folder, "PS_Cliente", "csv")
+    failed = pipeline.land(pipeline.raw_readers(t.spark, folder, {"PS_Cliente": "csv"}), f"{folder}/bronze")
+    if failed:
+        raise RuntimeError(str(failed))
+    return _drop_ordinal(layers.read_layer(t.spark, f"{folder}/bronze", "PS_Cliente"))
+
+
+def landed_clients_json(t: Ledger) -> DataFrame:
+    """JSON Lines feed with a field that no schema declares."""
+    folder = _feed_folder(t)
+    _clients_feed(t).write.json(f"{folder}/PS_Cliente.jsonl")
+    readers = pipeline.raw_readers(t.spark, folder, {"PS_Cliente": "jsonl"})
+    layers.write_layer(readers["PS_Cliente"](), folder, "PS_Cliente", "csv")
+    return _drop_ordinal(layers.read_layer(t.spark, folder, "PS_Cliente"))
+
+
+def landed_quotes(t: Ledger) -> DataFrame:
+    """Latest quotes out of landed payload documents, one per currency and month."""
+    folder = _feed_folder(t)
+    quote = F.struct(F.col("cotacao_compra").alias("cotacaoCompra"), F.col("cotacao_venda").alias("cotacaoVenda"),
+                     F.col("data_hora_cotacao").alias("dataHoraCotacao"))
+    month = F.substring("data_hora_cotacao", 1, 7)
+    documents = t.quotes().groupBy("moeda", month.alias("mes")).agg(
+        F.transform(F.sort_array(F.collect_list(F.struct(dedup.ORDINAL, quote.alias("q")))), lambda x: x["q"]).alias("value"))
+    documents.select("moeda", F.to_json(F.struct("value")).alias("texto")).write.partitionBy("moeda").text(folder)
+    answers = t.spark.read.option("basePath", folder).text(folder).select(
+        "moeda", F.col("_metadata.file_path").alias("arquivo"), F.from_json("value", RATE_PAYLOAD)["value"].alias("value"))
+    return rates.latest_quotes(flatten_payloads(answers, "moeda", "arquivo"))
+
+
+def silver_layer_by_month(t: Ledger) -> DataFrame:
+    """Payables written in directories by month due and read back with their declared schema."""
+    folder = _feed_folder(t)
+    dated = t.clean_payables().withColumn("mes_vencimento", month_key(F.col("data_vencimento")))
+    layers.write_layer(dated, folder, "conta_pagar_silver", partition_by=["mes_vencimento"], sort_by=["id_conta"])
+    return _drop_ordinal(layers.read_layer(t.spark, folder, "conta_pagar_silver", SILVER["conta_pagar_silver"]))
+
+
 def quality_targets(t: Ledger) -> DataFrame:
     targets = t.clean_targets()
     return targets.agg(*checks.complete_rows([c for c in targets.columns if c != dedup.ORDINAL]))
@@ -210,6 +308,13 @@ def quality_keys(t: Ledger) -> DataFrame:
                    checks.orphan_keys(receivable, "sk_categoria", s.dim_categoria, "sk_categoria")),
         violations("fk receber moeda", checks.orphan_keys(receivable, "sk_moeda", s.dim_moeda, "sk_moeda")),
         violations("fk receber pagamento", checks.orphan_keys(receivable, "sk_data_pagamento", s.dim_data, "sk_data")),
+        violations("pk fato_meta_mensal", checks.repeated_keys(s.fato_meta_mensal, ["sk_fato_meta"])),
+        violations("uk dim_moeda", checks.repeated_keys(s.dim_moeda, ["codigo_moeda"])),
+        violations("fk receber vencimento", checks.orphan_keys(receivable, "sk_data_vencimento", s.dim_data, "sk_data")),
+        violations("fk pagar categoria", checks.orphan_keys(payable, "sk_categoria", s.dim_categoria, "sk_categoria")),
+        violations("fk pagar moeda", checks.orphan_keys(payable, "sk_moeda", s.dim_moeda, "sk_moeda")),
+        violations("fk pagar pagamento", checks.orphan_keys(payable, "sk_data_pagamento", s.dim_data, "sk_data")),
+        violations("fk meta data", checks.orphan_keys(s.fato_meta_mensal, "sk_data_referencia", s.dim_data, "sk_data")),
         violations("fk pagar vencimento", checks.orphan_keys(payable, "sk_data_vencimento", s.dim_data, "sk_data")),
     ]
     result = lines[0]
@@ -236,6 +341,11 @@ def client_category_mix(t: Ledger) -> DataFrame:
     return customers.category_mix(t.clean_receivables(), t.clean_categories())
 
 
+def client_category_mix_wide(t: Ledger) -> DataFrame:
+    wide = customers.mix_columns(customers.category_mix(t.clean_receivables(), t.clean_categories()), FEW_NAMES)
+    return _rounded(wide, *wide.columns[1:], digits=9)
+
+
 def client_features(t: Ledger) -> DataFrame:
     return _rounded(
         t.wide_features, "variancia_dias_atraso", "desvio_dias_atraso",
@@ -259,6 +369,18 @@ def country_band_crosstab(t: Ledger) -> DataFrame:
     return reports.crosstab(t.features, "pais_cliente", "faixa_valor_cliente", VALUE_BANDS)
 
 
+def country_segment_crosstab(t: Ledger) -> DataFrame:
+    return reports.crosstab(t.segmented(), "pais_cliente", "cluster", [0, 1, 2])
+
+
+def currency_counts(t: Ledger) -> DataFrame:
+    return reports.value_counts(t.segmented(), "moeda_pais")
+
+
+def band_counts(t: Ledger) -> DataFrame:
+    return reports.value_counts(t.segmented(), "faixa_valor_cliente")
+
+
 def segment_profile(t: Ledger) -> DataFrame:
     return _rounded(reports.segment_profile(t.segmented()), "recencia_media", "frequencia_media", "valor_medio",
                     "em_dia_pct", digits=4)
@@ -307,6 +429,56 @@ def cluster_pca(t: Ledger) -> DataFrame:
     })
 
 
+_AXES = ["recencia_dias", "taxa_pagamento_em_dia"]
+
+
+def _two_axes(t: Ledger) -> DataFrame:
+    """Vectors of two standardised features, with the segment by rule."""
+    vectors = segments.feature_vectors(t.features.select("id_cliente", *[F.col(c).cast("double") for c in _AXES]))
+    return vectors.join(_segments_by_rule(t.features), "id_cliente")
+
+
+def segment_quality(t: Ledger) -> DataFrame:
+    """Metrics of the segments by rule; those of one segment alone, with all others as noise, are degenerate."""
+    labelled = materialise(_two_axes(t))
+    alone = labelled.withColumn("cluster", F.when(F.col("cluster") == 0, 0).otherwise(-1))
+    found = [segments.labelling_metrics(labelled, "regra"), segments.labelling_metrics(alone, "um_grupo")]
+    rows = [tuple(metrics[f] for f in MODEL_METRICS.fieldNames()) for metrics in found]
+    return _rounded(t.spark.createDataFrame(rows, MODEL_METRICS), "noise_ratio", "silhouette", "davies_bouldin", "calinski_harabasz",
+                    digits=5)
+
+
+def feature_vector_entries(t: Ledger) -> DataFrame:
+    """The standardised and one-hot vector in long form."""
+    used = t.features.select("id_cliente", *[F.col(c).cast("double") for c in _AXES], "faixa_valor_cliente")
+    entries = segments.feature_vectors(used).select("id_cliente", F.posexplode(vector_to_array("features")).alias("posicao", "valor"))
+    return _rounded(entries.where("abs(valor) > 1e-9"), "valor")
+
+
+def pca_of_two(t: Ledger) -> DataFrame:
+    """Axes of two standardised features, without their signs, which are free."""
+    labelled = _two_axes(t)
+    placed, explained = segments.project_2d(labelled.select("id_cliente", "features"), labelled.select("id_cliente", "cluster"))
+    return _rounded(placed.select("id_cliente", F.abs("pc1").alias("pc1"), F.abs("pc2").alias("pc2")).withColumns({
+        "parte_1": F.lit(explained[0]), "parte_2": F.lit(explained[1])}), "pc1", "pc2", "parte_1", "parte_2")
+
+
+def forced_clusters(t: Ledger) -> DataFrame:
+    """Both families on clients in three groups so far apart that the grouping is forced; a group is its least id."""
+    key = F.col("c_custkey")
+    place = F.element_at(F.array(*[F.lit(x) for x in (0.0, 1000.0, 9000.0)]), (key % 3 + 1).cast("int")) + key % 7
+    vectors = materialise(t.table("customer").select(
+        key.cast("bigint").alias("id_cliente"), array_to_vector(F.array(place, (key % 5).cast("double"))).alias("features")))
+    out = None
+    for family in ("kmeans", "bisecting"):
+        best = min((segments.fit_candidate(vectors, family, 3, seed) for seed in range(3)), key=lambda c: c.cost)
+        labelled = best.model.transform(vectors).select("id_cliente", "prediction")
+        least = labelled.groupBy("prediction").agg(F.min("id_cliente").alias("grupo"))
+        part = labelled.join(least, "prediction").select(F.lit(family).alias("familia"), "id_cliente", "grupo")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 JOBS: dict[str, Callable[[Ledger], DataFrame]] = {
     "revenue_by_month_currency_category": revenue_by_month_currency_category,
     "revenue_by_client_year": revenue_by_client_year,
@@ -330,6 +502,17 @@ JOBS: dict[str, Callable[[Ledger], DataFrame]] = {
     "fact_payable": lambda t: t.star.fato_conta_pagar,
     "fact_target": lambda t: t.star.fato_meta_mensal,
     "new_keys_only": new_keys_only,
+    "new_part_keys_hot": new_part_keys_hot,
+    "hot_client_currency": hot_client_currency,
+    "append_star_twice": append_star_twice,
+    "landed_clients_csv": landed_clients_csv,
+    "landed_clients_json": landed_clients_json,
+    "landed_quotes": landed_quotes,
+    "silver_layer_by_month": silver_layer_by_month,
+    "segment_quality": segment_quality,
+    "feature_vector_entries": feature_vector_entries,
+    "pca_of_two": pca_of_two,
+    "forced_clusters": forced_clusters,
     "quality_targets": quality_targets,
     "quality_categories": quality_categories,
     "quality_clients": quality_clients,
@@ -339,6 +522,7 @@ JOBS: dict[str, Callable[[Ledger], DataFrame]] = {
     "client_rfm": client_rfm,
     "client_behaviour": client_behaviour,
     "client_category_mix": client_category_mix,
+    "client_category_mix_wide": client_category_mix_wide,
     "client_features": client_features,
     "client_value_band": client_value_band,
     "band_statistics": band_statistics,
@@ -347,6 +531,9 @@ JOBS: dict[str, Callable[[Ledger], DataFrame]] = {
     "country_band_crosstab": country_band_crosstab,
     "distinct_due_dates": lambda t: reports.distinct_values(t.clean_payables(), "data_vencimento"),
     "segment_output": lambda t: t.segmented(),
+    "country_segment_crosstab": country_segment_crosstab,
+    "currency_counts": currency_counts,
+    "band_counts": band_counts,
     "segment_profile": segment_profile,
     "segment_five_numbers": segment_five_numbers,
     "segment_centroids": segment_centroids,

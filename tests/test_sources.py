@@ -20,13 +20,34 @@ def test_csv_cells_are_text_and_missing_tokens_null(spark, tmp_path):
     assert rows(df.select("a", "b").where("a is not null"), "a") == [("007", None), ("1.10", "x")]
 
 
+def test_csv_cells_may_span_lines_but_not_exceed_the_header(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_text('a,b\n1,"x\ny"\n2\n3,z\n', encoding="utf-8")
+    assert rows(layers.read_csv(spark, str(path)).select("a", "b"), "a") == [("1", "x\ny"), ("2", None), ("3", "z")]
+    (tmp_path / "wide.csv").write_text("a,b\n1,x\n2,y,surplus\n", encoding="utf-8")
+    with pytest.raises(Exception, match="More cells than columns"):
+        layers.read_csv(spark, str(tmp_path / "wide.csv")).collect()
+    layers.write_layer(layers.read_csv(spark, str(path)), str(tmp_path), "landed", "csv")
+    landed = layers.read_layer(spark, str(tmp_path), "landed")
+    assert [r.a for r in landed.orderBy(ORDINAL).collect()] == ["1", "2", "3"]
+
+
+def test_json_keeps_undeclared_fields_and_refuses_broken_records(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_text('{"id": 1, "status": "pago", "x": {"y": [1, 2]}}\n{"id": 2.50, "z": true}\n', encoding="utf-8")
+    df = layers.read_json(spark, str(tmp_path / "a.jsonl"), one_array=False).drop(ORDINAL)
+    assert rows(df.select("id", "status", "x", "z"), "id") == [("1", "pago", '{"y":["1","2"]}', None), ("2.50", None, None, "true")]
+    (tmp_path / "b.jsonl").write_text('{"id": 1}\n{"id": \n', encoding="utf-8")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        layers.read_json(spark, str(tmp_path / "b.jsonl"), one_array=False).collect()
+
+
 def test_json_array_and_lines(spark, tmp_path):
     records = [{"id": 1, "n": "a"}, {"id": 2}, {"n": "ç"}]
     (tmp_path / "array.json").write_text(json.dumps(records), encoding="utf-8")
     (tmp_path / "lines.jsonl").write_text("\n".join(json.dumps(r) for r in records), encoding="utf-8")
     expected = [(None, "ç"), ("1", "a"), ("2", None)]
     for name, one_array in (("array.json", True), ("lines.jsonl", False)):
-        df = layers.read_json(spark, str(tmp_path / name), ["id", "n"], one_array)
+        df = layers.read_json(spark, str(tmp_path / name), one_array)
         assert rows(df.select("id", "n"), "id") == expected
 
 
@@ -140,9 +161,8 @@ def layered(spark, tmp_path_factory):
         (root / "payloads" / f"moeda={currency}" / "p.json").write_text(
             _payload((rate - 0.1, rate, "2025-01-10 13:00:00.000")))
 
-    readers = pipeline.raw_readers(spark, raw, {
-        "PS_Meta2025": "csv", "PS_Categoria": "csv", "PS_Cliente": "json", "PS_Conta_Pagar": "csv",
-        "PS_Conta_Receber": "csv"})
+    readers = pipeline.raw_readers(spark, raw)
+    assert sorted(readers) == sorted(RAW)
     readers["PS_Ausente"] = lambda: layers.read_csv(spark, raw + "/none.csv")
     failed = pipeline.land(readers, bronze)
     pipeline.run_rates(spark, payloads, bronze, ["FRANCA", "ESTADOS UNIDOS", "REINO UNIDO", "BRASIL", "ATLANTIS"])
@@ -152,6 +172,21 @@ def layered(spark, tmp_path_factory):
     return failed, bronze, silver, star, ml
 
 
+def test_layers_as_csv_and_without_rates_or_clients(spark, layered, tmp_path):
+    bronze, silver, gold, ml = (str(tmp_path / n) for n in ("bronze", "silver", "gold", "ml"))
+    landed = {name: layers.read_layer(spark, layered[1], name) for name in RAW}
+    landed["PS_Cliente"] = landed["PS_Cliente"].where("false")
+    assert pipeline.land({name: (lambda df=df: df) for name, df in landed.items()}, bronze, "csv") == {}
+    pipeline.run_silver(spark, bronze, silver, "csv")
+    ledger = layers.read_layer(spark, silver, "conta_receber_silver", SILVER["conta_receber_silver"])
+    assert ledger.count() == 200 and ledger.where("valor_conta != valor_conta_brl").isEmpty()
+    star = pipeline.run_gold(spark, silver, gold)
+    assert star.fato_conta_receber.count() == 200 and star.dim_cliente.count() == 0
+    assert (tmp_path / "gold" / "fato_conta_receber.parquet" / "mes_vencimento=2025-01-01").exists()
+    pipeline.run_segments(spark, silver, ml, restarts=1)
+    assert layers.read_layer(spark, ml, "cliente_clusterizado").count() == 0
+
+
 def test_landing_reports_failures_and_goes_on(layered):
     assert list(layered[0]) == ["PS_Ausente"]
 
