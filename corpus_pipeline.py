@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgermill.llm import decontaminate, language, lines, minhash, packing
+from ledgermill.llm.shipping import ship_package
 from ledgermill.sources.shared import materialise
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -64,6 +65,7 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over `documents`, each written to the shared folder before the next reads it."""
+    ship_package(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
         docs = materialise(stage(spark, docs, sf_dir))

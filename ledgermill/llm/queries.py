@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontaminate, language, licenses, lines, minhash, packing, pages, sharding, toxicity, vectors
+from .shipping import ship_package
 
 SHARDS = [f"shard-{i:02d}" for i in range(64)]
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -84,19 +86,31 @@ def _remainder(column: str, n: int) -> Column:
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % n, F.lit(0))
 
 
+def _ready(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    @wraps(query)
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        ship_package(spark)
+        return query(spark, folder)
+
+    return run
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
-        "op1_near_duplicates": op1_near_duplicates,
-        "op2_line_dedup": op2_line_dedup,
-        "op3_sharding": op3_sharding,
-        "op4_toxicity": op4_toxicity,
-        "op5_near_duplicate_vectors": op5_near_duplicate_vectors,
-        "op6_language": op6_language,
-        "op7_decontamination": op7_decontamination,
-        "op8_packing": op8_packing,
-        "op9_licenses": op9_licenses,
-        "op10_main_text": op10_main_text,
-    }
+    return {name: _ready(query) for name, query in _QUERIES.items()}
+
+
+_QUERIES = {
+    "op1_near_duplicates": op1_near_duplicates,
+    "op2_line_dedup": op2_line_dedup,
+    "op3_sharding": op3_sharding,
+    "op4_toxicity": op4_toxicity,
+    "op5_near_duplicate_vectors": op5_near_duplicate_vectors,
+    "op6_language": op6_language,
+    "op7_decontamination": op7_decontamination,
+    "op8_packing": op8_packing,
+    "op9_licenses": op9_licenses,
+    "op10_main_text": op10_main_text,
+}
 
 
 def oracle_sql() -> dict[str, str]:
