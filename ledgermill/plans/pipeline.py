@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
-from functools import partial
+from functools import partial, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +15,7 @@ from ..operators.lookups import lookup_join
 from ..schemas import GOLD, RATES, SILVER
 from ..sources.layers import list_files, read_csv, read_json, read_layer, write_layer
 from ..sources.rate_payloads import read_rate_payloads
-from ..sources.shared import side_by_side
+from ..sources.shared import removing_tables, side_by_side
 from . import customers, rates, segments, silver
 from .star import Star, build_star
 
@@ -56,6 +56,17 @@ def raw_readers(spark: SparkSession, raw: str, extensions: dict[str, str] | None
     return {name: partial(kinds[extension], name, f"{raw}/{name}.{extension}") for name, extension in extensions.items()}
 
 
+def _tidy(job: Callable) -> Callable:
+    """Remove a job's intermediate tables once its outputs are written."""
+    @wraps(job)
+    def run(spark: SparkSession, *args, **options):
+        with removing_tables(spark):
+            return job(spark, *args, **options)
+
+    return run
+
+
+@_tidy
 def run_rates(spark: SparkSession, payloads: str, bronze: str, countries: list[str],
               start: date | None = None, end: date | None = None, output_format: str = "parquet") -> None:
     """Completed daily rates for the months with payments."""
@@ -66,6 +77,7 @@ def run_rates(spark: SparkSession, payloads: str, bronze: str, countries: list[s
     write_layer(rates.complete_quotes(quotes, days, currencies), bronze, "bcb_cotacoes", output_format)
 
 
+@_tidy
 def run_silver(spark: SparkSession, bronze: str, silver_folder: str, output_format: str = "parquet") -> None:
     """Clean the five tables. Clients come before the receivables that need their currency; without landed rates
     receivables are not converted."""
@@ -101,6 +113,7 @@ def _silver_inputs(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return {name: read_layer(spark, folder, name, schema) for name, schema in SILVER.items()}
 
 
+@_tidy
 def run_gold(spark: SparkSession, silver_folder: str, gold: str, output_format: str = "parquet",
              existing: Star | None = None) -> Star:
     """Write the star schema and return it as read back. Ledger facts lie in directories by month due. Rows that
@@ -117,6 +130,7 @@ def run_gold(spark: SparkSession, silver_folder: str, gold: str, output_format:
     return Star(**{name: read_layer(spark, gold, name, GOLD[name]) for name in star.tables()})
 
 
+@_tidy
 def run_segments(spark: SparkSession, silver_folder: str, ml: str, restarts: int = segments.RESTARTS) -> None:
     """Write features, the comparison of models, and the segmented clients. Without clients the tables are empty."""
     t = _silver_inputs(spark, silver_folder)

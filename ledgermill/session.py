@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -16,6 +18,7 @@ def local_session(cores: str = "*", name: str = "ledgermill", **extra: str) -> S
     """Session on one machine, for tests and measurements. On a cluster the jobs use the session they are given."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(name)
     settings = SETTINGS | {
+        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="ledgermill-"),  # one machine: its folder is shared
         "spark.sql.shuffle.partitions": "8",
         "spark.ui.enabled": "false",
         "spark.driver.memory": "8g",

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from threading import Lock
 
 from pyspark import inheritable_thread_target
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 _folder_choice = Lock()
+_kept: list[list[str]] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -35,10 +37,27 @@ def materialise(df: DataFrame) -> DataFrame:
     planner the true size of what follows.
     """
     path = f"{shared_folder(df.sparkSession)}/ledgermill-{uuid.uuid4().hex}"
+    for paths in _kept:
+        paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def removing_tables(spark: SparkSession):
+    """Remove the tables that `materialise` writes inside, at the end, when a job has written its outputs."""
+    paths: list[str] = []
+    _kept.append(paths)
+    try:
+        yield
+    finally:
+        _kept.remove(paths)
+        settings = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in paths:
+            place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(settings).delete(place, True)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Share out a table that arrives in fewer splits than there are cores, such as one file that cannot be split.
 

@@ -1,4 +1,5 @@
 import json
+import os
 from datetime import date
 
 import pytest
@@ -123,6 +124,16 @@ def test_materialised_tables_lie_in_the_shared_folder(spark):
     assert spark.conf.get("spark.checkpoint.dir") + "/ledgermill-" in df.inputFiles()[0]
 
 
+def test_a_run_removes_its_intermediate_tables(spark):
+    with shared.removing_tables(spark):
+        inside = shared.materialise(spark.range(3))
+        assert inside.count() == 3
+    folder = spark.conf.get("spark.checkpoint.dir")
+    assert not os.path.exists(inside.inputFiles()[0].removeprefix("file://")) and os.path.isdir(folder)
+    outside = shared.materialise(spark.range(3))
+    assert outside.count() == 3
+
+
 def test_insert_options():
     options = database.insert_options("jdbc:x", "s.t", 4, truncate="true", user="u")
     assert options == {"url": "jdbc:x", "dbtable": "s.t", "batchsize": 5000, "numPartitions": 4, "truncate": "true",
