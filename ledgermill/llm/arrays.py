@@ -7,8 +7,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-# Bytes of text that are worked on at once. One longer text is a piece of its own.
-PIECE_BYTES = 1 << 20
+# Bytes of text and rows that are worked on at once. One longer text is a piece of its own.
+PIECE_BYTES, PIECE_ROWS = 1 << 20, 4096
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -47,7 +47,7 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def text_pieces(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Split a string column into runs of rows of about `PIECE_BYTES`.
+    """Split a string column into runs of up to `PIECE_ROWS` rows of about `PIECE_BYTES`.
 
     Yields the first row, the row after the last, the bytes, and the offsets of the rows in them. Null counts as empty.
     """
@@ -68,7 +68,7 @@ def text_pieces(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndar
     first = 0
     while first < n:
         last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + PIECE_BYTES, "right")) - 1)
-        last = min(last, n)
+        last = min(last, n, first + PIECE_ROWS)
         own = offsets[first:last + 1]
         yield first, last, data[own[0]:own[-1]], own - own[0]
         first = last
@@ -76,22 +76,40 @@ def text_pieces(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndar
 
 def words(data: np.ndarray, offsets: np.ndarray, blank: np.ndarray = BLANKS,
           lower: np.ndarray = LOWER) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of each word, and the number of words before each row (one more than rows)."""
-    if not len(data):
-        return np.empty(0, np.uint64), np.zeros(len(offsets), np.int64)
-    inside = ~blank[data]
-    row_start = np.zeros(len(data) + 1, bool)
-    row_start[offsets] = True
-    begins = inside.copy()
-    begins[1:] &= ~inside[:-1] | row_start[1:-1]
-    ends = inside.copy()
-    ends[:-1] &= ~inside[1:] | row_start[1:-1]
-    begins, ends = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-    power, inverse = _power_tables(len(data) + 1)
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE_VALUES[lower[data]] * power[:len(data)], out=total[1:])
-    hashes = mix((total[ends] - total[begins]) * inverse[begins] + (ends - begins).astype(np.uint64))
-    return hashes, np.searchsorted(begins, offsets)
+    """Hash of each word, and the number of words before each row (one more than rows).
+
+    Long data are worked on in parts that end between words, so memory is a small multiple of the words.
+    """
+    all_begins, all_hashes, done = [np.empty(0, np.int64)], [np.empty(0, np.uint64)], 0
+    while done < len(data):
+        until = _between_words(data, done + 2 * PIECE_BYTES, blank)
+        part = data[done:until]
+        inside = ~blank[part]
+        row_start = np.zeros(len(part) + 1, bool)
+        low, high = np.searchsorted(offsets, (done, until))
+        row_start[offsets[low:high] - done] = True
+        begins = inside.copy()
+        begins[1:] &= ~inside[:-1] | row_start[1:-1]
+        ends = inside.copy()
+        ends[:-1] &= ~inside[1:] | row_start[1:-1]
+        begins, ends = np.flatnonzero(begins), np.flatnonzero(ends) + 1
+        power, inverse = _power_tables(len(part) + 1)
+        total = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(_BYTE_VALUES[lower[part]] * power[:len(part)], out=total[1:])
+        all_hashes.append(mix((total[ends] - total[begins]) * inverse[begins] + (ends - begins).astype(np.uint64)))
+        all_begins.append(begins + done)
+        done = until
+    return np.concatenate(all_hashes), np.searchsorted(np.concatenate(all_begins), offsets)
+
+
+def _between_words(data: np.ndarray, at: int, blank: np.ndarray) -> int:
+    """The first place from `at` on that is blank, or the end."""
+    while at < len(data):
+        found = np.flatnonzero(blank[data[at:at + PIECE_BYTES]])
+        if len(found):
+            return at + int(found[0])
+        at += PIECE_BYTES
+    return len(data)
 
 
 _PLACES = seeds(64, 23) | np.uint64(1)

@@ -1,5 +1,4 @@
 import random
-from bisect import bisect_left
 
 import duckdb
 import numpy as np
@@ -102,7 +101,6 @@ def test_packing_keeps_all_words_and_all_limits(spark):
         assert out[out.doc_id == doc].words.sum() == text
     assert {902, 903} <= set(out.doc_id.dropna())
     assert packing.pack(table.where("false")).collect() == []
-    assert bisect_left([1], 1) == 0
 
 
 def test_word_counts(spark):
