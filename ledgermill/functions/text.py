@@ -2,7 +2,7 @@
 
 Each function is one small step. Longer cleanings are lists of steps for `stepwise`, which gives every step its own
 projection: a step may then use its input several times without that input being computed several times. A filter on a
-cleaned text undoes this, because Spark moves it below the projections; filter on the written table instead.
+cleaned text undoes this, because Spark moves it below the projections, unless `held` stands between them.
 """
 
 from __future__ import annotations
@@ -46,6 +46,16 @@ def stepwise(df: DataFrame, column: str, steps: Iterable[Step], source: str | No
     return df
 
 
+def held(df: DataFrame, columns: list[str]) -> DataFrame:
+    """`df` with `columns` computed once, even if a filter on them follows.
+
+    The planner moves filters below projections, with a copy of all that is computed there. It does not move them below
+    a generator, and the outer form of one that makes a single row changes nothing else.
+    """
+    others = [c for c in df.columns if c not in columns]
+    return df.select(*others, F.inline_outer(F.array(F.struct(*columns)))).select(*df.columns)
+
+
 def lookup(key: Column, table: dict) -> Column:
     """Value of `key` in a small constant table, null if it is not there."""
     pairs = [F.lit(part) for item in table.items() for part in item]

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import LEDGER_LAYOUTS, month_key, parse_dates
 from ..functions.fixed_values import COUNTRY_CURRENCY, HOME_CURRENCY
+from ..functions.text import held
 from ..operators.calendar import daily_range, days_of_months, fill_forward
 from ..operators.dedup import ORDINAL, arrival, keep_first, last_arrived
 from ..sources.shared import materialise
@@ -17,7 +18,9 @@ from ..sources.shared import materialise
 def payment_months(receivables: DataFrame, repair_feb29: bool = False) -> DataFrame:
     """First days of the months in which receivables were paid."""
     paid = parse_dates(receivables.select("data_pagamento"), "data_pagamento", LEDGER_LAYOUTS, repair_feb29)
-    return paid.select(month_key(F.col("data_pagamento")).alias("mes")).where("mes is not null").distinct()
+    # The days are made distinct first: the filter then reads a calendar's worth of rows.
+    days = paid.select(month_key(F.col("data_pagamento")).alias("mes")).distinct()
+    return held(days, ["mes"]).where("mes is not null")
 
 
 def quote_days(months: DataFrame, start: date | None = None, end: date | None = None) -> DataFrame:

@@ -23,6 +23,9 @@ CLUSTER_COUNTS = range(2, 9)
 RESTARTS = 20
 SEED = 42
 
+# Vectors a task of a fit should have at least.
+TASK_ROWS = 25_000
+
 # Levels of a text column with a coordinate of their own.
 TEXT_LEVELS = 1000
 
@@ -172,6 +175,8 @@ def compare_clusterings(features: DataFrame, counts=CLUSTER_COUNTS, restarts: in
     """
     vectors = materialise(feature_vectors(features, include_last_payment))
     clients = vectors.count()
+    # A fit is many short jobs, so few rows are not spread over more tasks than they fill.
+    vectors = vectors.coalesce(max(1, -(-clients // TASK_ROWS)))
     possible = [k for k in counts if k <= clients]
     fits = [("kmeans", k, SEED + i) for k in possible for i in range(restarts)]
     fits += [("bisecting", k, SEED) for k in possible]

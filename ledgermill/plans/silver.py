@@ -14,7 +14,7 @@ from ..functions.dates import (
 )
 from ..functions.fixed_values import ARS_SELL_RATE, HOME_CURRENCY
 from ..functions.money import brl_value, to_identifier, to_number, to_target_amount
-from ..functions.text import CATEGORY_LABEL, COUNTRY_NAME, KEY_TEXT, PERSON_NAME, currency_of, stepwise, strip_blanks
+from ..functions.text import CATEGORY_LABEL, COUNTRY_NAME, KEY_TEXT, PERSON_NAME, currency_of, held, stepwise, strip_blanks
 from ..operators.dedup import ORDINAL, best_labelled, first_arrived
 from ..operators.headers import require_columns, tidy_headers, with_optional
 from ..operators.lookups import lookup_join
@@ -59,9 +59,10 @@ def clean_clients(raw: DataFrame) -> DataFrame:
 
 
 def _clean_ledger(df: DataFrame, keys: list[str]) -> DataFrame:
+    needed = [*keys, "valor_conta"]
     for key in keys:
-        df = to_identifier(df, key).where(F.col(key).isNotNull())
-    df = to_number(df, "valor_conta").where(F.col("valor_conta").isNotNull())
+        df = to_identifier(df, key)
+    df = held(to_number(df, "valor_conta"), needed).dropna(subset=needed)
     for column in ("data_vencimento", "data_pagamento"):
         df = parse_dates(df, column, LEDGER_LAYOUTS, repair_feb29=True)
     return with_optional(df, "observacao_conta")

@@ -40,8 +40,8 @@ class Ledger(Tables):
         return materialise(self.receivables())
 
     def quote_days(self) -> DataFrame:
-        # The payment dates alone; the whole feed is landed only by jobs that read more of it.
-        feed = self.__dict__.get("landed_receivables") or self.receivables()
+        # The payment dates alone are landed here; the whole feed only by jobs that read more of it.
+        feed = self.__dict__.get("landed_receivables") or materialise(self.receivables().select("data_pagamento"))
         return rates.quote_days(rates.payment_months(feed), RATES_FROM, RATES_TO)
 
     def rates(self) -> DataFrame:
