@@ -31,7 +31,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Take later copies of runs of lines out of the texts, and `n_chars` after them; drop texts nothing is left of."""
-    left = lines.without_repeated_runs(docs.select(*COLUMNS))
+    left = lines.without_repeated_runs(docs.select(*COLUMNS), ends=True)
     changed = F.col("lines_removed") > 0
     return left.where(~changed | (F.trim("text") != "")).select(
         "doc_id", "text", "lang", "source", F.when(changed, F.length("text")).otherwise(F.col("n_chars")).cast("bigint").alias("n_chars"))
