@@ -12,8 +12,8 @@ from ..sources.shared import materialise
 # Phrases whose every place counts, and their labels.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
-# Notices by label. A block of text bears a label if it has this share of a notice's distinct words, and no other
-# notice is closer.
+# Notices by label. A block of text bears a label if it has this share of a notice's distinct words, unless a closer
+# notice has all of these words too.
 THRESHOLD = 0.8
 TEMPLATES = [
     ("apache", "licensed under the apache license version 2 0"),
@@ -59,8 +59,9 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     text is shuffled. Words are ordered by the number of blocks that have them, over all rows, rarest first. A notice
     of n words of which c must be found has its first n - c + 1 words as prefix, and so has a block: two such sets can
     only be alike enough if their prefixes share a word, they have c words each, and the words after the shared one
-    suffice. What passes these filters is compared in full, so every block that reaches the threshold is found. A block gets the labels of the notices it
-    has the largest share of.
+    suffice. What passes these filters is compared in full, so every block that reaches the threshold is found. A block gets the
+    labels of all these notices, but not of one whose words in the block are all among those of a closer notice (a
+    CC BY-NC notice has 6 of the 7 words of the CC BY-SA one and no word that speaks for it).
 
     Null and empty texts have no words, no labels and score 0. Each row is scanned on its own: ids may be null or
     repeated. Other columns are ignored.
@@ -106,12 +107,15 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     room = F.least(F.col("size") - F.col("at"), F.size("words") - F.col("at_block"))
     met = heads.join(F.broadcast(prefixes), "word").where(
         (F.size("words") >= F.col("need")) & (F.col("at_block") <= F.size("words") - F.col("need")) & (room >= F.col("need") - F.least("at", "at_block")))
-    share = F.size(F.array_intersect("words", "notice_words")) / F.col("size")
-    alike = met.select("row", "words", "label", "need", "size", share.alias("share")).where("round(share * size) >= need")
+    hits = F.array_intersect("words", "notice_words")
+    alike = met.select("row", "words", "label", "size", "need", hits.alias("hits")).where("size(hits) >= need")
     # At most one entry for each notice.
-    closest = alike.groupBy("row", "words").agg(F.collect_set(F.struct("share", "label")).alias("all")).select(
-        "row", F.array_max("all")["share"].alias("share"),
-        F.explode(F.filter("all", lambda one: one["share"] == F.array_max("all")["share"])).alias("one"))
+    own = F.struct((F.size("hits") / F.col("size")).alias("share"), "label", "hits")
+    found = alike.groupBy("row", "words").agg(F.collect_set(own).alias("all"))
+    contained = lambda one: F.exists("all", lambda other: (other["share"] > one["share"]) & (
+        F.size(F.array_except(one["hits"], other["hits"])) == 0))
+    closest = found.select("row", F.array_max("all")["share"].alias("share"), F.explode(
+        F.filter("all", lambda one: ~contained(one))).alias("one"))
     labels = closest.groupBy("row").agg(F.collect_set("one.label").alias("more"), F.max("share").alias("share"))
     whole = F.array_sort(F.array_distinct(F.concat("base", F.coalesce("more", F.array().cast("array<string>")))))
     return read.drop("blocks").join(labels, "row", "left").select(

@@ -78,3 +78,16 @@ def test_license_scan_equals_brute_force(spark):
     got = sorted((tuple(r) for r in licenses.license_scan(table).collect()), key=repr)
     assert got == scanned(docs)
     assert licenses.license_scan(table.where("false")).collect() == []
+
+
+def labels(spark, *texts):
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    return [r.labels for r in licenses.license_scan(table).orderBy("doc_id").collect()]
+
+
+def test_notices_beside_closer_ones_in_a_line_are_found(spark):
+    bsd = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+           "conditions are met")
+    apache = "Licensed under the Apache License edition 2.0"
+    assert labels(spark, f"All rights reserved. {bsd}", f"{apache}, or released under the MIT license", "Licensed under CC BY-NC 4.0",
+                  "Licensed under CC BY-NC 4.0 or CC BY-SA 4.0") == ["bsd,reserved", "apache,mit", "cc-by,cc-by-nc", "cc-by,cc-by-nc,cc-by-sa"]
