@@ -36,6 +36,7 @@ TEMPLATES = [
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Whatever is neither a digit, an ASCII letter, nor outside ASCII parts words.
 _PARTS = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+_APART = "[\\x00-\\x09\\x0B-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 
 
 def _strings(values: list[str]) -> Column:
@@ -55,7 +56,8 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     joined by commas) and `score` (1 with a fixed phrase, else the largest share of a notice's words that one block
     has, if it reaches `threshold`, else 0).
 
-    Blocks are lines. Of each block only the words that occur in some notice are kept, so blocks are short sets and no
+    Blocks are lines, and around each line end the words before and after it, as many on each side as the longest notice
+    can take up, so notices wrapped over lines are found whole; a label counts once however many blocks bear it. Of each block only the words that occur in some notice are kept, so blocks are short sets and no
     text is shuffled. Words are ordered by the number of blocks that have them, over all rows, rarest first. A notice
     of n words of which c must be found has its first n - c + 1 words as prefix, and so has a block: two such sets can
     only be alike enough if their prefixes share a word, they have c words each, and the words after the shared one
@@ -71,11 +73,23 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     vocabulary = sorted({word for _, words in sets for word in words})
     need = [max(1, _least(len(words), threshold)) for _, words in sets]
 
+    # Words that the longest notice can take up, with others between its own.
+    span = max(len(text.split()) for _, text in templates) * 3 // 2
+    known = lambda words: F.array_intersect(words, _strings(vocabulary))
+
     tidy = F.trim(F.regexp_replace("low", _PARTS, " "))
-    blocks = F.transform(F.split("low", "\n"), lambda line: F.array_intersect(F.split(line, _PARTS), _strings(vocabulary)))
+    lines = F.transform(F.split("low", "\n"), lambda line: known(F.split(line, _PARTS)))
+    # Words and line ends in their order; line ends without words between are one.
+    marked = F.split(F.trim(F.regexp_replace(F.regexp_replace("low", _APART, " "), " ?\n[ \n]*", " \n ")), " ")
+    breaks = F.filter(F.sequence(F.lit(1), F.size("marked")), lambda at: F.get("marked", at - 1) == "\n")
+    words = lambda part: F.filter(part, lambda word: word != "\n")
+    runs = F.transform(breaks, lambda at: known(F.concat(
+        F.slice("marked", F.greatest(at - span, F.lit(1)), F.least(at - 1, F.lit(span))),
+        F.slice(words(F.slice("marked", at + 1, F.lit(2 * span))), 1, span))))
     read = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), low.alias("low")).select(
         "doc_id", F.xxhash64("doc_id", "low").alias("row"), tidy.alias("tidy"),
-        F.filter(blocks, lambda words: F.size(words) > 0).alias("blocks"))
+        F.filter(lines, lambda words: F.size(words) > 0).alias("lines"), marked.alias("marked"))
+    read = read.withColumn("blocks", F.concat("lines", F.filter(runs, lambda words: F.size(words) >= min(need))))
     padded = F.concat(F.lit(" "), F.col("tidy"), F.lit(" "))
     found = {phrase: F.contains(F.col("padded"), F.lit(f" {phrase} ")) for phrase in PHRASES}
     pieces = {phrase: F.when(found[phrase], F.split("padded", f" {phrase}(?= )")) for phrase in PHRASES}

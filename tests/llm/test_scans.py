@@ -91,3 +91,17 @@ def test_notices_beside_closer_ones_in_a_line_are_found(spark):
     apache = "Licensed under the Apache License edition 2.0"
     assert labels(spark, f"All rights reserved. {bsd}", f"{apache}, or released under the MIT license", "Licensed under CC BY-NC 4.0",
                   "Licensed under CC BY-NC 4.0 or CC BY-SA 4.0") == ["bsd,reserved", "apache,mit", "cc-by,cc-by-nc", "cc-by,cc-by-nc,cc-by-sa"]
+
+
+def test_wrapped_notices_are_found(spark):
+    mit = ("# Permission is hereby granted, free of charge, to any person obtaining a copy\n"
+           "# of this software and associated documentation files (the \"Software\"), to deal\n")
+    bsd = (" * Redistribution and use in source and binary forms, with or\n *\n * without modification, are permitted\n"
+           " * provided that the following conditions are met:\n")
+    isc = "// Permission to use, copy, modify, and/or distribute this software for any\r\n// purpose with or without fee is hereby granted"
+    tall = "\n".join("redistribution and use in source and binary forms with or without modification are permitted provided that the "
+                     "following conditions are met".split())
+    apart = "Released\n" + "word " * 40 + "\nunder the MIT license"
+    assert labels(spark, mit, f"int main;\n{bsd}{mit}", isc, tall, "\nall rights\n\nreserved\n", apart) == [
+        "mit", "bsd,mit", "isc", "bsd", "reserved", "mit"]
+    assert labels(spark, "Licensed\n" + "word " * 80 + "\nunder the Apache\n" + "word " * 80 + "\nlicense version 2") == [""]
