@@ -82,11 +82,11 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     No bin holds more than `capacity` words, two documents of one source, or two of one `cluster` (by default: of equal
     text). A document longer than a bin is cut into full pieces with bins of their own, and the rest is packed like
     a short document; nothing is left out. Documents are packed in groups of about `group_rows`, dealt by a hash of
-    their id, largest first, so bins of different groups can be filled at the same time and neither memory nor time of
+    their id, source, cluster, words and number among equal rows, largest first, so bins of different groups can be filled at the same time and neither memory nor time of
     a task grows with the data. A hot source opens bins; it does not slow the others.
 
     Null and empty texts are pieces without words; they conflict with nothing. Null sources conflict with nothing.
-    Rows that repeat an id are packed as documents of their own, in one group. Other columns are ignored.
+    Rows that repeat an id are packed as documents of their own, and dealt like any others. Other columns are ignored.
     """
     if not 0 < capacity < 1 << 31:
         raise ValueError("capacity must be positive")
@@ -95,6 +95,11 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     rows = materialise(docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(source_col).cast("string").alias("source"),
                                    same.alias("cluster"), word_count(text).alias("words")))
     groups = max(1, -(-rows.count() // group_rows))
-    own = F.pmod(F.xxhash64("doc_id", F.when(F.col("doc_id").isNull(), F.struct("cluster", "words"))), F.lit(groups))
-    rows = rows.withColumn("group", own.cast("bigint"))
+    # Equal rows are counted and told apart by number, in two steps so that no array is long and no task makes them all.
+    equal = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("n"))
+    first = F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / group_rows) * group_rows, F.lit(group_rows).cast("bigint")))
+    lots = equal.select("*", first.alias("first")).repartition("doc_id", "source", "cluster", "words", "first")
+    number = F.explode(F.sequence("first", F.least(F.col("n"), F.col("first") + group_rows) - 1))
+    own = F.pmod(F.xxhash64("doc_id", "source", "cluster", "words", "number"), F.lit(groups))
+    rows = lots.select(*rows.columns, number.alias("number")).withColumn("group", own.cast("bigint")).drop("number")
     return rows.groupBy("group").applyInPandas(lambda key, frame: _pack(key, frame, capacity), _PLACED)

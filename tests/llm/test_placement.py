@@ -107,3 +107,12 @@ def test_word_counts(spark):
     texts = ["a b", " a\t\tb\nc ", "", None, "   ", "x"]
     table = spark.createDataFrame([(t,) for t in texts], "text string")
     assert [r[0] for r in table.select(packing.word_count(F.col("text"))).collect()] == [2, 3, 0, 0, 0, 1]
+
+
+def test_rows_of_one_id_do_not_share_a_group(spark):
+    rows = [(7, "a b c", "s")] * 600 + [(None, "", None)] * 600 + [(8, f"w{i} x", "s") for i in range(600)] + [(i, "y z", "t") for i in range(100, 700)]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    out = packing.pack(table, capacity=100, group_rows=60).toPandas()
+    assert len(out) == len(rows) and out.words.sum() == 600 * (3 + 2 + 2)
+    assert out.fillna({"doc_id": -1}).groupby("doc_id").size().loc[[7, -1, 8]].tolist() == [600] * 3
+    assert (out["bin"] // (1 << 32)).value_counts().max() < 2.5 * 60
