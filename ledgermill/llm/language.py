@@ -173,8 +173,9 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
             yield frame[["place", "lang"]].assign(text=cut)
 
     sample = keyed.join(F.broadcast(chosen), "key").select(hashed.alias("place"), "lang", "text").mapInPandas(
-        passages, "place bigint, lang string, text string").where("text != ''").toPandas()
-    sample = sample.sort_values(["place", "lang", "text"]).iloc[:fit_rows]
+        passages, "place bigint, lang string, text string").where("text != ''")
+    # Cut by executors, one partition at the end: a limit that is collected itself would send each partition's rows here.
+    sample = sample.orderBy("place", "lang", "text").limit(fit_rows).coalesce(1).toPandas().sort_values(["place", "lang", "text"])
     labels = sorted(sample["lang"].unique())
     features = np.zeros((1 << _BITS, len(labels)), np.float32)
     transitions = np.zeros((len(labels), len(labels)))

@@ -305,7 +305,9 @@ def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", fit_p
     thin = pages.where(F.length(html_col) <= FIT_CHARS).select(F.col(id_col).alias("key"), place.alias("place"))
     chosen = thin.where("key IS NOT NULL").orderBy("place", "key").limit(fit_pages).select("key").distinct()
     sample = pages.select(F.col(id_col).alias("key"), F.col(html_col).alias("html")).where(F.length("html") <= FIT_CHARS).join(
-        F.broadcast(chosen), "key").toPandas().sort_values(["key", "html"])["html"].iloc[:fit_pages].tolist()
+        F.broadcast(chosen), "key")
+    # Cut by executors, one partition at the end: a limit that is collected itself would send each partition's rows here.
+    sample = sample.orderBy("key", "html").limit(fit_pages).coalesce(1).toPandas().sort_values(["key", "html"])["html"].tolist()
     return learn(sample, rounds, seed)
 
 

@@ -96,3 +96,17 @@ def test_blocked_marginals_equal_plain_forward_backward():
         both = ahead * behind
         expected = (both / both.sum(1, keepdims=True)).sum(0) if n else np.zeros(labels)
         assert np.allclose(got[row], expected)
+
+
+def test_samples_are_cut_before_the_driver(spark, monkeypatch):
+    from ledgermill.llm import language, pages
+
+    docs = spark.createDataFrame([(1, f"some words of row {i}", "en") for i in range(300)] + [(2, "autres mots", "fr")],
+                                 "doc_id bigint, text string, lang string")
+    html = spark.createDataFrame([(1, f"<html><body><p>page {i}</p></body></html>") for i in range(300)], "page_id bigint, html string")
+    brought, collect = [], type(docs).toPandas
+    monkeypatch.setattr(type(docs), "toPandas", lambda df: brought.append(frame := collect(df)) or frame)
+    language.fit(docs, fit_rows=20, rounds=2)
+    pages.fit(html, fit_pages=20, rounds=1)
+    assert [len(frame) for frame in brought] == [20, 20]
+    assert brought[1]["html"].tolist() == sorted(r.html for r in html.collect())[:20]
