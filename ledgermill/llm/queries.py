@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, licenses, lines, minhash, packing, pages, sharding, toxicity, vectors
+from . import decontaminate, language, licenses, lines, minhash, packing, pages, ranked, sharding, spelling, topk, toxicity, vectors
 from .shipping import ship_package
 
 SHARDS = [f"shard-{i:02d}" for i in range(64)]
@@ -81,6 +81,22 @@ def op10_main_text(spark: SparkSession, folder: str) -> DataFrame:
     return pages.main_text(table, pages.fit(table))
 
 
+def op11_topk_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The 10 vectors of highest inner product with each vector whose id is divisible by 100."""
+    table = _table(spark, folder, "embeddings")
+    return topk.top_neighbours(table, table.where("vec_id % 100 = 0"))
+
+
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """Usual spelling of each word of the documents."""
+    return spelling.spelling_variants(_table(spark, folder, "documents"))
+
+
+def op13_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The 50 best documents of each benchmark item by their weighted terms."""
+    return ranked.ranked_search(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 def _remainder(column: str, n: int) -> Column:
     """crc32 of an id as text, modulo `n`; 0 if the id is null."""
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % n, F.lit(0))
@@ -110,6 +126,9 @@ _QUERIES = {
     "op8_packing": op8_packing,
     "op9_licenses": op9_licenses,
     "op10_main_text": op10_main_text,
+    "op11_topk_search": op11_topk_search,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_ranked_search": op13_ranked_search,
 }
 
 
@@ -120,6 +139,9 @@ def oracle_sql() -> dict[str, str]:
         "op5_near_duplicate_vectors": _OP5,
         "op7_decontamination": _OP7,
         "op9_licenses": _OP9,
+        "op11_topk_search": _OP11,
+        "op12_spelling_variants": _OP12,
+        "op13_ranked_search": _OP13,
     }
 
 
@@ -280,3 +302,83 @@ SELECT o.doc_id, n_words, CAST(len(p) AS BIGINT) AS n_base, list_min(p) AS first
   CASE WHEN len(p) > 0 THEN 1.0 ELSE coalesce(m.share, 0.0) END::DOUBLE AS score
 FROM own o LEFT JOIN more m USING (doc_id)
 """
+
+_OP13 = f"""
+WITH found AS (
+  SELECT doc_id, row_number() OVER () AS r,
+    regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS t
+  FROM documents
+), docs AS (SELECT *, len(t) AS n FROM found WHERE len(t) > 0),
+totals AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS length FROM docs),
+items AS (
+  SELECT DISTINCT item_id, unnest(list_distinct(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+'))) AS term FROM benchmark
+), held AS (
+  SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(t) AS term FROM docs) WHERE term IN (SELECT term FROM items) GROUP BY r, term
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM held GROUP BY term), totals
+), scored AS (
+  SELECT item_id, doc_id, r, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // length)))) AS BIGINT) AS score
+  FROM items JOIN held USING (term) JOIN weights USING (term) JOIN docs USING (r), totals GROUP BY item_id, doc_id, r
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= {ranked.TOP}
+"""
+
+_OP11 = f"""
+WITH vectors AS (
+  SELECT vec_id, list_transform(CAST(embedding AS DOUBLE[]), lambda x: CAST(floor({topk.SCALE} * x) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
+  FROM vectors q JOIN vectors c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id AND len(c.v) = len(q.v)
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= {topk.TOP}
+"""
+
+# The hash is computed byte by byte with a table that is itself made by its rule; near words are those that share a
+# word less one letter at the same place, or of which one is the other less a letter.
+_OP12 = f"""
+WITH RECURSIVE steps AS MATERIALIZED (
+  SELECT list_transform(range(256), lambda b: list_reduce(range(8), lambda c, i:
+    CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b)) AS step
+), runs AS (
+  SELECT doc_id, run, count(*) AS times FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents
+  ) WHERE length(run) >= {spelling.LEAST_LETTERS} GROUP BY doc_id, run
+), bytes AS (
+  SELECT doc_id, run, times, list_transform(regexp_extract_all(hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)), '..'),
+    lambda x: CAST(CAST('0x' || x AS INTEGER) AS BIGINT)) AS b FROM runs
+), hashed AS (
+  SELECT doc_id, run, times, xor(list_reduce(b, lambda c, x: xor(step[xor(c, x) % 256 + 1], c >> 8), 4294967295), 4294967295) AS h
+  FROM bytes, steps
+), words AS (
+  SELECT w AS word, CAST(sum(times) AS BIGINT) AS n FROM (
+    SELECT CASE WHEN h % {spelling.DAMAGED} = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS w, times
+    FROM hashed
+  ) WHERE length(w) >= {spelling.LEAST_LETTERS} GROUP BY w HAVING sum(times) >= {spelling.LEAST_COUNT}
+), less AS (
+  SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (
+    SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+), pairs AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM less a JOIN less b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM less a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM less a JOIN words b ON a.rest = b.word
+), best AS (
+  SELECT word, count(*) AS n_near, min({{'fewer': -near_n, 'near': near}}) AS b FROM pairs GROUP BY word
+), forms AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN -b.fewer >= {spelling.FORM_FACTOR} * w.n THEN b.near END AS form,
+    CASE WHEN -b.fewer >= {spelling.FORM_FACTOR} * w.n THEN -b.fewer END AS form_n
+  FROM words w LEFT JOIN best USING (word)
+), chain(word, here, further) AS (
+  SELECT word, word, form FROM forms UNION ALL SELECT c.word, f.word, f.form FROM chain c JOIN forms f ON f.word = c.further
+)
+SELECT f.word, f.form, c.here AS root, f.n, CAST(f.n_near AS BIGINT) AS n_near, CAST(f.form_n AS BIGINT) AS form_n
+FROM forms f JOIN chain c ON c.word = f.word AND c.further IS NULL
+"""
