@@ -19,14 +19,19 @@ DAMAGED = 31
 # Symbols that letters are reduced to.
 SYMBOLS = 8
 
-LETTERS = "".join(map(chr, [*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0xC0, 0x100)]))
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+# Bits of the map of keys that occur, a power of two: what is sent to the executors has 8 MB for any vocabulary.
+MAP_BITS = 1 << 26
+
 # Keys made at once.
 _KEYS_AT_ONCE = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-_VALUES = seeds(256, 41)
+_VALUES = seeds(SYMBOLS, 41)
+# The symbol of each letter, by a hash of the letter, and its bit in the set of a word's letters. All letters are Latin-1.
+_SYMBOL = (mix(np.arange(256, dtype=np.uint64)) % np.uint64(SYMBOLS)).astype(np.uint8)
+_BIT = np.int32(1) << (np.arange(256, dtype=np.int32) % np.int32(31))
 
 
 def runs_of_letters(text: Column) -> Column:
@@ -42,12 +47,6 @@ def damaged(run: Column, doc_id: Column) -> Column:
     return F.when(h % DAMAGED == 0, less).otherwise(run)
 
 
-def reduced(word: Column) -> Column:
-    """The word over `SYMBOLS` symbols, one for each letter, chosen by a hash of the letter."""
-    symbols = mix(np.array([ord(c) for c in LETTERS], np.uint64)) % np.uint64(SYMBOLS)
-    return F.translate(word, LETTERS, "".join(str(s) for s in symbols.tolist()))
-
-
 def vocabulary(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_letters: int = LEAST_LETTERS,
                least_count: int = LEAST_COUNT) -> DataFrame:
     """`word`, `n`: words of enough letters with the number of their occurrences in all texts."""
@@ -88,7 +87,7 @@ def neighbourhood(symbols: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]
         row, i = np.nonzero(first)
         gone = before[:, inner] + (total - before[:, inner + 1]) * _INVERSE
         yield row, size(gone[row, i], width - 1)
-        values = _VALUES[:SYMBOLS]
+        values = _VALUES
         # Replacements.
         row, i, s = np.nonzero(own[:, :, None] != np.arange(SYMBOLS))
         changed = (total - parts[:, inner])[row, i] + values[s] * power[inner[i]]
@@ -102,9 +101,10 @@ def neighbourhood(symbols: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]
 
 
 def _matrices(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Words of one length: row numbers and their symbols, with few enough edits at once."""
-    lengths = np.array([len(w) for w in batch.column(1).to_pylist()], np.int64)
-    data = np.frombuffer("".join(batch.column(1).to_pylist()).encode(), np.uint8) - ord("0")
+    """Words of one length: row numbers and their letters, with few enough edits at once."""
+    words = [word.encode("latin-1") for word in batch.column(1).to_pylist()]
+    lengths = np.array([len(w) for w in words], np.int64)
+    data = np.frombuffer(b"".join(words), np.uint8)
     begins = np.cumsum(lengths) - lengths
     for width in np.unique(lengths).tolist():
         rows = np.flatnonzero(lengths == width)
@@ -114,22 +114,45 @@ def _matrices(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             yield part, data[begins[part][:, None] + np.arange(width)]
 
 
+def _letter_sets(letters: np.ndarray) -> np.ndarray:
+    """Which letters each row holds, as bits."""
+    return np.bitwise_or.reduce(_BIT[letters], axis=1)
+
+
 def _own_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each word's own key."""
+    """Each word's own key and letters."""
     for batch in batches:
-        keys = np.zeros(batch.num_rows, np.uint64)
-        for rows, symbols in _matrices(batch):
-            keys[rows] = next(neighbourhood(symbols))[1]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys.view(np.int64))], names=["id", "key"])
+        keys, sets = np.zeros(batch.num_rows, np.uint64), np.zeros(batch.num_rows, np.int32)
+        for rows, letters in _matrices(batch):
+            keys[rows] = next(neighbourhood(_SYMBOL[letters]))[1]
+            sets[rows] = _letter_sets(letters)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys.view(np.int64)), pa.array(sets)], names=["id", "key", "letters"])
 
 
-def _all_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The keys of each word's neighbourhood."""
+def _all_keys(batches: Iterator[pa.RecordBatch], occurring: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The keys of each word's neighbourhood, without those that the map says no word has."""
     for batch in batches:
         ids = batch.column(0).to_numpy()
-        for rows, symbols in _matrices(batch):
-            for row, keys in neighbourhood(symbols):
-                yield pa.RecordBatch.from_arrays([pa.array(ids[rows[row]]), pa.array(keys.view(np.int64))], names=["id", "key"])
+        for rows, letters in _matrices(batch):
+            sets = _letter_sets(letters)
+            for row, keys in neighbourhood(_SYMBOL[letters]):
+                bit = keys & np.uint64(MAP_BITS - 1)
+                known = (occurring[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & np.uint8(1) == 1
+                row, keys = row[known], keys[known]
+                yield pa.RecordBatch.from_arrays([pa.array(ids[rows[row]]), pa.array(keys.view(np.int64)), pa.array(sets[row])],
+                                                 names=["id", "key", "letters"])
+
+
+def _occurring(keys: DataFrame) -> np.ndarray:
+    """Map of `MAP_BITS` bits, in which the last bits of each key are set."""
+    place = F.col("key").bitwiseAND(MAP_BITS - 1) + 1
+    parts = keys.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
+    out = np.zeros(MAP_BITS // 8, np.uint8)
+    for row in parts.collect():  # at most one for each 4 KB of the map
+        own = np.frombuffer(row["bits"], np.uint8)
+        out[(row["bucket"] - 1) * len(own):][:len(own)] = own
+    return out
 
 
 def one_edit_apart(one: str, other: str) -> bool:
@@ -155,13 +178,16 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def near_words(words: DataFrame) -> DataFrame:
     """Pairs of one-edit neighbours among words with an `id`, both ways round: `id`, `near`, `near_n`.
 
-    Words whose reduced forms are at most one edit apart share a key; their letters decide.
+    Words whose reduced forms are at most one edit apart share a key. An edit changes the set of a word's letters by two
+    at most, which most of the other pairs do not pass; the words themselves decide.
     """
-    small = words.select("id", reduced(F.col("word")).alias("symbols"))
-    own = materialise(small.mapInArrow(_own_keys, "id bigint, key bigint"))
-    # Only keys that another word has are met again; a key goes without its word, which may be long.
-    around = small.mapInArrow(_all_keys, "id bigint, key bigint")
-    met = materialise(around.join(own.withColumnRenamed("id", "other"), "key").where("id != other").select("id", "other"))
+    small, keys = words.select("id", "word"), "id bigint, key bigint, letters int"
+    own = materialise(small.mapInArrow(_own_keys, keys))
+    occurring = words.sparkSession.sparkContext.broadcast(_occurring(own))
+    # A key goes without its word, which may be long.
+    around = small.mapInArrow(lambda batches: _all_keys(batches, occurring.value), keys)
+    others = own.select("key", F.col("id").alias("other"), F.col("letters").alias("other_letters"))
+    met = around.join(others, "key").where("id != other AND bit_count(letters ^ other_letters) <= 2").select("id", "other")
     both = met.join(words.select("id", F.col("word").alias("word")), "id").join(
         words.select(F.col("id").alias("other"), F.col("word").alias("near"), F.col("n").alias("near_n")), "other")
     return both.select("id", "word", "near", "near_n").mapInArrow(_verified, "id bigint, near string, near_n bigint")
@@ -179,8 +205,9 @@ def spelling_variants(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     Letters are reduced to 8 symbols by a hash. The full one-edit neighbourhood of every reduced word is generated, as
     hashes, and joined with the hashes of the reduced words: near words always meet, and the few others that do are told
-    apart by their letters. Neighbourhoods are rows of two numbers, so long words cost no more than their length, and
-    words are fetched for pairs that met only. Forms are at least `factor` times as frequent, so the chains to the roots
+    apart by their letters. Of a neighbourhood only hashes whose last bits some word's hash has go into the shuffle (a
+    map of fixed size says which; it loses none). They are rows of two numbers, so long words cost no more than their
+    length, and words are fetched for pairs that met only. Forms are at least `factor` times as frequent, so the chains to the roots
     have few steps, which are taken by doubling.
 
     Null and empty texts have no words. Rows that repeat an id, or repeat everything, count each; a null id counts as
