@@ -184,6 +184,8 @@ SELECT e.vec_id, (SELECT count(*) FROM links l WHERE l.a = e.vec_id) AS n_links,
 FROM embeddings e JOIN reach ON id = e.vec_id GROUP BY e.vec_id
 """
 
+# A line lies in a repeated run of 50 words exactly if it lies in a repeated shortest run from a line on, or up to a line,
+# or in a repeated pair of lines that have 50 words each.
 _OP2 = f"""
 WITH lines AS (
   SELECT doc_id, text, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos,
@@ -195,12 +197,17 @@ WITH lines AS (
   SELECT *, sum(words) OVER (PARTITION BY doc_id ORDER BY pos) AS upto, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS nth
   FROM counted
 ), ends AS (
-  SELECT b.doc_id, b.pos AS start, b.nth AS first_nth, min(e.nth) AS last_nth
+  SELECT b.doc_id, b.nth AS first_nth, min(e.nth) AS last_nth
   FROM running b JOIN running e ON e.doc_id = b.doc_id AND e.nth >= b.nth AND e.upto - b.upto + b.words >= {lines.RUN_WORDS}
-  GROUP BY b.doc_id, b.pos, b.nth
+  GROUP BY b.doc_id, b.nth
+  UNION SELECT e.doc_id, max(b.nth), e.nth
+  FROM running b JOIN running e ON e.doc_id = b.doc_id AND e.nth >= b.nth AND e.upto - b.upto + b.words >= {lines.RUN_WORDS}
+  GROUP BY e.doc_id, e.nth
+  UNION SELECT b.doc_id, b.nth, e.nth
+  FROM running b JOIN running e ON e.doc_id = b.doc_id AND e.nth = b.nth + 1 AND least(b.words, e.words) >= {lines.RUN_WORDS}
 ), runs AS (
-  SELECT e.doc_id, start, max(r.pos) AS stop, string_agg(r.line, chr(10) ORDER BY r.pos) AS run
-  FROM ends e JOIN running r ON r.doc_id = e.doc_id AND r.nth BETWEEN first_nth AND last_nth GROUP BY e.doc_id, start
+  SELECT e.doc_id, min(r.pos) AS start, max(r.pos) AS stop, string_agg(r.line, chr(10) ORDER BY r.pos) AS run
+  FROM ends e JOIN running r ON r.doc_id = e.doc_id AND r.nth BETWEEN first_nth AND last_nth GROUP BY e.doc_id, first_nth, last_nth
 ), firsts AS (SELECT run, min({{'d': doc_id, 's': start, 'e': stop}}) AS f FROM runs GROUP BY run HAVING count(*) > 1),
 later AS (
   SELECT doc_id, start, stop FROM runs JOIN firsts USING (run) WHERE doc_id <> f.d OR start > f.e
