@@ -226,7 +226,7 @@ FROM kept
 
 
 def _sql_marked(text: str) -> str:
-    for pattern, into in decontaminate.MARKS:
+    for pattern, into in decontaminate.marks("*"):
         text = f"regexp_replace({text}, '{pattern}', '{into.replace('$1', chr(92) + '1').replace('$2', chr(92) + '2')}', 'g')"
     return text
 
@@ -234,20 +234,24 @@ def _sql_marked(text: str) -> str:
 _PATTERN, _INTO = decontaminate.TYPES
 _TEMPLATE = (f"list_filter(regexp_split_to_array(lower(regexp_replace(marked, '{_PATTERN}', "
              f"'{_INTO.replace('$1', chr(92) + '1')}', 'g')), '{decontaminate.NOT_WORDS}'), lambda x: x <> '')")
+_AS_WORD = f"CASE WHEN starts_with(x, '{decontaminate.START}') THEN x[2:] ELSE x END"
+_AS_NAME = f"CASE WHEN starts_with(x, '{decontaminate.START}') THEN '{decontaminate.OPEN}p' ELSE x END"
+_PLAIN = f"list_filter(regexp_split_to_array(lower(coalesce(text, '')), '{decontaminate.NOT_PLAIN}'), lambda x: x <> '') AS t"
 _OP7 = f"""
 WITH docs AS (
-  SELECT doc_id, marked, {_TEMPLATE} AS t FROM (SELECT doc_id, {_sql_marked("coalesce(text, '')")} AS marked FROM documents)
+  SELECT doc_id, {_sql_marked("coalesce(text, '')")} AS marked, {_PLAIN} FROM documents
 ), items AS (
-  SELECT item_id, marked, {_TEMPLATE} AS t
-  FROM (SELECT DISTINCT item_id, {_sql_marked("coalesce(text, '')")} AS marked FROM benchmark)
+  SELECT DISTINCT item_id, {_sql_marked("coalesce(text, '')")} AS marked, {_PLAIN} FROM benchmark
 ), doc_windows AS (
-  SELECT doc_id, i AS pos, array_to_string(t[i + 1:i + {decontaminate.WINDOW}], ' ') AS w
-  FROM (SELECT doc_id, t, unnest(range(len(t) - {decontaminate.WINDOW} + 1)) AS i FROM docs)
+  SELECT DISTINCT doc_id, i AS pos, array_to_string(t[i + 1:i + {decontaminate.WINDOW}], ' ') AS w
+  FROM (SELECT doc_id, t, unnest(range(len(t) - {decontaminate.WINDOW} + 1)) AS i FROM (SELECT doc_id, list_transform({_TEMPLATE}, lambda x: {_AS_NAME}) AS t FROM docs))
 ), item_windows AS (
-  SELECT item_id, i AS pos, array_to_string(t[i + 1:i + {decontaminate.WINDOW}], ' ') AS w
-  FROM (SELECT item_id, t, unnest(range(len(t) - {decontaminate.WINDOW} + 1)) AS i FROM items)
+  SELECT DISTINCT item_id, named, i AS pos, array_to_string(t[i + 1:i + {decontaminate.WINDOW}], ' ') AS w
+  FROM (SELECT item_id, named, t, unnest(range(len(t) - {decontaminate.WINDOW} + 1)) AS i FROM (
+    SELECT item_id, true AS named, list_transform({_TEMPLATE}, lambda x: {_AS_NAME}) AS t FROM items
+    UNION ALL SELECT item_id, false, list_transform({_TEMPLATE}, lambda x: {_AS_WORD}) FROM items))
   WHERE len(list_filter(t[i + 1:i + {decontaminate.WINDOW}], lambda x: NOT starts_with(x, '{decontaminate.OPEN}'))) >= {decontaminate.LITERAL_WORDS}
-), sizes AS (SELECT item_id, count(DISTINCT pos) AS windows FROM item_windows GROUP BY item_id),
+), sizes AS (SELECT item_id, count(DISTINCT pos) AS windows FROM item_windows WHERE named GROUP BY item_id),
 runs AS (
   SELECT doc_id, i.item_id, d.pos - i.pos AS off, list(DISTINCT i.pos) AS ats
   FROM doc_windows d JOIN item_windows i USING (w) GROUP BY doc_id, i.item_id, d.pos - i.pos
@@ -257,15 +261,23 @@ runs AS (
   SELECT DISTINCT doc_id, item_id, off, a + k AS p
   FROM (SELECT doc_id, item_id, off, unnest(ats) AS a FROM long_runs), range({decontaminate.WINDOW}) AS r(k)
 ), pairs AS (
-  SELECT DISTINCT p.doc_id, p.item_id, off, regexp_extract_all(i.marked, '{decontaminate.VALUES}')[p + 1] AS own,
+  SELECT p.doc_id, p.item_id, off, regexp_extract_all(i.marked, '{decontaminate.VALUES}')[p + 1] AS own,
     regexp_extract_all(d.marked, '{decontaminate.VALUES}')[p + off + 1] AS found
   FROM places p JOIN items i USING (item_id) JOIN docs d ON d.doc_id = p.doc_id
 ), slots AS (
-  SELECT doc_id, item_id, off, count(*) AS n, count(DISTINCT own) AS a, count(DISTINCT found) AS b
-  FROM pairs WHERE starts_with(own, '{decontaminate.OPEN}') GROUP BY doc_id, item_id, off
+  SELECT doc_id, item_id, off, count(*) AS n, count(DISTINCT own) AS a, count(DISTINCT found) AS b FROM (
+    SELECT DISTINCT doc_id, item_id, off, lower(regexp_replace(own, '{decontaminate.BARE}', '', 'g')) AS own,
+      lower(regexp_replace(found, '{decontaminate.BARE}', '', 'g')) AS found
+    FROM pairs WHERE regexp_matches(own, '^[{decontaminate.OPEN}{decontaminate.START}]'))
+  GROUP BY doc_id, item_id, off
 ), hits AS (
   SELECT r.doc_id, r.item_id, len(ats) AS n FROM long_runs r LEFT JOIN slots s USING (doc_id, item_id, off)
   WHERE s.n IS NULL OR (s.n = s.a AND s.n = s.b)
+  UNION ALL
+  SELECT d.doc_id, i.item_id, greatest(len(i.t) - {decontaminate.WINDOW} + 1, 1)
+  FROM docs d JOIN items i ON len(i.t) > 0 AND i.item_id NOT IN (SELECT item_id FROM sizes)
+    AND contains(' ' || array_to_string(d.t, ' ') || ' ', ' ' || array_to_string(i.t, ' ') || ' ')
+    AND (len(i.t) >= {decontaminate.ANYWHERE_WORDS} OR len(i.t) = len(d.t))
 ), best AS (
   SELECT doc_id, count(DISTINCT item_id) AS n_items, min({{'fewer': -n, 'item_id': item_id}}) AS b FROM hits GROUP BY doc_id
 )

@@ -22,7 +22,7 @@ def test_copies_and_questions_with_new_values_are_found(spark):
     items = [(1, ITEM), (2, OTHER), (3, "too short"), (4, None), (2, OTHER), (5, "1 2 3 4 5 6 7 8 9 10 11 12 13 14 15 16")]
     for limit in (10 ** 6, 0):
         got = hits(spark, docs, items, broadcast_rows=limit)
-        assert {d for d, r in got.items() if r[0]} == {1, 2, 7, 9, None, 10}
+        assert {d for d, r in got.items() if r[0]} == {1, 2, 7, 9, None, 10}, got
         assert got[9][2] == 2 and got[2][1] == 1 and got[10][1] == 2 and got[4] == (False, None, 0)
 
 
@@ -32,6 +32,28 @@ def test_slots_must_be_consistent(spark):
     assert {d for d, r in hits(spark, docs, [(1, one)]).items() if r[0]} == {1}
 
 
+def test_names_that_begin_sentences(spark):
+    item = "Maria picks 14 apples. Maria sells 5 apples. How many apples has Maria left?"
+    docs = [(1, item.replace("Maria", "Paula").replace("14", "20")), (2, item), (3, item.replace("Maria", "Paula", 1)),
+            (4, "So " + item.replace("Maria", "Paula")), (5, item.lower()), (6, item.replace("How", "What"))]
+    assert {d for d, r in hits(spark, docs, [(1, item)]).items() if r[0]} == {1, 2, 4, 5, 6}
+
+
+def test_short_items_and_items_of_values_are_found_as_they_are(spark):
+    items = [(1, "What is 7 times 8?"), (2, "12 + 5 * 3 - 4 + 9 - 1 + 2 * 6 = ?"), (3, "Yes."), (4, "One two three four five six seven")]
+    docs = [(1, "so\nwhat IS 7 times 8"), (2, "What is 7 times 9?"), (3, "12 5 3 4 9 1 2 6"), (4, "12 5 3 4 9 1 2 7"), (5, "yes"),
+            (6, "yes or no"), (7, "zero one two three four five six seven eight"), (8, "one two three four five six eight"), (9, None),
+            (7, "zero one two three four five six seven eight")]
+    for limit in (10 ** 6, 0):
+        assert {d for d, r in hits(spark, docs, items, broadcast_rows=limit).items() if r[0]} == {1, 3, 5, 7}
+
+
+def test_texts_of_very_many_names_and_numbers(spark):
+    tail = " and then " + ITEM
+    docs = [(1, "so " + "Anna Bert " * 50_000 + tail), (2, "1.5," * 100_000 + "7" + tail), (3, "10 kg " * 100_000), (4, "Word. " * 100_000 + tail)]
+    assert {d for d, r in hits(spark, docs, [(1, ITEM)]).items() if r[0]} == {1, 2, 4}
+
+
 def test_contamination_of_nothing(spark):
     assert hits(spark, [], [(1, ITEM)]) == {}
     assert hits(spark, [(1, ITEM)], []) == {1: (False, None, 0)}
