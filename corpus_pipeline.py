@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgermill.llm import decontaminate, language, lines, minhash, packing
-from ledgermill.llm.shipping import ship_package
 from ledgermill.sources.shared import materialise
+from ledgermill.sources.shipping import ship_package
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 

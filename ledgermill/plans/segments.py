@@ -3,42 +3,40 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import partial
 
-from pyspark.ml import Model
-from pyspark.ml.clustering import BisectingKMeans, KMeans
+import numpy as np
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators import clustering
+from ..operators.lookups import lookup_join
+from ..operators.ordering import dense_key
 from ..schemas import MODEL_METRICS
-from ..sources.shared import materialise, side_by_side
+from ..sources.shared import materialise
 from .customers import profile_label
 
 CLUSTER_COUNTS = range(2, 9)
 RESTARTS = 20
 SEED = 42
 
-# Vectors a task of a fit should have at least.
-TASK_ROWS = 25_000
-
-# Levels of a text column with a coordinate of their own.
-TEXT_LEVELS = 1000
-
 # Metrics of a labelling with fewer than two clusters.
 DEGENERATE = {"silhouette": -1.0, "davies_bouldin": 999999.0, "calinski_harabasz": 0.0}
 
 _NOT_FEATURES = {"id_cliente", "nome_cliente", "data_cadastro_cliente"}
+_ABSENT = "ausente"
 
 
 def feature_vectors(features: DataFrame, include_last_payment: bool = False) -> DataFrame:
-    """`id_cliente` and a vector: numbers standardised by population deviation, texts one-hot encoded.
+    """`id_cliente` and the sparse vector `features` (`size`, `indices`, `values`): numbers standardised by population
+    deviation, texts one-hot encoded.
 
-    Constant numbers are only centred. Texts beyond the `TEXT_LEVELS` most common of a column share one level.
+    Constant numbers are only centred. Every level of every text column has an entry of its own, after the numbers, in
+    the order of columns and levels; levels are numbered in a written table, which the rows are joined with, so their
+    number is not bounded. A missing text is a level too.
     """
     df = features
     if include_last_payment:
@@ -46,38 +44,38 @@ def feature_vectors(features: DataFrame, include_last_payment: bool = False) ->
     used = [f for f in df.schema.fields if f.name not in _NOT_FEATURES]
     numbers = [f.name for f in used if isinstance(f.dataType, T.NumericType)]
     texts = [f.name for f in used if isinstance(f.dataType, T.StringType)]
-
-    # One row of two figures per column; of each text column its most common levels.
-    moments = df.agg(*[F.avg(c).alias(f"m_{c}") for c in numbers], *[F.stddev_pop(c).alias(f"s_{c}") for c in numbers])
-    row = moments.first()
-    scaled = {c: (F.col(c) - (row[f"m_{c}"] or 0.0)) / (row[f"s_{c}"] or 1.0) for c in numbers}
-    df = df.withColumns(scaled).fillna("ausente", texts)
-    entries = F.array(*[F.coalesce(F.col(c), F.lit(0.0)).cast("double") for c in numbers])
-    for c in texts:
-        counts = df.groupBy(c).agg(F.count(F.lit(1)).alias("linhas")).orderBy(F.desc("linhas"), c)
-        found = [r[0] for r in counts.select(c).limit(TEXT_LEVELS + 1).collect()]
-        levels = sorted(found[:TEXT_LEVELS])
-        entries = F.concat(entries, F.transform(F.lit(levels), partial(_is_level, F.col(c))))
-        if len(found) > TEXT_LEVELS:  # one level for all the others
-            entries = F.concat(entries, F.array((~F.col(c).isin(levels)).cast("double")))
-    return df.select("id_cliente", array_to_vector(entries).alias("features"))
-
-
-def _is_level(value: Column, level: Column) -> Column:
-    return (level == value).cast("double")
-
-
-@dataclass
-class Candidate:
-    name: str
-    model: Model
-    cost: float
-
-
-def fit_candidate(vectors: DataFrame, family: str, k: int, seed: int) -> Candidate:
-    kind = KMeans if family == "kmeans" else BisectingKMeans
-    model = kind(k=k, seed=seed).fit(vectors)
-    return Candidate(f"{family}_k{k}", model, model.summary.trainingCost)
+    df = df.fillna(_ABSENT, texts) if texts else df
+
+    # One row of two figures per column.
+    row = df.agg(F.count(F.lit(1)), *[F.avg(c).alias(f"m_{c}") for c in numbers], *[F.stddev_pop(c).alias(f"s_{c}") for c in numbers]).first()
+    scaled = [F.coalesce((F.col(c) - (row[f"m_{c}"] or 0.0)) / (row[f"s_{c}"] or 1.0), F.lit(0.0)).cast("double") for c in numbers]
+    df = df.select("id_cliente", *texts, F.array(*scaled).cast("array<double>").alias("__numbers"))
+    size, places = len(numbers), []
+    if texts:
+        each = F.explode(F.array(*[F.struct(F.lit(i).alias("coluna"), F.col(c).alias("nivel")) for i, c in enumerate(texts)]))
+        levels = materialise(dense_key(df.select(each.alias("um")).select("um.*").distinct(), "posicao", ["coluna", "nivel"]))
+        size += levels.count()
+        for i, c in enumerate(texts):
+            own = levels.where(F.col("coluna") == i).select(F.col("nivel").alias(c), F.col("posicao").alias(f"__at_{i}"))
+            df = lookup_join(df, own, [c], "inner")
+            places.append((F.col(f"__at_{i}") + (len(numbers) - 1)).cast("int"))
+    indices = F.concat(F.array(*[F.lit(i) for i in range(len(numbers))]).cast("array<int>"), F.array(*places).cast("array<int>"))
+    values = F.concat("__numbers", F.array(*[F.lit(1.0) for _ in texts]).cast("array<double>"))
+    return df.select("id_cliente", F.struct(F.lit(size).alias("size"), indices.alias("indices"), values.alias("values")).alias("features"))
+
+
+def entries(vectors: DataFrame) -> DataFrame:
+    """Long form of sparse vectors: one row for each entry that is not zero."""
+    each = F.explode(F.arrays_zip("features.indices", "features.values"))
+    return vectors.select("id_cliente", each.alias("um")).select(
+        "id_cliente", F.col("um.indices").alias("posicao"), F.col("um.values").alias("valor")).where("valor != 0")
+
+
+def dense(features: Column) -> Column:
+    """A sparse vector as a dense one of Spark's machine learning library, for narrow vectors."""
+    held = F.map_from_arrays(features["indices"], features["values"])
+    every = F.when(features["size"] > 0, F.sequence(F.lit(0), features["size"] - 1)).otherwise(F.array().cast("array<int>"))
+    return array_to_vector(F.transform(every, lambda i: F.coalesce(F.try_element_at(held, i), F.lit(0.0))))
 
 
 def labelling_metrics(labelled: DataFrame, name: str, label: str = "cluster", features: str = "features") -> dict:
@@ -163,41 +161,39 @@ class Segmentation:
     vectors: DataFrame
 
 
+def candidates(rows: clustering.Rows, counts=CLUSTER_COUNTS, restarts: int = RESTARTS) -> dict[str, clustering.Labelling]:
+    """The best k-means run and the cut of Ward's hierarchy for each number of clusters up to that of the rows."""
+    possible = [k for k in counts if k <= rows.count]
+    runs = clustering.best_runs(clustering.kmeans_runs(rows, possible, restarts, SEED))
+    found: dict[str, clustering.Labelling] = {
+        f"kmeans_k{k}": (run.centres, np.arange(len(run.centres))) for k, run in runs.items()}
+    if possible:
+        tree = clustering.ward_hierarchy(rows, possible, SEED)
+        found |= {f"agglomerative_k{k}": (tree.seeds, labels) for k, labels in tree.labels.items()}
+    return found
+
+
 def compare_clusterings(features: DataFrame, counts=CLUSTER_COUNTS, restarts: int = RESTARTS,
-                        include_last_payment: bool = False, parallelism: int = 8) -> Segmentation:
-    """Fit k-means and a divisive hierarchy for each number of clusters, rank them, and label with the best.
-
-    Fits are Spark jobs of their own and run a few at a time on the same written vectors. They are not cached here:
-    each fit keeps the rows it iterates over in the form its loop needs, which a cached table would make it decode
-    anew in every iteration. The winner is not fitted again. K-means is restarted with further seeds and keeps the run
-    of least cost. Counts beyond the number of clients cannot be fitted; they are listed with the figures of a
-    degenerate labelling. Where none can be fitted, clients form one cluster.
+                        include_last_payment: bool = False) -> Segmentation:
+    """Fit k-means and Ward's hierarchy for each number of clusters, rank them, and label with the best.
+
+    All k-means runs are fitted in the same passes over the written vectors, the hierarchy is built once for all counts, and
+    the figures of all candidates come from two more passes. K-means is restarted and keeps the run
+    of least cost. The winner is not fitted again. Counts beyond the number of clients cannot be fitted; they are listed
+    with the figures of a degenerate labelling. Where none can be fitted, clients form one cluster.
     """
     vectors = materialise(feature_vectors(features, include_last_payment))
-    clients = vectors.count()
-    # A fit is many short jobs, so few rows are not spread over more tasks than they fill.
-    vectors = vectors.coalesce(max(1, -(-clients // TASK_ROWS)))
-    possible = [k for k in counts if k <= clients]
-    fits = [("kmeans", k, SEED + i) for k in possible for i in range(restarts)]
-    fits += [("bisecting", k, SEED) for k in possible]
-
-    def measure(candidate: Candidate) -> dict:
-        labelled = candidate.model.transform(vectors).withColumnRenamed("prediction", "cluster")
-        return labelling_metrics(labelled, candidate.name)
-
-    best: dict[str, Candidate] = {}
-    for candidate in side_by_side(*[partial(fit_candidate, vectors, *fit) for fit in fits], at_once=parallelism):
-        if candidate.name not in best or candidate.cost < best[candidate.name].cost:
-            best[candidate.name] = candidate
-    measured = side_by_side(*[partial(measure, candidate) for candidate in best.values()], at_once=parallelism)
-
-    measured += [{"model_name": f"{family}_k{k}", "n_clusters": clients, "noise_ratio": 0.0} | DEGENERATE
-                 for family in ("kmeans", "bisecting") for k in counts if k > clients]
-    rows = [tuple(metrics[f] for f in MODEL_METRICS.fieldNames()) for metrics in measured]
-    comparison = rank_models(features.sparkSession.createDataFrame(rows, MODEL_METRICS))
+    rows = clustering.Rows.of(vectors)
+    found = candidates(rows, counts, restarts)
+    figures = clustering.labelling_figures(rows, found)
+    names = [f"{family}_k{k}" for family in ("kmeans", "agglomerative") for k in counts]
+    # Figures that were not found are those of a degenerate labelling.
+    metrics = [DEGENERATE | {"model_name": name, "noise_ratio": 0.0, "n_clusters": rows.count} | figures.get(name, {}) for name in names]
+    table = [tuple(one[f] for f in MODEL_METRICS.fieldNames()) for one in metrics]
+    comparison = rank_models(features.sparkSession.createDataFrame(table, MODEL_METRICS))
     winner = top_models(comparison, 1).first()["model_name"]
-    if winner in best:
-        labels = best[winner].model.transform(vectors).select("id_cliente", F.col("prediction").alias("cluster"))
+    if winner in found:
+        labels = clustering.labelled(rows, found[winner]).withColumnRenamed("key", "id_cliente")
     else:
         labels = vectors.select("id_cliente", F.lit(0).alias("cluster"))
     return Segmentation(comparison, winner, labels, vectors)
@@ -214,8 +210,8 @@ def segment_output(features: DataFrame, labels: DataFrame, winner: str) -> DataF
 
 
 def project_2d(vectors: DataFrame, labels: DataFrame) -> tuple[DataFrame, list[float]]:
-    """Clients on the two main axes, and the share of variance each axis explains."""
-    model = PCA(k=2, inputCol="features", outputCol="axes").fit(vectors)
-    axes = vector_to_array("axes")
-    placed = model.transform(vectors).select("id_cliente", axes[0].alias("pc1"), axes[1].alias("pc2"))
-    return placed.join(labels, "id_cliente", "inner"), [float(x) for x in model.explainedVariance]
+    """Clients on the two main axes of their centred vectors, and the share of variance each axis explains."""
+    rows = clustering.Rows.of(vectors)
+    mean, axes, shares = clustering.main_axes(rows, 2)
+    placed = clustering.on_axes(rows, mean, axes, ["pc1", "pc2"]).withColumnRenamed("key", "id_cliente")
+    return placed.join(labels, "id_cliente", "inner"), [float(x) for x in shares]

@@ -440,7 +440,37 @@ SQL: dict[str, str] = {
     "forced_clusters": """
         select f.familia, cast(c_custkey as bigint) as id_cliente,
                cast(min(c_custkey) over (partition by c_custkey % 3) as bigint) as grupo
-        from customer, (values ('kmeans'), ('bisecting')) f(familia) qualify true""",
+        from customer, (values ('kmeans'), ('agglomerative')) f(familia) qualify true""",
+    "forced_candidates": """
+        with points as (
+            select c_custkey as id, c_custkey % 8 as g, case when c_custkey % 8 > 0 then 4.0 ** (c_custkey % 8) else 0 end + (c_custkey % 5) / 10 as x
+            from customer
+        ), placed as (select k, greatest(g, 8 - k) as c, id, x from points, range(2, 9) r(k)),
+        clusters as (select k, c, min(id) as grupo, count(*) as clientes, var_pop(x) * count(*) as own from placed group by k, c),
+        costs as (select k, count(*) as n, sum(own) as custo from clusters group by k)
+        select family || '_k' || k as model_name, cast(grupo as bigint) as grupo, clientes, n as n_clusters, round(custo, 2) as custo
+        from clusters join costs using (k), (values ('kmeans'), ('agglomerative')) f(family)""",
+    "feature_levels": """
+        with lines as (
+            select cast(l_orderkey * 10 + l_linenumber as bigint) as id_cliente, l_quantity as q, 'peca ' || l_partkey as a, 'pedido ' || l_orderkey as b
+            from lineitem
+        ), levels as (
+            select c, v, row_number() over (order by c, v) as p from (select distinct 0 as c, a as v from lines union all select distinct 1, b from lines)
+        )
+        select id_cliente, cast(posicao as integer) as posicao, round(valor, 6) as valor from (
+            select id_cliente, 0 as posicao, (q - (select avg(q) from lines)) / (select stddev_pop(q) from lines) as valor from lines
+            union all select id_cliente, p, 1 from lines join levels on c = 0 and v = a
+            union all select id_cliente, p, 1 from lines join levels on c = 1 and v = b) where abs(valor) > 1e-9""",
+    "pca_of_blocks": """
+        with z as (
+            select c_custkey as id, (c_acctbal - avg(c_acctbal) over ()) / stddev_pop(c_acctbal) over () as u,
+                   (c_custkey % 97 - avg(c_custkey % 97) over ()) / stddev_pop(c_custkey % 97) over () as w from customer
+        ), r as (select sqrt(6) * corr(u, w) as c from z),
+        turn as (select c, 0.5 * atan2(2 * c, 1) as a from r)
+        select cast(id as bigint) as id_cliente, round(abs(cos(a) * sqrt(3) * u + sin(a) * sqrt(2) * w), 6) as pc1,
+               round(abs(-sin(a) * sqrt(3) * u + cos(a) * sqrt(2) * w), 6) as pc2,
+               round((2.5 + sqrt(0.25 + c * c)) / 5, 6) as parte_1, round((2.5 - sqrt(0.25 + c * c)) / 5, 6) as parte_2
+        from z, turn""",
     "quality_targets": """
         select count(*) filter (ok) as validas, count(*) filter (not ok) as invalidas
         from (select mes_ano_meta is not null and meta_valor is not null and mes is not null and ano is not null

@@ -4,16 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
-from functools import cached_property
+from functools import cached_property, reduce
 from uuid import uuid4
 
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import LEDGER_LAYOUTS, month_key, parse_dates
 from ..functions.fixed_values import VALUE_BANDS
-from ..operators import append, calendar, checks, dedup, lookups
+from ..operators import append, calendar, checks, clustering, dedup, lookups
 from ..plans import customers, pipeline, rates, reports, segments, silver, star
 from ..schemas import GOLD_KEYS, MODEL_METRICS, RATE_PAYLOAD, SILVER
 from ..sources import layers
@@ -429,13 +429,24 @@ def cluster_pca(t: Ledger) -> DataFrame:
     })
 
 
+def pca_of_blocks(t: Ledger) -> DataFrame:
+    """Axes of five columns that are copies of two: three of one and two of the other."""
+    copies = {"saldo": F.col("c_acctbal"), "resto": (F.col("c_custkey") % 97).cast("double")}
+    used = t.table("customer").select(F.col("c_custkey").cast("bigint").alias("id_cliente"), *[
+        copies[name].alias(f"{name}_{i}") for name, times in (("saldo", 3), ("resto", 2)) for i in range(times)])
+    vectors = segments.feature_vectors(used)
+    placed, explained = segments.project_2d(vectors, vectors.select("id_cliente"))
+    return _rounded(placed.select("id_cliente", F.abs("pc1").alias("pc1"), F.abs("pc2").alias("pc2")).withColumns({
+        "parte_1": F.lit(explained[0]), "parte_2": F.lit(explained[1])}), "pc1", "pc2", "parte_1", "parte_2")
+
+
 _AXES = ["recencia_dias", "taxa_pagamento_em_dia"]
 
 
 def _two_axes(t: Ledger) -> DataFrame:
     """Vectors of two standardised features, with the segment by rule."""
     vectors = segments.feature_vectors(t.features.select("id_cliente", *[F.col(c).cast("double") for c in _AXES]))
-    return vectors.join(_segments_by_rule(t.features), "id_cliente")
+    return vectors.withColumn("features", segments.dense(F.col("features"))).join(_segments_by_rule(t.features), "id_cliente")
 
 
 def segment_quality(t: Ledger) -> DataFrame:
@@ -451,14 +462,21 @@ def segment_quality(t: Ledger) -> DataFrame:
 def feature_vector_entries(t: Ledger) -> DataFrame:
     """The standardised and one-hot vector in long form."""
     used = t.features.select("id_cliente", *[F.col(c).cast("double") for c in _AXES], "faixa_valor_cliente")
-    entries = segments.feature_vectors(used).select("id_cliente", F.posexplode(vector_to_array("features")).alias("posicao", "valor"))
-    return _rounded(entries.where("abs(valor) > 1e-9"), "valor")
+    return _rounded(segments.entries(segments.feature_vectors(used)).where("abs(valor) > 1e-9"), "valor")
+
+
+def feature_levels(t: Ledger) -> DataFrame:
+    """The vector of two text columns with as many levels as there are parts and orders."""
+    lines = t.table("lineitem").select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("bigint").alias("id_cliente"), F.col("l_quantity").alias("quantidade"),
+        F.concat(F.lit("peca "), "l_partkey").alias("peca"), F.concat(F.lit("pedido "), "l_orderkey").alias("pedido"))
+    return _rounded(segments.entries(segments.feature_vectors(lines)).where("abs(valor) > 1e-9"), "valor")
 
 
 def pca_of_two(t: Ledger) -> DataFrame:
     """Axes of two standardised features, without their signs, which are free."""
-    labelled = _two_axes(t)
-    placed, explained = segments.project_2d(labelled.select("id_cliente", "features"), labelled.select("id_cliente", "cluster"))
+    vectors = segments.feature_vectors(t.features.select("id_cliente", *[F.col(c).cast("double") for c in _AXES]))
+    placed, explained = segments.project_2d(vectors, _segments_by_rule(t.features))
     return _rounded(placed.select("id_cliente", F.abs("pc1").alias("pc1"), F.abs("pc2").alias("pc2")).withColumns({
         "parte_1": F.lit(explained[0]), "parte_2": F.lit(explained[1])}), "pc1", "pc2", "parte_1", "parte_2")
 
@@ -467,16 +485,41 @@ def forced_clusters(t: Ledger) -> DataFrame:
     """Both families on clients in three groups so far apart that the grouping is forced; a group is its least id."""
     key = F.col("c_custkey")
     place = F.element_at(F.array(*[F.lit(x) for x in (0.0, 1000.0, 9000.0)]), (key % 3 + 1).cast("int")) + key % 7
-    vectors = materialise(t.table("customer").select(
-        key.cast("bigint").alias("id_cliente"), array_to_vector(F.array(place, (key % 5).cast("double"))).alias("features")))
-    out = None
-    for family in ("kmeans", "bisecting"):
-        best = min((segments.fit_candidate(vectors, family, 3, seed) for seed in range(3)), key=lambda c: c.cost)
-        labelled = best.model.transform(vectors).select("id_cliente", "prediction")
-        least = labelled.groupBy("prediction").agg(F.min("id_cliente").alias("grupo"))
-        part = labelled.join(least, "prediction").select(F.lit(family).alias("familia"), "id_cliente", "grupo")
-        out = part if out is None else out.unionByName(part)
-    return out
+    rows = clustering.Rows.of(_points(t, [place, (key % 5).cast("double")]))
+    run = clustering.best_runs(clustering.kmeans_runs(rows, [3], 3))[3]
+    tree = clustering.ward_hierarchy(rows, [3])
+    return _groups(rows, {"kmeans": (run.centres, np.arange(3)), "agglomerative": (tree.seeds, tree.labels[3])}, "familia").select(
+        "familia", "id_cliente", "grupo")
+
+
+def _points(t: Ledger, values: list[Column]) -> DataFrame:
+    """Customers at a place, as sparse vectors."""
+    features = F.struct(F.lit(len(values)).alias("size"), F.array(*[F.lit(i) for i in range(len(values))]).alias("indices"),
+                        F.array(*values).alias("values"))
+    return t.table("customer").select(F.col("c_custkey").cast("bigint").alias("id_cliente"), features.alias("features"))
+
+
+def _groups(rows: clustering.Rows, labellings: dict, name: str) -> DataFrame:
+    """Rows under each labelling with the least id of their cluster."""
+    parts = [clustering.labelled(rows, labelling).select(F.lit(one).alias(name), F.col("key").alias("id_cliente"), "cluster")
+             for one, labelling in labellings.items()]
+    labelled = materialise(reduce(DataFrame.unionByName, parts))
+    least = labelled.groupBy(name, "cluster").agg(F.min("id_cliente").alias("grupo"))
+    return labelled.join(least, [name, "cluster"])
+
+
+def forced_candidates(t: Ledger) -> DataFrame:
+    """Every candidate of the model comparison on eight groups, each four times as far out as the one before, so that the
+    clusters of every count are forced: its clusters by their least ids, and its cost."""
+    key = F.col("c_custkey")
+    place = F.when(key % 8 > 0, F.pow(F.lit(4.0), (key % 8).cast("double"))).otherwise(0.0) + (key % 5) / 10
+    rows = clustering.Rows.of(_points(t, [place]))
+    found = segments.candidates(rows, restarts=5)
+    figures = clustering.labelling_figures(rows, found)
+    costs = t.spark.createDataFrame([(name, one["n_clusters"], one["cost"]) for name, one in figures.items()],
+                                    "model_name string, n_clusters bigint, custo double")
+    sizes = _groups(rows, found, "model_name").groupBy("model_name", "grupo").agg(F.count(F.lit(1)).alias("clientes"))
+    return _rounded(sizes.join(costs, "model_name"), "custo", digits=2)
 
 
 JOBS: dict[str, Callable[[Ledger], DataFrame]] = {
@@ -513,6 +556,9 @@ JOBS: dict[str, Callable[[Ledger], DataFrame]] = {
     "feature_vector_entries": feature_vector_entries,
     "pca_of_two": pca_of_two,
     "forced_clusters": forced_clusters,
+    "forced_candidates": forced_candidates,
+    "feature_levels": feature_levels,
+    "pca_of_blocks": pca_of_blocks,
     "quality_targets": quality_targets,
     "quality_categories": quality_categories,
     "quality_clients": quality_clients,

@@ -374,8 +374,9 @@ def grouped_features(spark):
 
 
 def test_feature_vectors(grouped_features):
-    vectors = np.array([r.features.toArray() for r in segments.feature_vectors(grouped_features).orderBy("id_cliente")
-                       .collect()])
+    found = segments.feature_vectors(grouped_features)
+    vectors = np.array([r.features.toArray() for r in found.select("id_cliente", segments.dense(found.features).alias("features"))
+                       .orderBy("id_cliente").collect()])
     # Six numbers, then BRASIL and CHILE, one currency, one band.
     assert vectors.shape == (45, 6 + 2 + 1 + 1)
     assert np.allclose(vectors[:, :3].mean(0), 0) and np.allclose(vectors[:, :3].std(0), 1)
@@ -387,7 +388,7 @@ def test_cluster_counts_beyond_the_clients_are_listed(spark, grouped_features):
     few = grouped_features.where("id_cliente in (0, 20, 40)")
     chosen = segments.compare_clusterings(few, counts=[2, 5], restarts=1)
     rows_of = {r.model_name: r for r in chosen.comparison.collect()}
-    assert sorted(rows_of) == ["bisecting_k2", "bisecting_k5", "kmeans_k2", "kmeans_k5"]
+    assert sorted(rows_of) == ["agglomerative_k2", "agglomerative_k5", "kmeans_k2", "kmeans_k5"]
     assert rows_of["kmeans_k5"].silhouette == -1 and chosen.winner.endswith("k2")
     assert segments.compare_clusterings(few.limit(1), counts=[2], restarts=1).labels.count() == 1
     assert segments.compare_clusterings(few.where("false"), counts=[2], restarts=1).labels.count() == 0
@@ -396,7 +397,7 @@ def test_cluster_counts_beyond_the_clients_are_listed(spark, grouped_features):
 def test_choice_among_models(spark, grouped_features):
     chosen = segments.compare_clusterings(grouped_features, counts=[2, 3], restarts=3)
     assert sorted(r.model_name for r in chosen.comparison.collect()) == [
-        "bisecting_k2", "bisecting_k3", "kmeans_k2", "kmeans_k3"]
+        "agglomerative_k2", "agglomerative_k3", "kmeans_k2", "kmeans_k3"]
     assert chosen.winner.endswith("k3")
     out = segments.segment_output(grouped_features, chosen.labels, chosen.winner).toPandas().sort_values("id_cliente")
     assert out.groupby(np.repeat([0, 1, 2], 15)).cluster.nunique().tolist() == [1, 1, 1]
