@@ -13,7 +13,7 @@ from ..functions.dates import month_key
 from ..functions.fixed_values import COUNTRY_CURRENCY, HOME_CURRENCY
 from ..operators.lookups import lookup_join
 from ..schemas import GOLD, RATES, SILVER
-from ..sources.layers import list_files, read_csv, read_json, read_layer, write_layer
+from ..sources.layers import feed_names, read_csv, read_json, read_layer, write_layer
 from ..sources.rate_payloads import read_rate_payloads
 from ..sources.shared import removing_tables, side_by_side
 from . import customers, rates, segments, silver
@@ -38,7 +38,8 @@ def raw_readers(spark: SparkSession, raw: str, extensions: dict[str, str] | None
                 multi_line: dict[str, bool] | None = None) -> dict[str, Callable[[], DataFrame]]:
     """Readers of the raw tables, by the file extension in which each feed arrives.
 
-    Without `extensions` every CSV, JSON and JSON Lines file of the folder is a table named by its stem. `multi_line`
+    Without `extensions` every CSV, JSON and JSON Lines file of the folder is a table named by its stem; two files of one
+    stem are an error, since either would hide the other. `multi_line`
     tells for CSV feeds whether cells go over line ends, where that is known.
     """
     kinds = {
@@ -47,9 +48,11 @@ def raw_readers(spark: SparkSession, raw: str, extensions: dict[str, str] | None
         "jsonl": lambda name, path: read_json(spark, path, one_array=False),
     }
     if extensions is None:
-        # One row per file of the folder.
-        files = [row.path.rsplit("/", 1)[1] for kind in kinds for row in list_files(spark, raw, kind).collect()]
-        extensions = dict(file.rsplit(".", 1) for file in files)
+        files = [name.rsplit(".", 1) for name in feed_names(spark, raw) if name.rsplit(".", 1)[-1] in kinds and "." in name]
+        twice = sorted({stem for stem, _ in files if sum(stem == other for other, _ in files) > 1})
+        if twice:
+            raise ValueError(f"More than one file of the same name: {', '.join(twice)}")
+        extensions = dict(files)
     for extension in extensions.values():
         if extension not in kinds:
             raise ValueError(f"Unsupported extension: {extension}")
@@ -139,6 +142,7 @@ def run_segments(spark: SparkSession, silver_folder: str, ml: str, restarts: int
         ml, "features_cliente",
     )
     features = read_layer(spark, ml, "features_cliente")
-    chosen = segments.compare_clusterings(features, restarts=restarts)
+    mix = customers.category_mix(t["conta_receber_silver"], t["categoria_silver"])
+    chosen = segments.compare_clusterings(features, restarts=restarts, mix=mix)
     write_layer(chosen.comparison, ml, "model_comparison")
     write_layer(segments.segment_output(features, chosen.labels, chosen.winner), ml, "cliente_clusterizado")

@@ -17,7 +17,7 @@ from ..operators.lookups import lookup_join
 from ..operators.ordering import dense_key
 from ..schemas import MODEL_METRICS
 from ..sources.shared import materialise
-from .customers import profile_label
+from .customers import MIX_REST, profile_label
 
 CLUSTER_COUNTS = range(2, 9)
 RESTARTS = 20
@@ -30,15 +30,19 @@ _NOT_FEATURES = {"id_cliente", "nome_cliente", "data_cadastro_cliente"}
 _ABSENT = "ausente"
 
 
-def feature_vectors(features: DataFrame, include_last_payment: bool = False) -> DataFrame:
+def feature_vectors(features: DataFrame, include_last_payment: bool = False, mix: DataFrame | None = None) -> DataFrame:
     """`id_cliente` and the sparse vector `features` (`size`, `indices`, `values`): numbers standardised by population
     deviation, texts one-hot encoded.
 
     Constant numbers are only centred. Every level of every text column has an entry of its own, after the numbers, in
     the order of columns and levels; levels are numbered in a written table, which the rows are joined with, so their
     number is not bounded. A missing text is a level too.
+
+    With the long form of the category mix, every category has an entry after those, divided by its deviation over all
+    clients; the wide columns of the mix are then left out. Entries of the mix are not centred, so that they stay
+    sparse: distances between clients and axes of centred vectors are the same.
     """
-    df = features
+    df = features if mix is None else features.drop(*[c for c in features.columns if c.startswith("mix_cat_") or c == MIX_REST])
     if include_last_payment:
         df = df.withColumn("ultimo_pagamento", F.date_format("ultimo_pagamento", "yyyy-MM-dd"))
     used = [f for f in df.schema.fields if f.name not in _NOT_FEATURES]
@@ -61,9 +65,29 @@ def feature_vectors(features: DataFrame, include_last_payment: bool = False) ->
             places.append((F.col(f"__at_{i}") + (len(numbers) - 1)).cast("int"))
     indices = F.concat(F.array(*[F.lit(i) for i in range(len(numbers))]).cast("array<int>"), F.array(*places).cast("array<int>"))
     values = F.concat("__numbers", F.array(*[F.lit(1.0) for _ in texts]).cast("array<double>"))
+    if mix is not None:
+        shares, categories = _mix_entries(mix, max(1, row[0]), size)
+        df = lookup_join(df, shares, ["id_cliente"])
+        size += categories
+        none = F.array().cast("array<struct<posicao:int,valor:double>>")
+        indices = F.concat(indices, F.coalesce("__mix", none)["posicao"])
+        values = F.concat(values, F.coalesce("__mix", none)["valor"])
     return df.select("id_cliente", F.struct(F.lit(size).alias("size"), indices.alias("indices"), values.alias("values")).alias("features"))
 
 
+def _mix_entries(mix: DataFrame, clients: int, begin: int) -> tuple[DataFrame, int]:
+    """For each client the entries of its categories, from `begin` on in the order of their names, and the number of categories."""
+    mix = materialise(mix.select("id_cliente", "categoria", "parcela"))
+    mean = F.sum("parcela") / clients
+    deviation = F.sqrt(F.greatest(F.sum(F.col("parcela") ** 2) / clients - mean ** 2, F.lit(0.0)))
+    names = materialise(dense_key(mix.groupBy("categoria").agg(deviation.alias("desvio")), "posicao", ["categoria"]))
+    placed = lookup_join(mix, names, ["categoria"], "inner", null_safe=True)
+    one = F.struct((F.col("posicao") + (begin - 1)).cast("int").alias("posicao"),
+                   (F.col("parcela") / F.when(F.col("desvio") > 0, F.col("desvio")).otherwise(1.0)).cast("double").alias("valor"))
+    # At most one entry for each category.
+    return placed.groupBy("id_cliente").agg(F.sort_array(F.collect_list(one)).alias("__mix")), names.count()
+
+
 def entries(vectors: DataFrame) -> DataFrame:
     """Long form of sparse vectors: one row for each entry that is not zero."""
     each = F.explode(F.arrays_zip("features.indices", "features.values"))
@@ -174,7 +198,7 @@ def candidates(rows: clustering.Rows, counts=CLUSTER_COUNTS, restarts: int = RES
 
 
 def compare_clusterings(features: DataFrame, counts=CLUSTER_COUNTS, restarts: int = RESTARTS,
-                        include_last_payment: bool = False) -> Segmentation:
+                        include_last_payment: bool = False, mix: DataFrame | None = None) -> Segmentation:
     """Fit k-means and Ward's hierarchy for each number of clusters, rank them, and label with the best.
 
     All k-means runs are fitted in the same passes over the written vectors, the hierarchy is built once for all counts, and
@@ -182,7 +206,7 @@ def compare_clusterings(features: DataFrame, counts=CLUSTER_COUNTS, restarts: in
     of least cost. The winner is not fitted again. Counts beyond the number of clients cannot be fitted; they are listed
     with the figures of a degenerate labelling. Where none can be fitted, clients form one cluster.
     """
-    vectors = materialise(feature_vectors(features, include_last_payment))
+    vectors = materialise(feature_vectors(features, include_last_payment, mix))
     rows = clustering.Rows.of(vectors)
     found = candidates(rows, counts, restarts)
     figures = clustering.labelling_figures(rows, found)

@@ -18,6 +18,13 @@ def list_files(spark: SparkSession, path: str, extension: str) -> DataFrame:
     return files.select("path", "length").orderBy("path")
 
 
+def feed_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names directly in a folder, sorted: files, and tables that are folders of files."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(entry.getPath().getName() for entry in files.listStatus(place))
+
+
 def with_ordinal(df: DataFrame) -> DataFrame:
     """Add the arrival position of each row: file, block of the file, row within the block.
 

@@ -14,7 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 _folder_choice = Lock()
-_kept: list[list[str]] = []
+# Tables of each running job. A job's name is a property of its thread, which threads that it starts take over.
+_JOB = "ledgermill.job"
+_kept: dict[str, list[str]] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -37,24 +39,30 @@ def materialise(df: DataFrame) -> DataFrame:
     planner the true size of what follows.
     """
     path = f"{shared_folder(df.sparkSession)}/ledgermill-{uuid.uuid4().hex}"
-    for paths in _kept:
-        paths.append(path)
+    for job in (df.sparkSession.sparkContext.getLocalProperty(_JOB) or "").split():
+        if job in _kept:
+            _kept[job].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 @contextmanager
 def removing_tables(spark: SparkSession):
-    """Remove the tables that `materialise` writes inside, at the end, when a job has written its outputs."""
-    paths: list[str] = []
-    _kept.append(paths)
+    """Remove the tables that `materialise` writes inside, at the end, when a job has written its outputs.
+
+    Only tables of this job: of this thread and of those that it starts by `side_by_side`.
+    """
+    context, job = spark.sparkContext, uuid.uuid4().hex
+    around = context.getLocalProperty(_JOB)
+    _kept[job] = []
+    context.setLocalProperty(_JOB, f"{around} {job}" if around else job)
     try:
         yield
     finally:
-        _kept.remove(paths)
-        settings = spark.sparkContext._jsc.hadoopConfiguration()
-        for path in paths:
-            place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        context.setLocalProperty(_JOB, around)
+        settings = context._jsc.hadoopConfiguration()
+        for path in _kept.pop(job):
+            place = context._jvm.org.apache.hadoop.fs.Path(path)
             place.getFileSystem(settings).delete(place, True)
 
 

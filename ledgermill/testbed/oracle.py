@@ -461,6 +461,28 @@ SQL: dict[str, str] = {
             select id_cliente, 0 as posicao, (q - (select avg(q) from lines)) / (select stddev_pop(q) from lines) as valor from lines
             union all select id_cliente, p, 1 from lines join levels on c = 0 and v = a
             union all select id_cliente, p, 1 from lines join levels on c = 1 and v = b) where abs(valor) > 1e-9""",
+    "feature_mix_entries": """
+        select * from (with used as (select id_cliente, cast(recencia_dias as double) as x from features),
+        names as (
+            select categoria, row_number() over (order by categoria) as p,
+                   sqrt(greatest(sum(parcela ** 2) / (select count(*) from used) - (sum(parcela) / (select count(*) from used)) ** 2, 0)) as s
+            from mix group by categoria
+        )
+        select id_cliente, cast(posicao as integer) as posicao, round(valor, 6) as valor from (
+            select id_cliente, 0 as posicao, (x - (select avg(x) from used)) / (select stddev_pop(x) from used) as valor from used
+            union all select id_cliente, p, parcela / s from mix join names using (categoria) where id_cliente in (select id_cliente from used)
+        ) where abs(valor) > 1e-9)""",
+    "landed_folder": "select 'clientes' as tabela, count(*) as linhas from r_clients union all select 'metas', count(*) from r_targets"
+                     " union all select 'categorias', count(*) from r_categories",
+    "append_layer_twice": """
+        select cast(l_orderkey * 10 + l_linenumber as bigint) as chave, cast(l_partkey as bigint) as l_partkey, 'primeira' as carga
+        from lineitem where l_returnflag = 'R'
+        union all select cast(l_orderkey * 10 + l_linenumber as bigint), cast(l_partkey + 1 as bigint), 'segunda' from lineitem
+        where l_orderkey * 10 + l_linenumber not in (select l_orderkey * 10 + l_linenumber from lineitem where l_returnflag = 'R')""",
+    "replaced_months": """
+        select cast(date_trunc('month', data_vencimento) as date) as mes_vencimento, case when year(data_vencimento) = 1996 then 'correcao' else 'inicial' end as carga,
+               count(*) as contas, round(sum(case when year(data_vencimento) = 1996 then -valor_conta else valor_conta end), 2) as valor
+        from payables where year(data_vencimento) <> 1996 or year(data_vencimento) is null or id_conta % 2 = 0 group by all""",
     "pca_of_blocks": """
         with z as (
             select c_custkey as id, (c_acctbal - avg(c_acctbal) over ()) / stddev_pop(c_acctbal) over () as u,

@@ -16,7 +16,7 @@ from ..functions.fixed_values import VALUE_BANDS
 from ..operators import append, calendar, checks, clustering, dedup, lookups
 from ..plans import customers, pipeline, rates, reports, segments, silver, star
 from ..schemas import GOLD_KEYS, MODEL_METRICS, RATE_PAYLOAD, SILVER
-from ..sources import layers
+from ..sources import layers, loads
 from ..sources.rate_payloads import flatten_payloads
 from ..sources.shared import materialise, shared_folder, side_by_side
 from .tables import ADJECTIVES, NOUNS, QUOTED_CURRENCIES, Tables
@@ -249,6 +249,53 @@ def landed_quotes(t: Ledger) -> DataFrame:
     return rates.latest_quotes(flatten_payloads(answers, "moeda", "arquivo"))
 
 
+def landed_folder(t: Ledger) -> DataFrame:
+    """A folder with feeds of three kinds, landed as it is listed: table and number of rows."""
+    folder = _feed_folder(t)
+    for name, extension, feed in (("clientes", "csv", t.clients()), ("metas", "csv", t.targets()), ("categorias", "jsonl", t.categories())):
+        if extension == "csv":
+            layers.write_layer(feed.drop(dedup.ORDINAL), folder, name, "csv")
+        else:
+            feed.drop(dedup.ORDINAL).write.json(f"{folder}/{name}.{extension}")
+    readers = pipeline.raw_readers(t.spark, folder)
+    failed = pipeline.land(readers, f"{folder}/bronze")
+    if failed:
+        raise RuntimeError(str(failed))
+    return reduce(DataFrame.unionByName, [
+        layers.read_layer(t.spark, f"{folder}/bronze", name).agg(F.lit(name).alias("tabela"), F.count(F.lit(1)).alias("linhas"))
+        for name in readers])
+
+
+def append_layer_twice(t: Ledger) -> DataFrame:
+    """A layer table after a load of a part, one of the whole, a repetition of it, and one that breaks half-way."""
+    table = loads.LoadTable(t.spark, _feed_folder(t), "linhas")
+    lines = t.table("lineitem").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("chave"), "l_partkey", "l_returnflag")
+    table.append(lines.where("l_returnflag = 'R'").drop("l_returnflag"), ["chave"], "primeira")
+    whole = lines.drop("l_returnflag").withColumn("l_partkey", F.col("l_partkey") + 1)
+    for _ in range(2):
+        table.append(whole, ["chave"], "segunda")
+    broken = lines.select(F.col("chave") + 1_000_000_000, F.when(F.col("chave") % 1000 == 3, F.raise_error(F.lit("broken"))).otherwise(
+        F.col("l_partkey")).cast("bigint").alias("l_partkey")).toDF("chave", "l_partkey")
+    try:
+        table.append(broken, ["chave"], "terceira")
+    except Exception as error:  # noqa: BLE001 - the load is meant to break
+        if "broken" not in str(error):
+            raise
+    return table.read().select("chave", "l_partkey", "carga")
+
+
+def replaced_months(t: Ledger) -> DataFrame:
+    """Payables by month due after a load of all and a correction of the months of one year."""
+    table = loads.LoadTable(t.spark, _feed_folder(t), "contas")
+    month = month_key(F.col("data_vencimento"))
+    dated = t.silver_payables.select("id_conta", "valor_conta", month.alias("mes_vencimento"))
+    table.replace(dated, "inicial")
+    year = dated.where("mes_vencimento LIKE '1996%'")
+    table.replace(year.where("id_conta % 2 = 0").withColumn("valor_conta", -F.col("valor_conta")), "correcao", "mes_vencimento")
+    return table.read().groupBy("mes_vencimento", "carga").agg(
+        F.count(F.lit(1)).alias("contas"), F.round(F.sum("valor_conta"), 2).alias("valor"))
+
+
 def silver_layer_by_month(t: Ledger) -> DataFrame:
     """Payables written in directories by month due and read back with their declared schema."""
     folder = _feed_folder(t)
@@ -418,7 +465,16 @@ def top_models(t: Ledger) -> DataFrame:
 
 
 def cluster_model_comparison(t: Ledger) -> DataFrame:
-    return segments.compare_clusterings(t.wide_features).comparison
+    features = customers.client_features(star.dim_client(t.silver_clients), t.silver_receivables, with_mix=False)
+    mix = customers.category_mix(t.silver_receivables, t.clean_categories())
+    return segments.compare_clusterings(features, mix=mix).comparison
+
+
+def feature_mix_entries(t: Ledger) -> DataFrame:
+    """The vector of one number and the whole category mix."""
+    used = t.features.select("id_cliente", F.col("recencia_dias").cast("double").alias("recencia_dias"))
+    mix = customers.category_mix(t.clean_receivables(), t.clean_categories())
+    return _rounded(segments.entries(segments.feature_vectors(used, mix=mix)).where("abs(valor) > 1e-9"), "valor")
 
 
 def cluster_pca(t: Ledger) -> DataFrame:
@@ -558,7 +614,11 @@ JOBS: dict[str, Callable[[Ledger], DataFrame]] = {
     "forced_clusters": forced_clusters,
     "forced_candidates": forced_candidates,
     "feature_levels": feature_levels,
+    "feature_mix_entries": feature_mix_entries,
     "pca_of_blocks": pca_of_blocks,
+    "append_layer_twice": append_layer_twice,
+    "replaced_months": replaced_months,
+    "landed_folder": landed_folder,
     "quality_targets": quality_targets,
     "quality_categories": quality_categories,
     "quality_clients": quality_clients,

@@ -237,3 +237,62 @@ def test_segment_layer(spark, layered):
     assert segmented.count() == 24 and segmented.where("cluster is null").count() == 0
     best = comparison.orderBy(F.desc("ranking_score"), "model_name").first().model_name
     assert {r.modelo_vencedor for r in segmented.select("modelo_vencedor").collect()} == {best}
+
+
+def test_jobs_at_the_same_time_remove_their_own_tables_only(spark):
+    from threading import Event
+
+    from ledgermill.sources.shared import materialise, removing_tables, side_by_side
+
+    inside, over = Event(), Event()
+
+    def short():
+        inside.wait(60)
+        with removing_tables(spark):
+            table = materialise(spark.range(3).toDF("a"))
+            assert table.count() == 3
+        over.set()
+        return table.inputFiles()
+
+    def long():
+        with removing_tables(spark):
+            first = materialise(spark.range(5).toDF("a"))
+            inner = side_by_side(lambda: materialise(spark.range(7).toDF("a")))[0]
+            inside.set()
+            over.wait(60)
+            assert first.count() == 5 and inner.count() == 7
+        return first.inputFiles() + inner.inputFiles()
+
+    import os
+    for files in side_by_side(short, long):
+        assert files and not any(os.path.exists(f.removeprefix("file://")) for f in files)
+
+
+def test_loads_are_seen_whole_or_not_at_all(spark, tmp_path):
+    from ledgermill.sources.loads import LoadTable
+
+    table = LoadTable(spark, str(tmp_path), "t")
+    frame = lambda *r: spark.createDataFrame(list(r), "k bigint, m string, v bigint")
+    with pytest.raises(FileNotFoundError):
+        table.read()
+    assert table.append(frame((1, "a", 1), (2, "b", 1)), ["k"], "one")
+    assert not table.append(frame((9, "z", 9)), ["k"], "one")
+    assert table.append(frame((2, "b", 2), (3, "c", 2), (None, "c", 2)), ["k"], "two")
+    with pytest.raises(Exception, match="broken"):
+        table.append(frame((7, "q", 7)).selectExpr("k", "m", "cast(raise_error('broken') as bigint) as v"), ["k"], "three")
+    held = lambda: sorted(((r.k or 0), r.m, r.v, r.carga) for r in table.read().collect())
+    assert held() == [(0, "c", 2, "two"), (1, "a", 1, "one"), (2, "b", 1, "one"), (3, "c", 2, "two")]
+    assert table.replace(frame((4, "c", 3), (5, None, 3)), "four", "m")
+    assert held() == [(1, "a", 1, "one"), (2, "b", 1, "one"), (4, "c", 3, "four"), (5, None, 3, "four")]
+    assert table.append(frame((6, "c", 4)), ["k"], "three")  # the load that broke, run again
+    assert len(held()) == 5 and table.compact("all") and {r[3] for r in held()} == {"all"} and len(held()) == 5
+    assert table.replace(frame((8, "x", 5)), "anew") and held() == [(8, "x", 5, "anew")]
+
+
+def test_two_feeds_of_one_name_are_an_error(spark, tmp_path):
+    from ledgermill.plans import pipeline
+
+    for name in ("A.csv", "A.json"):
+        (tmp_path / name).write_text("x")
+    with pytest.raises(ValueError, match="A"):
+        pipeline.raw_readers(spark, str(tmp_path))
