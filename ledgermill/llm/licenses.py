@@ -12,8 +12,7 @@ from ..sources.shared import materialise
 # Phrases whose every place counts, and their labels.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
-# Notices by label. A block of text bears a label if it has this share of a notice's distinct words, unless a closer
-# notice has all of these words too.
+# Notices by label. A block of text bears a label if it has this share of a notice's distinct words.
 THRESHOLD = 0.8
 TEMPLATES = [
     ("apache", "licensed under the apache license version 2 0"),
@@ -47,23 +46,29 @@ def _spaces(text: Column) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))
 
 
+def line_span(templates: list[tuple[str, str]]) -> int:
+    """Words that the longest notice can take up, with others between its own."""
+    return max(len(text.split()) for _, text in templates) * 3 // 2
+
+
 def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
                  templates: list[tuple[str, str]] = TEMPLATES) -> DataFrame:
     """License phrases and notices of every row.
 
     Returns `doc_id`, `n_words`, `n_base` (places of the fixed phrases), `first_word` and `last_word` (smallest and
     largest start of such a place, in words from 0), `base_labels`, `labels` (also those of notices; distinct, sorted,
-    joined by commas) and `score` (1 with a fixed phrase, else the largest share of a notice's words that one block
-    has, if it reaches `threshold`, else 0).
+    joined by commas), `score` (1 with a fixed phrase, else the largest share of a notice's words that one block
+    has, if it reaches `threshold`, else 0) and `closest` (the labels of notices without those whose words in the block
+    are all among those of a closer notice: a CC BY-NC notice has 6 of the 7 words of the CC BY-SA one and no word that
+    speaks for it).
 
     Blocks are lines, and around each line end the words before and after it, as many on each side as the longest notice
-    can take up, so notices wrapped over lines are found whole; a label counts once however many blocks bear it. Of each block only the words that occur in some notice are kept, so blocks are short sets and no
-    text is shuffled. Words are ordered by the number of blocks that have them, over all rows, rarest first. A notice
+    can take up, so notices wrapped over lines are found whole; a label counts once however many blocks bear it. Of each block only the
+    words that occur in some notice are kept, so blocks are short sets and no text is shuffled. Words are ordered by the number of blocks that have them, over all rows, rarest first. A notice
     of n words of which c must be found has its first n - c + 1 words as prefix, and so has a block: two such sets can
     only be alike enough if their prefixes share a word, they have c words each, and the words after the shared one
-    suffice. What passes these filters is compared in full, so every block that reaches the threshold is found. A block gets the
-    labels of all these notices, but not of one whose words in the block are all among those of a closer notice (a
-    CC BY-NC notice has 6 of the 7 words of the CC BY-SA one and no word that speaks for it).
+    suffice. What passes these filters is compared in full, so every block that reaches the threshold is found,
+    and gets the labels of all notices that it does so for.
 
     Null and empty texts have no words, no labels and score 0. Each row is scanned on its own: ids may be null or
     repeated. Other columns are ignored.
@@ -73,23 +78,25 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     vocabulary = sorted({word for _, words in sets for word in words})
     need = [max(1, _least(len(words), threshold)) for _, words in sets]
 
-    # Words that the longest notice can take up, with others between its own.
-    span = max(len(text.split()) for _, text in templates) * 3 // 2
-    known = lambda words: F.array_intersect(words, _strings(vocabulary))
-
-    tidy = F.trim(F.regexp_replace("low", _PARTS, " "))
-    lines = F.transform(F.split("low", "\n"), lambda line: known(F.split(line, _PARTS)))
-    # Words and line ends in their order; line ends without words between are one.
+    span = line_span(templates)
+    # Words and line ends in their order; line ends without words between are one. Of the words only those that occur in some notice are kept.
     marked = F.split(F.trim(F.regexp_replace(F.regexp_replace("low", _APART, " "), " ?\n[ \n]*", " \n ")), " ")
-    breaks = F.filter(F.sequence(F.lit(1), F.size("marked")), lambda at: F.get("marked", at - 1) == "\n")
-    words = lambda part: F.filter(part, lambda word: word != "\n")
-    runs = F.transform(breaks, lambda at: known(F.concat(
-        F.slice("marked", F.greatest(at - span, F.lit(1)), F.least(at - 1, F.lit(span))),
-        F.slice(words(F.slice("marked", at + 1, F.lit(2 * span))), 1, span))))
+    slim = F.transform("marked", lambda word: F.when(word.isin(vocabulary) | (word == "\n"), word))
+    ends = F.filter(F.transform("marked", lambda word, at: F.when(word == "\n", at)), lambda at: at.isNotNull())
+    known = lambda part: F.filter(F.array_distinct(part), lambda word: word.isNotNull() & (word != "\n"))
+    edges = F.concat(F.array(F.lit(-1)), "ends", F.array(F.size("slim")))
+    lines = F.transform(F.sequence(F.lit(0), F.size("ends")), lambda i: known(
+        F.slice("slim", F.get("edges", i) + 2, F.get("edges", i + 1) - F.get("edges", i) - 1)))
+    words = lambda part: F.filter(part, lambda word: word.isNull() | (word != "\n"))
+    runs = F.transform("ends", lambda at: known(F.concat(
+        F.slice("slim", F.greatest(at + 1 - span, F.lit(1)), F.least(at, F.lit(span))),
+        F.slice(words(F.slice("slim", at + 2, F.lit(2 * span))), 1, span))))
     read = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), low.alias("low")).select(
-        "doc_id", F.xxhash64("doc_id", "low").alias("row"), tidy.alias("tidy"),
-        F.filter(lines, lambda words: F.size(words) > 0).alias("lines"), marked.alias("marked"))
-    read = read.withColumn("blocks", F.concat("lines", F.filter(runs, lambda words: F.size(words) >= min(need))))
+        "doc_id", F.xxhash64("doc_id", "low").alias("row"), marked.alias("marked"))
+    read = read.select("doc_id", "row", slim.alias("slim"), ends.alias("ends"), F.array_join(F.filter(
+        "marked", lambda word: word != "\n"), " ").alias("tidy")).withColumn("edges", edges)
+    read = read.withColumn("blocks", F.concat(F.filter(lines, lambda words: F.size(words) > 0),
+                                              F.filter(runs, lambda words: F.size(words) >= min(need))))
     padded = F.concat(F.lit(" "), F.col("tidy"), F.lit(" "))
     found = {phrase: F.contains(F.col("padded"), F.lit(f" {phrase} ")) for phrase in PHRASES}
     pieces = {phrase: F.when(found[phrase], F.split("padded", f" {phrase}(?= )")) for phrase in PHRASES}
@@ -128,14 +135,17 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     found = alike.groupBy("row", "words").agg(F.collect_set(own).alias("all"))
     contained = lambda one: F.exists("all", lambda other: (other["share"] > one["share"]) & (
         F.size(F.array_except(one["hits"], other["hits"])) == 0))
-    closest = found.select("row", F.array_max("all")["share"].alias("share"), F.explode(
-        F.filter("all", lambda one: ~contained(one))).alias("one"))
-    labels = closest.groupBy("row").agg(F.collect_set("one.label").alias("more"), F.max("share").alias("share"))
-    whole = F.array_sort(F.array_distinct(F.concat("base", F.coalesce("more", F.array().cast("array<string>")))))
+    each = found.select("row", F.explode(F.transform("all", lambda one: F.struct(
+        one["label"].alias("label"), one["share"].alias("share"), (~contained(one)).alias("close")))).alias("one")).select("row", "one.*")
+    labels = each.groupBy("row").agg(F.collect_set("label").alias("more"), F.max("share").alias("share"),
+                                     F.collect_set(F.when(F.col("close"), F.col("label"))).alias("close"))
+    none = F.array().cast("array<string>")
+    whole = F.array_sort(F.array_distinct(F.concat("base", F.coalesce("more", none))))
     return read.drop("blocks").join(labels, "row", "left").select(
         "doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join(F.array_sort("base"), ",").alias("base_labels"),
         F.array_join(whole, ",").alias("labels"),
-        F.when(F.col("n_base") > 0, F.lit(1.0)).otherwise(F.coalesce("share", F.lit(0.0))).alias("score"))
+        F.when(F.col("n_base") > 0, F.lit(1.0)).otherwise(F.coalesce("share", F.lit(0.0))).alias("score"),
+        F.array_join(F.array_sort(F.coalesce("close", none)), ",").alias("closest"))
 
 
 def _least(size: int, threshold: float) -> int:

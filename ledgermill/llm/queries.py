@@ -294,22 +294,33 @@ def _sql_places(phrase: str) -> str:
     return f"list_filter(range(len(w)), lambda i: {test})"
 
 
+_SPAN = licenses.line_span(licenses.TEMPLATES)
+# Blocks are lines, and the words before and after each line end.
 _OP9 = f"""
-WITH notices(label, w) AS (VALUES {", ".join(f"('{label}', list_distinct(string_split('{text}', ' ')))" for label, text in licenses.TEMPLATES)}),
-low AS (SELECT doc_id, translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS t FROM documents),
-texts AS (SELECT doc_id, regexp_extract_all(t, {_WORDS}) AS w FROM low),
+WITH notices(label, n, w) AS (
+  VALUES {", ".join(f"('{label}', {n}, list_distinct(string_split('{text}', ' ')))" for n, (label, text) in enumerate(licenses.TEMPLATES))}
+), low AS (SELECT doc_id, row_number() OVER () AS r, translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS t FROM documents),
+texts AS (SELECT doc_id, r, t, regexp_extract_all(t, {_WORDS}) AS w FROM low),
 base AS (
-  SELECT doc_id, len(w) AS n_words, {", ".join(f"{_sql_places(p)} AS p{i}" for i, p in enumerate(licenses.PHRASES))} FROM texts
-), blocks AS (
-  SELECT doc_id, pos, list_distinct(regexp_extract_all(line, {_WORDS})) AS w
-  FROM (SELECT doc_id, generate_subscripts(string_split(t, chr(10)), 1) AS pos, unnest(string_split(t, chr(10))) AS line FROM low)
+  SELECT doc_id, r, len(w) AS n_words, {", ".join(f"{_sql_places(p)} AS p{i}" for i, p in enumerate(licenses.PHRASES))} FROM texts
+), marked AS (
+  SELECT r, regexp_extract_all(t, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+|\n') AS m FROM low
+), single AS (SELECT r, list_filter(m, lambda x, i: x <> chr(10) OR i = 1 OR m[i - 1] <> chr(10)) AS m FROM marked),
+around AS (SELECT r, m, unnest(list_filter(range(1, len(m) + 1), lambda i: m[i] = chr(10))) AS i FROM single),
+blocks AS (
+  SELECT r, 'line ' || pos AS block, list_distinct(regexp_extract_all(line, {_WORDS})) AS w
+  FROM (SELECT r, generate_subscripts(string_split(t, chr(10)), 1) AS pos, unnest(string_split(t, chr(10))) AS line FROM low)
+  UNION ALL
+  SELECT r, 'end ' || i, list_distinct(list_filter(list_concat(m[greatest(i - {_SPAN}, 1):i - 1],
+    list_filter(m[i + 1:i + {2 * _SPAN}], lambda x: x <> chr(10))[1:{_SPAN}]), lambda x: x <> chr(10))) FROM around
 ), alike AS (
-  SELECT doc_id, pos, label, len(list_intersect(b.w, n.w)) / len(n.w) AS share,
-    max(len(list_intersect(b.w, n.w)) / len(n.w)) OVER (PARTITION BY doc_id, pos) AS most
-  FROM blocks b, notices n WHERE len(list_intersect(b.w, n.w)) >= greatest(1, ceil(len(n.w) * {licenses.THRESHOLD} - 1e-9))
-), more AS (
-  SELECT doc_id, list(DISTINCT label) AS labels, max(share) AS share FROM alike WHERE share = most GROUP BY doc_id
-), own AS (
+  SELECT r, block, n, label, list_intersect(b.w, s.w) AS hits, len(list_intersect(b.w, s.w)) / len(s.w) AS share
+  FROM blocks b, notices s WHERE len(list_intersect(b.w, s.w)) >= greatest(1, ceil(len(s.w) * {licenses.THRESHOLD} - 1e-9))
+), close AS (
+  SELECT r, list(DISTINCT label) AS labels FROM alike a WHERE NOT EXISTS (
+    SELECT 1 FROM alike b WHERE b.r = a.r AND b.block = a.block AND b.share > a.share AND list_has_all(b.hits, a.hits)) GROUP BY r
+), more AS (SELECT r, list(DISTINCT label) AS labels, max(share) AS share FROM alike GROUP BY r),
+own AS (
   SELECT *, list_concat({", ".join(f"p{i}" for i in range(len(licenses.PHRASES)))}) AS p,
     list_filter([{", ".join(f"CASE WHEN len(p{i}) > 0 THEN '{label}' END" for i, label in enumerate(licenses.PHRASES.values()))}],
       lambda x: x IS NOT NULL) AS labels
@@ -318,8 +329,9 @@ base AS (
 SELECT o.doc_id, n_words, CAST(len(p) AS BIGINT) AS n_base, list_min(p) AS first_word, list_max(p) AS last_word,
   array_to_string(list_sort(o.labels), ',') AS base_labels,
   array_to_string(list_sort(list_distinct(list_concat(o.labels, coalesce(m.labels, [])))), ',') AS labels,
-  CASE WHEN len(p) > 0 THEN 1.0 ELSE coalesce(m.share, 0.0) END::DOUBLE AS score
-FROM own o LEFT JOIN more m USING (doc_id)
+  CASE WHEN len(p) > 0 THEN 1.0 ELSE coalesce(m.share, 0.0) END::DOUBLE AS score,
+  coalesce(array_to_string(list_sort(c.labels), ','), '') AS closest
+FROM own o LEFT JOIN more m USING (r) LEFT JOIN close c USING (r)
 """
 
 _OP13 = f"""

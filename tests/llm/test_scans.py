@@ -76,16 +76,25 @@ def scanned(docs):
         places = {p: [i for i in range(len(words)) if words[i:i + len(p.split())] == p.split()] for p in licenses.PHRASES}
         every = sorted(sum(places.values(), []))
         base = sorted(licenses.PHRASES[p] for p, found in places.items() if found)
-        more, best = set(), 0.0
-        for line in low.split("\n"):
-            own = set(word.findall(line))
-            shares = [(len(own & set(t.split())) / len(set(t.split())), label) for label, t in licenses.TEMPLATES]
-            top = max(shares)[0]
-            if top >= licenses.THRESHOLD - 1e-9:
-                best = max(best, top)
-                more |= {label for s, label in shares if s == top}
+        more, close, best = set(), set(), 0.0
+        tokens = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+|\n", low)
+        tokens = [t for i, t in enumerate(tokens) if t != "\n" or not i or tokens[i - 1] != "\n"]
+        span = licenses.line_span(licenses.TEMPLATES)
+        blocks = [set(word.findall(line)) for line in low.split("\n")]
+        for i in (i for i, t in enumerate(tokens) if t == "\n"):
+            after = [t for t in tokens[i + 1:i + 1 + 2 * span] if t != "\n"][:span]
+            blocks.append({*tokens[max(0, i - span):i], *after} - {"\n"})
+        for own in blocks:
+            found = []
+            for label, t in licenses.TEMPLATES:
+                share = len(own & set(t.split())) / len(set(t.split()))
+                if share >= licenses.THRESHOLD - 1e-9:
+                    found.append((share, label, own & set(t.split())))
+            best = max([best, *(share for share, _, _ in found)])
+            more |= {label for _, label, _ in found}
+            close |= {label for s, label, h in found if not any(s2 > s and h <= h2 for s2, _, h2 in found)}
         out.append((doc, len(words), len(every), every[0] if every else None, every[-1] if every else None, ",".join(base),
-                    ",".join(sorted({*base, *more})), 1.0 if every else best))
+                    ",".join(sorted({*base, *more})), 1.0 if every else best, ",".join(sorted(close))))
     return sorted(out, key=repr)
 
 
@@ -95,24 +104,46 @@ def test_license_scan_equals_brute_force(spark):
             (10, "license under the apache version 2"), (11, "Éall rights reserved"), (12, "all rights réserved"), (13, "cc by by cc by"),
             (3, "All rights reserved"), (None, "cc by"), (14, "w " * 60_000 + "all rights reserved"),
             (15, "Redistribution and use in source and binary forms, with or without modification, are permitted"),
-            (16, "Permission is hereby granted, free of charge, to any person obtaining a copy of this software")]
+            (16, "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"),
+            (17, "# Permission is hereby granted, free of charge, to any person obtaining a copy\n# of this software and associated\n"
+                 "# documentation files. Licensed under\n\n#\n# the Apache License 2.0, all rights reserved"),
+            (18, "\n\nReleased\nunder the MIT\nlicense\n\n"), (19, "Licensed under the Apache License edition 2.0, or released under the MIT license"),
+            (20, "\n".join("this work is licensed under the gnu general public license version 3".split()))]
     table = spark.createDataFrame([(d, t, "w", 1) for d, t in docs], "doc_id bigint, text string, words string, row int")
     got = sorted((tuple(r) for r in licenses.license_scan(table).collect()), key=repr)
     assert got == scanned(docs)
     assert licenses.license_scan(table.where("false")).collect() == []
 
 
-def labels(spark, *texts):
+def labels(spark, *texts, column="labels"):
     table = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
-    return [r.labels for r in licenses.license_scan(table).orderBy("doc_id").collect()]
+    return [r[column] for r in licenses.license_scan(table).orderBy("doc_id").collect()]
 
 
 def test_notices_beside_closer_ones_in_a_line_are_found(spark):
     bsd = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
            "conditions are met")
     apache = "Licensed under the Apache License edition 2.0"
-    assert labels(spark, f"All rights reserved. {bsd}", f"{apache}, or released under the MIT license", "Licensed under CC BY-NC 4.0",
-                  "Licensed under CC BY-NC 4.0 or CC BY-SA 4.0") == ["bsd,reserved", "apache,mit", "cc-by,cc-by-nc", "cc-by,cc-by-nc,cc-by-sa"]
+    texts = [f"All rights reserved. {bsd}", f"{apache}, or released under the MIT license", "Licensed under CC BY-NC 4.0",
+             "Licensed under CC BY-NC 4.0 or CC BY-SA 4.0"]
+    assert labels(spark, *texts) == ["bsd,reserved", "apache,mit", "cc-by,cc-by-nc,cc-by-sa", "cc-by,cc-by-nc,cc-by-sa"]
+    assert labels(spark, *texts, column="closest") == ["bsd,reserved", "apache,mit", "cc-by-nc", "cc-by-nc,cc-by-sa"]
+
+
+def test_code_and_sql_agree_on_wrapped_and_double_notices(spark):
+    import duckdb
+    from ledgermill.llm import queries
+
+    bsd = "Redistribution and use in source and binary forms, with or\n * without modification, are\n\n * permitted provided that the conditions are met"
+    texts = [bsd, f"All rights reserved.\n{bsd}", "Licensed under CC BY-NC 4.0\nor CC BY-SA 4.0", "Permission is hereby granted, free of charge, to any\n"
+             "person obtaining a copy\nof this software and associated documentation files", None, "", "\n", "released under\n\n...\nthe MIT license",
+             "the GNU general public license\nversion 3: this work is licensed under", "all rights\nreserved"]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = sorted(tuple(r) for r in licenses.license_scan(table).collect())
+    connection = duckdb.connect()
+    connection.execute("create table documents (doc_id bigint, text varchar)")
+    connection.executemany("insert into documents values (?, ?)", list(enumerate(texts)))
+    assert got == sorted(connection.execute(queries.oracle_sql()["op9_licenses"]).fetchall())
 
 
 def test_wrapped_notices_are_found(spark):
