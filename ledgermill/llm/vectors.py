@@ -134,15 +134,15 @@ def near_duplicate_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_co
         lambda frames: _encoded(frames, index, width, margin * radius),
         "class_id bigint, first bigint, members bigint, label string, width int, vector binary, codes binary, "
         "missing double, cell int, probed array<int>"))
-    fresh = [F.col(c).alias(c) for c in ("class_id", "first", "label", "width", "vector")]  # for the cogroup
-    queries = coded.select(*fresh, F.explode("probed").alias("cell"))
+    fresh = [F.col(c).alias(c) for c in ("class_id", "first", "members", "label", "width", "vector")]  # for the cogroup
+    queries = coded.select(*fresh, F.col("cell").alias("home"), F.explode("probed").alias("cell"))
     place = ["label", "width", "cell"]
     tiles = lambda df, name: df.groupBy(*place).agg(
         F.ceil(F.count(F.lit(1)) / TILE_ROWS).cast("int").alias(name))
     counts = materialise(tiles(coded, "list_tiles").join(tiles(queries, "query_tiles"), place))
     own, others = F.pmod("class_id", F.col("list_tiles")), F.pmod("class_id", F.col("query_tiles"))
     every = lambda name: F.explode(F.sequence(F.lit(0), F.col(name) - 1))
-    listed = coded.drop("probed").join(counts, place).withColumn("list_tile", own.cast("int")).withColumn(
+    listed = coded.join(counts, place).withColumn("list_tile", own.cast("int")).withColumn(
         "query_tile", every("query_tiles")).drop("list_tiles", "query_tiles")
     asked = queries.join(counts, place).withColumn("query_tile", others.cast("int")).withColumn(
         "list_tile", every("list_tiles")).drop("list_tiles", "query_tiles")
@@ -201,6 +201,12 @@ def _linked(key: tuple, queries: pd.DataFrame, listed: pd.DataFrame, index: Inde
                           for i in range(0, len(q), 65536)] or [np.zeros(0, bool)])
     q, x = q[hit], x[hit]
     links = np.bincount(q, listed["members"].to_numpy()[x], len(queries)).astype("int64")
+    # A listed vector that does not look into the list of the one that asks never finds it, so the link counts here for both.
+    looks = np.zeros((len(listed), len(index.centroids)), bool)
+    for row, lists in enumerate(listed["probed"]):
+        looks[row, lists] = True
+    unseen = ~looks[x, queries["home"].to_numpy()[q]]
+    back = np.bincount(x[unseen], queries["members"].to_numpy()[q[unseen]], len(listed)).astype("int64")
     left, right = queries["first"].to_numpy().copy(), listed["first"].to_numpy().copy()
     while len(q):
         least = np.minimum(left[q], right[x])
@@ -214,6 +220,6 @@ def _linked(key: tuple, queries: pd.DataFrame, listed: pd.DataFrame, index: Inde
     return pd.concat([
         pd.DataFrame({"class_id": queries["class_id"][some], "first": queries["first"][some], "links": links[some],
                       "root": left[some]}),
-        pd.DataFrame({"class_id": listed["class_id"][used], "first": listed["first"][used], "links": 0,
+        pd.DataFrame({"class_id": listed["class_id"][used], "first": listed["first"][used], "links": back[used],
                       "root": right[used]}),
     ])

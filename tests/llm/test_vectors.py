@@ -76,3 +76,18 @@ def test_coded_distances_bound_the_true_ones():
         coded = index.distances(rows, cell, codes[inside])
         true = np.linalg.norm(rows[:, None] - rows[inside][None], axis=2)
         assert (np.abs(coded - true) <= missing[inside] + 1e-3).all()
+
+
+def test_both_ends_of_a_link_count_it_also_with_many_lists(spark):
+    """Clustered vectors of few directions, cut into many lists: recall and symmetry of the counts."""
+    rng = np.random.default_rng(11)
+    flat = rng.normal(size=(4, 24))
+    rows = np.concatenate([rng.normal(size=(40, 4))[i % 40] + 0.12 * rng.normal(size=(1, 4)) for i in range(1200)]) @ flat
+    table = spark.createDataFrame([(i, [float(x) for x in v], 1) for i, v in enumerate(rows)], "vec_id bigint, embedding array<double>, label int")
+    units = rows / np.linalg.norm(rows, axis=1, keepdims=True)
+    near = units @ units.T >= 0.93
+    np.fill_diagonal(near, False)
+    got = {r.vec_id: r.n_links for r in vectors.near_duplicate_vectors(table).collect()}
+    links = np.array([got[i] for i in range(len(rows))])
+    assert links.sum() >= 0.9 * near.sum() and (links <= near.sum(1)).all()
+    assert links.sum() % 2 == 0
