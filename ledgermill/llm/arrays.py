@@ -183,3 +183,15 @@ def letter_table() -> np.ndarray:
                 table[i] = ord(low) if len(low) == 1 else i
         _tables["letters"] = table
     return _tables["letters"]
+
+
+def mark_table() -> np.ndarray:
+    """Which code points are marks that combine with a letter, and no letters by themselves."""
+    if "marks" not in _tables:
+        import unicodedata
+
+        table = np.zeros(0x110000, bool)
+        for i in (*range(0xD800), *range(0xE000, 0x110000)):
+            table[i] = unicodedata.category(chr(i))[0] == "M"
+        _tables["marks"] = table
+    return _tables["marks"]

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .arrays import code_points, letter_table, mix, seeds, text_pieces
+from .arrays import code_points, letter_table, mark_table, mix, seeds, text_pieces
 
 UNKNOWN = "und"
 # Labelled rows the model is fitted on, at most, and the words taken from each.
@@ -248,7 +248,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     """`doc_id`, `lang_pred` and `score` of every row, from its whole text, then the columns named in `keep`.
 
     Every word gets a probability for each language given all words of its text; the text gets the language with the
-    most words, and as score their share. Texts that are null, empty or without a letter are `und` with score 0; ties
+    most words, and as score their share. Texts that are null, empty or without a letter (marks that combine are none) are `und` with score 0; ties
     go to the first language by name. Each row is judged on its own, so ids may be null or repeated. Other columns
     are ignored; a kept column may not bear the name of one of the three.
     """
@@ -264,7 +264,8 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
                 if len(word[0]) and model.labels:
                     first_word = np.searchsorted(word[0], begins)
                     total = _marginals(_emissions(model, letters, *word), model.transitions, first_word)
-                    some = np.diff(first_word) > 0
+                    real = np.concatenate([np.zeros(1, np.int64), np.cumsum((letters > 0) & ~mark_table()[letters])])
+                    some = np.diff(real[begins]) > 0
                     best[some] = total[some].argmax(axis=1)
                     share[some] = np.clip(total[some].max(axis=1) / np.diff(first_word)[some], 0, 1)
                 yield pa.RecordBatch.from_arrays([

@@ -110,3 +110,10 @@ def test_samples_are_cut_before_the_driver(spark, monkeypatch):
     pages.fit(html, fit_pages=20, rounds=1)
     assert [len(frame) for frame in brought] == [20, 20]
     assert brought[1]["html"].tolist() == sorted(r.html for r in html.collect())[:20]
+
+
+def test_marks_alone_are_no_language(spark):
+    docs = [(i, f"{w} bonjour monde {w}" if i % 2 else f"hello world {w}", "fr" if i % 2 else "en") for i, w in enumerate("abcdefgh" * 4)]
+    model = language.fit(spark.createDataFrame(docs, "doc_id bigint, text string, lang string"))
+    odd = spark.createDataFrame([(1, "\u0301\u0302 \u0303"), (2, "hello e\u0301 world"), (3, "12 \u0301")], "doc_id bigint, text string")
+    assert [r.lang_pred for r in language.predict(odd, model).orderBy("doc_id").collect()] == ["und", "en", "und"]
