@@ -14,7 +14,7 @@ from ledgermill.sources.shipping import ship_package
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
-# Share of words that must be of one known language; mixed texts pass, texts of no known language do not.
+# Share of words that must be of one known language. Texts of two languages pass, texts without letters do not.
 LEAST_SHARE = 0.4
 
 # The language stage learns a model, so no SQL can say what it keeps; every stage is tested on its own instead.
