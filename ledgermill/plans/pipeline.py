@@ -28,7 +28,8 @@ def land(tables: dict[str, Callable[[], DataFrame]], bronze: str, output_format:
     failed = {}
     for name, read in tables.items():
         try:
-            write_layer(read(), bronze, name, output_format)
+            with removing_tables(SparkSession.active()):
+                write_layer(read(), bronze, name, output_format)
         except Exception as error:  # noqa: BLE001 - any failure of one feed is reported, whatever it is
             failed[name] = str(error)
     return failed

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +12,8 @@ from pyspark.sql import types as T
 from ..functions.fixed_values import CSV_MISSING
 from ..functions.text import missing_to_null
 from ..operators.dedup import ORDINAL
+from .shared import materialise
+from .split_records import csv_records, json_records
 
 
 def list_files(spark: SparkSession, path: str, extension: str) -> DataFrame:
@@ -46,15 +50,22 @@ def read_csv(spark: SparkSession, path: str, multi_line: bool | None = None) ->
     """CSV with a header, all columns as text, the usual missing-value tokens as null.
 
     Missing cells at the end of a record are null; a record with more cells than the header fails the job that reads
-    it. Files with line feeds inside of quoted cells cannot be split and are read as a whole; without `multi_line` one
-    pass over the lines finds out.
+    it. Files with line feeds inside of quoted cells are split like others, by way of an intermediate table; without
+    `multi_line` a pass over the lines, which ends at the first such cell, finds out.
     """
     if multi_line is None:
         multi_line = _cells_span_lines(spark, path)
     reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
     names, record = reader.csv(path).columns, "__record"
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, record]])
-    cells = with_ordinal(reader.schema(schema).option("columnNameOfCorruptRecord", record).csv(path))
+    if multi_line:
+        # Cells by position, since names may hold any sign.
+        layout = ", ".join([*[f"c{i} string" for i in range(len(names))], f"{record} string"])
+        parsed = F.from_csv("value", layout, {"escape": '"', "columnNameOfCorruptRecord": record})
+        cells = csv_records(spark, path).select(parsed.alias("cells"), ORDINAL).select(
+            *[F.col("cells")[f"c{i}"].alias(c) for i, c in enumerate(names)], F.col("cells")[record].alias(record), ORDINAL)
+    else:
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, record]])
+        cells = with_ordinal(reader.schema(schema).option("columnNameOfCorruptRecord", record).csv(path))
     # Spark keeps the record beside the cells if their numbers differ; only then it is read again.
     again = F.from_csv(record, ", ".join(f"c{i} string" for i in range(len(names) + 1)), {"escape": '"'})
     surplus = F.col(record).isNotNull() & again[f"c{len(names)}"].isNotNull()
@@ -66,13 +77,21 @@ def read_csv(spark: SparkSession, path: str, multi_line: bool | None = None) ->
 
 
 def read_json(spark: SparkSession, path: str, one_array: bool = True) -> DataFrame:
-    """JSON records with all their fields, as text: one array per file, or one record per line for feeds that must
-    split. Fields are found by a pass over all records. Nested values become JSON text; a malformed record fails the
-    read."""
-    reader = spark.read.option("multiLine", one_array).option("primitivesAsString", True).option("mode", "FAILFAST")
-    cells = reader.json(path)
-    nested = [f.name for f in cells.schema.fields if not isinstance(f.dataType, T.StringType)]
-    return with_ordinal(cells).withColumns({c: F.to_json(F.col(f"`{c}`")) for c in nested})
+    """JSON records with all their fields, as text: one array per file, or one record per line. Arrays are split like
+    lines, by way of an intermediate table. Fields are found by a pass over all records. Nested values become JSON text;
+    a malformed record fails the read."""
+    options = {"primitivesAsString": "true", "mode": "FAILFAST"}
+    if one_array:
+        records = materialise(json_records(spark, path))
+        texts = getattr(records.select("value")._jdf, "as")(spark._jvm.org.apache.spark.sql.Encoders.STRING())
+        fields = spark._jsparkSession.read().options(options).json(texts).schema().json()
+        schema = T.StructType.fromJson(json.loads(fields))
+        cells = records.select(F.from_json("value", schema, options).alias("cells"), ORDINAL).select(
+            *[F.col("cells")[name].alias(name) for name in schema.names], ORDINAL)
+    else:
+        cells = with_ordinal(spark.read.options(**options).json(path))
+    nested = [f.name for f in cells.drop(ORDINAL).schema.fields if not isinstance(f.dataType, T.StringType)]
+    return cells.withColumns({c: F.to_json(F.col(f"`{c}`")) for c in nested})
 
 
 def read_layer(spark: SparkSession, folder: str, name: str, schema: T.StructType | None = None) -> DataFrame:

@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 _folder_choice = Lock()
+# Folders of local applications that go without the setting, which cannot be changed once a session runs.
+_own_folders: dict[str, str] = {}
 # Tables of each running job. A job's name is a property of its thread, which threads that it starts take over.
 _JOB = "ledgermill.job"
 _kept: dict[str, list[str]] = {}
@@ -27,9 +29,10 @@ def shared_folder(spark: SparkSession) -> str:
             return folder.rstrip("/")
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors can reach")
-        folder = tempfile.mkdtemp(prefix="ledgermill-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-        return folder
+        application = spark.sparkContext.applicationId
+        if application not in _own_folders:
+            _own_folders[application] = tempfile.mkdtemp(prefix="ledgermill-")
+        return _own_folders[application]
 
 
 def materialise(df: DataFrame) -> DataFrame:

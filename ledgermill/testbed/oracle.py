@@ -474,6 +474,14 @@ SQL: dict[str, str] = {
         ) where abs(valor) > 1e-9)""",
     "landed_folder": "select 'clientes' as tabela, count(*) as linhas from r_clients union all select 'metas', count(*) from r_targets"
                      " union all select 'categorias', count(*) from r_categories",
+    "split_lines_csv": """
+        select l_orderkey || '-' || l_linenumber as linha, 'peca "' || l_partkey || '", ' || case l_linenumber % 4
+                   when 0 then chr(10) || chr(10) || 'fim' when 1 then 'a' || chr(10) || 'b,"c' || chr(10) || '"' when 2 then ',"' else 'x' end as nota,
+               cast(l_suppkey as varchar) as destino from lineitem""",
+    "split_orders_json": """
+        select case o_orderkey % 4 when 0 then '}, {"' when 1 then '[' || chr(10) when 2 then 'x' end as nota,
+               case when o_orderkey % 3 = 0 then '{"cliente":{"id":"' || o_custkey || '","sinal":"{"},"situacao":"' || o_orderstatus || '"}' end as extra,
+               cast(o_orderkey as varchar) as o_orderkey from orders""",
     "append_layer_twice": """
         select cast(l_orderkey * 10 + l_linenumber as bigint) as chave, cast(l_partkey as bigint) as l_partkey, 'primeira' as carga
         from lineitem where l_returnflag = 'R'

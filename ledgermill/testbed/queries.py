@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from datetime import date
 from functools import cached_property, reduce
 from uuid import uuid4
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -266,6 +267,48 @@ def landed_folder(t: Ledger) -> DataFrame:
         for name in readers])
 
 
+def _landed_in_blocks(t: Ledger, folder: str, name: str, extension: str) -> DataFrame:
+    """A feed landed by a session of its own, whose blocks are so small that its files are split."""
+    small = t.spark.newSession()
+    small.conf.set("spark.sql.files.maxPartitionBytes", "256k")
+    failed = pipeline.land(pipeline.raw_readers(small, folder, {name: extension}), f"{folder}/bronze")
+    if failed:
+        raise RuntimeError(str(failed))
+    return _drop_ordinal(layers.read_layer(t.spark, f"{folder}/bronze", name))
+
+
+def split_lines_csv(t: Ledger) -> DataFrame:
+    """Line items whose notes hold quotes, commas and line feeds, so that blocks and lines begin inside of cells."""
+    note = ("'peca \"' || l_partkey || '\", ' || case l_linenumber % 4 when 0 then chr(10) || chr(10) || 'fim' when 1 then 'a' || chr(10) ||"
+            " 'b,\"c' || chr(10) || '\"' when 2 then ',\"' else 'x' end")
+    folder = _feed_folder(t)
+    feed = t.table("lineitem").select(F.concat("l_orderkey", F.lit("-"), "l_linenumber").alias("linha"), F.expr(note).alias("nota"),
+                                      F.col("l_suppkey").cast("string").alias("destino"))
+    layers.write_layer(feed, folder, "linhas", "csv")
+    return _landed_in_blocks(t, folder, "linhas", "csv")
+
+
+def _as_array(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One JSON array out of the records of a partition."""
+    sign = "["
+    for batch in batches:
+        signs = [sign, *["," for _ in range(batch.num_rows - 1)]] if batch.num_rows else []
+        yield pa.RecordBatch.from_arrays([pa.array([a + b for a, b in zip(signs, batch.column(0).to_pylist())], pa.string())], ["value"])
+        sign = "," if batch.num_rows else sign
+    yield pa.RecordBatch.from_arrays([pa.array(["]" if sign == "," else "[]"])], ["value"])
+
+
+def split_orders_json(t: Ledger) -> DataFrame:
+    """Orders as JSON arrays, with nested objects and with braces and quotes in texts."""
+    folder = _feed_folder(t)
+    note = F.expr("case o_orderkey % 4 when 0 then '}, {\"' when 1 then '[' || chr(10) when 2 then 'x' end")
+    nested = F.when(F.col("o_orderkey") % 3 == 0, F.struct(F.col("o_orderstatus").alias("situacao"), F.struct(
+        F.lit("{").alias("sinal"), F.col("o_custkey").alias("id")).alias("cliente")))
+    feed = t.table("orders").select("o_orderkey", note.alias("nota"), nested.alias("extra"))
+    feed.select(F.to_json(F.struct(*feed.columns)).alias("value")).mapInArrow(_as_array, "value string").write.text(f"{folder}/pedidos.json")
+    return _landed_in_blocks(t, folder, "pedidos", "json")
+
+
 def append_layer_twice(t: Ledger) -> DataFrame:
     """A layer table after a load of a part, one of the whole, a repetition of it, and one that breaks half-way."""
     table = loads.LoadTable(t.spark, _feed_folder(t), "linhas")
@@ -619,6 +662,8 @@ JOBS: dict[str, Callable[[Ledger], DataFrame]] = {
     "append_layer_twice": append_layer_twice,
     "replaced_months": replaced_months,
     "landed_folder": landed_folder,
+    "split_lines_csv": split_lines_csv,
+    "split_orders_json": split_orders_json,
     "quality_targets": quality_targets,
     "quality_categories": quality_categories,
     "quality_clients": quality_clients,

@@ -41,6 +41,7 @@ def test_every_twin_belongs_to_a_query():
     "new_keys_only", "new_part_keys_hot", "hot_client_currency", "append_star_twice", "landed_clients_csv", "landed_clients_json",
     "landed_quotes", "silver_layer_by_month", "segment_quality", "feature_vector_entries", "pca_of_two", "forced_clusters",
     "forced_candidates", "feature_levels", "pca_of_blocks", "feature_mix_entries", "append_layer_twice", "replaced_months", "landed_folder",
+    "split_lines_csv", "split_orders_json",
     "client_category_mix_wide", "quality_keys", "country_segment_crosstab", "quality_ledgers", "client_features", "revenue_by_month_currency_category",
 ])
 def test_queries_agree_with_sql(spark, duck, name):

@@ -1,5 +1,6 @@
 import json
 import os
+import random
 from datetime import date
 
 import pytest
@@ -52,6 +53,53 @@ def test_json_array_and_lines(spark, tmp_path):
         assert rows(df.select("id", "n"), "id") == expected
 
 
+@pytest.fixture
+def small_blocks(spark):
+    before = {key: spark.conf.get(key) for key in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    for key in before:
+        spark.conf.set(key, "16000")
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_split_csv_equals_the_whole_file_reader(spark, tmp_path, small_blocks, end):
+    cells = ['"a ""b"", \nc"', '"line\n\nmore,""\n"', 'st"ray', "", '""', '"q"tail', "w" * 30, '"' + "deep\n" * 1500 + '"', "null"]
+    rng = random.Random(4)
+    pick = lambda: cells[rng.choice([0, 1, 2, 3, 4, 5, 6, 8, 0, 6, 6, 7 if rng.random() < 0.03 else 6])]
+    text = "\n" + "\n".join(['a,"b\n1",c', *[f"{i},{pick()},{pick()}" for i in range(900)]]) + "\n\n"
+    for name in ("x", "y"):
+        (tmp_path / f"{name}.csv").write_bytes(text.replace("\n", end).encode())
+    df = layers.read_csv(spark, str(tmp_path))
+    whole = spark.read.options(header=True, multiLine=True, escape='"').csv(str(tmp_path / "x.csv"))
+    expected = [tuple(None if x == "null" else x for x in r) for r in whole.collect()]
+    assert len(expected) == 900 and df.columns == [*whole.columns, ORDINAL]
+    assert [tuple(r)[:-1] for r in df.orderBy(ORDINAL).collect()] == expected * 2
+    (tmp_path / "wide.csv").write_text('a,b\n1,"x\n"\n2,"y\n",surplus\n')
+    with pytest.raises(Exception, match="More cells than columns"):
+        layers.read_csv(spark, str(tmp_path / "wide.csv")).collect()
+
+
+def test_split_json_equals_the_whole_file_reader(spark, tmp_path, small_blocks):
+    rng = random.Random(5)
+    records = [{"i": i, "t": rng.choice(["x", "a}b", 'q"{', "back\\", "{[", "é}\n"]) * rng.randrange(300 if i == 7 else 4),
+                "n": rng.choice([None, {"k": {"z": [{"y": "}"}]}}, {"o": 3.50}])} for i in range(400)]
+    for indent in (None, 2):
+        path = str(tmp_path / f"{indent}.json")
+        with open(path, "w", encoding="utf-8") as file:
+            json.dump(records, file, indent=indent, ensure_ascii=False)
+        whole = spark.read.options(multiLine=True, primitivesAsString=True).json(path).withColumn("n", F.to_json("n"))
+        got = layers.read_json(spark, path).orderBy(ORDINAL).collect()
+        assert [tuple(r)[:-1] for r in got] == [tuple(r) for r in whole.collect()] and len(got) == 400
+    for broken in ('[{"a": 1}, {"a": 2', '[{"a": 1} {"a": 2}}, {"a": 3}]', '[{"a": "1}]'):
+        (tmp_path / "broken.json").write_text(broken)
+        with pytest.raises(Exception, match="(?i)malformed|parse"):
+            layers.read_json(spark, str(tmp_path / "broken.json")).collect()
+    (tmp_path / "none.json").write_text("[]\n")
+    assert layers.read_json(spark, str(tmp_path / "none.json")).collect() == []
+
+
 def test_arrival_order_survives_splitting(spark, tmp_path):
     path = tmp_path / "big.csv"
     path.write_text("k,n\n" + "".join(f"{i % 7},{i}\n" for i in range(20_000)), encoding="utf-8")
