@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 from html import escape, unescape
 
 import numpy as np
@@ -38,10 +40,10 @@ _OTHER_NAMES = ["nav", "div.menu", "ul.menu", "div#navbar", "header", "div.heade
                 "section#comments", "div.comment", "ol.comment-list", "div.related", "div.breadcrumbs", "div.share",
                 "div.social", "div.popup", "div.login", "ul.pagination"]
 
-_TOKEN = re.compile(
-    rf"<!--(?:.*?-->|.*)|<({_SILENT})\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>(?:.*?</\1\s*>|.*)"
-    r"|<(/?)([a-z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-z][^\s/>]*+)([^>]*+)>|<[!?][^>]*+>|</[^>]*+>",
-    re.I | re.S)
+_TAG = re.compile(r"<(/?)([a-z][^\s/>]*+)", re.I)
+_SILENT_TAG = re.compile(rf"<({_SILENT})\b", re.I)
+_SILENT_ENDS = {name: re.compile(rf"</{name}\s*>", re.I) for name in _SILENT.split("|")}
+_SPECIAL = re.compile("[>\"']")
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _PART = re.compile(r"[^\W_]+")
 
@@ -53,15 +55,90 @@ class Network:
     weights: dict[str, np.ndarray]
 
 
-def blocks(html: str | None) -> list[tuple[tuple[str, ...], str, float]]:
-    """Leaf blocks of a page in order: names on the path to it, its text, and the share of its text in links.
+@dataclass(eq=False, slots=True)
+class Place:
+    """An element of a page: its names, the element around it, and the number of names on the path to it."""
+
+    around: Place | None
+    names: tuple[str, ...]
+    size: int
+
+    def path(self) -> tuple[str, ...]:
+        """All names from the page down to this element."""
+        parts, place = [], self
+        while place:
+            parts.append(place.names)
+            place = place.around
+        return tuple(name for names in reversed(parts) for name in names)
+
+
+class _Ends:
+    """Where tags end. Signs inside of quotes do not count, unless the quotes are never closed.
+
+    What was found for a sign is kept, so a page with any number of broken tags is read in time in proportion to it.
+    """
+
+    def __init__(self, html: str) -> None:
+        self.html, self.last, self.known = html, html.rfind(">"), {}
+
+    def quoted(self, at: int) -> int:
+        """Position after the sign that closes a tag whose attributes begin here, 0 without one."""
+        signs, end = [], 0
+        while at <= self.last:
+            sign = _SPECIAL.search(self.html, at).start()
+            if sign in self.known:
+                end = self.known[sign]
+                break
+            signs.append(sign)
+            if self.html[sign] == ">":
+                end = sign + 1
+                break
+            at = self.html.find(self.html[sign], sign + 1) + 1
+            if not at:
+                break
+        self.known.update(dict.fromkeys(signs, end))
+        return end
+
+    def plain(self, at: int) -> int:
+        """The same for a tag whose quotes are not closed: the next sign."""
+        return self.html.find(">", at) + 1 if at <= self.last else 0
+
+
+def _tags(html: str) -> Iterator[tuple[int, int, bool, str, str]]:
+    """Tags and other markup in order: begin, end, whether it is an end tag, its name (empty if there is none) and attributes."""
+    ends, at = _Ends(html), html.find("<")
+    while at >= 0:
+        end, closing, name, rest = 0, False, "", ""
+        if html.startswith("<!--", at):
+            end = html.find("-->", at + 4) + 3
+            end = end if end > 2 else len(html)
+        elif tag := _SILENT_TAG.match(html, at):
+            if inside := ends.quoted(tag.end()):
+                close = _SILENT_ENDS[tag[1].lower()].search(html, inside)
+                end = close.end() if close else len(html)
+        if not end and at <= ends.last:
+            if tag := _TAG.match(html, at):
+                end = ends.quoted(tag.end()) or ends.plain(tag.end())
+                closing, name, rest = bool(tag[1]), tag[2].lower(), html[tag.end():end - 1]
+            elif html.startswith(("<!", "<?", "</"), at):
+                end = ends.plain(at + 2)
+        if end:
+            yield at, end, closing, name, rest
+        at = html.find("<", end or at + 1)
+
+
+def blocks(html: str | None) -> list[tuple[Place, str, float]]:
+    """Leaf blocks of a page in order: the element it stands in, its text, and the share of its text in links.
 
     Broken markup is read as browsers do in the common cases: paragraphs and list items end where the next block
     begins, end tags close what they name and what is open inside, others are ignored, an unclosed comment or script
-    runs to the end. Character references are decoded once, white space becomes one space.
+    runs to the end. Character references are decoded once, white space becomes one space. Time and memory grow in
+    proportion to the page, however its tags are broken or nested.
     """
-    out: list[tuple[tuple[str, ...], str, float]] = []
-    path: list[tuple[str, tuple[str, ...]]] = []
+    out: list[tuple[Place, str, float]] = []
+    root = Place(None, (), 0)
+    path: list[tuple[str, Place]] = []
+    opened: Counter[str] = Counter()
     pieces: list[str] = []
     in_link, linked, at = False, 0, 0
 
@@ -69,21 +146,19 @@ def blocks(html: str | None) -> list[tuple[tuple[str, ...], str, float]]:
         nonlocal linked
         text = " ".join(unescape("".join(pieces)).split())
         if text:
-            out.append((tuple(n for _, names in path for n in names), text, min(1.0, linked / len(text))))
+            out.append((path[-1][1] if path else root, text, min(1.0, linked / len(text))))
         pieces.clear()
         linked = 0
 
     html = html or ""
-    for token in _TOKEN.finditer(html):
-        if token.start() > at:
-            pieces.append(html[at:token.start()])
+    for begin, end, closing, name, rest in _tags(html):
+        if begin > at:
+            pieces.append(html[at:begin])
             if in_link:
-                linked += token.start() - at
-        at = token.end()
-        closing, name, rest = (token[2], token[3], token[4]) if token[3] else (token[5], token[6], token[7])
+                linked += begin - at
+        at = end
         if not name:
             continue
-        name = name.lower()
         if name in _INLINE:
             if name == "a":
                 in_link = not closing
@@ -93,34 +168,45 @@ def blocks(html: str | None) -> list[tuple[tuple[str, ...], str, float]]:
             continue
         finish()
         if closing:
-            for i in range(len(path) - 1, -1, -1):
-                if path[i][0] == name:
-                    del path[i:]
+            while opened[name]:
+                last, _ = path.pop()
+                opened[last] -= 1
+                if last == name:
                     break
             continue
         in_link = False
         if path and (path[-1][0] == "p" and name in _ENDS_PARAGRAPH or path[-1][0] == name and name in ("li", "td", "tr", "option")):
-            path.pop()
+            opened[path.pop()[0]] -= 1
         names = [name]
-        for match in _NAMES.finditer(rest or ""):
+        for match in _NAMES.finditer(rest):
             names += [part.lower() for part in _PART.findall(match[1] or match[2] or match[3] or "")]
-        path.append((name, tuple(names)))
+        around = path[-1][1] if path else root
+        path.append((name, Place(around, tuple(names), around.size + len(names))))
+        opened[name] += 1
     if at < len(html):
         pieces.append(html[at:])
     finish()
     return out
 
 
-def _inputs(pages: list[list[tuple]]) -> dict[str, np.ndarray]:
-    """What the network reads of all blocks: path name buckets, word buckets, both with the block they belong to, and
-    numbers."""
+def _inputs(pages: list[list[tuple]]) -> dict:
+    """What the network reads of all blocks: name buckets with the element they belong to, elements with those around
+    them, word buckets with the block they belong to, and numbers."""
     flat = [block for page in pages for block in page]
-    names, owners, known = [], [], {}
-    for i, (path, _, _) in enumerate(flat):
-        if path not in known:
-            known[path] = [_bucket(n, _PATH_BUCKETS) for n in path]
-        names += known[path]
-        owners += [i] * len(path)
+    names, owners, around, depth, known = [], [], [], [], {}
+    for place, _, _ in flat:
+        way = []
+        while place and place not in known:
+            way.append(place)
+            place = place.around
+        for place in reversed(way):
+            known[place] = len(known)
+            names += [_bucket(n, _PATH_BUCKETS) for n in place.names]
+            owners += [known[place]] * len(place.names)
+            around.append(known[place.around] if place.around else 0)
+            depth.append(depth[around[-1]] + 1 if place.around else 0)
+    order = np.argsort(depth, kind="stable")
+    levels = np.split(order, np.cumsum(np.bincount(depth))[:-1]) if depth else []
     word_buckets, word_owners = [], []
     for first, _, data, offsets in text_pieces(pa.array([b[1] for b in flat], pa.string())):
         hashes, first_word = words(data, offsets)
@@ -129,12 +215,15 @@ def _inputs(pages: list[list[tuple]]) -> dict[str, np.ndarray]:
     size = np.array([len(b[1]) for b in flat], float)
     stops = np.array([b[1][-1] in ".!?" for b in flat], float)
     lengths = np.array([len(p) for p in pages])
-    numbers = np.stack([np.log1p(size) / 5, [b[2] for b in flat], stops, [min(len(b[0]), 12) / 12 for b in flat]], axis=1)
+    numbers = np.stack([np.log1p(size) / 5, [b[2] for b in flat], stops, [min(b[0].size, 12) / 12 for b in flat]], axis=1)
     join = lambda parts: np.concatenate([*parts, np.empty(0, np.int64)]).astype(np.int64)
-    return {"path": np.array(names, np.int64), "path_of": np.array(owners, np.int64), "word": join(word_buckets),
+    return {"path": np.array(names, np.int64), "path_of": np.array(owners, np.int64), "around": np.array(around, np.int64),
+            "levels": levels[1:], "place": np.array([known[b[0]] for b in flat], np.int64),
+            "path_counts": np.array([max(b[0].size, 1) for b in flat]), "word": join(word_buckets),
             "word_of": join(word_owners), "numbers": numbers, "lengths": lengths}
 
 
+@lru_cache(1 << 16)
 def _bucket(name: str, buckets: int) -> int:
     value = 1469598103934665603
     for byte in name.encode():
@@ -142,9 +231,24 @@ def _bucket(name: str, buckets: int) -> int:
     return (value >> 20) % buckets
 
 
-def _means(table: np.ndarray, buckets: np.ndarray, owners: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    counts = np.maximum(np.bincount(owners, minlength=n), 1)
-    return np.stack([np.bincount(owners, table[buckets, k], n) for k in range(table.shape[1])], axis=1) / counts[:, None], counts
+def _sums(table: np.ndarray, buckets: np.ndarray, owners: np.ndarray, n: int) -> np.ndarray:
+    return np.stack([np.bincount(owners, table[buckets, k], n) for k in range(table.shape[1])], axis=1)
+
+
+def _path_means(table: np.ndarray, inputs: dict) -> np.ndarray:
+    """Mean over all names on the path to each block: sums go from each element to those inside it."""
+    sums = _sums(table, inputs["path"], inputs["path_of"], len(inputs["around"]))
+    for level in inputs["levels"]:
+        sums[level] += sums[inputs["around"][level]]
+    return sums[inputs["place"]] / inputs["path_counts"][:, None]
+
+
+def _path_slopes(slope: np.ndarray, own: np.ndarray, inputs: dict) -> None:
+    """Add the slopes of `_path_means` to those of the table."""
+    sums = _sums(own / inputs["path_counts"][:, None], np.arange(len(own)), inputs["place"], len(inputs["around"]))
+    for level in reversed(inputs["levels"]):
+        np.add.at(sums, inputs["around"][level], sums[level])
+    np.add.at(slope, inputs["path"], sums[inputs["path_of"]])
 
 
 def _padded(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -199,8 +303,9 @@ def _recur_back(slope: np.ndarray, x: np.ndarray, there: np.ndarray, weights: di
 def _scores(inputs: dict, weights: dict, keep: dict | None = None) -> np.ndarray:
     """Logit of each block for being main text."""
     n = len(inputs["numbers"])
-    path, path_counts = _means(weights["path"], inputs["path"], inputs["path_of"], n)
-    word, word_counts = _means(weights["word"], inputs["word"], inputs["word_of"], n)
+    path = _path_means(weights["path"], inputs)
+    word_counts = np.maximum(np.bincount(inputs["word_of"], minlength=n), 1)
+    word = _sums(weights["word"], inputs["word"], inputs["word_of"], n) / word_counts[:, None]
     x = np.concatenate([path, word, inputs["numbers"]], axis=1)
     ahead, behind, there = _padded(inputs["lengths"])
     out, states = np.zeros((n, 2 * _HIDDEN)), {}
@@ -210,7 +315,7 @@ def _scores(inputs: dict, weights: dict, keep: dict | None = None) -> np.ndarray
         states[side] = order, kept
     whole = np.concatenate([out, x], axis=1)
     if keep is not None:
-        keep.update(x=x, whole=whole, there=there, states=states, path_counts=path_counts, word_counts=word_counts)
+        keep.update(x=x, whole=whole, there=there, states=states, word_counts=word_counts)
     return whole @ weights["out"] + weights["bias_out"][0]
 
 
@@ -227,9 +332,9 @@ def _slopes(inputs: dict, weights: dict, truth: np.ndarray) -> dict:
         slope = np.where(kept["there"][:, :, None], back[:, part][order], 0)
         moved = _recur_back(slope, kept["x"][order], kept["there"], weights, side, states, slopes)
         np.add.at(dx, order[kept["there"]], moved[kept["there"]])
-    for name, begin, size in (("path", 0, _PATH_SIZE), ("word", _PATH_SIZE, _WORD_SIZE)):
-        own = dx[:, begin:begin + size] / kept[f"{name}_counts"][:, None]
-        np.add.at(slopes[name], inputs[name], own[inputs[f"{name}_of"]])
+    _path_slopes(slopes["path"], dx[:, :_PATH_SIZE], inputs)
+    own = dx[:, _PATH_SIZE:_PATH_SIZE + _WORD_SIZE] / kept["word_counts"][:, None]
+    np.add.at(slopes["word"], inputs["word"], own[inputs["word_of"]])
     return slopes
 
 
@@ -253,8 +358,8 @@ def _told_by_names(path: tuple[str, ...]) -> bool:
 
 def _laid_out_anew(pages: list[list[tuple]], rng: np.random.Generator) -> Iterator[str]:
     """Pages with the main text and the other texts of the given ones, in other layouts."""
-    main = [[b[1] for b in page if _told_by_names(b[0])] for page in pages]
-    rest = [b[1] for page in pages for b in page if not _told_by_names(b[0])] or ["more"]
+    main = [[b[1] for b in page if _told_by_names(b[0].path())] for page in pages]
+    rest = [b[1] for page in pages for b in page if not _told_by_names(b[0].path())] or ["more"]
     pick = lambda items: items[int(rng.integers(len(items)))]
 
     def wrap(name: str, inner: str) -> str:
@@ -316,11 +421,11 @@ def learn(sample: list[str], rounds: int = ROUNDS, seed: int = 7) -> Network:
     made_up = "<html><body><nav><li>Menu</li></nav><article><h1>Title</h1><p>Some words.</p></article><footer>End</footer></body></html>"
     read = [blocks(html) for html in sample or [made_up] * 8]
     rng = np.random.default_rng(seed)
-    examples = [(page, [_told_by_names(b[0]) for b in page]) for page in read]
+    examples = [(page, [_told_by_names(b[0].path()) for b in page]) for page in read]
     for _ in range(3):
         for html in _laid_out_anew(read, rng):
             page = blocks(html)
-            examples.append((page, [_told_main(b[0]) for b in page]))
+            examples.append((page, [_told_main(b[0].path()) for b in page]))
     cut = []
     for page, truth in examples:
         begin = int(rng.integers(0, max(1, len(page) - _FIT_BLOCKS + 1))) if rng.random() < 0.5 else 0

@@ -31,6 +31,50 @@ def test_toxicity_on_held_out_rows(spark):
     assert result[0][1] == result[1][1] == result[3][1] < 0.3 < result[2][1] and result[5][1] > 0.3
 
 
+def test_toxicity_equals_a_plain_recount(spark):
+    rng = random.Random(7)
+    rows = []
+    for i in range(160):
+        words = sentence(rng, rng.choice(["aa", "bb"]), rng.randrange(0, 12)).split()
+        toxic = int(i % 4 == 0)
+        rows.append((i, " ".join([*words, *["Idiot!", "you scum"][: toxic * rng.randrange(3)], *["thanks"][: rng.randrange(2)]]), toxic))
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    model = toxicity.fit(table)
+
+    def bucket(gram):
+        value = sum(ord(c) * int(toxicity._PLACES[len(gram)][j]) for j, c in enumerate(gram)) % 2**32
+        value = (value ^ value >> 15) * 0x2C1B3C6D % 2**32
+        return value >> 32 - toxicity._BITS
+
+    def grams(text):
+        plain = "".join(c if c.isalpha() else "\0" for c in f"\0{text.lower()}\0")
+        return {bucket(plain[i:i + n]) for n in (3, 4, 5) for i in range(len(plain) - n + 1)}
+
+    have = [grams(text) for _, text, _ in rows]
+    labels = np.array([y for _, _, y in rows], float)
+    ones, total = labels.sum(), len(rows)
+    scale = {}
+    for gram in set().union(*have):
+        toxic = sum(gram in g for g, y in zip(have, labels) if y)
+        seen = sum(gram in g for g in have)
+        ratio = np.log((toxic + 1) / (ones + 2)) - np.log((seen - toxic + 1) / (total - ones + 2))
+        expected = seen * ones / total
+        spread = np.sqrt(expected * (1 - ones / total) * max(1 - seen / total, 1e-9)) + 1e-9
+        if seen >= 5 and abs(toxic - expected) >= 5 * spread and abs(ratio) >= 0.4:
+            scale[gram] = ratio
+    assert scale and set(np.flatnonzero(model.weights)) == set(scale)
+    # Where the slope of the penalised loss vanishes, its weights are the only best ones. The bias is still on its way: it
+    # moves at the rate that suits much larger inputs.
+    chosen = sorted(scale)
+    inputs = np.array([[scale[g] * (g in own) for g in chosen] for own in have])
+    learned = model.weights[chosen] / np.array([scale[g] for g in chosen])
+    logits = inputs @ learned + model.bias
+    gap = 1 / (1 + np.exp(-logits)) - labels
+    assert np.abs(inputs.T @ gap / total + 1e-4 * learned).max() < 1e-4 and abs(gap.mean()) < 1e-2
+    scores = {r.doc_id: r.score for r in toxicity.score(table, model).collect()}
+    assert np.allclose([scores[i] for i, _, _ in rows], 1 / (1 + np.exp(-logits)), atol=1e-6)
+
+
 def test_toxicity_without_both_classes(spark):
     table = spark.createDataFrame([(1, "a", 0), (2, None, 0), (3, "b", None), (4, "c", 7)], "doc_id bigint, text string, toxic int")
     model = toxicity.fit(table)
