@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import strip_blanks
 
@@ -59,6 +62,39 @@ def orphan_keys(facts: DataFrame, foreign: str, dimension: DataFrame, primary: s
     return used.join(dimension.select(F.col(primary).alias(foreign)), foreign, "left_anti")
 
 
+def key_violations(tables: dict[str, DataFrame], unique: dict[str, tuple[str, str]],
+                   foreign: dict[str, tuple[str, str, str, str]]) -> DataFrame:
+    """For each rule the number of keys that break it, `regra` and `violacoes`; every table is read once for all its rules.
+
+    `unique` names a table and its column, whose keys (nulls are one) may not be repeated; `foreign` a table and column, and the
+    dimension and column that must hold its keys other than null. Keys may be numbers or text. Rows are counted per rule
+    and key inside each partition before the one shuffle, so a hot key arrives as one row per partition. Empty tables
+    break no rule.
+    """
+    uses: dict[str, list[Column]] = {name: [] for name in tables}
+
+    def use(rule: str, table: str, column: str, counted: int, held: bool, null_too: bool) -> None:
+        text = isinstance(tables[table].schema[column].dataType, T.StringType)
+        key = F.struct(
+            F.lit(rule).alias("regra"), (F.lit(None).cast("bigint") if text else F.col(column).cast("bigint")).alias("numero"),
+            (F.col(column) if text else F.lit(None).cast("string")).alias("texto"), F.lit(counted).cast("bigint").alias("linhas"),
+            F.lit(held).alias("presente"))
+        uses[table].append(key if null_too else F.when(F.col(column).isNotNull(), key))
+
+    for rule, (table, column) in unique.items():
+        use(rule, table, column, 1, True, True)
+    for rule, (table, column, dimension, primary) in foreign.items():
+        use(rule, table, column, 1, False, False)
+        use(rule, dimension, primary, 0, True, False)
+    parts = [tables[name].select(F.explode(F.array(*keys)).alias("uso")).where("uso is not null").select("uso.*") for name, keys in uses.items() if keys]
+    keys = reduce(DataFrame.unionAll, parts).groupBy("regra", "numero", "texto").agg(
+        F.sum("linhas").alias("linhas"), F.max("presente").alias("presente"))
+    broken = F.when(F.col("regra").isin(list(unique)), F.col("linhas") > 1).otherwise(~F.col("presente") & (F.col("linhas") > 0))
+    found = keys.groupBy("regra").agg(F.count_if(broken).alias("violacoes"))
+    rules = parts[0].sparkSession.range(1).select(F.explode(F.array(*[F.lit(rule) for rule in [*unique, *foreign]])).alias("regra"))
+    return rules.join(found, "regra", "left").select("regra", F.coalesce("violacoes", F.lit(0)).cast("bigint").alias("violacoes"))
+
+
 def column_profile(df: DataFrame) -> DataFrame:
     """Type and number of filled cells for each column, in one pass."""
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}

@@ -96,6 +96,31 @@ GOLD_KEYS = {
     "fato_meta_mensal": ["ano", "mes"],
 }
 
+# Keys of the star schema: what may not repeat, and where foreign keys must be found.
+GOLD_UNIQUE = {
+    "pk dim_cliente": ("dim_cliente", "id_cliente"),
+    "pk dim_categoria": ("dim_categoria", "sk_categoria"),
+    "uk dim_categoria": ("dim_categoria", "codigo_categoria"),
+    "pk dim_data": ("dim_data", "sk_data"),
+    "pk dim_moeda": ("dim_moeda", "sk_moeda"),
+    "uk dim_moeda": ("dim_moeda", "codigo_moeda"),
+    "pk fato_conta_receber": ("fato_conta_receber", "id_conta_receber"),
+    "pk fato_conta_pagar": ("fato_conta_pagar", "id_conta_pagar"),
+    "pk fato_meta_mensal": ("fato_meta_mensal", "sk_fato_meta"),
+}
+GOLD_FOREIGN = {
+    "fk receber cliente": ("fato_conta_receber", "id_cliente", "dim_cliente", "id_cliente"),
+    "fk receber categoria": ("fato_conta_receber", "sk_categoria", "dim_categoria", "sk_categoria"),
+    "fk receber moeda": ("fato_conta_receber", "sk_moeda", "dim_moeda", "sk_moeda"),
+    "fk receber pagamento": ("fato_conta_receber", "sk_data_pagamento", "dim_data", "sk_data"),
+    "fk receber vencimento": ("fato_conta_receber", "sk_data_vencimento", "dim_data", "sk_data"),
+    "fk pagar categoria": ("fato_conta_pagar", "sk_categoria", "dim_categoria", "sk_categoria"),
+    "fk pagar moeda": ("fato_conta_pagar", "sk_moeda", "dim_moeda", "sk_moeda"),
+    "fk pagar pagamento": ("fato_conta_pagar", "sk_data_pagamento", "dim_data", "sk_data"),
+    "fk pagar vencimento": ("fato_conta_pagar", "sk_data_vencimento", "dim_data", "sk_data"),
+    "fk meta data": ("fato_meta_mensal", "sk_data_referencia", "dim_data", "sk_data"),
+}
+
 # Quality of the candidate models.
 MODEL_METRICS = _table(
     model_name="string", n_clusters="bigint", noise_ratio="double", silhouette="double", davies_bouldin="double",

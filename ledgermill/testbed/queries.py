@@ -16,7 +16,7 @@ from ..functions.dates import LEDGER_LAYOUTS, month_key, parse_dates
 from ..functions.fixed_values import VALUE_BANDS
 from ..operators import append, calendar, checks, clustering, dedup, lookups
 from ..plans import customers, pipeline, rates, reports, segments, silver, star
-from ..schemas import GOLD_KEYS, MODEL_METRICS, RATE_PAYLOAD, SILVER
+from ..schemas import GOLD_FOREIGN, GOLD_KEYS, GOLD_UNIQUE, MODEL_METRICS, RATE_PAYLOAD, SILVER
 from ..sources import layers, loads
 from ..sources.rate_payloads import flatten_payloads
 from ..sources.shared import materialise, shared_folder, side_by_side
@@ -379,38 +379,7 @@ def quality_ledgers(t: Ledger) -> DataFrame:
 
 def quality_keys(t: Ledger) -> DataFrame:
     """Repeated primary keys and orphan foreign keys of the gold tables, as numbers of keys."""
-    s = t.star
-    receivable, payable = materialise(s.fato_conta_receber), materialise(s.fato_conta_pagar)
-
-    def violations(rule: str, keys: DataFrame) -> DataFrame:
-        return keys.agg(F.count(F.lit(1)).alias("violacoes")).withColumn("regra", F.lit(rule))
-
-    lines = [
-        violations("pk dim_cliente", checks.repeated_keys(s.dim_cliente, ["id_cliente"])),
-        violations("pk dim_categoria", checks.repeated_keys(s.dim_categoria, ["sk_categoria"])),
-        violations("uk dim_categoria", checks.repeated_keys(s.dim_categoria, ["codigo_categoria"])),
-        violations("pk dim_data", checks.repeated_keys(s.dim_data, ["sk_data"])),
-        violations("pk dim_moeda", checks.repeated_keys(s.dim_moeda, ["sk_moeda"])),
-        violations("pk fato_conta_receber", checks.repeated_keys(receivable, ["id_conta_receber"])),
-        violations("pk fato_conta_pagar", checks.repeated_keys(payable, ["id_conta_pagar"])),
-        violations("fk receber cliente", checks.orphan_keys(receivable, "id_cliente", s.dim_cliente, "id_cliente")),
-        violations("fk receber categoria",
-                   checks.orphan_keys(receivable, "sk_categoria", s.dim_categoria, "sk_categoria")),
-        violations("fk receber moeda", checks.orphan_keys(receivable, "sk_moeda", s.dim_moeda, "sk_moeda")),
-        violations("fk receber pagamento", checks.orphan_keys(receivable, "sk_data_pagamento", s.dim_data, "sk_data")),
-        violations("pk fato_meta_mensal", checks.repeated_keys(s.fato_meta_mensal, ["sk_fato_meta"])),
-        violations("uk dim_moeda", checks.repeated_keys(s.dim_moeda, ["codigo_moeda"])),
-        violations("fk receber vencimento", checks.orphan_keys(receivable, "sk_data_vencimento", s.dim_data, "sk_data")),
-        violations("fk pagar categoria", checks.orphan_keys(payable, "sk_categoria", s.dim_categoria, "sk_categoria")),
-        violations("fk pagar moeda", checks.orphan_keys(payable, "sk_moeda", s.dim_moeda, "sk_moeda")),
-        violations("fk pagar pagamento", checks.orphan_keys(payable, "sk_data_pagamento", s.dim_data, "sk_data")),
-        violations("fk meta data", checks.orphan_keys(s.fato_meta_mensal, "sk_data_referencia", s.dim_data, "sk_data")),
-        violations("fk pagar vencimento", checks.orphan_keys(payable, "sk_data_vencimento", s.dim_data, "sk_data")),
-    ]
-    result = lines[0]
-    for line in lines[1:]:
-        result = result.unionByName(line)
-    return result
+    return checks.key_violations(t.star.tables(), GOLD_UNIQUE, GOLD_FOREIGN)
 
 
 def client_value_band(t: Ledger) -> DataFrame:

@@ -195,3 +195,22 @@ def test_counts_while_writing(spark, tmp_path):
     df, seen = checks.counted(spark.range(10), "rows", F.count_if(F.col("id") > 6).alias("large"))
     df.write.parquet(str(tmp_path / "t"))
     assert seen.get == {"linhas": 10, "large": 3}
+
+
+def test_key_rules_read_every_table_once(spark, tmp_path):
+    facts = [(1, 10, "a"), (1, 10, "b"), (2, None, None), (3, 11, "b"), (None, 12, "z"), (None, 11, "y")]
+    spark.createDataFrame(facts, "id bigint, d int, c string").write.parquet(str(tmp_path / "facts"))
+    spark.createDataFrame([(10, "a"), (13, "b"), (13, None)], "d int, c string").write.parquet(str(tmp_path / "dim"))
+    tables = {name: spark.read.parquet(str(tmp_path / name)) for name in ("facts", "dim")}
+    unique = {"pk facts": ("facts", "id"), "pk dim": ("dim", "d"), "uk dim": ("dim", "c")}
+    foreign = {"fk number": ("facts", "d", "dim", "d"), "fk text": ("facts", "c", "dim", "c")}
+    found = checks.key_violations(tables, unique, foreign)
+    # Ids 1 and null, dimension 13, numbers 11 and 12, texts z and y.
+    assert dict(rows(found)) == {"pk facts": 2, "pk dim": 1, "uk dim": 0, "fk number": 2, "fk text": 2}
+    assert found._jdf.queryExecution().sparkPlan().toString().count("FileScan") == 2
+    for rule, (table, column) in unique.items():
+        assert dict(rows(found))[rule] == checks.repeated_keys(tables[table], [column]).count()
+    for rule, (table, column, dimension, primary) in foreign.items():
+        assert dict(rows(found))[rule] == checks.orphan_keys(tables[table], column, tables[dimension], primary).count()
+    nothing = {name: df.where("false") for name, df in tables.items()}
+    assert set(dict(rows(checks.key_violations(nothing, unique, foreign))).values()) == {0}
