@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
-from functools import partial, wraps
+from functools import partial, reduce, wraps
+from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import month_key
 from ..functions.fixed_values import COUNTRY_CURRENCY, HOME_CURRENCY
+from ..operators import checks
 from ..operators.lookups import lookup_join
 from ..schemas import GOLD, RATES, SILVER
 from ..sources.layers import feed_names, read_csv, read_json, read_layer, write_layer
@@ -20,6 +22,10 @@ from . import customers, rates, segments, silver
 from .star import Star, build_star
 
 
+# Table of the silver layer that tells rows before and after, and rows with something missing, paid or open.
+QUALITY = "qualidade_silver"
+
+
 def land(tables: dict[str, Callable[[], DataFrame]], bronze: str, output_format: str = "parquet") -> dict[str, str]:
     """Store raw tables unchanged with their arrival order. A table that fails does not stop the others.
 
@@ -84,33 +90,49 @@ def run_rates(spark: SparkSession, payloads: str, bronze: str, countries: list[s
 @_tidy
 def run_silver(spark: SparkSession, bronze: str, silver_folder: str, output_format: str = "parquet") -> None:
     """Clean the five tables. Clients come before the receivables that need their currency; without landed rates
-    receivables are not converted."""
+    receivables are not converted. Figures of quality, counted while the tables are written, are kept as `QUALITY`."""
     def raw(name: str) -> DataFrame:
         return read_layer(spark, bronze, name)
 
-    def put(df: DataFrame, name: str, key: str | None = None) -> str:
-        return write_layer(df, silver_folder, name, output_format, sort_by=[key] if key else None)
+    def put(df: DataFrame, name: str, source: str, counts: dict[str, Column], **layout) -> list[tuple[str, str, int]]:
+        after = write_layer(df, silver_folder, name, output_format, counts=counts, **layout)
+        # Parquet tells the number of rows without reading them.
+        before = raw(source).count()
+        figures = {"linhas_antes": before, "linhas_depois": after.pop("linhas"), **after}
+        return [(name, figure, n) for figure, n in (figures | {"removidas": before - figures["linhas_depois"]}).items()]
 
-    def put_ledger(df: DataFrame, name: str) -> str:
+    def put_ledger(df: DataFrame, name: str, source: str, paid: Column, still_open: Column) -> list[tuple[str, str, int]]:
         # Ledgers are large and read by period, so they are stored by month due.
         dated = df.withColumn("mes_vencimento", month_key(F.col("data_vencimento")))
-        return write_layer(dated, silver_folder, name, output_format, partition_by=["mes_vencimento"], sort_by=["id_conta"])
+        return put(dated, name, source, {"pagas": F.count_if(paid), "abertas": F.count_if(still_open)},
+                   partition_by=["mes_vencimento"], sort_by=["id_conta"])
 
-    def receivables() -> str:
-        put(silver.clean_clients(raw("PS_Cliente")), "cliente_silver", "id_cliente")
+    def receivables() -> list[tuple[str, str, int]]:
+        missing = {f"sem_{c}": F.count_if(F.col(c).isNull()) for c in ("pais_cliente", "moeda_pais", "data_cadastro_cliente")}
+        figures = put(silver.clean_clients(raw("PS_Cliente")), "cliente_silver", "PS_Cliente", missing, sort_by=["id_cliente"])
         clients = read_layer(spark, silver_folder, "cliente_silver", SILVER["cliente_silver"])
-        try:
-            quotes = read_layer(spark, bronze, "bcb_cotacoes", RATES)
-        except FileNotFoundError:
-            clients = quotes = None
-        return put_ledger(silver.clean_receivables(raw("PS_Conta_Receber"), clients, quotes), "conta_receber_silver")
-
-    side_by_side(
+        clean = silver.clean_receivables(raw("PS_Conta_Receber"), clients if quotes else None, quotes)
+        return figures + put_ledger(clean, "conta_receber_silver", "PS_Conta_Receber", checks.status_like("status_conta", "recebido|pago"),
+                                    checks.status_like("status_conta", "aberto|pendente"))
+
+    def targets() -> list[tuple[str, str, int]]:
+        filled = reduce(and_, [F.col(c).isNotNull() for c in SILVER["meta_2025_silver"].names])
+        return put(silver.clean_targets(raw("PS_Meta2025")), "meta_2025_silver", "PS_Meta2025",
+                   {"validas": F.count_if(filled), "invalidas": F.count_if(~filled)})
+
+    try:
+        quotes = read_layer(spark, bronze, "bcb_cotacoes", RATES)
+    except FileNotFoundError:
+        quotes = None
+    figures = side_by_side(
         receivables,
-        lambda: put(silver.clean_targets(raw("PS_Meta2025")), "meta_2025_silver"),
-        lambda: put(silver.clean_categories(raw("PS_Categoria")), "categoria_silver", "codigo_categoria"),
-        lambda: put_ledger(silver.clean_payables(raw("PS_Conta_Pagar")), "conta_pagar_silver"),
+        targets,
+        lambda: put(silver.clean_categories(raw("PS_Categoria")), "categoria_silver", "PS_Categoria", {}, sort_by=["codigo_categoria"]),
+        lambda: put_ledger(silver.clean_payables(raw("PS_Conta_Pagar")), "conta_pagar_silver", "PS_Conta_Pagar",
+                           checks.status_is("status_conta", "pago"), checks.status_is("status_conta", "em aberto")),
     )
+    rows = [figure for table in figures for figure in table]
+    write_layer(spark.createDataFrame(rows, "tabela string, medida string, linhas bigint").coalesce(1), silver_folder, QUALITY, output_format)
 
 
 def _silver_inputs(spark: SparkSession, folder: str) -> dict[str, DataFrame]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -124,8 +124,10 @@ def _flat(df: DataFrame) -> DataFrame:
 
 
 def write_layer(df: DataFrame, folder: str, name: str, output_format: str = "parquet",
-                partition_by: list[str] | None = None, sort_by: list[str] | None = None) -> str:
-    """Replace a layer table.
+                partition_by: list[str] | None = None, sort_by: list[str] | None = None,
+                counts: dict[str, Column] | None = None) -> dict[str, int]:
+    """Replace a layer table. Returns the number of rows as `linhas` and other aggregates asked for, which are counted
+    while the rows are written.
 
     `partition_by` makes directories for pruning. Rows are gathered by directory, and directories with many rows are
     split over several tasks once their size is known, so each has few files and none waits for one large task.
@@ -135,14 +137,20 @@ def write_layer(df: DataFrame, folder: str, name: str, output_format: str = "par
     if output_format == "csv":
         df = _flat(df)
     order = [*(partition_by or []), *(sort_by or [])]
+    # Counted after the rows are dealt, since dealing by ranges reads what lies before it twice.
     if partition_by:
-        df = df.hint("rebalance", *partition_by).sortWithinPartitions(*order)
+        df = df.hint("rebalance", *partition_by)
     elif sort_by:
-        df = df.orderBy(*sort_by)
+        df = df.repartitionByRange(*sort_by)
+    seen, counts = Observation(), {"linhas": F.count(F.lit(1)), **(counts or {})}
+    df = df.observe(seen, *[count.alias(name) for name, count in counts.items()])
+    if order:
+        df = df.sortWithinPartitions(*order)
     writer = df.write.mode("overwrite").format(output_format)
     if output_format == "csv":
         writer = writer.options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
-    return path
+    found = seen.get
+    return {name: int(found.get(name) or 0) for name in counts}

@@ -501,6 +501,26 @@ SQL: dict[str, str] = {
                round(abs(-sin(a) * sqrt(3) * u + cos(a) * sqrt(2) * w), 6) as pc2,
                round((2.5 + sqrt(0.25 + c * c)) / 5, 6) as parte_1, round((2.5 - sqrt(0.25 + c * c)) / 5, 6) as parte_2
         from z, turn""",
+    "silver_quality_log": """
+        select tabela, m.medida as medida, m.linhas as linhas from (select tabela, unnest(list_concat(
+            [{'medida': 'linhas_antes', 'linhas': linhas_antes}, {'medida': 'linhas_depois', 'linhas': linhas_depois},
+             {'medida': 'removidas', 'linhas': linhas_antes - linhas_depois}], mais)) as m from (
+            select 'meta_2025_silver' as tabela, (select count(*) from r_targets) as linhas_antes, count(*) as linhas_depois,
+                   [{'medida': 'validas', 'linhas': count(*) filter (ok)}, {'medida': 'invalidas', 'linhas': count(*) filter (not ok)}] as mais
+            from (select mes_ano_meta is not null and meta_valor is not null and mes is not null and ano is not null
+                         and nome_mes is not null as ok from targets)
+            union all select 'categoria_silver', (select count(*) from r_categories), count(*), [] from categories
+            union all select 'cliente_silver', (select count(*) from r_clients), count(*),
+                   [{'medida': 'sem_pais_cliente', 'linhas': count(*) - count(pais_cliente)},
+                    {'medida': 'sem_moeda_pais', 'linhas': count(*) - count(moeda_pais)},
+                    {'medida': 'sem_data_cadastro_cliente', 'linhas': count(*) - count(data_cadastro_cliente)}] from clients
+            union all select 'conta_pagar_silver', (select count(*) from r_payables), count(*),
+                   [{'medida': 'pagas', 'linhas': count(*) filter (lower(status_conta) = 'pago')},
+                    {'medida': 'abertas', 'linhas': count(*) filter (lower(status_conta) = 'em aberto')}] from payables
+            union all select 'conta_receber_silver', (select count(*) from r_receivables), count(*),
+                   [{'medida': 'pagas', 'linhas': count(*) filter (regexp_matches(lower(status_conta), 'recebido|pago'))},
+                    {'medida': 'abertas', 'linhas': count(*) filter (regexp_matches(lower(status_conta), 'aberto|pendente'))}]
+            from b_receivables) figures)""",
     "quality_targets": """
         select count(*) filter (ok) as validas, count(*) filter (not ok) as invalidas
         from (select mes_ano_meta is not null and meta_valor is not null and mes is not null and ano is not null

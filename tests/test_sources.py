@@ -144,6 +144,18 @@ def test_partitioned_write_splits_a_large_directory(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(m" in read.where("m = 'b'")._jdf.queryExecution().executedPlan().toString()
 
 
+def test_rows_are_counted_while_they_are_written(spark, tmp_path):
+    df = spark.range(1000).select("id", (F.col("id") % 7).alias("m"))
+    counts = {"grandes": F.count_if(F.col("id") >= 990)}
+    for i, layout in enumerate(({}, {"sort_by": ["id"]}, {"partition_by": ["m"], "sort_by": ["id"]})):
+        for j, output in enumerate(("parquet", "csv")):
+            assert layers.write_layer(df, str(tmp_path), f"t{i}{j}", output, counts=counts, **layout) == {"linhas": 1000, "grandes": 10}
+            assert layers.write_layer(df.where("id < 0"), str(tmp_path), f"e{i}{j}", output, counts=counts, **layout) == {"linhas": 0, "grandes": 0}
+    nothing = spark.createDataFrame([], "id bigint, m bigint")
+    assert layers.write_layer(nothing, str(tmp_path), "n", counts=counts, sort_by=["id"]) == {"linhas": 0, "grandes": 0}
+    assert [r.id for r in layers.read_layer(spark, str(tmp_path), "t10").collect()] == list(range(1000))  # in the order of the files
+
+
 def test_files_are_listed_in_order(spark, tmp_path):
     for name in ("b.csv", "a.csv", "c.json"):
         (tmp_path / name).write_text("x\n1\n")
