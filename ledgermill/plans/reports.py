@@ -44,24 +44,28 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
     return counts.withColumn("percentual", share(F.col("linhas"), total)).orderBy(F.desc("linhas"), column)
 
 
-def crosstab(df: DataFrame, row: str, column: str, values: list) -> DataFrame:
-    """Counts by two attributes with totals in both directions; the total row is called `All`.
+def crosstab(df: DataFrame, row: str, column: str, values: list, rest: str = "Outros", total: str = "All") -> DataFrame:
+    """Counts by two attributes with totals in both directions; the total row is the last.
 
-    Values of `column` that are not listed are counted together in `Outros`, so cells add up to their totals.
+    Values of `column` that are not listed are counted together as `rest`, so cells add up to their totals. Listed values may not
+    be called as the rest or the total are; data that holds such values is counted right.
     """
-    known = F.when(F.col(column).isin(values), F.col(column).cast("string")).otherwise("Outros")
+    if {rest, total} & {str(value) for value in values}:
+        raise ValueError(f"Choose other labels than {rest} and {total}")
+    place = F.lit(len(values))
+    for i, value in enumerate(values):
+        place = F.when(F.col(column) == F.lit(value), i).otherwise(place)
     cells = (
-        df.where(F.col(row).isNotNull() & F.col(column).isNotNull()).withColumn(column, known)
-        .cube(row, column).agg(F.count(F.lit(1)).alias("n"), F.grouping(row).alias("__all_rows"),
-                               F.grouping(column).alias("__all_columns"))
+        df.where(F.col(row).isNotNull() & F.col(column).isNotNull()).select(row, place.alias("__place"))
+        .cube(row, "__place").agg(F.count(F.lit(1)).alias("n"), F.grouping(row).alias("__all_rows"),
+                                  F.grouping("__place").alias("__all_columns"))
     )
-    def label(c: str, flag: str) -> Column:
-        return F.when(F.col(flag) == 1, F.lit("All")).otherwise(F.col(c).cast("string"))
-
+    label = F.when(F.col("__all_rows") == 1, F.lit(total)).otherwise(F.col(row).cast("string"))
+    where = F.when(F.col("__all_columns") == 1, len(values) + 1).otherwise(F.col("__place"))
     wide = (
-        cells.select("__all_rows", label(row, "__all_rows").alias(row),
-                     label(column, "__all_columns").alias("__column"), "n")
-        .groupBy("__all_rows", row).pivot("__column", [*map(str, values), "Outros", "All"]).agg(F.sum("n"))
+        cells.select("__all_rows", label.alias(row), where.alias("__place"), "n")
+        .groupBy("__all_rows", row).pivot("__place", list(range(len(values) + 2))).agg(F.sum("n"))
+        .toDF("__all_rows", row, *map(str, values), rest, total)
     )
     return wide.fillna(0).orderBy("__all_rows", row).drop("__all_rows")
 

@@ -407,3 +407,12 @@ def test_choice_among_models(spark, grouped_features):
     assert reports.centroids(placed, ["pc1", "pc2"]).count() == 3
     profile = reports.segment_profile(segments.segment_output(grouped_features, chosen.labels, "m")).toPandas()
     assert profile.clientes.tolist() == [15, 15, 15] and set(profile.pct_alto_valor) == {100.0}
+
+
+def test_crosstab_of_values_named_as_its_labels(spark):
+    df = spark.createDataFrame([("x", "a"), ("x", "All"), ("All", "Outros"), ("All", "a"), (None, "a")], "r string, c string")
+    table = reports.crosstab(df, "r", "c", ["a", "b"])
+    assert table.columns == ["r", "a", "b", "Outros", "All"]
+    assert [tuple(r) for r in table.collect()] == [("All", 1, 0, 1, 2), ("x", 1, 0, 1, 2), ("All", 2, 0, 2, 4)]
+    with pytest.raises(ValueError, match="other labels"):
+        reports.crosstab(df, "r", "c", ["a", "All"])
