@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.ordering import quantile, value_positions
+from ..operators.sketches import exact_quantiles, quantile_columns, value_sketch
+from ..sources.shared import materialise
 
 SUMMARY_FEATURES = [
     "recencia_dias", "frequencia_recebimentos", "valor_total_recebido_brl", "taxa_pagamento_em_dia",
@@ -97,10 +99,24 @@ def segment_profile(segmented: DataFrame) -> DataFrame:
     )
 
 
+def _by_feature(segmented: DataFrame, features: list[str]) -> DataFrame:
+    values = segmented.select("cluster", *[F.col(f).cast("double").alias(f) for f in features])
+    return values.unpivot(["cluster"], features, "atributo", "valor")
+
+
+def five_numbers_by_sketch(segmented: DataFrame, features: list[str] = SUMMARY_FEATURES) -> DataFrame:
+    """As `five_numbers`, but a sketch tells where the quartiles lie, and only the values around them are ordered."""
+    by, long = ["cluster", "atributo"], _by_feature(segmented, features)
+    sketch = materialise(value_sketch(long, "valor", by))
+    ends = sketch.groupBy(*by).agg(F.min("menor").alias("minimo"), F.max("maior").alias("maximo"))
+    quartiles = exact_quantiles(long, "valor", [0.25, 0.5, 0.75], sketch, by)
+    return ends.join(quantile_columns(quartiles, by, {0.25: "q1", 0.5: "mediana", 0.75: "q3"}), by).select(
+        *by, "minimo", "q1", "mediana", "q3", "maximo")
+
+
 def five_numbers(segmented: DataFrame, features: list[str] = SUMMARY_FEATURES) -> DataFrame:
     """Minimum, quartiles and maximum of each feature per segment."""
-    values = segmented.select("cluster", *[F.col(f).cast("double").alias(f) for f in features])
-    long = values.unpivot(["cluster"], features, "atributo", "valor")
+    long = _by_feature(segmented, features)
     positions = value_positions(long, "valor", ["cluster", "atributo"])
     return positions.groupBy("cluster", "atributo").agg(
         F.min("valor").alias("minimo"),

@@ -64,12 +64,13 @@ class LoadTable:
 
         return self._load(rows, load, {"kind": "append"})
 
-    def replace(self, df: DataFrame, load: str, column: str | None = None) -> bool:
+    def replace(self, df: DataFrame, load: str, column: str | None = None, values: list[str] | None = None) -> bool:
         """Put the rows in place of the whole table, or of the rows that share a value of `column`, such as a month, with
-        them. Their distinct values, which must be few, are kept in the list as text; null values are only added to."""
+        them. Their distinct values, which must be few, are kept in the list as text; null values are only added to.
+        Where `values` are given, no pass looks for them, and those that no row has any more are replaced too."""
         entry = {"kind": "whole"}
         if column is not None:
-            values = [row[0] for row in df.select(F.col(column).cast("string")).where(F.col(column).isNotNull()).distinct().collect()]
+            values = values if values is not None else [row[0] for row in df.select(F.col(column).cast("string")).where(F.col(column).isNotNull()).distinct().collect()]
             entry = {"kind": "part", "column": column, "values": sorted(values)}
         return self._load(lambda: df, load, entry, column)
 

@@ -322,6 +322,13 @@ def _all(table: str, hidden: bool = True) -> str:
 
 _SIX = ["recencia_dias", "frequencia_recebimentos", "valor_total_recebido_brl", "taxa_pagamento_em_dia",
         "taxa_pagamento_atrasado"]
+_FIVE = " union all ".join(
+    f"select cluster, '{f}' as atributo, cast(min({f}) as double) as minimo,"
+    f" round(quantile_cont(cast({f} as double), 0.25), 4) as q1,"
+    f" round(quantile_cont(cast({f} as double), 0.5), 4) as mediana,"
+    f" round(quantile_cont(cast({f} as double), 0.75), 4) as q3, cast(max({f}) as double) as maximo"
+    f" from segmented group by cluster" for f in _SIX
+)
 _BANDS = ["medio_baixo_valor", "alto_valor", "muito_alto_valor"]
 _KEY = "(case when l_orderkey % 13 <> 0 then l_orderkey * 10 + l_linenumber end)"
 
@@ -491,6 +498,26 @@ SQL: dict[str, str] = {
         select cast(date_trunc('month', data_vencimento) as date) as mes_vencimento, case when year(data_vencimento) = 1996 then 'correcao' else 'inicial' end as carga,
                count(*) as contas, round(sum(case when year(data_vencimento) = 1996 then -valor_conta else valor_conta end), 2) as valor
         from payables where year(data_vencimento) <> 1996 or year(data_vencimento) is null or id_conta % 2 = 0 group by all""",
+    "payable_quantiles_by_load": """
+        select * from (with numbered as (
+            select status_conta, valor_conta as v, p.parte as parte,
+                   row_number() over (partition by status_conta, p.parte order by valor_conta) - 1 as place,
+                   count(*) over (partition by status_conta, p.parte) as total,
+                   case when valor_conta = 0 then 0 else sign(valor_conta) * (40000 + ceil(ln(abs(valor_conta)) / ln(1.02))) end as bucket
+            from payables, (select unnest([0.25, 0.5, 0.75]) as parte) p where valor_conta is not null
+        ), spans as (
+            select *, min(v) over (partition by status_conta, parte, bucket) as lo, max(v) over (partition by status_conta, parte, bucket) as hi
+            from numbered
+        ), sides as (
+            select status_conta, parte, max(total) as total, max((total - 1) * parte - floor((total - 1) * parte)) as f,
+                   max((lo + hi) / 2) filter (place = floor((total - 1) * parte)) as m1, max((lo + hi) / 2) filter (place = ceil((total - 1) * parte)) as m2,
+                   max(lo) filter (place = floor((total - 1) * parte)) as l1, max(lo) filter (place = ceil((total - 1) * parte)) as l2,
+                   max(hi) filter (place = floor((total - 1) * parte)) as h1, max(hi) filter (place = ceil((total - 1) * parte)) as h2,
+                   max(v) filter (place = floor((total - 1) * parte)) as v1, max(v) filter (place = ceil((total - 1) * parte)) as v2
+            from spans group by status_conta, parte
+        )
+        select status_conta, cast(parte as double) as parte, total, round(m1 + (m2 - m1) * f, 4) as estimativa, round(l1 + (l2 - l1) * f, 4) as minimo,
+               round(h1 + (h2 - h1) * f, 4) as maximo, round(v1 + (v2 - v1) * f, 4) as quantil from sides)""",
     "pca_of_blocks": """
         with z as (
             select c_custkey as id, (c_acctbal - avg(c_acctbal) over ()) / stddev_pop(c_acctbal) over () as u,
@@ -586,13 +613,8 @@ SQL: dict[str, str] = {
                        " round(100 * avg(taxa_pagamento_em_dia), 4) as em_dia_pct, " + ", ".join(
         f"round(100.0 * count(*) filter (faixa_valor_cliente = '{b}') / count(*), 1) as pct_{b}" for b in _BANDS
     ) + ", arg_min(perfil_cluster, id_cliente) as perfil_exemplo from segmented group by cluster",
-    "segment_five_numbers": " union all ".join(
-        f"select cluster, '{f}' as atributo, cast(min({f}) as double) as minimo,"
-        f" round(quantile_cont(cast({f} as double), 0.25), 4) as q1,"
-        f" round(quantile_cont(cast({f} as double), 0.5), 4) as mediana,"
-        f" round(quantile_cont(cast({f} as double), 0.75), 4) as q3, cast(max({f}) as double) as maximo"
-        f" from segmented group by cluster" for f in _SIX
-    ),
+    "segment_five_numbers": _FIVE,
+    "segment_five_numbers_by_sketch": _FIVE,
     "segment_centroids": "select cluster, round(avg(recencia_dias), 4) as x,"
                          " round(avg(valor_total_recebido_brl), 4) as y from segmented group by cluster",
     "model_ranks": _all("brand_ranks", False),

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import LEDGER_LAYOUTS, month_key, parse_dates
 from ..functions.fixed_values import VALUE_BANDS
-from ..operators import append, calendar, checks, clustering, dedup, lookups
+from ..operators import append, calendar, checks, clustering, dedup, lookups, sketches
 from ..plans import customers, pipeline, rates, reports, segments, silver, star
 from ..schemas import GOLD_FOREIGN, GOLD_KEYS, GOLD_UNIQUE, MODEL_METRICS, RATE_PAYLOAD, SILVER
 from ..sources import layers, loads
@@ -339,6 +339,21 @@ def replaced_months(t: Ledger) -> DataFrame:
         F.count(F.lit(1)).alias("contas"), F.round(F.sum("valor_conta"), 2).alias("valor"))
 
 
+def payable_quantiles_by_load(t: Ledger) -> DataFrame:
+    """Quartiles of payables per status out of sketches of five loads, one of which is corrected later: the estimate with
+    its bounds, and the exact value from the rows around it."""
+    table = loads.LoadTable(t.spark, _feed_folder(t), "valores")
+    rows = t.silver_payables.select("status_conta", "valor_conta", F.coalesce(F.year("data_vencimento") % 4, F.lit(4)).alias("parte"))
+    value, by, shares = "valor_conta", ["status_conta"], [0.25, 0.5, 0.75]
+    wrong = {"2": rows.where("parte = 2").withColumn(value, -F.col(value))}
+    sketches.sketch_loads(table, {str(i): rows.where(F.col("parte") == i) for i in (0, 1, 3, 4)} | wrong, value, by)
+    sketches.keep_sketch(table, sketches.value_sketch(rows.where("parte = 2"), value, by), "2", "correcao")
+    whole = materialise(sketches.kept_sketch(table, by))
+    exact = sketches.exact_quantiles(rows.drop("parte"), value, shares, whole, by)
+    both = lookups.lookup_join(sketches.estimated_quantiles(whole, shares, by), exact, [*by, "parte"], null_safe=True)
+    return _rounded(both, "estimativa", "minimo", "maximo", "quantil", digits=4)
+
+
 def silver_layer_by_month(t: Ledger) -> DataFrame:
     """Payables written in directories by month due and read back with their declared schema."""
     folder = _feed_folder(t)
@@ -461,6 +476,10 @@ def segment_five_numbers(t: Ledger) -> DataFrame:
     return _rounded(reports.five_numbers(t.segmented()), "q1", "mediana", "q3", digits=4)
 
 
+def segment_five_numbers_by_sketch(t: Ledger) -> DataFrame:
+    return _rounded(reports.five_numbers_by_sketch(t.segmented()), "q1", "mediana", "q3", digits=4)
+
+
 def segment_centroids(t: Ledger) -> DataFrame:
     axes = t.segmented().select(
         "cluster", F.col("recencia_dias").alias("x"), F.col("valor_total_recebido_brl").alias("y")
@@ -642,6 +661,7 @@ JOBS: dict[str, Callable[[Ledger], DataFrame]] = {
     "pca_of_blocks": pca_of_blocks,
     "append_layer_twice": append_layer_twice,
     "replaced_months": replaced_months,
+    "payable_quantiles_by_load": payable_quantiles_by_load,
     "landed_folder": landed_folder,
     "split_lines_csv": split_lines_csv,
     "split_orders_json": split_orders_json,
@@ -669,6 +689,7 @@ JOBS: dict[str, Callable[[Ledger], DataFrame]] = {
     "band_counts": band_counts,
     "segment_profile": segment_profile,
     "segment_five_numbers": segment_five_numbers,
+    "segment_five_numbers_by_sketch": segment_five_numbers_by_sketch,
     "segment_centroids": segment_centroids,
     "model_ranks": model_ranks,
     "top_models": top_models,
