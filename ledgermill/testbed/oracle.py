@@ -498,6 +498,10 @@ SQL: dict[str, str] = {
         select cast(date_trunc('month', data_vencimento) as date) as mes_vencimento, case when year(data_vencimento) = 1996 then 'correcao' else 'inicial' end as carga,
                count(*) as contas, round(sum(case when year(data_vencimento) = 1996 then -valor_conta else valor_conta end), 2) as valor
         from payables where year(data_vencimento) <> 1996 or year(data_vencimento) is null or id_conta % 2 = 0 group by all""",
+    "sorted_layer_order": """
+        select row_number() over (order by valor_conta, id_conta) as posicao, * from (
+            select distinct valor_conta, id_conta from payables where id_conta is not null and valor_conta is not null)""",
+    "first_clients": "select * from d_clients order by pais_cliente nulls first, id_cliente limit 10",
     "payable_quantiles_by_load": """
         select * from (with numbered as (
             select status_conta, valor_conta as v, p.parte as parte,

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import LEDGER_LAYOUTS, month_key, parse_dates
 from ..functions.fixed_values import VALUE_BANDS
-from ..operators import append, calendar, checks, clustering, dedup, lookups, sketches
+from ..operators import append, calendar, checks, clustering, dedup, lookups, ordering, sketches
 from ..plans import customers, pipeline, rates, reports, segments, silver, star
 from ..schemas import GOLD_FOREIGN, GOLD_KEYS, GOLD_UNIQUE, MODEL_METRICS, RATE_PAYLOAD, SILVER
 from ..sources import layers, loads
@@ -362,6 +362,21 @@ def silver_layer_by_month(t: Ledger) -> DataFrame:
     return _drop_ordinal(layers.read_layer(t.spark, folder, "conta_pagar_silver", SILVER["conta_pagar_silver"]))
 
 
+def sorted_layer_order(t: Ledger) -> DataFrame:
+    """Payables written in the order of value due and id, with each row's place in the files that were written."""
+    folder, order = _feed_folder(t), ["valor_conta", "id_conta"]
+    keyed = t.silver_payables.where("id_conta is not null and valor_conta is not null").select(*order).distinct()
+    layers.write_layer(keyed, folder, "contas", sort_by=order)
+    placed = layers.read_layer(t.spark, folder, "contas").select(
+        *order, F.col("_metadata.file_name").alias("arquivo"), F.col("_metadata.row_index").alias("linha"))
+    return ordering.dense_key(placed, "posicao", ["arquivo", "linha"]).select("posicao", *order)
+
+
+def first_clients(t: Ledger) -> DataFrame:
+    """Preview of the client dimension."""
+    return reports.first_rows(star.dim_client(t.silver_clients), ["pais_cliente", "id_cliente"])
+
+
 def quality_targets(t: Ledger) -> DataFrame:
     targets = t.clean_targets()
     return targets.agg(*checks.complete_rows([c for c in targets.columns if c != dedup.ORDINAL]))
@@ -665,6 +680,8 @@ JOBS: dict[str, Callable[[Ledger], DataFrame]] = {
     "landed_folder": landed_folder,
     "split_lines_csv": split_lines_csv,
     "split_orders_json": split_orders_json,
+    "sorted_layer_order": sorted_layer_order,
+    "first_clients": first_clients,
     "quality_targets": quality_targets,
     "quality_categories": quality_categories,
     "quality_clients": quality_clients,

@@ -41,7 +41,7 @@ def test_every_twin_belongs_to_a_query():
     "new_keys_only", "new_part_keys_hot", "hot_client_currency", "append_star_twice", "landed_clients_csv", "landed_clients_json",
     "landed_quotes", "silver_layer_by_month", "segment_quality", "feature_vector_entries", "pca_of_two", "forced_clusters",
     "forced_candidates", "feature_levels", "pca_of_blocks", "feature_mix_entries", "append_layer_twice", "replaced_months", "landed_folder",
-    "payable_quantiles_by_load", "segment_five_numbers_by_sketch",
+    "sorted_layer_order", "first_clients", "payable_quantiles_by_load", "segment_five_numbers_by_sketch",
     "split_lines_csv", "split_orders_json", "silver_quality_log",
     "client_category_mix_wide", "quality_keys", "country_segment_crosstab", "quality_ledgers", "client_features", "revenue_by_month_currency_category",
 ])

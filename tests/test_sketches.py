@@ -106,7 +106,7 @@ def test_a_part_that_is_corrected_counts_once(spark, tmp_path):
     sketches.keep_sketch(table, values(100, 200), "fev", "b")
     assert not sketches.keep_sketch(table, values(7), "jan", "a")
     sketches.keep_sketch(table, values(5), "jan", "c")
-    assert rows(sketches.kept_sketch(table).select("menor")) == [(5.0,), (100.0,), (200.0,)]
+    assert rows(sketches.kept_sketch(table).select("menor"), "menor") == [(5.0,), (100.0,), (200.0,)]
     # A part that has become empty leaves nothing behind.
     sketches.keep_sketch(table, values(), "fev", "d")
-    assert rows(sketches.kept_sketch(table).select("menor")) == [(5.0,)]
+    assert rows(sketches.kept_sketch(table).select("menor"), "menor") == [(5.0,)]
