@@ -15,7 +15,8 @@ from .components import connected_components
 
 # Vectors the index is fitted on; every vector is indexed.
 FIT_ROWS = 4096
-# Vectors of one label a list should hold, and the most lists.
+# Vectors of one label a list should hold, and the lists of one level. Labels of more vectors than these lists hold get
+# further levels.
 LIST_ROWS, MOST_LISTS = 512, 256
 # Rows of a list, and queries, that meet in one task.
 TILE_ROWS = 1024
@@ -26,43 +27,81 @@ _KEYS = ["label", "width", "cell", "list_tile", "query_tile"]
 
 @dataclass
 class Index:
-    """Centroids of the lists, and for each part of a residual its code words."""
+    """Centroids of the lists by levels, and for each part of a residual its code words.
 
-    centroids: np.ndarray
+    The first level's centroids divide all vectors. Those of each further level divide what the level before leaves of a
+    vector, and are the same in all its lists, so the lists multiply from level to level while the fit stays small.
+    """
+
+    levels: list[np.ndarray]
     code_words: np.ndarray
 
     @classmethod
-    def fit(cls, sample: np.ndarray, lists: int) -> Index:
+    def fit(cls, sample: np.ndarray, lists: int, most: int = MOST_LISTS) -> Index:
         if not len(sample):
             sample = np.zeros((1, sample.shape[1]))
-        centroids = _means(sample, lists)
-        residuals = sample - centroids[_nearest(sample, centroids)]
+        depth = 1
+        while most ** depth < lists:
+            depth += 1
+        each = lists if depth == 1 else most
+        levels, residuals = [], sample
+        for _ in range(depth):
+            levels.append(_means(residuals, each))
+            residuals = residuals - levels[-1][_nearest(residuals, levels[-1])]
         parts = np.split(residuals, _PARTS, axis=1)
-        return cls(centroids, np.stack([_means(part, _CODES) for part in parts]))
+        return cls(levels, np.stack([_means(part, _CODES) for part in parts]))
 
     def encode(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """List, codes, and the length of what the codes leave out."""
-        cells = _nearest(vectors, self.centroids)
-        residuals = vectors - self.centroids[cells]
+        cells, residuals = np.zeros(len(vectors), np.int64), vectors
+        for centroids in self.levels:
+            near = _nearest(residuals, centroids)
+            cells, residuals = cells * len(centroids) + near, residuals - centroids[near]
         codes = np.stack([_nearest(part, words) for part, words in zip(
             np.split(residuals, _PARTS, axis=1), self.code_words)], axis=1)
         decoded = np.concatenate([words[codes[:, i]] for i, words in enumerate(self.code_words)], axis=1)
         return cells, codes.astype(np.uint8), np.linalg.norm(residuals - decoded, axis=1)
 
-    def probes(self, vectors: np.ndarray, cells: np.ndarray, reach: float) -> np.ndarray:
-        """Which lists each vector must look into: those whose border with its own lies within `reach`."""
-        squares = _squares(vectors, self.centroids)
-        own = squares[np.arange(len(vectors)), cells]
-        between = np.linalg.norm(self.centroids[cells][:, None] - self.centroids[None], axis=2)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            border = (squares - own[:, None]) / (2 * between)
-        border[between == 0] = 0
-        return border <= reach
+    def centre(self, cell: int) -> np.ndarray:
+        total = np.zeros(self.levels[0].shape[1])
+        for centroids in reversed(self.levels):
+            cell, near = divmod(cell, len(centroids))
+            total += centroids[near]
+        return total
+
+    def probes(self, vectors: np.ndarray, reach: float) -> list[np.ndarray]:
+        """Which lists each vector must look into: those whose border with its own lies within `reach` on every level.
+
+        Whatever lies within `reach` of a vector lies within `reach` of what a list's centroid leaves of it, too, so the
+        rule of one level holds on all.
+        """
+        found = list(self._near(vectors, reach, 0))
+        rows, cells = (np.concatenate(part) for part in zip(*found)) if found else (np.zeros(0, int), np.zeros(0, int))
+        return np.split(cells, np.searchsorted(rows, np.arange(1, len(vectors))))
+
+    def _near(self, vectors: np.ndarray, reach: float, level: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Rows, in their order, with the lists of this and the further levels."""
+        centroids = self.levels[level]
+        below = int(np.prod([len(c) for c in self.levels[level + 1:]], dtype=np.int64))
+        between = np.sqrt(np.maximum(_squares(centroids, centroids), 0))
+        for begin in range(0, len(vectors), 512):
+            block = vectors[begin:begin + 512]
+            squares = _squares(block, centroids)
+            own = squares.argmin(1)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                border = (squares - squares.min(1)[:, None]) / (2 * between[own])
+            border[between[own] < 1e-6] = 0
+            row, near = np.nonzero(border <= reach)
+            if level + 1 == len(self.levels):
+                yield begin + row, near.astype(np.int64)
+                continue
+            for inner, cells in self._near(block[row] - centroids[near], reach, level + 1):
+                yield begin + row[inner], near[inner] * below + cells
 
     def distances(self, queries: np.ndarray, cell: int, codes: np.ndarray) -> np.ndarray:
         """Distance of each query to each coded vector of a list, added up from tables."""
         total = np.zeros((len(queries), len(codes)), np.float32)
-        for i, part in enumerate(np.split(queries - self.centroids[cell], _PARTS, axis=1)):
+        for i, part in enumerate(np.split(queries - self.centre(cell), _PARTS, axis=1)):
             total += _squares(part, self.code_words[i]).astype(np.float32)[:, codes[:, i]]
         return np.sqrt(np.maximum(total, 0))
 
@@ -97,8 +136,8 @@ def near_duplicate_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_co
     reachable by links, its own included) and `kept` (vec_id = component_id).
 
     Equal vectors of a label are one class that is searched once. The index is fitted on `fit_rows` unit vectors, in
-    hash order; every vector is indexed. A vector is coded as its list and one code word for each eighth of its
-    residual. Each vector is also a query: it looks into every list whose border with its own lies within `margin`
+    hash order; every vector is indexed. There is a list for every `LIST_ROWS` vectors of
+    the largest label; beyond `MOST_LISTS` they are cut into levels. A vector is coded as its list and one code word for each eighth of its residual. Each vector is also a query: it looks into every list whose border with its own lies within `margin`
     times the link radius (1 loses no link whatever the data; a half is four standard deviations of a link in a random
     direction of 64 dimensions), adds up its distances from tables, keeps what lies within the link radius plus the
     coding error stored with each vector, which loses nothing, and confirms each by its cosine in double precision.
@@ -127,13 +166,13 @@ def near_duplicate_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_co
     width += -width % _PARTS
     largest = classes.groupBy("label", "width").count().agg(F.max("count")).first()[0] or 1
     sample = classes.orderBy("class_id", "check").limit(fit_rows).select("vector").toPandas()["vector"]
-    index = Index.fit(_units(sample, width), min(MOST_LISTS, -(-largest // LIST_ROWS)))
+    index = Index.fit(_units(sample, width), -(-largest // LIST_ROWS), MOST_LISTS)
     radius = float(np.sqrt(2 - 2 * threshold)) + 1e-6
 
     coded = materialise(classes.select("class_id", "first", "members", "label", "width", "vector").mapInPandas(
         lambda frames: _encoded(frames, index, width, margin * radius),
         "class_id bigint, first bigint, members bigint, label string, width int, vector binary, codes binary, "
-        "missing double, cell int, probed array<int>"))
+        "missing double, cell bigint, probed array<bigint>"))
     fresh = [F.col(c).alias(c) for c in ("class_id", "first", "members", "label", "width", "vector")]  # for the cogroup
     queries = coded.select(*fresh, F.col("cell").alias("home"), F.explode("probed").alias("cell"))
     place = ["label", "width", "cell"]
@@ -185,7 +224,7 @@ def _encoded(frames: Iterator[pd.DataFrame], index: Index, width: int, reach: fl
             cells, codes, missing = index.encode(units)
             yield frame.assign(
                 vector=[u.tobytes() for u in units], codes=[c.tobytes() for c in codes], missing=missing, cell=cells,
-                probed=[np.flatnonzero(p) for p in index.probes(units, cells, reach)])
+                probed=index.probes(units, reach))
 
 
 def _linked(key: tuple, queries: pd.DataFrame, listed: pd.DataFrame, index: Index, threshold: float,
@@ -202,10 +241,11 @@ def _linked(key: tuple, queries: pd.DataFrame, listed: pd.DataFrame, index: Inde
     q, x = q[hit], x[hit]
     links = np.bincount(q, listed["members"].to_numpy()[x], len(queries)).astype("int64")
     # A listed vector that does not look into the list of the one that asks never finds it, so the link counts here for both.
-    looks = np.zeros((len(listed), len(index.centroids)), bool)
+    homes, home = np.unique(queries["home"].to_numpy(), return_inverse=True)
+    looks = np.zeros((len(listed), len(homes)), bool)
     for row, lists in enumerate(listed["probed"]):
-        looks[row, lists] = True
-    unseen = ~looks[x, queries["home"].to_numpy()[q]]
+        looks[row] = np.isin(homes, lists)
+    unseen = ~looks[x, home[q]]
     back = np.bincount(x[unseen], queries["members"].to_numpy()[q[unseen]], len(listed)).astype("int64")
     left, right = queries["first"].to_numpy().copy(), listed["first"].to_numpy().copy()
     while len(q):

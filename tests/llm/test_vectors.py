@@ -91,3 +91,39 @@ def test_both_ends_of_a_link_count_it_also_with_many_lists(spark):
     links = np.array([got[i] for i in range(len(rows))])
     assert links.sum() >= 0.9 * near.sum() and (links <= near.sum(1)).all()
     assert links.sum() % 2 == 0
+
+
+def test_lists_of_several_levels_lose_nothing_at_full_margin(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "LIST_ROWS", 8)
+    monkeypatch.setattr(vectors, "MOST_LISTS", 4)
+    rng = np.random.default_rng(8)
+    rows = [(i, v, 1) for i, v in enumerate(sample(rng, 30))]
+    table = spark.createDataFrame([(*r, 1, "x", 2) for r in rows], SCHEMA)
+    got = vectors.near_duplicate_vectors(table, margin=1.0).collect()
+    assert sorted((tuple(r) for r in got), key=repr) == brute(rows)
+
+
+def test_recall_over_lists_of_several_levels(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "LIST_ROWS", 8)
+    monkeypatch.setattr(vectors, "MOST_LISTS", 8)
+    rng = np.random.default_rng(9)
+    rows = [(i, v, 1) for i, v in enumerate(sample(rng, 60))]
+    got, expected = found(spark, rows), brute(rows)
+    assert sum(r[1] for r in got) >= 0.95 * sum(r[1] for r in expected)
+    assert all(a[1] <= b[1] for a, b in zip(got, expected)) and sum(r[1] for r in got) % 2 == 0
+
+
+def test_probes_hold_every_list_with_a_near_vector():
+    rng = np.random.default_rng(10)
+    rows = np.concatenate([c + 0.1 * rng.normal(size=(30, 16)) for c in rng.normal(size=(20, 16))])
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    index = vectors.Index.fit(rows, 400, 8)
+    assert len(index.levels) == 3 and index.code_words.shape[0] == 8
+    cells, _, _ = index.encode(rows)
+    probed = index.probes(rows, 0.3)
+    near = np.linalg.norm(rows[:, None] - rows[None], axis=2) <= 0.3
+    for row, lists in enumerate(probed):
+        assert len(set(lists)) == len(lists) and set(cells[near[row]]) <= set(lists)
+    assert len(set(cells)) > 8  # more than one level has
+    centres = np.array([index.centre(int(c)) for c in cells])
+    assert np.linalg.norm(rows - centres, axis=1).mean() < np.linalg.norm(rows - index.levels[0][vectors._nearest(rows, index.levels[0])], axis=1).mean()
