@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from ..functions.fixed_values import CSV_MISSING
 from ..functions.text import missing_to_null
 from ..operators.dedup import ORDINAL
-from .shared import materialise
+from .shared import gathered, materialise
 from .split_records import csv_records, json_records
 
 
@@ -43,7 +43,7 @@ def with_ordinal(df: DataFrame) -> DataFrame:
 def _cells_span_lines(spark: SparkSession, path: str) -> bool:
     """Whether some line has an odd number of quotes, so a quoted cell goes on in the next line."""
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    return not spark.read.text(path).where(quotes % 2 == 1).isEmpty()
+    return not gathered(spark.read.text(path)).where(quotes % 2 == 1).isEmpty()
 
 
 def read_csv(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:

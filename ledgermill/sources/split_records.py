@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.dedup import ORDINAL
-from .shared import materialise
+from .shared import gathered, materialise
 from .shipping import ship_package
 
 # A line that begins outside of quotes and ends inside of a quoted cell. Quotes count only where a cell begins.
@@ -31,17 +31,20 @@ def csv_records(spark: SparkSession, path: str) -> DataFrame:
     both become a line feed then. Quotes are escaped by doubling. Empty lines outside of cells are no records; an
     unclosed cell runs to the end of its file.
     """
+    # A line without quotes ends as it begins.
+    value, quoted = F.col("value"), F.contains("value", F.lit('"'))
     lines = _parts(spark, path, "\n").select(
-        "*", F.col("value").rlike(_ENDS_INSIDE).alias("from_outside"),
-        F.concat(F.lit('"'), "value").rlike(_ENDS_INSIDE).alias("from_inside"))
-    marked = materialise(lines.mapInArrow(_mark_lines, (
+        "*", F.when(quoted, value.rlike(_ENDS_INSIDE)).otherwise(False).alias("from_outside"),
+        F.when(quoted, F.concat(F.lit('"'), value).rlike(_ENDS_INSIDE)).otherwise(True).alias("from_inside"))
+    marked = gathered(materialise(lines.mapInArrow(_mark_lines, (
         "file string, block bigint, row bigint, value string, inside_0 boolean, inside_1 boolean, after_0 boolean, after_1 boolean, "
-        "opened_0 bigint, opened_1 bigint")))
+        "opened_0 bigint, opened_1 bigint"))))
     states = _line_states(marked)
     begun = lambda name: F.when(F.col("begins_inside"), F.col(f"{name}_1")).otherwise(F.col(f"{name}_0"))
     opened = F.when(begun("opened") >= 0, F.struct("block", begun("opened").alias("row"))).otherwise(F.col("carried"))
     text = F.when(F.col("returns"), F.regexp_replace("value", r"\r\z", "")).otherwise(F.col("value"))
-    placed = marked.join(states, ["file", "block"]).select(
+    # One row per block, so a broadcast keeps all lines where they are.
+    placed = marked.join(F.broadcast(states), ["file", "block"]).select(
         "file", "block", "row", text.alias("value"), "header", opened.alias("opened"), (begun("inside") | begun("after")).alias("several"))
     records = _joined(placed, "\n").where((F.col("value") != "") & F.coalesce(F.col("opened") != F.col("header"), F.lit(True)))
     return records.select("value", _ordinal("opened"))
@@ -63,11 +66,11 @@ def json_records(spark: SparkSession, path: str) -> DataFrame:
     quotes = F.length(bare) - F.length(F.replace(bare, F.lit('"'), F.lit("")))
     parts = _parts(spark, path, "}").select("file", "block", "value", (quotes % 2 == 1).alias("turns"),
                                             braces(value).alias("deeper_0"), braces(F.concat(F.lit('"'), value)).alias("deeper_1"))
-    marked = materialise(parts.mapInArrow(_mark_braces, (
-        "file string, block bigint, row bigint, value string, after_0 boolean, depth_0 bigint, depth_1 bigint, end_0 bigint, end_1 bigint")))
+    marked = gathered(materialise(parts.mapInArrow(_mark_braces, (
+        "file string, block bigint, row bigint, value string, after_0 boolean, depth_0 bigint, depth_1 bigint, end_0 bigint, end_1 bigint"))))
     chosen = lambda name: F.when(F.col("begins_inside"), F.col(f"{name}_1")).otherwise(F.col(f"{name}_0"))
     blocks = _brace_states(marked)
-    placed = marked.join(blocks, ["file", "block"]).select(
+    placed = marked.join(F.broadcast(blocks), ["file", "block"]).select(
         "file", "block", "row", "value", (F.col("depth") + chosen("depth")).alias("before"), (F.col("depth") + chosen("end")).alias("after"),
         ((F.col("block") == F.col("last_block")) & (F.col("row") == F.col("last_row"))).alias("last"))
     whole = (F.col("before") == 0) & (F.col("after") == 0)
@@ -89,8 +92,8 @@ def json_records(spark: SparkSession, path: str) -> DataFrame:
 
 def _parts(spark: SparkSession, path: str, end: str) -> DataFrame:
     ship_package(spark)
-    return spark.read.option("lineSep", end).text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value")
+    return gathered(spark.read.option("lineSep", end).text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value"))
 
 
 def _ordinal(opened: str) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ledgermill.operators.dedup import ORDINAL, first_arrived, last_arrived
 from ledgermill.plans import pipeline
 from ledgermill.schemas import GOLD, GOLD_KEYS, RAW, SILVER
-from ledgermill.sources import database, layers, rate_payloads, shared
+from ledgermill.sources import database, layers, rate_payloads, shared, split_records
 
 from .conftest import rows
 
@@ -100,6 +100,19 @@ def test_split_json_equals_the_whole_file_reader(spark, tmp_path, small_blocks):
     assert layers.read_json(spark, str(tmp_path / "none.json")).collect() == []
 
 
+def test_small_blocks_share_tasks_and_lines_are_not_shuffled(spark, tmp_path, small_blocks):
+    path = tmp_path / "many.csv"
+    path.write_text("a,b\n" + "".join(f'{i},"x{chr(10) if i % 9 == 0 else ""}y"\n' for i in range(150_000)), encoding="utf-8")
+    most = 4 * spark.sparkContext.defaultParallelism
+    lines = split_records._parts(spark, str(path), "\n")
+    assert lines.select("block").distinct().count() > most >= lines.rdd.getNumPartitions()
+    records = split_records.csv_records(spark, str(path))
+    plan = records._jdf.queryExecution().executedPlan().toString()
+    # Only records of several lines are shuffled, and the lines that tell the states of blocks.
+    assert "SortMergeJoin [file" not in plan
+    assert records.count() == 150_000
+
+
 def test_arrival_order_survives_splitting(spark, tmp_path):
     path = tmp_path / "big.csv"
     path.write_text("k,n\n" + "".join(f"{i % 7},{i}\n" for i in range(20_000)), encoding="utf-8")
