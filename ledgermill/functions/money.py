@@ -60,9 +60,13 @@ def to_target_amount(df: DataFrame, column: str, target: str) -> DataFrame:
 
 
 def brl_value(amount: Column, currency: Column, paid_on: Column, sell_rate: Column,
-              ars_rate: float = ARS_SELL_RATE) -> Column:
-    """Amount in home currency: at the sell rate of the payment day, unchanged where no rate applies."""
-    code = F.upper(strip_blanks(F.coalesce(currency, F.lit(""))))
+              ars_rate: float = ARS_SELL_RATE, plain: bool = False) -> Column:
+    """Amount in home currency: at the sell rate of the payment day, unchanged where no rate applies.
+
+    `plain` tells that the codes are in upper case and without blanks already.
+    """
+    code = F.coalesce(currency, F.lit(""))
+    code = code if plain else F.upper(strip_blanks(code))
     unchanged = code.isin("", HOME_CURRENCY) | paid_on.isNull()
     return (
         F.when(unchanged, amount)

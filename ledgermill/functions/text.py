@@ -36,6 +36,9 @@ def _char_class(chars: Iterable[str]) -> str:
 _BLANK_CHARS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 _BLANK_CLASS = _char_class(_BLANK_CHARS)
 
+# Every ASCII sign that shows; digits come first, since they are looked for most.
+_VISIBLE = "0123456789" + "".join(chr(c) for c in [*range(0x61, 0x7F), *range(0x21, 0x30), *range(0x3A, 0x61)])
+
 
 def stepwise(df: DataFrame, column: str, steps: Iterable[Step], source: str | None = None) -> DataFrame:
     """Run `steps` one after another on `source`, leaving the result in `column`."""
@@ -68,8 +71,9 @@ def strip_blanks(text: Column) -> Column:
 
 def strip_column(text: Column) -> Column:
     """As `strip_blanks`, for a column that holds its value already: the first and the last character tell that most
-    texts have no blanks to strip."""
-    ends = F.substring(text, 1, 1).between("!", "~") & F.substring(text, -1, 1).between("!", "~")
+    texts have no blanks to strip. Texts compare by their bytes, so the whole text tells the first."""
+    text = text.cast("string")
+    ends = (text >= "!") & (text < "\x7f") & F.lit(_VISIBLE).contains(F.substring(text, -1, 1))
     return F.when(ends, text).otherwise(strip_blanks(text))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import strip_blanks
+from ..functions.text import strip_column
 
 
 def missing(*columns: str) -> list[Column]:
@@ -25,7 +25,7 @@ def complete_rows(columns: list[str]) -> list[Column]:
 
 def status_like(column: str, pattern: str) -> Column:
     """Does the status text contain the pattern, whatever its case?"""
-    return F.coalesce(F.lower(strip_blanks(F.col(column))).rlike(pattern), F.lit(False))
+    return F.coalesce(F.lower(strip_column(F.col(column))).rlike(pattern), F.lit(False))
 
 
 def status_is(column: str, text: str) -> Column:

@@ -27,18 +27,22 @@ QUALITY = "qualidade_silver"
 
 
 def land(tables: dict[str, Callable[[], DataFrame]], bronze: str, output_format: str = "parquet") -> dict[str, str]:
-    """Store raw tables unchanged with their arrival order. A table that fails does not stop the others.
+    """Store raw tables unchanged with their arrival order. A table that fails does not stop the others; a few are stored at
+    the same time.
 
     Returns the error text of the tables that failed.
     """
-    failed = {}
-    for name, read in tables.items():
+    spark = SparkSession.active()
+
+    def store(name: str, read: Callable[[], DataFrame]) -> str | None:
         try:
-            with removing_tables(SparkSession.active()):
+            with removing_tables(spark):
                 write_layer(read(), bronze, name, output_format)
         except Exception as error:  # noqa: BLE001 - any failure of one feed is reported, whatever it is
-            failed[name] = str(error)
-    return failed
+            return str(error)
+
+    errors = side_by_side(*[partial(store, name, read) for name, read in tables.items()], at_once=4)
+    return {name: error for name, error in zip(tables, errors) if error is not None}
 
 
 def raw_readers(spark: SparkSession, raw: str, extensions: dict[str, str] | None = None,

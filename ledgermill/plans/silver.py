@@ -98,5 +98,5 @@ def clean_receivables(raw: DataFrame, clients: DataFrame | None = None, rates: D
         df = lookup_join(df, sell, ["moeda_pais", "data_pagamento"])
 
     value = brl_value(F.col("valor_conta"), F.col("moeda_pais"), F.col("data_pagamento"), F.col("cotacao_venda"),
-                      ars_rate)
+                      ars_rate, plain=True)
     return _project(df.withColumn("valor_conta_brl", value), "conta_receber_silver")

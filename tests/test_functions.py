@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgermill.functions import dates, money, text
+from ledgermill.operators import checks
 
 
 def texts(spark, values):
@@ -180,3 +181,40 @@ def test_no_python_runs_per_row(spark):
     for steps in (text.PERSON_NAME, text.COUNTRY_NAME, text.CATEGORY_LABEL):
         plan = text.stepwise(df, "x", steps)._jdf.queryExecution().executedPlan().toString()
         assert not re.search("Python|Arrow", plan.replace("LogicalRDD", ""))
+
+
+def test_every_blank_and_sign_at_the_ends_of_a_column(spark):
+    signs = ["", *text._BLANK_CHARS, *map(chr, range(0x21, 0x7F)), "\x7f", "\x00", "é", "€", "\U0001f600", "\u200b"]
+    written = [a + middle + b for a in signs for middle in ("", "x y") for b in signs]
+    df = texts(spark, written).withColumn("y", text.strip_column(F.col("x")))
+    got = [r.y for r in df.withColumn("x", text.strip_blanks(F.col("x"))).where("not y <=> x").collect()]
+    assert got == [] and cleaned(spark, [text.strip_column], [None, " \t", "\u00a0a ", "b"]) == [None, "", "a", "b"]
+
+
+def test_odd_dates_parse_as_by_regular_expressions(spark):
+    days = ["1999-12-31", "31/12/1999", "12-31-1999", "29/02/1999", "02-29-1999", "1999-02-29", "0000-02-29", "2000-02-29"]
+    written = [w[:i] + c + w[i + k:] for w in days for i in range(len(w) + 1) for k in (0, 1) for c in ("", "-", "/", "0", " ", "T", "é", "+")]
+
+    def plain(value):
+        value = value.strip()
+        for shape in (r"(?P<d>\d{1,2})/(?P<m>\d{1,2})/(?P<y>\d{4})", r"(?P<m>\d{1,2})-(?P<d>\d{1,2})-(?P<y>\d{4})",
+                      r"(?P<y>\d{4})-(?P<m>\d{1,2})-(?P<d>\d{1,2})"):
+            found = re.fullmatch(shape, value)
+            if found:
+                y, m, d = (int(found[part]) for part in "ymd")
+                leap = found["m"] == "02" and found["d"] == "29"
+                try:
+                    return date(y, m, d)
+                except ValueError:
+                    return date(y, 2, 28) if leap and y else None
+        return None
+
+    assert parsed(spark, written, dates.LEDGER_LAYOUTS, True) == [plain(w) for w in written]
+
+
+def test_usual_dates_and_states_are_not_searched_for_blanks(spark, capsys):
+    df = dates.parse_dates(texts(spark, [" 05/01/2025"]), "x", dates.LEDGER_LAYOUTS, repair_feb29=True)
+    df = df.withColumn("s", checks.status_like("i", "1"))
+    df.explain("extended")
+    plan = capsys.readouterr().out.split("== Optimized Logical Plan ==")[1].split("== Physical")[0]
+    assert plan.count("btrim(") + plan.count("trim(") == plan.count("ELSE trim(") + plan.count("ELSE btrim(") > 0
