@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.fixed_values import NEVER_PAID_DAYS, VALUE_BANDS
 from ..functions.money import exact, stable_sum, to_identifier, to_number
-from ..functions.text import column_suffix, strip_blanks
+from ..functions.text import column_suffix, strip_column
 from ..operators.headers import tidy_headers
 from ..operators.lookups import lookup_join
 from ..operators.ordering import average_rank, value_positions
@@ -36,7 +36,7 @@ def client_totals(receivables: DataFrame) -> DataFrame:
     df = _receivables(receivables)
     delay = F.coalesce(F.datediff("data_pagamento", "data_vencimento"), F.lit(0)).cast("bigint")
     rows = df.select(
-        "id_cliente", strip_blanks(F.col("status_conta")).alias("status"), "id_conta", "valor_conta_brl",
+        "id_cliente", strip_column(F.col("status_conta")).alias("status"), "id_conta", "valor_conta_brl",
         "data_pagamento", delay.alias("dias"),
     )
     per_status = rows.groupBy("id_cliente", "status").agg(
