@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable
 from datetime import date
 from functools import partial, reduce, wraps
@@ -15,7 +16,7 @@ from ..functions.fixed_values import COUNTRY_CURRENCY, HOME_CURRENCY
 from ..operators import checks
 from ..operators.lookups import lookup_join
 from ..schemas import GOLD, RATES, SILVER
-from ..sources.layers import feed_names, read_csv, read_json, read_layer, write_layer
+from ..sources.layers import feed_names, read_csv, read_json, read_layer, read_layer_parts, remove_layer, write_layer
 from ..sources.rate_payloads import read_rate_payloads
 from ..sources.shared import removing_tables, side_by_side
 from . import customers, rates, segments, silver
@@ -24,11 +25,13 @@ from .star import Star, build_star
 
 # Table of the silver layer that tells rows before and after, and rows with something missing, paid or open.
 QUALITY = "qualidade_silver"
+# Bytes of a bronze ledger that are cleaned and shuffled by month at the same time; the shuffle takes some three times as much disk.
+LEDGER_PART = 256 << 20
 
 
 def land(tables: dict[str, Callable[[], DataFrame]], bronze: str, output_format: str = "parquet") -> dict[str, str]:
-    """Store raw tables unchanged with their arrival order. A table that fails does not stop the others; a few are stored at
-    the same time.
+    """Store raw tables unchanged with their arrival order. A table that fails does not stop the others. They are stored one
+    after the other, so the disk never holds the shuffles of two.
 
     Returns the error text of the tables that failed.
     """
@@ -41,7 +44,7 @@ def land(tables: dict[str, Callable[[], DataFrame]], bronze: str, output_format:
         except Exception as error:  # noqa: BLE001 - any failure of one feed is reported, whatever it is
             return str(error)
 
-    errors = side_by_side(*[partial(store, name, read) for name, read in tables.items()], at_once=4)
+    errors = side_by_side(*[partial(store, name, read) for name, read in tables.items()], at_once=1)
     return {name: error for name, error in zip(tables, errors) if error is not None}
 
 
@@ -98,30 +101,43 @@ def run_silver(spark: SparkSession, bronze: str, silver_folder: str, output_form
     def raw(name: str) -> DataFrame:
         return read_layer(spark, bronze, name)
 
-    def put(df: DataFrame, name: str, source: str, counts: dict[str, Column], **layout) -> list[tuple[str, str, int]]:
-        after = write_layer(df, silver_folder, name, output_format, counts=counts, **layout)
+    def put(parts: list[DataFrame], name: str, source: str, counts: dict[str, Column], **layout) -> list[tuple[str, str, int]]:
+        after: Counter[str] = Counter()
+        try:
+            for i, part in enumerate(parts):
+                after.update(write_layer(part, silver_folder, name, output_format, counts=counts, add=i > 0, **layout))
+        except Exception:
+            remove_layer(spark, silver_folder, name, output_format)  # some parts are not the table
+            raise
         # Parquet tells the number of rows without reading them.
         before = raw(source).count()
         figures = {"linhas_antes": before, "linhas_depois": after.pop("linhas"), **after}
         return [(name, figure, n) for figure, n in (figures | {"removidas": before - figures["linhas_depois"]}).items()]
 
-    def put_ledger(df: DataFrame, name: str, source: str, paid: Column, still_open: Column) -> list[tuple[str, str, int]]:
-        # Ledgers are large and read by period, so they are stored by month due.
-        dated = df.withColumn("mes_vencimento", month_key(F.col("data_vencimento")))
+    def put_ledger(clean: Callable[[DataFrame], DataFrame], name: str, source: str, paid: Column, still_open: Column) -> list[tuple[str, str, int]]:
+        # Ledgers are large and read by period, so they are stored by month due. Their rows are cleaned one by one, so parts can
+        # go one after the other, and what is shuffled at the same time does not grow with the ledger.
+        dated = [clean(part).withColumn("mes_vencimento", month_key(F.col("data_vencimento")))
+                 for part in read_layer_parts(spark, bronze, source, LEDGER_PART)]
         return put(dated, name, source, {"pagas": F.count_if(paid), "abertas": F.count_if(still_open)},
                    partition_by=["mes_vencimento"], sort_by=["id_conta"])
 
-    def receivables() -> list[tuple[str, str, int]]:
+    def clients() -> list[tuple[str, str, int]]:
         missing = {f"sem_{c}": F.count_if(F.col(c).isNull()) for c in ("pais_cliente", "moeda_pais", "data_cadastro_cliente")}
-        figures = put(silver.clean_clients(raw("PS_Cliente")), "cliente_silver", "PS_Cliente", missing, sort_by=["id_cliente"])
-        clients = read_layer(spark, silver_folder, "cliente_silver", SILVER["cliente_silver"])
-        clean = silver.clean_receivables(raw("PS_Conta_Receber"), clients if quotes else None, quotes)
-        return figures + put_ledger(clean, "conta_receber_silver", "PS_Conta_Receber", checks.status_like("status_conta", "recebido|pago"),
-                                    checks.status_like("status_conta", "aberto|pendente"))
+        return put([silver.clean_clients(raw("PS_Cliente"))], "cliente_silver", "PS_Cliente", missing, sort_by=["id_cliente"])
+
+    def receivables() -> list[tuple[str, str, int]]:
+        known = read_layer(spark, silver_folder, "cliente_silver", SILVER["cliente_silver"]) if quotes else None
+        return put_ledger(lambda part: silver.clean_receivables(part, known, quotes), "conta_receber_silver", "PS_Conta_Receber",
+                          checks.status_like("status_conta", "recebido|pago"), checks.status_like("status_conta", "aberto|pendente"))
+
+    def payables() -> list[tuple[str, str, int]]:
+        return put_ledger(silver.clean_payables, "conta_pagar_silver", "PS_Conta_Pagar",
+                          checks.status_is("status_conta", "pago"), checks.status_is("status_conta", "em aberto"))
 
     def targets() -> list[tuple[str, str, int]]:
         filled = reduce(and_, [F.col(c).isNotNull() for c in SILVER["meta_2025_silver"].names])
-        return put(silver.clean_targets(raw("PS_Meta2025")), "meta_2025_silver", "PS_Meta2025",
+        return put([silver.clean_targets(raw("PS_Meta2025"))], "meta_2025_silver", "PS_Meta2025",
                    {"validas": F.count_if(filled), "invalidas": F.count_if(~filled)})
 
     try:
@@ -129,11 +145,10 @@ def run_silver(spark: SparkSession, bronze: str, silver_folder: str, output_form
     except FileNotFoundError:
         quotes = None
     figures = side_by_side(
-        receivables,
+        lambda: clients() + receivables(),
         targets,
-        lambda: put(silver.clean_categories(raw("PS_Categoria")), "categoria_silver", "PS_Categoria", {}, sort_by=["codigo_categoria"]),
-        lambda: put_ledger(silver.clean_payables(raw("PS_Conta_Pagar")), "conta_pagar_silver", "PS_Conta_Pagar",
-                           checks.status_is("status_conta", "pago"), checks.status_is("status_conta", "em aberto")),
+        lambda: put([silver.clean_categories(raw("PS_Categoria"))], "categoria_silver", "PS_Categoria", {}, sort_by=["codigo_categoria"]),
+        payables,
     )
     rows = [figure for table in figures for figure in table]
     write_layer(spark.createDataFrame(rows, "tabela string, medida string, linhas bigint").coalesce(1), silver_folder, QUALITY, output_format)

@@ -1,6 +1,7 @@
 import json
 import os
 import random
+import time
 from datetime import date
 
 import pytest
@@ -271,6 +272,76 @@ def test_layers_as_csv_and_without_rates_or_clients(spark, layered, tmp_path):
     assert layers.read_layer(spark, ml, "cliente_clusterizado").count() == 0
 
 
+def test_ledgers_are_cleaned_in_parts(spark, layered, tmp_path, monkeypatch):
+    bronze, silver = str(tmp_path / "bronze"), str(tmp_path / "silver")
+    landed = {name: layers.read_layer(spark, layered[1], name).repartition(3) for name in [*RAW, "bcb_cotacoes"]}
+    assert pipeline.land({name: (lambda df=df: df) for name, df in landed.items()}, bronze) == {}
+    monkeypatch.setattr(pipeline, "LEDGER_PART", 1)
+    wrote = []
+    write = layers.write_layer
+    monkeypatch.setattr(pipeline, "write_layer", lambda df, folder, name, *a, **o: wrote.append(name) or write(df, folder, name, *a, **o))
+    pipeline.run_silver(spark, bronze, silver)
+    assert wrote.count("conta_receber_silver") == 3 and wrote.count("cliente_silver") == 1
+    for name in ("conta_receber_silver", "conta_pagar_silver", pipeline.QUALITY):
+        assert rows(layers.read_layer(spark, silver, name)) == rows(layers.read_layer(spark, layered[2], name)), name
+
+    def breaks(df, folder, name, *args, **options):
+        if options.get("add"):
+            raise RuntimeError("broken")
+        return write(df, folder, name, *args, **options)
+
+    monkeypatch.setattr(pipeline, "write_layer", breaks)
+    with pytest.raises(RuntimeError, match="broken"):
+        pipeline.run_silver(spark, bronze, silver)
+    with pytest.raises(FileNotFoundError):  # not the table that was there, nor a part of the new one
+        layers.read_layer(spark, silver, "conta_receber_silver")
+
+
+def test_parts_of_a_layer_are_all_its_rows(spark, tmp_path):
+    df = spark.range(40).select(F.col("id").cast("string").alias("a"), (F.col("id") % 2).cast("string").alias("m")).repartition(4)
+    for kind, by in (("parquet", None), ("csv", None), ("parquet", ["m"])):
+        layers.write_layer(df, str(tmp_path), "t", kind, partition_by=by)
+        parts = layers.read_layer_parts(spark, str(tmp_path), "t", 1)
+        assert len(parts) > 1
+        assert sorted(sum((rows(p.select("a", F.col("m").cast("string"))) for p in parts), [])) == sorted(rows(df))
+        assert len(layers.read_layer_parts(spark, str(tmp_path), "t", 1 << 30)) == 1
+        layers.remove_layer(spark, str(tmp_path), "t", kind)
+
+
+def test_writing_a_layer_leaves_no_shuffle_and_no_setting(spark, tmp_path):
+    def shuffles():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n")
+        return {f for f in files if "/shuffle_" in f and f.endswith(".data")}
+
+    before = shuffles()
+    layers.write_layer(spark.range(10_000).withColumn("m", F.col("id") % 3), str(tmp_path), "t", partition_by=["m"], sort_by=["id"])
+    until = time.monotonic() + 20
+    while shuffles() - before and time.monotonic() < until:
+        time.sleep(0.1)
+    assert not shuffles() - before
+    setting = shared._SHUFFLE_CLEANUP
+    assert spark.conf.get(setting, None) is None
+    spark.conf.set(setting, "false")
+    with shared.dropping_shuffles(spark), shared.dropping_shuffles(spark):
+        assert spark.conf.get(setting) == "true"
+    assert spark.conf.get(setting) == "false"
+    spark.conf.unset(setting)
+
+
+def test_feeds_are_stored_one_after_the_other(spark, tmp_path):
+    running, most = [], []
+
+    def feed():
+        running.append(1)
+        most.append(len(running))
+        time.sleep(0.5)
+        running.pop()
+        return spark.range(3)
+
+    assert pipeline.land({name: feed for name in "abc"}, str(tmp_path)) == {}
+    assert most == [1, 1, 1]
+
+
 def test_landing_reports_failures_and_goes_on(layered):
     assert list(layered[0]) == ["PS_Ausente"]
 
